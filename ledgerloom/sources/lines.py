@@ -10,7 +10,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from ledgerloom.sources import files
@@ -133,8 +133,8 @@ def _cells(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """CSV cells by position; short lines are filled with nulls, lines with too many cells are dropped."""
     unquoted = F.regexp_replace("value", '"[^"]*"', "")
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    parsed = F.from_csv("value", schema.simpleString().removeprefix("struct<").removesuffix(">"), {"mode": "PERMISSIVE"})
+    schema = ", ".join(f"`{n}` string" for n in names)
+    parsed = F.from_csv("value", schema, {"mode": "PERMISSIVE"})
     return (
         lines.where((commas < len(names)) & (F.length(F.trim("value")) > 0))
         .select("source_file", "file_no", "line_no", parsed.alias("__cells"))

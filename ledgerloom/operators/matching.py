@@ -66,18 +66,13 @@ def contains_lookup(needles: DataFrame, needle: str, products: DataFrame, code:
         .withColumn("__low", F.lower(needle))
     )
     codes = products.select(F.col(code).alias("__code")).where(F.length("__code") > 0).distinct()
-    windows = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.array_intersect(F.sequence(F.lit(1), F.length("__code")), _known_lengths(wanted, "__low")),
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.length("__code") - n + 1),
-                    lambda at: F.substring(F.lower("__code"), at, n),
-                ),
-            )
-        )
+    lengths = F.array_intersect(F.sequence(F.lit(1), F.length("__code")), _known_lengths(wanted, "__low"))
+    pieces = (
+        codes.select("__code", F.explode(lengths).alias("__n"))
+        .select("__code", "__n", F.explode(F.sequence(F.lit(1), F.length("__code") - F.col("__n") + 1)).alias("__at"))
+        .select("__code", F.substring(F.lower("__code"), F.col("__at"), F.col("__n")).alias("__low"))
+        .distinct()
     )
-    pieces = codes.select("__code", F.explode(windows).alias("__low"))
     pairs = pieces.join(wanted, "__low").select(needle, "__code")
     return pairs.join(products, F.col("__code") == F.col(code)).drop("__code")
 

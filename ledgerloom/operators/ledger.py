@@ -62,11 +62,20 @@ def detail_split(lines: DataFrame, invoice_docs: DataFrame, credit_docs: DataFra
 
 
 def line_row_order(
-    lines: DataFrame, keys: Sequence[str] = ("docnum", "stkcod"), order: Sequence[str] = ("seqnum", "line_no"), blocks: int | None = None
+    lines: DataFrame,
+    keys: Sequence[str] = ("docnum", "stkcod"),
+    order: Sequence[str] = ("seqnum", "line_no"),
+    blocks: int | None = None,
+    bounds_from: DataFrame | None = None,
+    summary_from: DataFrame | None = None,
 ) -> DataFrame:
-    """1-based counter per document and SKU along the sequence number."""
-    blocked = ordered.range_blocks(lines, keys, order, blocks)
-    return ordered.row_numbers(blocked, keys, order, "row_order").drop(ordered.BLOCK)
+    """1-based counter per document and SKU along the sequence number.
+
+    summary_from: the same lines before costly steps, to count the blocks from.
+    """
+    bounds = ordered.quantile_bounds(lines if bounds_from is None else bounds_from, order, blocks)
+    cheap = None if summary_from is None else bounds.assign(summary_from)
+    return ordered.row_numbers(bounds.assign(lines), keys, order, "row_order", cheap).drop(ordered.BLOCK)
 
 
 def customer_enrich(docs: DataFrame, customers: DataFrame, code: str = "cuscod") -> DataFrame:
@@ -134,7 +143,7 @@ def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: in
     clean = F.regexp_replace(clean, r"(?U)\s{2,}", " ")
     clean = F.regexp_replace(clean, r"(?U)\s*,\s*", ", ")
     pieces = rows.where("remark <> ''").select("docnum", *order, clean.alias("piece"))
-    blocked = ordered.range_blocks(pieces, ["docnum"], order, blocks)
+    blocked = ordered.quantile_blocks(pieces, order, blocks, remarks.withColumn("seqnum", F.coalesce(F.col("seqnum").try_cast("int"), F.lit(0))))
     # white space at either end goes, but for the blank that a closing comma was given
     joined = ordered.ordered_text(
         blocked, ["docnum"], order, "piece", "|", "remark", trim_ends=(r"(?U)^\s+", r"(?U)(?<!,)\s$")
@@ -161,6 +170,7 @@ def credit_allocation(
     order_cols: Sequence[str],
     qty_col: str = "trnqty",
     blocks: int | None = None,
+    bounds_from: DataFrame | None = None,
 ) -> DataFrame:
     """Deduct credited quantity from the invoice lines of the same key and unit price, in order.
 
@@ -171,7 +181,7 @@ def credit_allocation(
     credited = credit_lines.groupBy(*keys).agg(
         F.sum(F.greatest(F.col(qty_col), F.lit(0).cast(MONEY))).cast("decimal(28,2)").alias("__credited")
     )
-    blocked = ordered.range_blocks(invoice_lines, keys, order_cols, blocks)
+    blocked = ordered.quantile_blocks(invoice_lines, order_cols, blocks, bounds_from)
     wanted = F.greatest(F.col(qty_col), F.lit(0).cast(MONEY))
     running = ordered.running_total(blocked, keys, order_cols, {"__hi": wanted}, per_key=credited)
     low = F.col("__hi") - wanted
@@ -276,7 +286,7 @@ def credit_suffix_match(invoices: DataFrame, credits: DataFrame) -> DataFrame:
 def credit_reference_parts(credits: DataFrame, position: str = "line_no", blocks: int | None = None) -> DataFrame:
     """(base, part_no, refs): credit numbers per invoice base in file order, comma-separated."""
     keyed = credits.select(credit_base("docnum").alias("__base"), position, "docnum")
-    blocked = ordered.range_blocks(keyed, ["__base"], [position], blocks)
+    blocked = ordered.quantile_blocks(keyed, [position], blocks)
     return ordered.ordered_text(blocked, ["__base"], [position], "docnum", ",", "refs")
 
 

@@ -4,21 +4,24 @@ A plain window over a group key puts the whole group into one task. Here rows fi
 that never decreases along the order; a window runs per (key, block), and only one summary row per block
 goes through the window over the key. A group holding a third of all rows is thus spread over its blocks.
 
-Blocks come from a position column (`position_blocks`: lazy, for line numbers or byte offsets) or, for any
-other order, from a range partitioning that is materialised once in the shared checkpoint folder
-(`range_blocks`), as its numbers must be the same for both readers.
+Blocks come from a position column (`position_blocks`, for line numbers or byte offsets) or, for any other
+order, from its quantiles (`quantile_blocks`): one pass over the order columns finds a few hundred bounds, and
+the block of a row is a plain expression over them. Where one value fills whole blocks, the bounds go on with
+the next order column inside that value. Nothing is materialised and the plan stays lazy.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ledgerloom import session
 
 BLOCK = "__block"
 PART_CHARS = 1 << 20
+MOST_BLOCKS = 256
 
 
 def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFrame:
@@ -26,11 +29,129 @@ def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFr
     return df.withColumn(BLOCK, F.floor(F.col(position) / F.lit(size)).cast("long"))
 
 
-def range_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
-    """Block = number of the range partition of (keys, order). Materialises df; (keys, order) should be unique."""
-    n = blocks or session.shuffle_width(df.sparkSession)
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in [*keys, *order]])
-    return session.cut_lineage(ranged.withColumn(BLOCK, F.spark_partition_id().cast("long")))
+_LOWEST = -(1 << 62)
+
+
+def _codes(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Numbers that never decrease along the order columns, nulls lowest as in a sort.
+
+    Each code is exact for the columns before it, so bounds may go on with the next one; they end behind a
+    column whose code is coarser than its values (text: the first bytes).
+    """
+    out: list[Column] = []
+
+    def add(c: Column, kind: T.DataType) -> bool:
+        if isinstance(kind, T.StructType):
+            return all(add(c.getField(f.name), f.dataType) for f in kind.fields)
+        exact = True
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+            number = c.cast("bigint")
+        elif isinstance(kind, T.DateType):
+            number = F.unix_date(c).cast("bigint")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            number = F.unix_micros(c.cast("timestamp"))
+        elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+            number, exact = c.cast("double"), not isinstance(kind, T.DecimalType) or kind.precision <= 15
+        elif isinstance(kind, T.StringType):
+            data = F.rpad(F.hex(F.encode(c, "utf-8")), 42, "0")
+            for at in (1, 15, 29):
+                out.append(F.coalesce(F.conv(F.substring(data, at, 14), 16, 10).cast("bigint"), F.lit(_LOWEST)))
+            return False
+        else:
+            raise TypeError(f"no order code for {kind.simpleString()}")
+        out.append(F.coalesce(number, F.lit(_LOWEST).cast("double" if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)) else "bigint")))
+        return exact
+
+    for name in order:
+        if not add(F.col(name), df.schema[name].dataType):
+            break
+    return out
+
+
+def find_bounds(df: DataFrame, order: Sequence[str], blocks: int) -> list[tuple]:
+    """Sorted bounds that cut df into about `blocks` equal runs of the order; each a tuple of leading codes."""
+    codes = _codes(df, order)
+    coded = df.select(*[c.alias(f"__c{i}") for i, c in enumerate(codes)])
+    bounds: set[tuple] = set()
+    open_runs: dict[tuple, int] = {(): blocks}
+    for level in range(len(codes)):
+        if not open_runs:
+            break
+        most = max(open_runs.values())
+        quantiles = F.percentile_approx(f"__c{level}", [i / most for i in range(1, most)], 20 * most).alias("q")
+        if level == 0:
+            found = {(): coded.agg(quantiles).first()["q"]}
+        else:
+            # at most `blocks` prefixes are open, so this brings back a few short arrays
+            keys = [f"__c{i}" for i in range(level)]
+            wanted = None
+            for prefix in open_runs:
+                same = None
+                for name, value in zip(keys, prefix, strict=True):
+                    part = F.col(name) == F.lit(value)
+                    same = part if same is None else same & part
+                wanted = same if wanted is None else wanted | same
+            rows = coded.where(wanted).groupBy(*keys).agg(quantiles).collect()
+            found = {tuple(row[k] for k in keys): row["q"] for row in rows}
+        deeper: dict[tuple, int] = {}
+        for prefix, values in found.items():
+            share = open_runs.get(prefix)
+            if not values or not share:
+                continue
+            picked = [values[(i * most) // share - 1] for i in range(1, share)]
+            for value in picked:
+                bounds.add((*prefix, value))
+            for value in set(picked):
+                times = picked.count(value)
+                if times > 1:
+                    deeper[(*prefix, value)] = times
+        open_runs = deeper
+    return sorted(bounds, key=lambda b: [*b])
+
+
+def _bound_block(bounds: list[tuple]) -> Column:
+    """Number of bounds at or below the row's codes: a binary decision over the sorted bounds."""
+
+    def reached(bound: tuple) -> Column:
+        out = None
+        for level in reversed(range(len(bound))):
+            c, value = F.col(f"__c{level}"), F.lit(bound[level])
+            out = c >= value if out is None else (c > value) | ((c == value) & out)
+        return out
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(reached(bounds[middle]), tree(middle + 1, high)).otherwise(tree(low, middle))
+
+    return tree(0, len(bounds)).cast("bigint")
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Cuts along an order, to number the blocks of any frame that has its columns."""
+
+    order: tuple[str, ...]
+    cuts: tuple[tuple, ...]
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        used = max((len(b) for b in self.cuts), default=0)
+        codes = _codes(df, self.order)[:used]
+        coded = df.select("*", *[c.alias(f"__c{i}") for i, c in enumerate(codes)])
+        return coded.withColumn(BLOCK, _bound_block(list(self.cuts))).drop(*[f"__c{i}" for i in range(used)])
+
+
+def quantile_bounds(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> Bounds:
+    """Bounds cutting df into about equal runs of the order. Taken from a frame distributed like the one to be
+    cut (say, before its joins) they give even blocks; any bounds give right results."""
+    n = blocks or min(max(session.shuffle_width(df.sparkSession), 8), MOST_BLOCKS)
+    return Bounds(tuple(order), tuple(find_bounds(df, order, n)))
+
+
+def quantile_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
+    """Blocks of about equal row count along the order; bounds_from: a cheaper frame to take the bounds from."""
+    return quantile_bounds(df if bounds_from is None else bounds_from, order, blocks).assign(df)
 
 
 def _earlier_blocks(keys: Sequence[str]):
@@ -62,15 +183,19 @@ def running_total(
     values: dict[str, Column],
     dtype: str = "decimal(28,2)",
     per_key: DataFrame | None = None,
+    summary_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add one inclusive running sum per entry of `values`; nulls count as 0.
 
     per_key: one row per key with further columns. They ride along with the block summaries, so attaching
     them does not send a whole key through one join task.
+    summary_from: a blocked frame with the same rows that is cheaper to compute, to sum the blocks from.
     """
     zero = F.lit(0).cast(dtype)
-    with_values = blocked.select("*", *[F.coalesce(v.cast(dtype), zero).alias(f"__v_{n}") for n, v in values.items()])
-    per_block = with_values.groupBy(*keys, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
+    added = [F.coalesce(v.cast(dtype), zero).alias(f"__v_{n}") for n, v in values.items()]
+    with_values = blocked.select("*", *added)
+    summarised = with_values if summary_from is None else summary_from.select("*", *added)
+    per_block = summarised.groupBy(*keys, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
     before = per_block.select(
         *keys,
         BLOCK,
@@ -87,9 +212,11 @@ def running_total(
     return out.drop(*helpers)
 
 
-def row_numbers(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
+def row_numbers(
+    blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, summary_from: DataFrame | None = None
+) -> DataFrame:
     """1-based counter per key along the order."""
-    return running_total(blocked, keys, order, {out: F.lit(1)}, dtype="bigint")
+    return running_total(blocked, keys, order, {out: F.lit(1)}, dtype="bigint", summary_from=summary_from)
 
 
 def last_known(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column]) -> DataFrame:

@@ -68,7 +68,7 @@ def audit_columns(df: DataFrame, run_ts: dt.datetime, order: Sequence[str] | Non
     out = df.withColumn("created_at", stamp).withColumn("updated_at", stamp)
     if not order:
         return out
-    blocked = ordered.range_blocks(out, [], order, blocks)
+    blocked = ordered.quantile_blocks(out, order, blocks)
     return ordered.row_numbers(blocked, [], order, id_col).drop(ordered.BLOCK)
 
 

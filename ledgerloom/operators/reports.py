@@ -172,6 +172,16 @@ def _any_present(cols: Sequence[str]) -> Column:
     return F.coalesce(*[F.col(f"`{c}`") for c in cols]).isNotNull()
 
 
+def _with_flags(df: DataFrame, cols: Sequence[str], flags: dict[str, Column]) -> DataFrame:
+    """Columns plus tests over many cells, as the output of a generator.
+
+    Written as plain filters these tests become constraints over a dozen columns, and the optimizer writes
+    them out for every combination of old and new column names (2^n) once the columns are renamed.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in cols], *[c.alias(n) for n, c in flags.items()])
+    return df.select(F.inline(F.array(row)))
+
+
 def normalize_report(
     df: DataFrame, spec: ReportSpec, mapping: DataFrame | None = None, block_size: int = 16 << 20
 ) -> DataFrame:
@@ -181,7 +191,12 @@ def normalize_report(
     their position; a file of any size is filled block by block.
     """
     cells = list(spec.cells)
-    out = df.select(FILE, LINE, *cells).where(_any_present(cells))
+    kept = [c for c in [*cells, *spec.derived] if c not in spec.dropped]
+    # cells whose text shows in a kept column without being filled down; notes and constants never start with '='
+    shown = [c for c in kept if c in cells and c not in spec.fill] + ([spec.memo[1]] if spec.memo else [])
+    total = F.exists(F.array(*shown), lambda c: F.coalesce(c.startswith("="), F.lit(False)))
+    flags = {"__present": _any_present(cells), "__required": _any_present(list(spec.required)), "__total": total}
+    out = _with_flags(df, [FILE, LINE, *cells], flags).where("__present")
     for col, value in spec.equal_drops:
         out = out.where(~_equals(col, value))
     for col, value in spec.start_drops:
@@ -200,9 +215,8 @@ def normalize_report(
         cell, first, second = spec.memo
         head = F.coalesce(F.col(first), F.lit("nan"))
         out = out.withColumn(cell, F.when(F.col(second).isNotNull(), F.concat(head, F.lit("_"), F.col(second))).otherwise(head))
-    out = out.where(_any_present(list(spec.required)))
-    kept = [c for c in [*cells, *spec.derived] if c not in spec.dropped]
-    for c in kept:
+    out = out.where("__required AND NOT __total")
+    for c in spec.fill:
         out = out.where(~_starts(c, "="))
     out = ordered.skip_leading_rows(out.select(FILE, LINE, *kept), spec.skip, [FILE], [LINE])
     out = out.select(FILE, LINE, *[F.col(c).alias(t) for c, t in zip(kept, spec.titles, strict=True)])
@@ -215,7 +229,7 @@ def normalize_report(
         ).withColumnRenamed("__code", spec.partner)
         out = out.select(FILE, LINE, *[F.col(f"`{t}`") for t in spec.titles], "IsMissing")
     if spec.late_required:
-        out = out.where(_any_present(spec.late_required))
+        out = _with_flags(out, out.columns, {"__late": _any_present(spec.late_required)}).where("__late").drop("__late")
     return out
 
 
@@ -314,11 +328,12 @@ ASSET_TITLES = {
 
 def asset_report(df: DataFrame, block_size: int = 16 << 20) -> DataFrame:
     """Fixed assets (5B9): section accounts filled down, notes attached, template columns."""
-    out = section_header_fill(df, block_size=block_size)
+    flags = {"__asset": _any_present(list("BCDEFGHIJ")), "__figures": _any_present(list("FGHIJ"))}
+    out = section_header_fill(_with_flags(df, df.columns, flags), block_size=block_size)
     for col, value in _ASSET_EQUAL_DROPS:
         out = out.where(~_equals(col, value))
     for col, value in _ASSET_START_DROPS:
         out = out.where(~_starts(col, value))
-    out = out.where(_any_present(list("BCDEFGHIJ"))).where(F.col("Account1").isNotNull())
-    out = note_attach(out, block_size=block_size).where(_any_present(list("FGHIJ")))
+    out = out.where("__asset AND Account1 IS NOT NULL")
+    out = note_attach(out, block_size=block_size).where("__figures")
     return out.select(FILE, LINE, *[F.col(c).alias(t) for c, t in ASSET_TITLES.items()])

@@ -24,27 +24,28 @@ _DETAIL_NAMES = {"docnum": "doc_number", "docdat": "doc_date", "unitpr": "unit_p
 
 
 def _allocated_details(
-    invoice_lines: DataFrame, credit_lines: DataFrame, products: DataFrame, order: Sequence[str]
+    lines: DataFrame, invoice_lines: DataFrame, credit_lines: DataFrame, products: DataFrame, order: Sequence[str]
 ) -> DataFrame:
-    """Invoice lines with row order, cost and what credit notes of the same base number, SKU and price took off."""
+    """Invoice lines with cost and what credit notes of the same base number, SKU and price took off."""
     keyed = [
-        lines.withColumn("__base", ledger.base_number("docnum"))
+        part.withColumn("__base", ledger.base_number("docnum"))
         .withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval")))
         .withColumn("trnqty", numbers.numeric_or_zero(F.col("trnqty")))
-        for lines in (invoice_lines, credit_lines)
+        for part in (invoice_lines, credit_lines)
     ]
-    allocated = ledger.credit_allocation(keyed[0], keyed[1], ["__base", "stkcod"], "unitpr", order)
-    numbered = ledger.line_row_order(allocated, ["docnum", "stkcod"], ["seqnum", *order])
-    return ledger.cost_enrich(numbered, products).withColumnsRenamed(_DETAIL_NAMES)
+    allocated = ledger.credit_allocation(keyed[0], keyed[1], ["__base", "stkcod"], "unitpr", order, bounds_from=lines)
+    return ledger.cost_enrich(allocated, products)
 
 
-def _finish(
-    headers: DataFrame, details: DataFrame, white_list: DataFrame
+def _tables(
+    headers: DataFrame, details: DataFrame, lines: DataFrame, invoice_lines: DataFrame, white_list: DataFrame, order: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
-    return (
-        conform(ledger.invoice_cost_status(headers, details, white_list), INVOICE_HEADER),
-        conform(details, INVOICE_DETAIL),
+    """(header table, detail table). Only the detail table pays for the row numbers."""
+    status = ledger.invoice_cost_status(headers, details.withColumnsRenamed(_DETAIL_NAMES), white_list)
+    numbered = ledger.line_row_order(
+        details, ["docnum", "stkcod"], ["seqnum", *order], bounds_from=lines, summary_from=invoice_lines
     )
+    return conform(status, INVOICE_HEADER), conform(numbered.withColumnsRenamed(_DETAIL_NAMES), INVOICE_DETAIL)
 
 
 def invoice_ledger(
@@ -71,8 +72,8 @@ def invoice_ledger(
     headers = matching.sale_area_longest_prefix(headers.drop("sonum").withColumnsRenamed(_HEADER_NAMES), areas)
     headers = ledger.bill_due_date(headers)
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = _allocated_details(invoice_lines, credit_lines, products, line_order)
-    header_table, detail_table = _finish(headers, details, white_list)
+    details = _allocated_details(lines, invoice_lines, credit_lines, products, line_order)
+    header_table, detail_table = _tables(headers, details, lines, invoice_lines, white_list, line_order)
     credit_table = conform(ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES), CREDIT_HEADER)
     return {"header": header_table, "detail": detail_table, "credit": credit_table}
 
@@ -97,8 +98,8 @@ def ol_sl_ledger(
     group = ledger.customer_group_rule(F.col("customer_code"), F.col("customer_name"))
     headers = ledger.customer_enrich(invoices, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = _allocated_details(invoice_lines, credit_lines, products, line_order)
-    header_table, detail_table = _finish(headers, details, white_list)
+    details = _allocated_details(lines, invoice_lines, credit_lines, products, line_order)
+    header_table, detail_table = _tables(headers, details, lines, invoice_lines, white_list, line_order)
     credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     return {"header": header_table, "detail": detail_table, "credit": conform(credit_table, CREDIT_HEADER)}
 

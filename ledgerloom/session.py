@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators are written for. AQE re-plans joins from measured sizes (so a side
 # is broadcast only when its real size is below spark.sql.autoBroadcastJoinThreshold) and splits skewed
@@ -55,12 +55,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and is read, not recomputed, by every consumer."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shuffle_width(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 

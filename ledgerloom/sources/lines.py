@@ -137,8 +137,8 @@ def _cells(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     parsed = F.from_csv("value", schema, {"mode": "PERMISSIVE"})
     return (
         lines.where((commas < len(names)) & (F.length(F.trim("value")) > 0))
-        .select("source_file", "file_no", "line_no", parsed.alias("__cells"))
-        .select("source_file", "file_no", "line_no", *[F.col(f"__cells.{n}").alias(n) for n in names])
+        # a generator, so that a filter on a cell does not parse the line a second time
+        .select("source_file", "file_no", "line_no", F.inline(F.array(parsed)))
     )
 
 

@@ -155,7 +155,7 @@ SNAPSHOTS: dict[str, dict[str, tuple[str, str]]] = {
         "display_name": ("complete_name", "text"),
         "name": ("name", "text"),
         "parent_category": ("parent_id", "name"),
-        "odoo_id": ("id", "long"),
+        "erp_id": ("id", "long"),
     },
     "erp_products": {
         "stkcod": ("default_code", "text"),

@@ -67,15 +67,10 @@ def line_row_order(
     order: Sequence[str] = ("seqnum", "line_no"),
     blocks: int | None = None,
     bounds_from: DataFrame | None = None,
-    summary_from: DataFrame | None = None,
 ) -> DataFrame:
-    """1-based counter per document and SKU along the sequence number.
-
-    summary_from: the same lines before costly steps, to count the blocks from.
-    """
-    bounds = ordered.quantile_bounds(lines if bounds_from is None else bounds_from, order, blocks)
-    cheap = None if summary_from is None else bounds.assign(summary_from)
-    return ordered.row_numbers(bounds.assign(lines), keys, order, "row_order", cheap).drop(ordered.BLOCK)
+    """1-based counter per document and SKU along the sequence number."""
+    blocked = ordered.quantile_blocks(lines, order, blocks, bounds_from)
+    return ordered.row_numbers(blocked, keys, order, "row_order").drop(ordered.BLOCK)
 
 
 def customer_enrich(docs: DataFrame, customers: DataFrame, code: str = "cuscod") -> DataFrame:
@@ -115,29 +110,30 @@ def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: in
         F.coalesce("remark", F.lit("")).alias("remark"),
     )
     order = ["seqnum", position]
-    tokens = rows.select(
-        "docnum",
-        *order,
-        F.regexp_extract_all("remark", F.lit(r"(?U)//\s*(\d{6,})(?=$|\s|\))"), F.lit(1)).alias("longs"),
-        F.regexp_extract_all("remark", F.lit(r"(?U)//\s*(\d+)\)"), F.lit(1)).alias("shorts"),
+    found = F.concat(
+        F.transform(
+            F.regexp_extract_all("remark", F.lit(r"(?U)//\s*(\d{6,})(?=$|\s|\))"), F.lit(1)),
+            lambda t, at: F.struct(F.lit(True).alias("long"), t.alias("token"), at.alias("at")),
+        ),
+        # a short token of six digits or more is a long one too and never used; five digits bound the list
+        F.transform(
+            F.regexp_extract_all("remark", F.lit(r"(?U)//\s*(\d{1,5})\)"), F.lit(1)),
+            lambda t, at: F.struct(F.lit(False).alias("long"), t.alias("token"), at.alias("at")),
+        ),
     )
-    first_long = F.get("longs", F.lit(0))
-    docs = tokens.groupBy("docnum").agg(
-        F.min_by(first_long, F.when(first_long.isNotNull(), F.struct(*order))).alias("__long")
+    seen = F.when(F.col("token").isNotNull(), F.struct(*order, "at"))
+    first_seen = (
+        rows.select("docnum", *order, F.explode_outer(found).alias("t"))
+        .select("docnum", *order, "t.*")
+        .groupBy("docnum", "long", F.when(~F.col("long"), F.col("token")).alias("short"))
+        .agg(F.min_by("token", seen).alias("token"), F.min(seen).alias("seen"))
     )
-    # Without a long token (six digits or more) every short one has at most five digits, which bounds the list.
-    short_lists = (
-        tokens.join(docs.where("__long IS NULL").select("docnum"), "docnum", "left_semi")
-        .select("docnum", *order, F.posexplode("shorts").alias("at", "token"))
-        .groupBy("docnum", "token")
-        .agg(F.min(F.struct(*order, "at")).alias("first_seen"))
-        .groupBy("docnum")
-        .agg(F.array_sort(F.collect_list(F.struct("first_seen", "token"))).getField("token").alias("__shorts"))
-    )
-    so_number = F.coalesce(
-        F.concat(F.lit("SO"), F.col("__long")),
-        F.array_join(F.transform("__shorts", lambda t: F.concat(F.lit("SO"), t)), ","),
+    docs = first_seen.groupBy("docnum").agg(
+        F.max(F.when(F.col("long"), F.col("token"))).alias("__long"),
+        F.array_sort(F.collect_list(F.when(~F.col("long"), F.struct("seen", "token")))).getField("token").alias("__shorts"),
     )
+    listed = F.array_join(F.transform("__shorts", lambda t: F.concat(F.lit("SO"), t)), ",")
+    so_number = F.coalesce(F.concat(F.lit("SO"), F.col("__long")), F.nullif(listed, F.lit("")))
     clean = F.concat(F.lit(" "), F.col("remark"), F.lit(" "))
     clean = F.regexp_replace(clean, r"(?U)//\s*\d+\)?", "")
     clean = F.regexp_replace(clean, r"(?U)\s{2,}", " ")
@@ -150,8 +146,7 @@ def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: in
     )
     texts = joined.withColumn("remark", F.nullif(F.col("remark"), F.lit("")))
     return (
-        docs.join(short_lists, "docnum", "left")
-        .join(texts, "docnum", "left")
+        docs.join(texts, "docnum", "left")
         .select("docnum", F.coalesce("part_no", F.lit(0)).alias("part_no"), "remark", so_number.alias("so_number"))
     )
 
@@ -231,14 +226,17 @@ def credit_total_by_base(credits: DataFrame, number: str = "doc_number", total:
     return credits.groupBy(base_number(number).alias("base_number")).agg(F.sum(total).cast(TOTAL).alias("credit_total"))
 
 
-def bill_due_date(headers: DataFrame, customers: DataFrame | None = None, term: str = "max") -> DataFrame:
+def bill_due_date(
+    headers: DataFrame, customers: DataFrame | None = None, term: str = "max", bills_from: DataFrame | None = None
+) -> DataFrame:
     """Due date of all documents on a bill: latest document date plus the longest payment term.
 
     term='customer' takes today's payment term of the customer on the bill's first document instead.
+    bills_from: the same documents before costly steps, to collect the bills from.
     """
     on_bill = filters.doc_prefix("doc_number").isin("IV", "CM", "OL")
     valid = F.col("bilnum").isNotNull() & ~F.col("bilnum").isin("", "~")
-    bills = headers.where(on_bill & valid).groupBy("bilnum").agg(
+    bills = (headers if bills_from is None else bills_from).where(on_bill & valid).groupBy("bilnum").agg(
         F.max("doc_date").alias("__last"),
         F.max("paytrm").alias("__term"),
         F.min_by("customer_code", F.col("doc_number")).alias("__customer"),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ledgerloom import session
 
 BLOCK = "__block"
-PART_CHARS = 1 << 20
+PART_CHARS = 1 << 26
 MOST_BLOCKS = 256
 
 
@@ -183,23 +183,24 @@ def running_total(
     values: dict[str, Column],
     dtype: str = "decimal(28,2)",
     per_key: DataFrame | None = None,
-    summary_from: DataFrame | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add one inclusive running sum per entry of `values`; nulls count as 0.
 
+    totals: {entry: column} also adds the sum over the whole key, taken from the block summaries.
+
     per_key: one row per key with further columns. They ride along with the block summaries, so attaching
     them does not send a whole key through one join task.
-    summary_from: a blocked frame with the same rows that is cheaper to compute, to sum the blocks from.
     """
     zero = F.lit(0).cast(dtype)
     added = [F.coalesce(v.cast(dtype), zero).alias(f"__v_{n}") for n, v in values.items()]
     with_values = blocked.select("*", *added)
-    summarised = with_values if summary_from is None else summary_from.select("*", *added)
-    per_block = summarised.groupBy(*keys, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
+    per_block = with_values.groupBy(*keys, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
     before = per_block.select(
         *keys,
         BLOCK,
         *[F.coalesce(F.sum(f"__t_{n}").over(_earlier_blocks(keys)).cast(dtype), zero).alias(f"__b_{n}") for n in values],
+        *[F.sum(f"__t_{n}").over(Window.partitionBy(*keys)).cast(dtype).alias(out) for n, out in (totals or {}).items()],
     )
     if per_key is not None:
         before = before.join(per_key, list(keys), "left")
@@ -212,33 +213,46 @@ def running_total(
     return out.drop(*helpers)
 
 
-def row_numbers(
-    blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, summary_from: DataFrame | None = None
-) -> DataFrame:
+def row_numbers(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
     """1-based counter per key along the order."""
-    return running_total(blocked, keys, order, {out: F.lit(1)}, dtype="bigint", summary_from=summary_from)
+    return running_total(blocked, keys, order, {out: F.lit(1)}, dtype="bigint")
 
 
-def last_known(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column]) -> DataFrame:
-    """Add, per entry, the latest non-null value up to and including the row."""
+def last_known(
+    blocked: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    values: dict[str, Column],
+    before: dict[str, Column] | None = None,
+    first: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Add the latest non-null value up to the row (values), above the row (before), or the first one (first)."""
+    before, first = before or {}, first or {}
+    wanted = {**values, **before, **first}
     position = F.struct(*order)
-    with_values = blocked.select("*", *[v.alias(f"__v_{n}") for n, v in values.items()])
-    per_block = with_values.groupBy(*keys, BLOCK).agg(
-        *[
-            F.max_by(f"__v_{n}", F.when(F.col(f"__v_{n}").isNotNull(), position)).alias(f"__t_{n}")
-            for n in values
-        ]
-    )
-    carried = per_block.select(
-        *keys, BLOCK, *[F.last(f"__t_{n}", ignorenulls=True).over(_earlier_blocks(keys)).alias(f"__b_{n}") for n in values]
-    )
-    joined = _join_blocks(with_values, carried, keys)
+    with_values = blocked.select("*", *[v.alias(f"__v_{n}") for n, v in wanted.items()])
+
+    def summary(n: str) -> Column:
+        place = F.when(F.col(f"__v_{n}").isNotNull(), position)
+        return (F.min_by if n in first else F.max_by)(f"__v_{n}", place).alias(f"__t_{n}")
+
+    def carried(n: str) -> Column:
+        pick = F.first if n in first else F.last
+        return pick(f"__t_{n}", ignorenulls=True).over(_earlier_blocks(keys)).alias(f"__b_{n}")
+
+    per_block = with_values.groupBy(*keys, BLOCK).agg(*[summary(n) for n in wanted])
+    joined = _join_blocks(with_values, per_block.select(*keys, BLOCK, *[carried(n) for n in wanted]), keys)
     window = _inside_block(keys, order)
-    found = [
-        F.coalesce(F.last(f"__v_{n}", ignorenulls=True).over(window), F.col(f"__b_{n}")).alias(n) for n in values
-    ]
-    kept = [c for c in blocked.columns if c not in values]
-    return joined.select(*kept, *found)
+    above = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def found(n: str) -> Column:
+        value, carry = F.col(f"__v_{n}"), F.col(f"__b_{n}")
+        if n in first:
+            return F.coalesce(carry, F.first(value, ignorenulls=True).over(window)).alias(n)
+        return F.coalesce(F.last(value, ignorenulls=True).over(above if n in before else window), carry).alias(n)
+
+    kept = [c for c in blocked.columns if c not in wanted]
+    return joined.select(*kept, *[found(n) for n in wanted])
 
 
 def forward_fill(blocked: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -289,8 +303,7 @@ def ordered_text(
     """
     gap = len(separator) or 1
     texts = blocked.where(F.col(text).isNotNull()).withColumn("__len", F.length(text).cast("bigint") + gap)
-    whole = texts.groupBy(*keys).agg(F.sum("__len").alias("__whole"))
-    ends = running_total(texts, keys, order, {"__end": F.col("__len")}, dtype="bigint", per_key=whole)
+    ends = running_total(texts, keys, order, {"__end": F.col("__len")}, dtype="bigint", totals={"__end": "__whole"})
     begin = F.col("__end") - F.col("__len")
     piece = F.col(text)
     if trim_ends:

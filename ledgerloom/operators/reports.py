@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom import session
 from ledgerloom.functions import numbers, text
 from ledgerloom.operators import matching, ordered
 
@@ -262,43 +263,50 @@ def note_attach(df: DataFrame, mark: str = NOTE_MARK, out: str = "U", block_size
     (A note above ordered.PART_CHARS keeps its first part here; see note_parts for the others.)
     """
     numbered, notes = note_parts(df, mark, block_size)
-    first = notes.where("part_no = 0").select(
-        F.col(FILE).alias("__f"), (F.col("__opener") - 1).alias("__row"), F.col("__note")
-    )
-    kept = numbered.where(F.col("__opener").isNull() | (F.col("__row_no") < F.col("__opener")))
-    joined = kept.join(first, (F.col(FILE) == F.col("__f")) & (F.col("__row_no") == F.col("__row")), "left")
+    first = notes.where("part_no = 0").select(F.col(FILE).alias("__f"), F.col("__target").alias("__row"), "__note")
+    joined = numbered.where("NOT __in_note").join(first, (F.col(FILE) == F.col("__f")) & (F.col(LINE) == F.col("__row")), "left")
     return joined.select(*df.columns, F.col("__note").alias(out))
 
 
 def note_parts(df: DataFrame, mark: str = NOTE_MARK, block_size: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
-    """(rows with their number and the opener of their segment, note texts per opener in parts)."""
+    """(rows with their place in a note, note texts with their target line, in parts).
+
+    One pass carries down the line that began the current run, the last mark above and the line above. A row is
+    in a note when a mark stands in its run; the first such mark opens it. The marked rows are written to the
+    shared folder, as the notes and the remaining rows both read them.
+    """
 
     def blank(c: str) -> Column:
         return text.strip(F.coalesce(F.col(c), F.lit(""))) == ""
 
     continues = blank("B") & blank("C") & ~blank("D")
+    marked = F.contains(F.coalesce("D", F.lit("")), F.lit(mark))
     blocked = ordered.position_blocks(df, LINE, block_size)
-    counted = ordered.running_total(
-        blocked, [FILE], [LINE], {"__row_no": F.lit(1), "__segment": F.when(continues, 0).otherwise(1)}, dtype="bigint"
-    )
-    marked = F.contains(F.coalesce("D", F.lit("")), F.lit(mark)) & (F.col("__row_no") > 1)
-    openers = (
-        counted.where(marked)
-        .groupBy(F.col(FILE).alias("__f"), F.col("__segment").alias("__s"))
-        .agg(F.min("__row_no").alias("__opener"))
+    placed = ordered.last_known(
+        blocked,
+        [FILE],
+        [LINE],
+        values={"__run": F.when(~continues, F.col(LINE))},
+        before={"__mark_above": F.when(marked, F.col(LINE)), "__above": F.col(LINE)},
+        first={"__first": F.col(LINE)},
     )
-    same = (F.col(FILE) == F.col("__f")) & (F.col("__segment") == F.col("__s"))
-    numbered = counted.join(openers, same, "left").drop("__f", "__s", "__segment")
-    lines = numbered.where(F.col("__row_no") >= F.col("__opener")).withColumn(
-        "__line",
-        F.when(F.col("__row_no") == F.col("__opener"), F.lit(f"{mark}:")).otherwise(text.strip(F.col("D"))),
-    )
-    texts = ordered.ordered_text(lines, [FILE, "__opener"], [LINE], "__line", "\n", "__note")
+
+    def counts(line: str) -> Column:
+        """A mark in the current run, other than on the first line of the file."""
+        run = F.coalesce("__run", "__first")
+        return F.coalesce((F.col(line) >= run) & (F.col(line) > F.col("__first")), F.lit(False))
+
+    earlier = counts("__mark_above")
+    opens = marked & ~earlier & F.col("__above").isNotNull()
+    numbered = placed.withColumn("__in_note", earlier | opens).withColumn("__opens", opens)
+    numbered = session.materialise(numbered.drop("__mark_above", "__first"), "notes")
+    notes = numbered.where("__in_note").withColumn("__run", F.coalesce("__run", F.lit(-1)))
+    lines = notes.withColumn("__line", F.when(F.col("__opens"), F.lit(f"{mark}:")).otherwise(text.strip(F.col("D"))))
+    targets = notes.where("__opens").select(FILE, "__run", F.col("__above").alias("__target"))
+    texts = ordered.ordered_text(lines, [FILE, "__run"], [LINE], "__line", "\n", "__note")
     # the mark alone still ends with a line feed
-    texts = texts.withColumn(
-        "__note", F.when(F.col("__note") == f"{mark}:", F.lit(f"{mark}:\n")).otherwise(F.col("__note"))
-    )
-    return numbered.drop(ordered.BLOCK), texts
+    texts = texts.withColumn("__note", F.when(F.col("__note") == f"{mark}:", F.lit(f"{mark}:\n")).otherwise(F.col("__note")))
+    return numbered, texts.join(targets, [FILE, "__run"])
 
 
 # fixed values: rows of the asset report that are no assets

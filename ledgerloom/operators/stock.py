@@ -145,9 +145,14 @@ def product_stock_header(
     All movement measures come from one aggregation over the stock card (partial sums before the shuffle);
     only its one row per SKU is joined.
     """
+    # kind, class and quantity are worked out once per line, not in every sum
     cls, qty = movement_class(F.col("docnum"), F.col("docdat"), F.col("trnqty"), run_date)
-    measures = moves.groupBy("stkcod").agg(
-        *_class_sums(cls, qty), *_latest_issue_aggs(order), _earliest_receipt_agg(order)
+    lines = moves.select("stkcod", filters.doc_prefix("docnum").alias("docnum"), "docdat", "trnqty", *order)
+    counted = lines.where(F.col("docnum").isin(*ISSUE_PREFIXES, *RECEIPT_PREFIXES, *ADJUST_PREFIXES)).select(
+        "*", cls.alias("__class"), qty.alias("__qty")
+    )
+    measures = counted.groupBy("stkcod").agg(
+        *_class_sums(F.col("__class"), F.col("__qty")), *_latest_issue_aggs(order), _earliest_receipt_agg(order)
     )
     balances = master.select(
         "stkcod",

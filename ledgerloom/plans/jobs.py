@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom import session
 from ledgerloom.functions import numbers
 from ledgerloom.operators import ledger, matching
 from ledgerloom.schemas import CREDIT_HEADER, INVOICE_DETAIL, INVOICE_HEADER, conform
@@ -38,13 +39,11 @@ def _allocated_details(
 
 
 def _tables(
-    headers: DataFrame, details: DataFrame, lines: DataFrame, invoice_lines: DataFrame, white_list: DataFrame, order: Sequence[str]
+    headers: DataFrame, details: DataFrame, lines: DataFrame, white_list: DataFrame, order: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(header table, detail table). Only the detail table pays for the row numbers."""
     status = ledger.invoice_cost_status(headers, details.withColumnsRenamed(_DETAIL_NAMES), white_list)
-    numbered = ledger.line_row_order(
-        details, ["docnum", "stkcod"], ["seqnum", *order], bounds_from=lines, summary_from=invoice_lines
-    )
+    numbered = ledger.line_row_order(details, ["docnum", "stkcod"], ["seqnum", *order], bounds_from=lines)
     return conform(status, INVOICE_HEADER), conform(numbered.withColumnsRenamed(_DETAIL_NAMES), INVOICE_DETAIL)
 
 
@@ -62,18 +61,20 @@ def invoice_ledger(
 ) -> dict[str, DataFrame]:
     """Header, detail and credit tables of the invoices IV/OL/CM in the date range.
 
-    One lineage from the scans to the tables; refresh.replace_date_range / ledger_upsert merge them into the target.
+    Invoices, credits and allocated lines are read by several branches, so each is written once to the shared
+    folder; refresh.replace_date_range / ledger_upsert merge the tables into the target.
     """
     invoices, credits = ledger.ledger_documents(docs, start, end)
-    credits = ledger.credit_semi_join(credits, invoices)
-    headers = ledger.customer_enrich(invoices, customers)
-    headers = ledger.remark_enrich(headers, ledger.remark_consolidate(remarks))
-    headers = ledger.dedupe_first(headers, "docnum", ["line_no"])
-    headers = matching.sale_area_longest_prefix(headers.drop("sonum").withColumnsRenamed(_HEADER_NAMES), areas)
-    headers = ledger.bill_due_date(headers)
+    invoices = ledger.customer_enrich(ledger.dedupe_first(invoices, "docnum", ["line_no"]), customers)
+    invoices = session.materialise(invoices, "invoices")
+    credits = session.materialise(ledger.credit_semi_join(credits, invoices), "credits")
+    headers = ledger.remark_enrich(invoices.drop("sonum"), ledger.remark_consolidate(remarks)).withColumnsRenamed(_HEADER_NAMES)
+    keyed = invoices.drop("sonum").withColumnsRenamed(_HEADER_NAMES)
+    dated = ledger.bill_due_date(matching.sale_area_longest_prefix(keyed, areas), bills_from=keyed)
+    headers = headers.drop("duedat").join(dated.select("doc_number", "duedat", "sale_area_code"), "doc_number")
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = _allocated_details(lines, invoice_lines, credit_lines, products, line_order)
-    header_table, detail_table = _tables(headers, details, lines, invoice_lines, white_list, line_order)
+    details = session.materialise(_allocated_details(lines, invoice_lines, credit_lines, products, line_order), "details")
+    header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = conform(ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES), CREDIT_HEADER)
     return {"header": header_table, "detail": detail_table, "credit": credit_table}
 
@@ -98,8 +99,8 @@ def ol_sl_ledger(
     group = ledger.customer_group_rule(F.col("customer_code"), F.col("customer_name"))
     headers = ledger.customer_enrich(invoices, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = _allocated_details(lines, invoice_lines, credit_lines, products, line_order)
-    header_table, detail_table = _tables(headers, details, lines, invoice_lines, white_list, line_order)
+    details = session.materialise(_allocated_details(lines, invoice_lines, credit_lines, products, line_order), "details")
+    header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     return {"header": header_table, "detail": detail_table, "credit": conform(credit_table, CREDIT_HEADER)}
 

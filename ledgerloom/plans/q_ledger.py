@@ -307,6 +307,7 @@ def invoice_ledger_detail(spark, sf):
     SELECT a.docnum AS doc_number, a.total, CAST(k.cost_total AS {q.T}) AS cost_total, coalesce(k.status, 0) AS status FROM artrn a LEFT JOIN costed k ON a.docnum = k.doc_number""",
 )
 def invoice_cost_status(spark, sf):
+    # without their seventh lines some documents have no line at all, which is a case of its own
     lines = ledger.cost_enrich(ad.details(spark, sf, _FOLD).where("l_linenumber <> 7"), ad.products(spark, sf)).select(
         F.col("docnum").alias("doc_number"), "stkcod", "cost",
         F.when(F.col("flag") == "R", F.lit(0)).otherwise(F.col("trnqty")).cast(MONEY).alias("qty_balance"),

@@ -197,7 +197,7 @@ def link_list_scan(spark, sf):
 def full_refresh_write(spark, sf):
     path = session.scratch_path(spark, "table")
     master = ad.stock_master(spark, sf).select("stkcod", "totbal", "unitpr", "totval")
-    sinks.full_refresh_write(master.limit(0), path)
+    sinks.full_refresh_write(master.withColumn("totbal", F.lit(0).cast(MONEY)), path)
     sinks.full_refresh_write(master, path)
     return spark.read.parquet(path)
 

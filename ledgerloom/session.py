@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators are written for. AQE re-plans joins from measured sizes (so a side
 # is broadcast only when its real size is below spark.sql.autoBroadcastJoinThreshold) and splits skewed
@@ -55,6 +55,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder: computed once however many branches read it, and kept when executors go."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 

@@ -69,7 +69,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf = args[0] if args else "0.01"
     names = args[1:] or list(entry.queries())
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/sf{sf}"
     spark = build_session(
         "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
     )

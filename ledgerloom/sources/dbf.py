@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
@@ -65,38 +66,36 @@ class DbfReader(DataSourceReader):
         self.split_bytes = int(options.get("split_bytes", files.SPLIT_BYTES))
 
     def partitions(self):
-        ranges = []
-        for number, (path, size) in enumerate(files.list_files(self.paths, (".dbf",))):
-            layout = read_layout(path)
-            # trust the bytes over the count where a file was cut short
-            records = min(layout.records, (size - layout.header) // layout.width)
-            step = max(self.split_bytes // layout.width, 1)
-            for first in range(0, records, step):
-                last = min(first + step, records)
-                begin = layout.header + first * layout.width
-                ranges.append(files.FileRange(path, number, begin, layout.header + last * layout.width, first))
-        return ranges or [files.FileRange("", 0, 0, 0, 0)]
+        return files.byte_ranges(self.paths, (".dbf",), self.split_bytes)
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        """Records that begin in the byte range."""
         if partition.start >= partition.end:
             return
         layout = read_layout(partition.path)
         by_name = {f.name: f for f in layout.fields}
         wanted = [by_name.get(n) for n in self.names]
-        step = max(CHUNK_BYTES // layout.width, 1) * layout.width
-        line = partition.first
+        # trust the bytes over the count where a file was cut short
+        records = min(layout.records, (partition.size - layout.header) // layout.width)
+        line = max(-((layout.header - partition.start) // layout.width), 0)
+        last = min(max(-((layout.header - partition.end) // layout.width), 0), records)
+        step = max(CHUNK_BYTES // layout.width, 1)
         system, inner = files.file_system(partition.path)
         with system.open_input_file(inner) as handle:
-            handle.seek(partition.start)
-            at = partition.start
-            while at < partition.end:
-                data = handle.read(min(step, partition.end - at))
-                count = len(data) // layout.width
-                if count == 0:
-                    return
+            handle.seek(layout.header + line * layout.width)
+            while line < last:
+                count = min(step, last - line)
+                data = handle.read(count * layout.width)
                 yield self._batch(data, count, line, layout, by_name, wanted, partition)
                 line += count
-                at += count * layout.width
+
+    def _texts(self, cells: np.ndarray) -> pa.Array:
+        """Cells of one field as text without trailing NUL and blank."""
+        width = cells.shape[1]
+        raw = np.ascontiguousarray(cells).view(f"S{width}").ravel()
+        if (cells < 128).all():
+            return pc.utf8_rtrim(pa.array(raw, pa.binary()).cast(pa.string()), characters="\0 ")
+        return pa.array([c.rstrip(b"\0 ").decode(self.codepage, "replace") for c in raw.tolist()], pa.string())
 
     def _batch(self, data, count, line, layout, by_name, wanted, partition) -> pa.RecordBatch:
         raw = np.frombuffer(data, dtype=np.uint8, count=count * layout.width).reshape(count, layout.width)
@@ -119,8 +118,7 @@ class DbfReader(DataSourceReader):
             if f is None:
                 arrays.append(pa.nulls(len(raw), pa.string()))
                 continue
-            cells = np.ascontiguousarray(raw[:, f.offset : f.offset + f.width]).view(f"S{f.width}").ravel()
-            arrays.append(pa.array([c.rstrip(b"\0 ").decode(self.codepage, "replace") for c in cells.tolist()], pa.string()))
+            arrays.append(self._texts(raw[:, f.offset : f.offset + f.width]))
         names = ["source_file", "file_no", "line_no", *[n.lower() for n in self.names]]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 

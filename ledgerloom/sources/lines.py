@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
@@ -36,21 +37,20 @@ class LineReader(DataSourceReader):
         return at if left == 0 else size
 
     def partitions(self):
-        ranges = []
-        for number, (path, size) in enumerate(files.list_files(self.paths)):
-            body = self._body_start(path, size)
-            for begin in range(body, size, self.split_bytes):
-                ranges.append(files.FileRange(path, number, begin, min(begin + self.split_bytes, size), body))
-        return ranges or [files.FileRange("", 0, 0, 0, 0)]
+        return files.byte_ranges(self.paths, (), self.split_bytes)
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        """Lines that begin in [start, end); the last one is read past the end of the range."""
+        """Lines that begin in [start, end), behind the head lines; the last one is read past the end of the range."""
         if partition.start >= partition.end:
             return
+        body = self._body_start(partition.path, partition.size)
+        start = max(partition.start, body)
+        if start >= partition.end:
+            return
         system, inner = files.file_system(partition.path)
         with system.open_input_file(inner) as handle:
-            at = partition.start
-            if at > partition.first:
+            at = start
+            if at > body:
                 # a line beginning exactly at start is ours: look at the byte before it
                 handle.seek(at - 1)
                 at -= 1
@@ -87,13 +87,13 @@ class LineReader(DataSourceReader):
         ours = starts[starts + offset < partition.end]
         if len(ours) == 0:
             return
-        texts = block.split(b"\n")[: len(ours)]
+        texts = pa.array(block.decode(self.encoding, "replace").split("\n")[: len(ours)], pa.string())
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([files.base_name(partition.path)] * len(ours), pa.string()),
                 pa.array(np.full(len(ours), partition.file_no, dtype=np.int32)),
                 pa.array((ours + offset).astype(np.int64)),
-                pa.array([t.rstrip(b"\r").decode(self.encoding, "replace") for t in texts], pa.string()),
+                pc.utf8_rtrim(texts, characters="\r"),
             ],
             names=["source_file", "file_no", "line_no", "value"],
         )

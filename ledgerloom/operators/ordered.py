@@ -48,8 +48,12 @@ def _codes(df: DataFrame, order: Sequence[str]) -> list[Column]:
             number = c.cast("bigint")
         elif isinstance(kind, T.DateType):
             number = F.unix_date(c).cast("bigint")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            number = F.unix_micros(c.cast("timestamp"))
+        elif isinstance(kind, T.TimestampType):
+            number = F.unix_micros(c)
+        elif isinstance(kind, T.TimestampNTZType):
+            # wall-clock parts: no zone, so no hour comes twice
+            seconds = F.unix_date(c.cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+            number = seconds * 1000000 + (F.date_part(F.lit("SECOND"), c) * 1000000).cast("bigint")
         elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
             number, exact = c.cast("double"), not isinstance(kind, T.DecimalType) or kind.precision <= 15
         elif isinstance(kind, T.StringType):

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom import session
-from ledgerloom.functions import numbers
+from ledgerloom.functions import numbers, text
 from ledgerloom.operators import ledger, matching
 from ledgerloom.schemas import CREDIT_HEADER, INVOICE_DETAIL, INVOICE_HEADER, conform
 
@@ -25,17 +25,27 @@ _DETAIL_NAMES = {"docnum": "doc_number", "docdat": "doc_date", "unitpr": "unit_p
 
 
 def _allocated_details(
-    lines: DataFrame, invoice_lines: DataFrame, credit_lines: DataFrame, products: DataFrame, order: Sequence[str]
+    lines: DataFrame,
+    invoice_lines: DataFrame,
+    credit_lines: DataFrame,
+    products: DataFrame,
+    order: Sequence[str],
+    match_description: bool = False,
 ) -> DataFrame:
-    """Invoice lines with cost and what credit notes of the same base number, SKU and price took off."""
+    """Invoice lines with cost and what credit notes of the same base number, SKU (and description) and price took off."""
+    base = ledger.base_number("docnum")
+    if match_description:
+        key = text.text_match_key(base, F.col("stkcod"), F.col("stkdes"))
+    else:
+        key = F.concat(base, F.lit("|"), F.col("stkcod"))
     keyed = [
-        part.withColumn("__base", ledger.base_number("docnum"))
+        part.withColumn("__key", key)
         .withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval")))
         .withColumn("trnqty", numbers.numeric_or_zero(F.col("trnqty")))
         for part in (invoice_lines, credit_lines)
     ]
-    allocated = ledger.credit_allocation(keyed[0], keyed[1], ["__base", "stkcod"], "unitpr", order, bounds_from=lines)
-    return ledger.cost_enrich(allocated, products)
+    allocated = ledger.credit_allocation(keyed[0], keyed[1], ["__key"], "unitpr", order, bounds_from=lines)
+    return ledger.cost_enrich(allocated.drop("__key"), products)
 
 
 def _tables(
@@ -99,7 +109,9 @@ def ol_sl_ledger(
     group = ledger.customer_group_rule(F.col("customer_code"), F.col("customer_name"))
     headers = ledger.customer_enrich(invoices, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = session.materialise(_allocated_details(lines, invoice_lines, credit_lines, products, line_order), "details")
+    # this ledger also wants the same description on both lines
+    allocated = _allocated_details(lines, invoice_lines, credit_lines, products, line_order, match_description=True)
+    details = session.materialise(allocated, "details")
     header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     return {"header": header_table, "detail": detail_table, "credit": conform(credit_table, CREDIT_HEADER)}

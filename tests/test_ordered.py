@@ -49,6 +49,15 @@ def test_blocks_follow_text_and_date_orders(frame):
         assert numbers == sorted(numbers) and len(set(numbers)) >= 7
 
 
+def test_empty_frames_and_wall_clock_orders(frame):
+    empty = frame("k string, pos int, v int", [])
+    assert ordered.row_numbers(ordered.quantile_blocks(empty, ["pos"]), ["k"], ["pos"], "n").count() == 0
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=37 * i, microseconds=i), i) for i in range(100)]
+    blocked = ordered.quantile_blocks(frame("ts timestamp_ntz, pos int", rows), ["ts"], 10).orderBy("pos").collect()
+    numbers = [r[ordered.BLOCK] for r in blocked]
+    assert numbers == sorted(numbers) and len(set(numbers)) == 10
+
+
 def test_null_keys_keep_their_rows(frame):
     df = frame("k string, pos int", [(None, 2), (None, 1), ("a", 3)])
     got = ordered.row_numbers(ordered.position_blocks(df, "pos", 2), ["k"], ["pos"], "n")

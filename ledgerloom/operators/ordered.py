@@ -167,17 +167,25 @@ def _inside_block(keys: Sequence[str], order: Sequence[str]):
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _join_blocks(df: DataFrame, per_block: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach one row per (keys, block); null keys meet null keys."""
-    cols = [*keys, BLOCK]
-    renamed = per_block
-    for c in cols:
-        renamed = renamed.withColumnRenamed(c, f"__r_{c}")
-    match = None
-    for c in cols:
-        same = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
-        match = same if match is None else match & same
-    return df.join(renamed, match, "inner").drop(*[f"__r_{c}" for c in cols])
+_STAND_INS = {T.StringType: "", T.DateType: "1970-01-01", T.TimestampType: "1970-01-01", T.TimestampNTZType: "1970-01-01", T.BooleanType: "false"}
+
+
+def _keyed(df: DataFrame, keys: Sequence[str], like: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """df with null-free stand-ins for its keys (for those nullable in `like`, where given).
+
+    Null keys form a group of their own. Joining on <=> would shuffle by other expressions than the window
+    behind it; with plain columns both use one shuffle by (keys, block).
+    """
+    added, names = [], []
+    for k in keys:
+        field = (df if like is None else like).schema[k]
+        if not field.nullable:
+            names.append(k)
+            continue
+        stand_in = F.lit(_STAND_INS.get(type(field.dataType), "0")).cast(field.dataType)
+        added += [F.coalesce(F.col(k), stand_in).alias(f"__k_{k}"), F.col(k).isNull().alias(f"__n_{k}")]
+        names += [f"__k_{k}", f"__n_{k}"]
+    return df.select("*", *added), names
 
 
 def running_total(
@@ -198,23 +206,26 @@ def running_total(
     """
     zero = F.lit(0).cast(dtype)
     added = [F.coalesce(v.cast(dtype), zero).alias(f"__v_{n}") for n, v in values.items()]
-    with_values = blocked.select("*", *added)
-    per_block = with_values.groupBy(*keys, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
+    with_values, group = _keyed(blocked.select("*", *added), keys)
+    per_block = with_values.groupBy(*group, BLOCK).agg(*[F.sum(f"__v_{n}").cast(dtype).alias(f"__t_{n}") for n in values])
     before = per_block.select(
-        *keys,
+        *group,
         BLOCK,
-        *[F.coalesce(F.sum(f"__t_{n}").over(_earlier_blocks(keys)).cast(dtype), zero).alias(f"__b_{n}") for n in values],
-        *[F.sum(f"__t_{n}").over(Window.partitionBy(*keys)).cast(dtype).alias(out) for n, out in (totals or {}).items()],
+        *[F.coalesce(F.sum(f"__t_{n}").over(_earlier_blocks(group)).cast(dtype), zero).alias(f"__b_{n}") for n in values],
+        *[F.sum(f"__t_{n}").over(Window.partitionBy(*group)).cast(dtype).alias(out) for n, out in (totals or {}).items()],
     )
     if per_key is not None:
-        before = before.join(per_key, list(keys), "left")
-    joined = _join_blocks(with_values, before, keys)
-    window = _inside_block(keys, order)
+        known, _ = _keyed(per_key.dropna(subset=list(keys)), keys, like=blocked)
+        extra = [c for c in per_key.columns if c not in keys]
+        before = before.join(known.select(*group, *extra), group, "left")
+    joined = with_values.join(before, [*group, BLOCK])
+    window = _inside_block(group, order)
     out = joined
     for n in values:
         out = out.withColumn(n, (F.col(f"__b_{n}") + F.sum(f"__v_{n}").over(window)).cast(dtype))
-    helpers = [f"__{p}_{n}" for n in values for p in ("v", "b")]
-    return out.drop(*helpers)
+    extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
+    kept = [c for c in blocked.columns if c not in values]
+    return out.select(*kept, *values, *(totals or {}).values(), *extra)
 
 
 def row_numbers(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
@@ -234,7 +245,7 @@ def last_known(
     before, first = before or {}, first or {}
     wanted = {**values, **before, **first}
     position = F.struct(*order)
-    with_values = blocked.select("*", *[v.alias(f"__v_{n}") for n, v in wanted.items()])
+    with_values, group = _keyed(blocked.select("*", *[v.alias(f"__v_{n}") for n, v in wanted.items()]), keys)
 
     def summary(n: str) -> Column:
         place = F.when(F.col(f"__v_{n}").isNotNull(), position)
@@ -242,12 +253,12 @@ def last_known(
 
     def carried(n: str) -> Column:
         pick = F.first if n in first else F.last
-        return pick(f"__t_{n}", ignorenulls=True).over(_earlier_blocks(keys)).alias(f"__b_{n}")
+        return pick(f"__t_{n}", ignorenulls=True).over(_earlier_blocks(group)).alias(f"__b_{n}")
 
-    per_block = with_values.groupBy(*keys, BLOCK).agg(*[summary(n) for n in wanted])
-    joined = _join_blocks(with_values, per_block.select(*keys, BLOCK, *[carried(n) for n in wanted]), keys)
-    window = _inside_block(keys, order)
-    above = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    per_block = with_values.groupBy(*group, BLOCK).agg(*[summary(n) for n in wanted])
+    joined = with_values.join(per_block.select(*group, BLOCK, *[carried(n) for n in wanted]), [*group, BLOCK])
+    window = _inside_block(group, order)
+    above = Window.partitionBy(*group, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
     def found(n: str) -> Column:
         value, carry = F.col(f"__v_{n}"), F.col(f"__b_{n}")

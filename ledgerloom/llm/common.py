@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+import types
+from collections.abc import Callable, Sequence
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,3 +53,19 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
     return rows.join(counts, on).select(*df.columns, (F.col("__before") + F.col("__i")).cast("long").alias(name))
+
+
+def travels_by_value(module: str) -> None:
+    """The module's functions reach the workers with their code, so nothing has to be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+def kept_in_worker(key: Any, make: Callable[[], Any]) -> Any:
+    """make() once per worker process; code that travels by value has no globals that outlive a task."""
+    store = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__.setdefault("store", {})
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
+travels_by_value(__name__)

@@ -55,6 +55,16 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
     return rows.join(counts, on).select(*df.columns, (F.col("__before") + F.col("__i")).cast("long").alias(name))
 
 
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Arrow batches of so many rows at most: a batch of long texts has to fit beside the others in a worker.
+
+    The setting is read when a plan runs, so it stays set in the session.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def travels_by_value(module: str) -> None:
     """The module's functions reach the workers with their code, so nothing has to be installed there."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

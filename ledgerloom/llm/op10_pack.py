@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, number_within, read, travels_by_value
+from ledgerloom.llm.common import body, number_within, read, small_batches, travels_by_value
 from ledgerloom.llm.token_ids import token_ids
 from ledgerloom.session import materialise
 
@@ -239,6 +239,7 @@ def pieces_of(text: Column, file: str, capacity: int = CAPACITY, end: int = END,
 def pack(docs: DataFrame, file: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
+    small_batches(spark)
     cut = docs.select("doc_id", pieces_of(body(), file, capacity, end).alias("__pieces")).withColumn("row_id", F.monotonically_increasing_id())
     pieces = materialise(cut.select("row_id", "doc_id", F.posexplode("__pieces").alias("piece", "p")).select("row_id", "doc_id", "piece", "p.*"), "pack-pieces")
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows

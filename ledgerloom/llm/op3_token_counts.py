@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, kept_in_worker, read, travels_by_value
+from ledgerloom.llm.common import body, kept_in_worker, read, small_batches, travels_by_value
 
 PART_CHARS = 16_384
 BATCH_BYTES = 1 << 20
@@ -81,6 +81,7 @@ def token_count(text: Column, model: str) -> Column:
 
 def token_counts(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
     """docs with n_bytes, n_tokens and over_limit."""
+    small_batches(docs.sparkSession)
     return (
         docs.withColumn("n_bytes", F.octet_length(body()).cast("long"))
         .withColumn("n_tokens", token_count(body(), model))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import read, travels_by_value
+from ledgerloom.llm.common import read, small_batches, travels_by_value
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -190,6 +190,7 @@ def predict(text: Column, net: Network) -> Column:
 
 def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
     """docs with lang_pred and score; learns from the labelled rows of learn_from (docs by default)."""
+    small_batches(docs.sparkSession)
     windows, labels, langs = training_windows(docs if learn_from is None else learn_from)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     if not langs:

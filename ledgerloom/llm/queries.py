@@ -11,6 +11,7 @@ from ledgerloom import session
 from ledgerloom.llm import op1_pareto_mix as op1
 from ledgerloom.llm import op10_pack as op10
 from ledgerloom.llm import op3_token_counts as op3
+from ledgerloom.llm import op6_probminhash as op6
 from ledgerloom.llm import op9_language_id as op9
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,6 @@ def _tuned(fn: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op3.op3_token_counts, op9.op9_language_id, op10.op10_pack)}
+QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op3.op3_token_counts, op6.op6_probminhash, op9.op9_language_id, op10.op10_pack)}
 
 ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL}

@@ -1,10 +1,10 @@
 """Sharding by Karmarkar-Karp differencing: groups of equal texts go to shards of nearly equal bytes.
 
 A partial partition is a tuple of `shards` sums. Differencing takes the two with the largest spread (largest minus smallest sum) and
-adds them in opposite order, until one is left; going back through the merges gives each group its shard. Groups are cut by hash
-into buckets of about PER_BUCKET, each differenced in a task of its own; what is left of a bucket is one partial partition of small spread, and these
-are differenced again in the same way, level by level, until one bucket holds all. Large groups join at the last level, where they are merged first. No task sees
-more than a bucket. Law: `bytes`.
+adds them in opposite order, until one is left; going back through the merges gives each group its shard. Groups smaller than a BUNDLES-th of all
+bytes first meet in BUNDLES bundles by hash, larger ones stay alone, so that one task differences at most 2 * BUNDLES
+items whatever the input, and the items stay small against a shard: shards come out nearly equal unless one group alone is
+larger than a shard's share (equal texts are never parted). Law: `bytes`.
 
 Defined results: null text has size 1 and its group is that of the null texts, apart from the empty ones; repeated rows and equal
 texts share a shard; a null doc_id gets a slot like any other; an empty table gives no rows; other columns are not read.
@@ -22,88 +22,53 @@ from ledgerloom.llm.common import body, number_within, read, travels_by_value
 from ledgerloom.session import materialise
 
 SHARDS = 8
-PER_BUCKET = 20_000
+BUNDLES = 20_000
 
 
-def difference(items: list[list[int]]) -> tuple[list[int], list[list[int]]]:
-    """(sums, where): the final sums and, for each item, the place in them of each of its own sums."""
-    ways = len(items[0])
-    nodes: list[tuple] = []  # of merges: (left, right), with the places that the sums of either took
-    heap, sums = [], []
-
-    def add(values: list[int]) -> None:
-        sums.append(values)
-        heapq.heappush(heap, (min(values) - max(values), len(sums) - 1))
-
-    for values in items:
-        add(list(values))
+def difference(sizes: list[int], ways: int) -> list[int]:
+    """The way (0 to ways - 1) of each size."""
+    sums = [[size] + [0] * (ways - 1) for size in sizes]
+    heap = [(-size, k) for k, size in enumerate(sizes)]
+    heapq.heapify(heap)
+    merges = []  # (left, right) with the places that their sums took
     while len(heap) > 1:
         left, right = heapq.heappop(heap)[1], heapq.heappop(heap)[1]
         down = sorted(range(ways), key=lambda k: -sums[left][k])
         up = sorted(range(ways), key=lambda k: sums[right][k])
-        nodes.append((left, right, down, up))
-        add([sums[left][i] + sums[right][j] for i, j in zip(down, up, strict=True)])
+        merges.append((left, right, down, up))
+        both = [sums[left][i] + sums[right][j] for i, j in zip(down, up, strict=True)]
         sums[left] = sums[right] = []
+        heapq.heappush(heap, (min(both) - max(both), len(sums)))
+        sums.append(both)
     where: list[list[int]] = [[]] * len(sums)
-    where[-1] = list(range(ways))
-    for k in range(len(nodes) - 1, -1, -1):
-        left, right, down, up = nodes[k]
-        here = where[len(items) + k]
-        for child, order in ((left, down), (right, up)):
+    where[-1:] = [list(range(ways))] * bool(sums)
+    for k in range(len(merges) - 1, -1, -1):
+        here = where[len(sizes) + k]
+        for child, order in zip(merges[k][:2], merges[k][2:], strict=True):
             places = [0] * ways
             for place, own in enumerate(order):
                 places[own] = here[place]
             where[child] = places
-        where[len(items) + k] = []
-    return sums[-1], where[: len(items)]
+        where[len(sizes) + k] = []
+    return [places[0] for places in where[: len(sizes)]]
 
 
-def differenced(items: DataFrame, buckets: int, level: int) -> DataFrame:
-    """items (item long, sums array<long>) as (item, parent, places, sums of the parent), one parent per bucket."""
-    columns = "item long, parent long, places array<int>, sums array<long>"
+def shard_groups(groups: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
+    """(item, shard) for groups (item long, size long; a written table)."""
+    total = groups.agg(F.sum("size")).first()[0] or 0
+    own = F.when(F.col("size") * bundles >= total, F.col("item")).otherwise(-1 - F.pmod(F.xxhash64("item"), F.lit(bundles)))
+    bundled = groups.withColumn("bundle", own)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("item")
-        total, where = difference([[int(v) for v in x] for x in rows["sums"]])
-        return pd.DataFrame({"item": rows["item"], "parent": rows["parent"], "places": where, "sums": [total] * len(rows)})
-
-    parent = -1 - F.pmod(F.xxhash64("item"), F.lit(buckets)) - F.lit(level << 40)
-    return items.withColumn("parent", parent.cast("long")).groupBy("parent").applyInPandas(one, columns)
-
-
-def shard_groups(groups: DataFrame, shards: int = SHARDS, per_bucket: int = PER_BUCKET) -> DataFrame:
-    """(item, shard) for groups (item long, size long; a written table).
-
-    An item whose spread is a bucket's mean share of one shard or more (there are at most buckets * shards of them) waits for a later level: its
-    bucket could not level it out. per_bucket has to be well above shards, as each level leaves buckets * (shards + 1) items at most.
-    """
-    sums = F.array(F.col("size"), *[F.lit(0).cast("long") for _ in range(shards - 1)])
-    spread = F.array_max("sums") - F.array_min("sums")
-    items, levels = groups.select("item", sums.alias("sums")), []
-    many, total = groups.agg(F.count(F.lit(1)), F.sum("size")).first()
-    if per_bucket < 4 * shards:
-        raise ValueError("per_bucket has to be at least four times shards")
-    while True:
-        last, buckets = many <= 2 * per_bucket, -(-many // per_bucket)
-        large = spread >= (total or 0) / (buckets * shards or 1)
-        level = differenced(items if last else items.where(~large), 1 if last else buckets, len(levels))
-        if not last:
-            same = F.array(*[F.lit(k) for k in range(shards)])
-            level = level.unionByName(items.where(large).select("item", F.col("item").alias("parent"), same.alias("places"), "sums"))
-        levels.append(materialise(level, "shard-level"))
-        if last:
-            break
-        items = materialise(levels[-1].groupBy(F.col("parent").alias("item")).agg(F.first("sums").alias("sums")), "shard-items")
-        many = items.count()
-    # the group's own bytes stand at place 0; each level says where that place went
-    placed = levels[0].select("item", "parent", F.element_at("places", 1).alias("shard"))
-    for level in levels[1:]:
-        up = level.select(F.col("item").alias("parent"), F.col("parent").alias("next"), "places")
-        placed = placed.join(up, "parent").select("item", F.col("next").alias("parent"), F.element_at("places", F.col("shard") + 1).alias("shard"))
-    return placed.select("item", "shard")
-
-
-def shards_of(docs: DataFrame, shards: int = SHARDS, per_bucket: int = PER_BUCKET) -> DataFrame:
+        rows = rows.sort_values("bundle")
+        return pd.DataFrame({"bundle": rows["bundle"], "shard": difference([int(x) for x in rows["size"]], shards)})
+
+    sums = bundled.groupBy("bundle").agg(F.sum("size").alias("size"))  # 2 * bundles rows at most
+    placed = materialise(sums.groupBy(F.lit(0)).applyInPandas(one, "bundle long, shard int"), "shard-bundles")
+    return bundled.join(placed, "bundle").select("item", "shard")
+
+
+def shards_of(docs: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of each row of docs."""
     data = body().cast("binary")
     rows = docs.select(
@@ -117,7 +82,7 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, per_bucket: int = PER_BUCKE
     rows = materialise(rows, "shard-rows")
     groups = rows.groupBy("digest", "blank").agg(F.min("row_id").alias("item"), F.sum("size").alias("size"))
     groups = materialise(groups, "shard-groups")
-    placed = groups.select("digest", "blank", "item").join(shard_groups(groups, shards, per_bucket), "item").drop("item")
+    placed = groups.select("digest", "blank", "item").join(shard_groups(groups, shards, bundles), "item").drop("item")
     out = materialise(rows.join(placed, ["digest", "blank"]).select("row_id", "doc_id", "size", "text_crc32", "shard"), "shard-placed")
     return number_within(out, ["shard"], ["row_id"], "slot").drop("row_id")
 

@@ -64,7 +64,7 @@ def shard_groups(groups: DataFrame, shards: int = SHARDS, bundles: int = BUNDLES
         return pd.DataFrame({"bundle": rows["bundle"], "shard": difference([int(x) for x in rows["size"]], shards)})
 
     sums = bundled.groupBy("bundle").agg(F.sum("size").alias("size"))  # 2 * bundles rows at most
-    placed = materialise(sums.groupBy(F.lit(0)).applyInPandas(one, "bundle long, shard int"), "shard-bundles")
+    placed = materialise(sums.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(one, "bundle long, shard int"), "shard-bundles")
     return bundled.join(placed, "bundle").select("item", "shard")
 
 

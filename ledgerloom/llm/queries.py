@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom import session
 from ledgerloom.llm import op1_pareto_mix as op1
 from ledgerloom.llm import op10_pack as op10
+from ledgerloom.llm import op2_disclosure as op2
 from ledgerloom.llm import op3_token_counts as op3
 from ledgerloom.llm import op6_probminhash as op6
 from ledgerloom.llm import op7_shards as op7
@@ -26,6 +27,6 @@ def _tuned(fn: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op3.op3_token_counts, op6.op6_probminhash, op7.op7_shards, op9.op9_language_id, op10.op10_pack)}
+QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op2.op2_disclosure, op3.op3_token_counts, op6.op6_probminhash, op7.op7_shards, op9.op9_language_id, op10.op10_pack)}
 
 ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL}

@@ -1,6 +1,6 @@
 """Document fingerprints by invertible Bloom lookup sketches; DataFrame functions only.
 
-A text is the set of the digests of its paragraphs: its lines, cut after sentence ends as well, so that an edit touches few of them. The
+A text is the set of the digests of its paragraphs: its lines, long lines cut after sentence ends, so that an edit touches few of them. The
 sketch has TABLES tables of WIDTH cells; a digest is added to one cell of each table, and a cell holds the number of its digests, their exclusive or, and the
 exclusive or of their check values. Two sketches are subtracted cell by cell, common digests vanish, and peeling recovers the others: a cell with one digest
 names it, it is taken out of its other cells, and so on. Where that fails, the difference is larger than the sketch; both sides are then
@@ -23,13 +23,15 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import body, read
 from ledgerloom.session import materialise, shuffle_width
 
+PARAGRAPH = r"[^\n]{119,}?[.!?]+|[^\n]+"
 TABLES = 3
-WIDTH = 8  # a power of two: three bits of the digest choose the cell
-LOAD = 8
+WIDTH = 8  # a power of two: bits of the digest choose the cell
+LOAD = 24
 DEPTH = 3
 ROUNDS = 12
 _BITS = 6
-_CELL = "struct<n:int,x:bigint,c:bigint>"
+_SHIFTS = tuple(range(40, 40 + 6 * TABLES, 6))  # of the bits that choose the cell in each table
+_CELL = "struct<n:int,x:bigint,c:bigint,m:bigint,t:bigint>"
 _DIGEST = "array<struct<x:bigint,n:int>>"
 _SHARES = "array<struct<a:array<bigint>,b:array<bigint>>>"
 
@@ -41,7 +43,7 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
 
 def paragraphs(text: Column) -> Column:
     """Digests of the distinct paragraphs."""
-    pieces = F.filter(F.transform(F.split(text, r"(?<=[.!?\n])"), lambda p: F.btrim(p)), lambda p: p != "")
+    pieces = F.filter(F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), 0), lambda p: F.btrim(p)), lambda p: p != "")
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
@@ -49,28 +51,32 @@ def check(x: Column) -> Column:
     return F.xxhash64(F.lit("check"), x)
 
 
-def _in_cell(x: Column, cell: Column) -> Column:
-    shifted = F.when(cell < WIDTH, F.shiftrightunsigned(x, 40)).when(cell < 2 * WIDTH, F.shiftrightunsigned(x, 46)).otherwise(F.shiftrightunsigned(x, 52))
-    return shifted.bitwiseAND(F.lit(WIDTH - 1)) == cell % WIDTH
-
-
 def sketch(digests: Column) -> Column:
-    """The cells of a set of digests."""
-    nothing = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("c"))
-
-    def cell(i: Column) -> Column:
-        return F.aggregate(
-            F.filter(digests, lambda x: _in_cell(x, i)),
-            nothing,
-            lambda acc, x: F.struct((acc["n"] + 1).alias("n"), acc["x"].bitwiseXOR(x).alias("x"), acc["c"].bitwiseXOR(check(x)).alias("c")),
-        )
+    """The cells of a set of digests. A cell carries the bits (t, under the mask m) that a digest in it has."""
+
+    def cell(mask: int) -> Callable[[Column], Column]:
+        def filled(bits: Column) -> Column:
+            nothing = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("c"), F.lit(mask).alias("m"), bits.alias("t"))
+            return F.aggregate(
+                F.filter(digests, lambda x: x.bitwiseAND(F.lit(mask)) == bits),
+                nothing,
+                lambda acc, x: F.struct(
+                    (acc["n"] + 1).alias("n"), acc["x"].bitwiseXOR(x).alias("x"), acc["c"].bitwiseXOR(check(x)).alias("c"), acc["m"].alias("m"), acc["t"].alias("t")
+                ),
+            )
 
-    return F.transform(F.sequence(F.lit(0), F.lit(TABLES * WIDTH - 1)), cell)
+        return filled
+
+    return F.concat(*[F.transform(F.lit([b << s for b in range(WIDTH)]).cast("array<bigint>"), cell((WIDTH - 1) << s)) for s in _SHIFTS])
 
 
 def subtract(left: Column, right: Column) -> Column:
     return F.zip_with(
-        left, right, lambda a, b: F.struct((a["n"] - b["n"]).alias("n"), a["x"].bitwiseXOR(b["x"]).alias("x"), a["c"].bitwiseXOR(b["c"]).alias("c"))
+        left,
+        right,
+        lambda a, b: F.struct(
+            (a["n"] - b["n"]).alias("n"), a["x"].bitwiseXOR(b["x"]).alias("x"), a["c"].bitwiseXOR(b["c"]).alias("c"), a["m"].alias("m"), a["t"].alias("t")
+        ),
     )
 
 
@@ -82,14 +88,16 @@ def peel(cells: Column) -> Column:
         return F.array_distinct(F.transform(single, lambda c: F.struct(c["x"].alias("x"), c["n"].alias("n"))))
 
     def without(now: Column, gone: Column) -> Column:
-        return F.transform(
-            now,
-            lambda c, i: F.aggregate(
-                F.filter(gone, lambda g: _in_cell(g["x"], i)),
-                c,
-                lambda acc, g: F.struct((acc["n"] - g["n"]).alias("n"), acc["x"].bitwiseXOR(g["x"]).alias("x"), acc["c"].bitwiseXOR(check(g["x"])).alias("c")),
-            ),
-        )
+        def rest(cell: Column) -> Column:
+            return F.aggregate(
+                F.filter(gone, lambda g: g["x"].bitwiseAND(cell["m"]) == cell["t"]),
+                cell,
+                lambda acc, g: F.struct(
+                    (acc["n"] - g["n"]).alias("n"), acc["x"].bitwiseXOR(g["x"]).alias("x"), acc["c"].bitwiseXOR(check(g["x"])).alias("c"), acc["m"].alias("m"), acc["t"].alias("t")
+                ),
+            )
+
+        return F.transform(now, rest)
 
     def step(state: Column, _: Column) -> Column:
         done = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("going"))

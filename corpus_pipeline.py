@@ -3,9 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import op1_pareto_mix as op1
-from ledgerloom.session import materialise
+from ledgerloom.llm import op2_disclosure as op2
+from ledgerloom.llm import op6_probminhash as op6
+from ledgerloom.llm import op9_language_id as op9
+from ledgerloom.llm import op10_pack as op10
+from ledgerloom.session import materialise, tune
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the network can tell."""
+    return op9.accepted(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return op6.deduplicated(docs)
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without personal data and the terms that disclose it; n_chars follows the text."""
+    clean = op2.sanitised(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,13 +34,26 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op1.mixed(docs)
 
 
-STAGES = [("mix_sources", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces with their sequences and places."""
+    import public_tokenizers
+
+    return op10.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", sanitise),
+    ("mix", mix_sources),
+    ("pack", pack_sequences),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # the network, the sketches and the packing plan are no SQL; tests/llm holds the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

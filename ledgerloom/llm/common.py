@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark import cloudpickle
@@ -23,12 +24,9 @@ def body(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of keys where null equals null."""
-    out = F.lit(True)
-    for k in keys:
-        out = out & left[k].eqNullSafe(right[k])
-    return out
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of docs as one, so that working columns beside it cannot clash with them; "doc.*" gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -65,6 +63,18 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(name, str(rows))
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows while a table is written."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def travels_by_value(module: str) -> None:
     """The module's functions reach the workers with their code, so nothing has to be installed there."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -27,15 +27,16 @@ from ledgerloom.session import materialise
 
 CAPACITY = 1024
 END = 2
-NODES = 200_000
+NODES = 300
 FILLINGS = 24
-STEPS = 3_000
+STEPS = 1_500
+PIECE_COST = 8  # waste that a filling may have more for each piece it has less: short pieces are kept for later
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
 
-def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLINGS, steps: int = STEPS) -> list[tuple[int, Pattern]]:
-    """(waste, pattern) of undominated fillings around one piece of length `longest`, least waste first.
+def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLINGS, steps: int = STEPS, piece_cost: int = PIECE_COST) -> list[tuple[int, Pattern]]:
+    """(waste, pattern) of undominated fillings around one piece of length `longest`, those with little waste and few pieces first.
 
     Lengths are tried from long to short. A filling with room for another piece, or in which a piece could be exchanged for a longer one that
     is left, is dominated. The search ends with `most` fillings or after `steps` places, the ones with longer pieces come first.
@@ -80,7 +81,7 @@ def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLING
         for n, take in chosen:
             whole[n] += take
         found[tuple(sorted(whole.items(), reverse=True))] = open_
-    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0], sum(t for _, t in x[1])))
+    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0] + piece_cost * sum(t for _, t in x[1]), x[1]))
 
 
 def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -113,6 +114,7 @@ def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
 class _Search:
     capacity: int
     total: int
+    least: int
     best: list[tuple[Pattern, int]]
     nodes: int = NODES
     path: list[tuple[Pattern, int]] = field(default_factory=list)
@@ -121,10 +123,6 @@ class _Search:
     def sequences(self) -> int:
         return sum(n for _, n in self.best)
 
-    @property
-    def least(self) -> int:
-        return -(-self.total // self.capacity)
-
     def run(self, counts: list[int]) -> None:
         """Depth first without recursion: each level holds the fillings still to be tried around its longest piece."""
         levels: list[tuple[list[tuple[int, Pattern]], int]] = []
@@ -140,13 +138,13 @@ class _Search:
                 used -= many
                 waste -= wastes.pop()
             spare = (self.sequences - 1) * self.capacity - self.total
-            while options and waste + options[-1][0] > spare:
-                options.pop()
             if not options:
                 levels.pop()
                 continue
-            self.nodes -= 1
             lost, pattern = options.pop()
+            if waste + lost > spare:
+                continue
+            self.nodes -= 1
             many = min(counts[n] // take for n, take in pattern)
             if lost:
                 many = max(1, min(many, (spare - waste) // lost))
@@ -168,14 +166,14 @@ class _Search:
         return next((n for n in range(start, 0, -1) if counts[n]), 0)
 
 
-def completed(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
-    """Always the least waste around the longest piece, taken as often as the counts allow."""
+def completed(counts: list[int], capacity: int, piece_cost: int = PIECE_COST) -> list[tuple[Pattern, int]]:
+    """Always the first filling around the longest piece, taken as often as the counts allow."""
     counts, out, longest = counts[:], [], capacity
     while longest:
         if not counts[longest]:
             longest -= 1
             continue
-        _, pattern = fillings(counts, longest, capacity, most=1)[0]
+        _, pattern = fillings(counts, longest, capacity, piece_cost=piece_cost)[0]
         many = min(counts[n] // take for n, take in pattern)
         for n, take in pattern:
             counts[n] -= take * many
@@ -183,14 +181,26 @@ def completed(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
     return out
 
 
+def least_sequences(counts: list[int], capacity: int) -> int:
+    """No solution has fewer: pieces above half a sequence never meet, and the room beside them takes only so much of the others."""
+    best, half = 0, capacity // 2
+    for short in range(half + 1):
+        alone = sum(counts[capacity - short + 1 :]) if short else 0
+        halves = range(half + 1, capacity - short + 1)
+        many, long_sum = sum(counts[n] for n in halves), sum(n * counts[n] for n in halves)
+        rest = sum(n * counts[n] for n in range(max(short, 1), half + 1))
+        best = max(best, alone + many + max(0, -(-(rest - many * capacity + long_sum) // capacity)))
+    return best
+
+
 def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
     """(pattern, how many sequences) that use up all pieces."""
     counts = [0] * (capacity + 1)
     for n, many in counts_by_length.items():
         counts[n] = many
     total = sum(n * many for n, many in counts_by_length.items())
-    incumbents = sorted((best_fit(counts, capacity), completed(counts, capacity)), key=lambda s: sum(n for _, n in s))
-    search = _Search(capacity, total, incumbents[0], nodes)
+    incumbents = sorted((best_fit(counts, capacity), completed(counts, capacity), completed(counts, capacity, 0)), key=lambda s: sum(n for _, n in s))
+    search = _Search(capacity, total, least_sequences(counts, capacity), incumbents[0], nodes)
     search.run(counts)
     return search.best
 

@@ -9,7 +9,7 @@ nearer than leaving the place empty. The random number follows from the doc_id a
 
 Defined results: null or blank text has size 0 and is never taken; a null source is a source of its own, after the
 others; a null doc_id has one random number; repeated rows share theirs and are ranked as separate rows; a source of
-size 0 has target 0; an empty table gives no rows. Columns beside doc_id, text and source are passed on by `mixed`.
+size 0 has target 0; an empty table gives no rows. All columns of any names are passed on by `mixed`.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, read
+from ledgerloom.llm.common import body, read, whole_row
 from ledgerloom.session import materialise
 
 # Fixed values of the contract: weights repeat over the sources, a source is taken three times at most.
@@ -136,10 +136,11 @@ def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, s
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with the columns of docs."""
-    numbered = materialise(docs.withColumn("row_id", F.monotonically_increasing_id()), "mix-rows")
-    copies = materialise(mix(numbered, weights, most, seed).where("copies > 0").select(F.col("row_id").alias("__row"), "copies"), "mix-copies")
-    out = numbered.join(copies, F.col("row_id") == F.col("__row"))
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    rows = materialise(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("row_id")), "mix-rows")
+    copies = mix(rows.select("row_id", "doc.doc_id", "doc.text", "doc.source"), weights, most, seed)
+    copies = materialise(copies.where("copies > 0").select("row_id", "copies"), "mix-copies")
+    out = rows.join(copies, "row_id")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ the term is removed, from GENERALISE on it is generalised to its class, in every
 Positions count code points. The patterns below are linear forms of the contract's: possessive, and started only where a leftmost match can start.
 
 Defined results: null text is empty, has no spans and stays null; a null doc_id and repeated rows are treated row by row; terms that
-overlap a base span are left to it; overlapping spans are masked together under the first one's label; an empty table gives no rows; other columns are
-passed on by `sanitised` and may have any names but those that begin with two underscores.
+overlap a base span are left to it; overlapping spans are masked together under the first one's label; an empty table gives no rows; all columns
+of any names are passed on by `sanitised`.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, read
+from ledgerloom.llm.common import body, read, whole_row
 from ledgerloom.session import materialise
 
 # Fixed values of the contract: kinds in their order and their patterns.
@@ -150,12 +150,12 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def disclosing(spotted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(entity, term, disclosure) of the terms that reach GENERALISE; spotted: a written table (__row, text, __spans)."""
-    spans = spotted.where(F.size("__spans") > 0).select("__row", "text", F.explode("__spans").alias("s"))
+    """(entity, term, disclosure) of the terms that reach GENERALISE; spotted: a written table (row_id, text, found)."""
+    spans = spotted.where(F.size("found") > 0).select("row_id", "text", F.explode("found").alias("s"))
     left = _terms(F.substring("text", F.greatest(F.col("s.start") - NEAR_CHARS, F.lit(0)) + 1, F.least(F.col("s.start"), F.lit(NEAR_CHARS))))
     right = _terms(F.substring("text", F.col("s.end") + 1, F.lit(NEAR_CHARS)))
     around = F.concat(F.reverse(F.slice(F.reverse(left), 1, NEAR)), F.array(F.lit("|")), F.slice(right, 1, NEAR))
-    seen = materialise(spans.select("__row", entity(F.col("s")).alias("entity"), around.alias("context")), "pii-contexts")
+    seen = materialise(spans.select("row_id", entity(F.col("s")).alias("entity"), around.alias("context")), "pii-contexts")
 
     several = seen.select("entity", "context").distinct()
     often = several.groupBy("entity").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= MIN_CONTEXTS)
@@ -163,7 +163,7 @@ def disclosing(spotted: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = pairs.where((F.length("term") > 1)).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= MIN_CONTEXTS)
     pairs = materialise(pairs, "pii-pairs")
     terms = materialise(pairs.select("term").distinct(), "pii-terms")
-    held = seen.select("entity", "__row").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
+    held = seen.select("entity", "row_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
     total = docs.count()
     weighed = pairs.join(often, "entity").join(held, "entity").join(document_counts(docs, terms), "term")
     shared = F.log(F.col("together") / F.col("contexts") * total / F.col("n_docs"))
@@ -184,24 +184,22 @@ def term_spans(text: Column, actions: Column, base: Column) -> Column:
     ).cast(_SPANS)
 
 
-def with_spans(docs: DataFrame, keep_text: bool) -> DataFrame:
-    """docs with __base and __spans (base and term spans). Without keep_text only texts with spans are kept."""
-    spans = base_spans(body())
-    text = F.col("text") if keep_text else F.when(F.size("__spans") > 0, F.col("text"))
-    spotted = docs.withColumn("__spans", spans).withColumn("text", text).withColumn("__row", F.monotonically_increasing_id())
-    spotted = materialise(spotted, "pii-spotted")
-    found = materialise(disclosing(spotted, docs), "pii-disclosing")
+def with_spans(docs: DataFrame, keep: bool) -> DataFrame:
+    """text, base and spans (base and term spans) of each row, and with keep all its columns as `doc`. Without keep only texts with spans are kept."""
+    text = F.col("text") if keep else F.when(F.size("found") > 0, F.col("text"))
+    spotted = docs.select(whole_row(docs) if keep else F.struct("doc_id").alias("doc"), "text", base_spans(body()).alias("found"), F.monotonically_increasing_id().alias("row_id"))
+    spotted = materialise(spotted.withColumn("text", text), "pii-spotted")
+    weighed = materialise(disclosing(spotted, docs), "pii-disclosing")
     action = F.when(F.col("disclosure") >= REMOVE, F.lit(REMOVED)).otherwise(F.lit(GENERALISED))
-    holders = spotted.where(F.size("__spans") > 0).select("__row", F.explode(F.array_distinct(F.transform("__spans", entity))).alias("entity"))
+    holders = spotted.where(F.size("found") > 0).select("row_id", F.explode(F.array_distinct(F.transform("found", entity))).alias("entity"))
     # a term that several entities of a document flag is removed if one of them says so
-    told = holders.join(found, "entity").groupBy("__row", "term").agg(F.max(action).alias("action"))
-    told = told.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("__actions"))
+    told = holders.join(weighed, "entity").groupBy("row_id", "term").agg(F.max(action).alias("action"))
+    told = told.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions"))
     told = materialise(told, "pii-actions")
-    out = spotted.where(F.size("__spans") > 0).join(told, "__row", "left")
-    more = F.when(F.col("__actions").isNotNull(), term_spans(F.col("text"), F.col("__actions"), F.col("__spans"))).otherwise(F.array().cast(_SPANS))
-    out = out.withColumn("__base", F.col("__spans")).withColumn("__spans", F.array_sort(F.concat("__base", more)))
-    none = spotted.where(F.size("__spans") == 0).withColumn("__base", F.col("__spans"))
-    return out.drop("__actions", "__row").unionByName(none.drop("__row"))
+    out = spotted.where(F.size("found") > 0).join(told, "row_id", "left")
+    more = F.when(F.col("actions").isNotNull(), term_spans(F.col("text"), F.col("actions"), F.col("found"))).otherwise(F.array().cast(_SPANS))
+    out = out.select("doc", "text", F.col("found").alias("base"), F.array_sort(F.concat("found", more)).alias("spans"))
+    return out.unionByName(spotted.where(F.size("found") == 0).select("doc", "text", F.col("found").alias("base"), F.col("found").alias("spans")))
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -243,14 +241,14 @@ def masked(text: Column, spans: Column) -> Column:
 
 def sanitised(docs: DataFrame) -> DataFrame:
     """docs with the spans of their texts masked."""
-    return with_spans(docs, keep_text=True).withColumn("text", masked(F.col("text"), F.col("__spans"))).select(*docs.columns)
+    clean = with_spans(docs, keep=True).withColumn("clean", masked(F.col("text"), F.col("spans")))
+    return clean.select(*[F.col("clean").alias(c) if c.lower() == "text" else F.col(f"doc.`{c}`") for c in docs.columns])
 
 
 def op2_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    out = with_spans(read(spark, sf_dir, "documents").select("doc_id", "text"), keep=False)
 
     def number(kind: str) -> Column:
-        return F.size(F.filter("__base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    counts = [number(k) for k in KINDS]
-    return out.select("doc_id", *counts, F.sha2(written(F.col("__base")).cast("binary"), 256).alias("base_sha256"), written(F.col("__spans")).alias("spans"))
+    return out.select("doc.doc_id", *[number(k) for k in KINDS], F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))

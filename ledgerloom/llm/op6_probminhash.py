@@ -13,7 +13,7 @@ them, so no candidate is left out; classes are the components of all links. With
 
 Defined results: null texts and texts without words have no class but their own; texts of fewer than five words are one
 shingle; repeated rows and equal texts share a class; the class id is the least doc_id of the class (null if none has one); an
-empty table gives no rows; other columns are passed on by `deduplicated` and may have any names but row_id.
+empty table gives no rows; all columns of any names are passed on by `deduplicated`.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, read, small_batches, travels_by_value
+from ledgerloom.llm.common import body, read, small_batches, travels_by_value, whole_row
 from ledgerloom.llm.components import components
 from ledgerloom.session import materialise
 
@@ -33,7 +33,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 6
-_SLICE = 128  # documents, pairs
+_SLICE_WORDS = 1 << 17  # handled together in a worker
 
 
 def words(text: Column) -> Column:
@@ -101,6 +101,18 @@ def _lists(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return array.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
 
+def _slices(*arrays: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+    """The arrays in slices of about _SLICE_WORDS words, one row at least."""
+    sizes = sum(pa.compute.fill_null(pa.compute.list_value_length(a), 0).to_numpy(zero_copy_only=False).astype(np.int64) for a in arrays)
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and held + size > _SLICE_WORDS:
+            yield tuple(a.slice(start, i - start) for a in arrays)
+            start, held = i, 0
+        held += size
+    yield tuple(a.slice(start) for a in arrays)
+
+
 def band_keys(hashes: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
     """array<long>, one key per band; null for texts without words."""
 
@@ -108,8 +120,8 @@ def band_keys(hashes: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = []
-            for i in range(0, len(batch), _SLICE):
-                values, offsets = _lists(batch.slice(i, _SLICE))
+            for (part,) in _slices(batch):
+                values, offsets = _lists(part)
                 n = len(offsets) - 1
                 owner, shingle, weight = shingles(values, offsets)
                 # only documents that have words
@@ -123,7 +135,7 @@ def band_keys(hashes: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
                 sizes = np.where(np.diff(offsets) > 0, bands, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(key.ravel().view(np.int64)))
                 parts.append(pa.compute.if_else(pa.array(sizes > 0), lists, pa.scalar(None, lists.type)))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+            yield pa.concat_arrays(parts)
 
     return keys(hashes)
 
@@ -145,9 +157,9 @@ def similarity(left: Column, right: Column) -> Column:
     def exact(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for lefts, rights in batches:
             out = []
-            for i in range(0, len(lefts), _SLICE):
-                sides = [shingles(*_lists(side.slice(i, _SLICE))) for side in (lefts, rights)]
-                n = len(lefts.slice(i, _SLICE))
+            for part in _slices(lefts, rights):
+                sides = [shingles(*_lists(side)) for side in part]
+                n = len(part[0])
                 ends = [np.searchsorted(owner, np.arange(n + 1)) for owner, _, _ in sides]
                 for k in range(n):
                     (a, x), (b, y) = ((s[e[k] : e[k + 1]], c[e[k] : e[k + 1]]) for (_, s, c), e in zip(sides, ends, strict=True))
@@ -227,11 +239,11 @@ def classes(rows: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """docs with one row of each class: the one with the least doc_id (then the first read). Rows without words stay."""
-    rows = materialise(docs.withColumn("row_id", F.monotonically_increasing_id()), "dup-rows")
-    placed = materialise(near_duplicates(rows, least)[0], "dup-classes")
+    rows = materialise(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("row_id")), "dup-rows")
+    placed = materialise(near_duplicates(rows.select("row_id", "doc.doc_id", "doc.text"), least)[0], "dup-classes")
     kept = placed.groupBy(F.coalesce("class", -1 - F.col("row_id")).alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("m"))
     kept = materialise(kept.select(F.col("m.row_id").alias("row_id")), "dup-kept")
-    return rows.join(kept, "row_id", "left_semi").select(*docs.columns)
+    return rows.join(kept, "row_id", "left_semi").select("doc.*")
 
 
 def op6_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

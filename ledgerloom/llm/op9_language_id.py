@@ -7,7 +7,7 @@ the most frequent ones). Every text is read whole: all its windows are classifie
 
 Defined results: null text and text without letters are `und` with score 0; rows without lang or doc_id are predicted but
 not learned from; ties go to the language that sorts first; equal texts get equal predictions; without any labelled row all
-is `und`; an empty table gives no rows. Columns beside the text are not touched.
+is `und`; an empty table gives no rows. All columns of any names are passed on by `accepted`.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import read, small_batches, travels_by_value
+from ledgerloom.llm.common import read, small_batches, travels_by_value, whole_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -31,6 +31,7 @@ WINDOWS_PER_DOC = 3
 MOST_LANGS = 64
 EPOCHS = 8
 UNKNOWN = "und"
+MIN_SCORE = 0.3
 _BATCH = 64
 
 
@@ -188,23 +189,26 @@ def predict(text: Column, net: Network) -> Column:
     return predicted(text)
 
 
-def identify(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
-    """docs with lang_pred and score; learns from the labelled rows of learn_from (docs by default)."""
+def language(docs: DataFrame) -> Column:
+    """struct(lang_pred, score) for docs, learnt from their labelled rows."""
     small_batches(docs.sparkSession)
-    windows, labels, langs = training_windows(docs if learn_from is None else learn_from)
+    windows, labels, langs = training_windows(docs)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     if not langs:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    net = train(windows, labels, langs)
-    out = docs.withColumn("__said", predict(F.when(letters, F.col("text")), net))
-    return out.withColumns(
-        {"lang_pred": F.when(letters, F.col("__said.lang_pred")).otherwise(UNKNOWN), "score": F.when(letters, F.col("__said.score")).otherwise(0.0)}
-    ).drop("__said")
+        return unknown
+    return F.when(letters, predict(F.when(letters, F.col("text")), train(windows, labels, langs))).otherwise(unknown)
+
+
+def accepted(docs: DataFrame, least: float = MIN_SCORE) -> DataFrame:
+    """docs without the rows whose language is `und` or scored below least."""
+    said = docs.select(whole_row(docs), "text").withColumn("said", language(docs))
+    return said.where((F.col("said.lang_pred") != UNKNOWN) & (F.col("said.score") >= least)).select("doc.*")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return identify(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return docs.withColumn("said", language(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "said.lang_pred", "said.score")
 
 
 travels_by_value(__name__)

@@ -8,13 +8,16 @@ per worker process. Texts with any other white space are handed to the library a
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 
 from ledgerloom.llm.common import kept_in_worker, travels_by_value
 
-MOST_WORDS = 600_000
+MOST_WORDS = 900_000
+_TOGETHER = 4_000
+_MARK = "\x01"
 
 
 class TokenIds:
@@ -26,37 +29,82 @@ class TokenIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(file)
-        self.space = " " if spaces_count else ""
+        self.spaces_count = spaces_count
         self.most_words = most_words
-        self.words: dict[str, bytes | None] = {}
+        self.words: dict[str, bytes] = {}
+        # many words are asked as one text; an id that only stands where a word begins, or between two words, parts them again
+        line = self.ask(["\n"])[0] if spaces_count else self.ask([_MARK])[0]
+        self.mark = int.from_bytes(line, "little")
+        size = 1 + max(self.library.get_vocab().values())
+        self.begins = np.zeros(size, bool)
+        if spaces_count:
+            space = self.library.id_to_token(int.from_bytes(self.ask([" "])[0], "little"))
+            self.begins[[i for token, i in self.library.get_vocab().items() if token.startswith(space)]] = True
 
     def ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.ask([text])[0], "<u4")
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """The ids of words that follow a space."""
+        if not self.spaces_count:
+            ids = self._ids(f" {_MARK} ".join(["", *words]))
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)) * 4
+            begins = ends + 4
+        else:
+            ids = self._ids(" " + " ".join(words))
+            begins = ends = np.append(np.flatnonzero(self.begins[ids]), len(ids)) * 4
+        return self._parted(ids, begins, ends, words, " " if self.spaces_count else "")
+
+    def _lined(self, words: list[str]) -> list[bytes]:
+        """The ids of words that follow a line feed, with the line feed's."""
+        ids = self._ids("".join(words))
+        ends = np.append(np.flatnonzero(ids == self.mark), len(ids)) * 4
+        return self._parted(ids, ends, ends, words, "")
+
+    def _parted(self, ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, words: list[str], before: str) -> list[bytes]:
+        if len(ends) != len(words) + 1:
+            return self.ask([before + w for w in words])
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip(begins.tolist(), ends[1:].tolist(), strict=False)]
+
+    def learn(self, new: Iterable[str]) -> None:
+        """Keep the ids of words; what is not a plain word (other white space, a special token's sign, the mark) is left out."""
+        plain = [w for w in new if len(p := w.split()) == 1 and w in (p[0], "\n" + p[0]) and "<|" not in w and _MARK not in w]
+        if not self.spaces_count:
+            bare = sorted({w.lstrip("\n") for w in plain})
+            known = {w: ids for i in range(0, len(bare), _TOGETHER) for part in (bare[i : i + _TOGETHER],) for w, ids in zip(part, self._spaced(part), strict=True)}
+            self.words.update((w, known[w.lstrip("\n")]) for w in plain)
+            return
+        for lined, ask in ((False, self._spaced), (True, self._lined)):
+            kind = [w for w in plain if (w[0] == "\n") == lined]
+            for i in range(0, len(kind), _TOGETHER):
+                part = kind[i : i + _TOGETHER]
+                self.words.update(zip(part, ask(part), strict=True))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
         if len(self.words) > self.most_words:
             self.words.clear()
-        rows = [t.replace("\n", " \n").split(" ") for t in texts]
-        new = list(set().union(*[r[1:] for r in rows]) - self.words.keys()) if rows else []
-        plain = [w for w in new if len(parts := w.split()) == 1 and w in (parts[0], "\n" + parts[0])]
-        self.words.update(dict.fromkeys(new))  # None: not a word of the plain kind
-        self.words.update(zip(plain, self.ask([w if w[0] == "\n" else self.space + w for w in plain]), strict=True))
-        first = self.ask([r[0] if r[0].split() == [r[0]] else "" for r in rows])
-        get, out, whole = self.words.__getitem__, [], []
-        for i, row in enumerate(rows):
-            try:
-                rest = b"".join(map(get, row[1:]))
-                if row[0].split() != [row[0]]:
-                    raise TypeError
-            except TypeError:
-                whole.append(i)
-                out.append(b"")
+        rows = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]  # the first word as if it followed a line feed
+        get = self.words.get
+        found = [list(map(get, row)) for row in rows]
+        new = {w for row, ids in zip(rows, found, strict=True) if None in ids for w, i in zip(row, ids, strict=True) if i is None}
+        self.learn(new)
+        whole = []
+        for k, (row, ids) in enumerate(zip(rows, found, strict=True)):
+            if None in ids:
+                ids = [get(w) if i is None else i for w, i in zip(row, ids, strict=True)]
+            if None in ids:
+                whole.append(k)
+                found[k] = b""
             else:
-                out.append(first[i] + rest)
-        for i, ids in zip(whole, self.ask([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
+                found[k] = b"".join(ids)[4 * self.spaces_count :]
+        for k, ids in zip(whole, self.ask([texts[k] for k in whole]), strict=True):
+            found[k] = ids
+        return found
 
 
 def token_ids(file: str, spaces_count: bool) -> TokenIds:

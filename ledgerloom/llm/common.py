@@ -63,6 +63,25 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
         spark.conf.set(name, str(rows))
 
 
+def ranges(df: DataFrame, column: str) -> tuple[Column, int]:
+    """The number of a row's range, and how many there are: ranges of about equal row counts in the order of an integer column, null in the last.
+
+    Only the bounds (one for each shuffle partition) come to the driver.
+    """
+    parts = shuffle_width(df.sparkSession)
+    bounds = df.agg(F.percentile_approx(column, [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0] or []
+    bounds = sorted(set(bounds))
+    fixed = F.lit(bounds) if bounds else F.array().cast("array<bigint>")
+
+    def narrowed(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = F.get(fixed, middle) < F.col(column)
+        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(F.when(above, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(above, s["hi"]).otherwise(middle).alias("hi")))
+
+    found = F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), narrowed)["lo"]
+    return F.when(F.col(column).isNull(), F.lit(len(bounds) + 1)).otherwise(found).cast("int"), len(bounds) + 2
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most so many rows while a table is written."""

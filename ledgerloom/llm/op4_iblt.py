@@ -20,8 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, read
-from ledgerloom.session import materialise, shuffle_width
+from ledgerloom.llm.common import body, ranges, read
+from ledgerloom.session import materialise
 
 PARAGRAPH = r"[^\n]{119,}?[.!?]+|[^\n]+"
 TABLES = 3
@@ -180,19 +180,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     doc_id ranges of equal size are ordered apart; each range gets one row more, the first of the range behind it.
     """
     spark = docs.sparkSession
-    parts = shuffle_width(spark)
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0] or []
-    bounds = sorted(set(bounds))
-    fixed = F.lit(bounds) if bounds else F.array().cast("array<bigint>")
-
-    def narrowed(s: Column, _: Column) -> Column:
-        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        above = F.get(fixed, middle) < F.col("doc_id")
-        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(F.when(above, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(above, s["hi"]).otherwise(middle).alias("hi")))
-
-    found = F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), narrowed)["lo"]
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(found)
-    rows = docs.select("doc_id", body().alias("text")).withColumn("bucket", bucket.cast("int")).withColumn("tie", F.xxhash64("text"))
+    bucket, _ = ranges(docs, "doc_id")
+    rows = docs.select("doc_id", body().alias("text")).withColumn("bucket", bucket).withColumn("tie", F.xxhash64("text"))
 
     # the first row of each range: at most one for each bound and two more
     firsts = rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "tie")).alias("first")).collect()

@@ -13,6 +13,7 @@ from ledgerloom.llm import op10_pack as op10
 from ledgerloom.llm import op2_disclosure as op2
 from ledgerloom.llm import op3_token_counts as op3
 from ledgerloom.llm import op4_iblt as op4
+from ledgerloom.llm import op5_range_coder as op5
 from ledgerloom.llm import op6_probminhash as op6
 from ledgerloom.llm import op7_shards as op7
 from ledgerloom.llm import op8_topk as op8
@@ -29,6 +30,6 @@ def _tuned(fn: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op2.op2_disclosure, op3.op3_token_counts, op4.op4_iblt, op6.op6_probminhash, op7.op7_shards, op8.op8_topk, op9.op9_language_id, op10.op10_pack)}
+QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op2.op2_disclosure, op3.op3_token_counts, op4.op4_iblt, op5.op5_range_coder, op6.op6_probminhash, op7.op7_shards, op8.op8_topk, op9.op9_language_id, op10.op10_pack)}
 
 ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL, "op8_topk": op8.SQL}

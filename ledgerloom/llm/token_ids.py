@@ -10,12 +10,13 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterable
+from itertools import islice
 
 import numpy as np
 
 from ledgerloom.llm.common import kept_in_worker, travels_by_value
 
-MOST_WORDS = 900_000
+MOST_WORDS = 800_000
 _TOGETHER = 4_000
 _MARK = "\x01"
 
@@ -24,7 +25,7 @@ class TokenIds:
     """encode() gives the ids of texts as little-endian 32-bit bytes."""
 
     def __init__(self, file: str, spaces_count: bool, most_words: int = MOST_WORDS):
-        """spaces_count: whether a word's ids depend on the space before it. most_words: kept words; beyond that they are forgotten and asked anew."""
+        """spaces_count: whether a word's ids depend on the space before it. most_words: kept words; beyond that the latest are forgotten and asked anew."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -37,6 +38,7 @@ class TokenIds:
         self.mark = int.from_bytes(line, "little")
         size = 1 + max(self.library.get_vocab().values())
         self.begins = np.zeros(size, bool)
+        self.marks = dict(zip(",.", self.ask([",", "."]), strict=True))
         if spaces_count:
             space = self.library.id_to_token(int.from_bytes(self.ask([" "])[0], "little"))
             self.begins[[i for token, i in self.library.get_vocab().items() if token.startswith(space)]] = True
@@ -78,16 +80,22 @@ class TokenIds:
             known = {w: ids for i in range(0, len(bare), _TOGETHER) for part in (bare[i : i + _TOGETHER],) for w, ids in zip(part, self._spaced(part), strict=True)}
             self.words.update((w, known[w.lstrip("\n")]) for w in plain)
             return
+        # a comma or full stop behind an ASCII letter is a unit of its own
+        ended = {w: (w[:-1], self.marks[w[-1]]) for w in plain if w[-1] in self.marks and len(w) > 1 and w[-2].isascii() and w[-2].isalpha()}
+        rest = {w for w in plain if w not in ended} | {w for w, _ in ended.values() if w not in self.words}
         for lined, ask in ((False, self._spaced), (True, self._lined)):
-            kind = [w for w in plain if (w[0] == "\n") == lined]
+            kind = [w for w in rest if (w[0] == "\n") == lined]
             for i in range(0, len(kind), _TOGETHER):
                 part = kind[i : i + _TOGETHER]
                 self.words.update(zip(part, ask(part), strict=True))
+        for w, (front, mark) in ended.items():
+            self.words[w] = self.words[front] + mark
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
         if len(self.words) > self.most_words:
-            self.words.clear()
+            # the words met first are the frequent ones
+            self.words = dict(islice(self.words.items(), self.most_words * 3 // 4))
         rows = [("\n" + t).replace("\n", " \n").split(" ")[1:] for t in texts]  # the first word as if it followed a line feed
         get = self.words.get
         found = [list(map(get, row)) for row in rows]

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from ledgerloom.schemas import MONEY
 
 
 def numeric_or_zero(c: Column, dtype=MONEY) -> Column:
-    return F.coalesce(c.try_cast(dtype), F.lit(0).cast(dtype))
+    """Text that is no number counts as 0; a number that does not fit the type is an error, not 0."""
+    wide = T.DecimalType(38, dtype.scale)
+    return F.coalesce(c.try_cast(wide), F.lit(0).cast(wide)).cast(dtype)
 
 
 def document_discount(amount: Column, total: Column) -> Column:

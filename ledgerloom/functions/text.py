@@ -62,7 +62,7 @@ _OPACITY_WORDS = (
 def fabric_code(c: Column) -> Column:
     """First run of letters, digits, blanks and hyphens without the opacity words; null where none."""
     run = F.nullif(F.regexp_extract(c, r"(?U)([A-Za-z0-9\s\-]+)", 1), F.lit(""))
-    return F.regexp_replace(F.regexp_replace(run, _OPACITY_WORDS, ""), r"(?U)^\s+", "")
+    return F.regexp_replace(F.regexp_replace(run, f"(?U){_OPACITY_WORDS}", ""), r"(?U)^\s+", "")
 
 
 def fabric_code_upper(c: Column, plastic: str = "พลาสติก") -> Column:

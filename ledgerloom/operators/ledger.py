@@ -97,10 +97,12 @@ def cost_enrich(lines: DataFrame, products: DataFrame) -> DataFrame:
     return joined.withColumn("cost", F.coalesce(F.col("__cost"), F.lit(0)).cast(MONEY)).drop("__stkcod", "__cost")
 
 
-def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: int | None = None) -> DataFrame:
+def remark_consolidate(
+    remarks: DataFrame, position: str = "line_no", blocks: int | None = None, part_chars: int = ordered.PART_CHARS
+) -> DataFrame:
     """Per document: its remarks in sequence as one text and the sales-order number written in them.
 
-    (docnum, part_no, remark, so_number). A remark text above ordered.PART_CHARS goes on in further parts.
+    (docnum, part_no, remark, so_number). A remark text above part_chars goes on in further parts.
     The clean-up works on each remark by itself: the ' | ' between two remarks stops every pattern used.
     """
     rows = remarks.select(
@@ -142,7 +144,7 @@ def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: in
     blocked = ordered.quantile_blocks(pieces, order, blocks, remarks.withColumn("seqnum", F.coalesce(F.col("seqnum").try_cast("int"), F.lit(0))))
     # white space at either end goes, but for the blank that a closing comma was given
     joined = ordered.ordered_text(
-        blocked, ["docnum"], order, "piece", "|", "remark", trim_ends=(r"(?U)^\s+", r"(?U)(?<!,)\s$")
+        blocked, ["docnum"], order, "piece", "|", "remark", part_chars, trim_ends=(r"(?U)^\s+", r"(?U)(?<!,)\s$")
     )
     texts = joined.withColumn("remark", F.nullif(F.col("remark"), F.lit("")))
     return (
@@ -152,8 +154,8 @@ def remark_consolidate(remarks: DataFrame, position: str = "line_no", blocks: in
 
 
 def remark_enrich(docs: DataFrame, remarks: DataFrame) -> DataFrame:
-    """Remark (its first part) and order number onto the header; later parts stay rows of the remark frame."""
-    first = remarks.where(F.col("part_no") == 0).select(F.col("docnum").alias("__docnum"), "remark", "so_number")
+    """Remark (all its parts) and order number onto the header."""
+    first = ordered.whole_text(remarks, ["docnum"], "remark", "|", F.max("so_number").alias("so_number")).withColumnRenamed("docnum", "__docnum")
     return docs.drop("remark", "so_number").join(first, F.col("docnum") == F.col("__docnum"), "left").drop("__docnum")
 
 
@@ -248,8 +250,10 @@ def bill_due_date(
         raise ValueError(f"unknown term {term!r}")
     due = F.date_add("__last", F.coalesce("__term", F.lit(0)).cast("int"))
     dated = bills.select(F.col("bilnum").alias("__bill"), due.alias("__due"))
-    joined = headers.join(dated, on_bill & (F.col("bilnum") == F.col("__bill")), "left")
-    return joined.withColumn("duedat", F.coalesce("__due", "duedat")).drop("__bill", "__due")
+    # documents without a bill would all meet under one key
+    billed = headers.where(on_bill & valid).join(dated, F.col("bilnum") == F.col("__bill"), "left")
+    billed = billed.withColumn("duedat", F.coalesce("__due", "duedat")).select(*headers.columns)
+    return billed.unionByName(headers.where(~F.coalesce(on_bill & valid, F.lit(False))))
 
 
 def monthly_credit_counts(credits: DataFrame, date: str = "docdat") -> DataFrame:
@@ -281,22 +285,22 @@ def credit_suffix_match(invoices: DataFrame, credits: DataFrame) -> DataFrame:
     return right.join(left, "__base").drop("__base")
 
 
-def credit_reference_parts(credits: DataFrame, position: str = "line_no", blocks: int | None = None) -> DataFrame:
+def credit_reference_parts(
+    credits: DataFrame, position: str = "line_no", blocks: int | None = None, part_chars: int = ordered.PART_CHARS
+) -> DataFrame:
     """(base, part_no, refs): credit numbers per invoice base in file order, comma-separated."""
     keyed = credits.select(credit_base("docnum").alias("__base"), position, "docnum")
     blocked = ordered.quantile_blocks(keyed, [position], blocks)
-    return ordered.ordered_text(blocked, ["__base"], [position], "docnum", ",", "refs")
-
+    return ordered.ordered_text(blocked, ["__base"], [position], "docnum", ",", "refs", part_chars)
 
-def invoice_credit_netting(invoices: DataFrame, credits: DataFrame, position: str = "line_no", blocks: int | None = None) -> DataFrame:
-    """Invoices with their credit total, net total and credit numbers in file order.
 
-    A number list above ordered.PART_CHARS goes on in credit_reference_parts; the row carries its first part.
-    """
+def invoice_credit_netting(
+    invoices: DataFrame, credits: DataFrame, position: str = "line_no", blocks: int | None = None, part_chars: int = ordered.PART_CHARS
+) -> DataFrame:
+    """Invoices with their credit total, net total and credit numbers in file order."""
     totals = credits.groupBy(credit_base("docnum").alias("__base")).agg(F.sum("total").cast(TOTAL).alias("__credited"))
-    refs = credit_reference_parts(credits, position, blocks).where("part_no = 0").select(
-        "__base", F.col("refs").alias("debit_note_refs")
-    )
+    parts = credit_reference_parts(credits, position, blocks, part_chars)
+    refs = ordered.whole_text(parts, ["__base"], "refs", ",").withColumnRenamed("refs", "debit_note_refs")
     per_base = totals.join(refs, "__base")
     joined = invoices.withColumn("__base", after_prefix("docnum")).join(per_base, "__base", "left")
     return (

@@ -5,9 +5,9 @@ that never decreases along the order; a window runs per (key, block), and only o
 goes through the window over the key. A group holding a third of all rows is thus spread over its blocks.
 
 Blocks come from a position column (`position_blocks`, for line numbers or byte offsets) or, for any other
-order, from its quantiles (`quantile_blocks`): one pass over the order columns finds a few hundred bounds, and
-the block of a row is a plain expression over them. Where one value fills whole blocks, the bounds go on with
-the next order column inside that value. Nothing is materialised and the plan stays lazy.
+order, from its quantiles (`quantile_blocks`): a pass over the order columns finds one bound for each shuffle
+partition, and the block of a row is an expression over them. Where one value fills whole blocks, a further pass goes on
+with the next order column inside that value. The passes run while the plan is built; nothing is materialised.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from ledgerloom import session
 
 BLOCK = "__block"
 PART_CHARS = 1 << 26
-MOST_BLOCKS = 256
 
 
 def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFrame:
@@ -30,20 +29,47 @@ def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFr
 
 
 _LOWEST = -(1 << 62)
+_HIGHEST = (1 << 62) + 1
+_CHUNK_BYTES = 7
 
 
-def _codes(df: DataFrame, order: Sequence[str]) -> list[Column]:
+def _texts(kind: T.DataType, c: Column) -> list[Column]:
+    if isinstance(kind, T.StructType):
+        return [t for f in kind.fields for t in _texts(f.dataType, c.getField(f.name))]
+    return [c] if isinstance(kind, T.StringType) else []
+
+
+def _chunks(df: DataFrame, order: Sequence[str]) -> tuple[int, ...]:
+    """For each text among the order columns, the number of codes that its longest value takes."""
+    texts = [t for name in order for t in _texts(df.schema[name].dataType, F.col(name))]
+    if not texts:
+        return ()
+    longest = df.agg(*[F.max(F.octet_length(t)).alias(f"__l{i}") for i, t in enumerate(texts)]).first()
+    return tuple(-(-(n or 1) // _CHUNK_BYTES) for n in longest)
+
+
+def _codes(df: DataFrame, order: Sequence[str], chunks: Sequence[int]) -> list[Column]:
     """Numbers that never decrease along the order columns, nulls lowest as in a sort.
 
     Each code is exact for the columns before it, so bounds may go on with the next one; they end behind a
-    column whose code is coarser than its values (text: the first bytes).
+    column whose code is coarser than its values (wide decimals). A text has a code for every seven bytes and one for
+    its length; `chunks` is taken from one frame, and texts of another frame that are longer stand behind all others of the same beginning.
     """
     out: list[Column] = []
+    texts = iter(chunks)
+    over: list[Column] = []
+
+    def put(number: Column, real: bool = False) -> None:
+        kind = "double" if real else "bigint"
+        code = F.coalesce(number, F.lit(_LOWEST).cast(kind))
+        for long in over:
+            code = F.when(long, F.lit(_HIGHEST).cast(kind)).otherwise(code)
+        out.append(code)
 
     def add(c: Column, kind: T.DataType) -> bool:
         if isinstance(kind, T.StructType):
             return all(add(c.getField(f.name), f.dataType) for f in kind.fields)
-        exact = True
+        exact, real = True, False
         if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
             number = c.cast("bigint")
         elif isinstance(kind, T.DateType):
@@ -55,15 +81,20 @@ def _codes(df: DataFrame, order: Sequence[str]) -> list[Column]:
             seconds = F.unix_date(c.cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
             number = seconds * 1000000 + (F.date_part(F.lit("SECOND"), c) * 1000000).cast("bigint")
         elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-            number, exact = c.cast("double"), not isinstance(kind, T.DecimalType) or kind.precision <= 15
+            number, real = c.cast("double"), True
+            exact = not isinstance(kind, T.DecimalType) or kind.precision <= 15
         elif isinstance(kind, T.StringType):
-            data = F.rpad(F.hex(F.encode(c, "utf-8")), 42, "0")
-            for at in (1, 15, 29):
-                out.append(F.coalesce(F.conv(F.substring(data, at, 14), 16, 10).cast("bigint"), F.lit(_LOWEST)))
-            return False
+            many = next(texts)
+            data = F.hex(F.encode(c, "utf-8"))
+            for i in range(many):
+                put(F.conv(F.rpad(F.substring(data, 2 * _CHUNK_BYTES * i + 1, 2 * _CHUNK_BYTES), 2 * _CHUNK_BYTES, "0"), 16, 10).cast("bigint"))
+            most = many * _CHUNK_BYTES
+            put(F.least(F.octet_length(c), F.lit(most + 1)).cast("bigint"))
+            over.append(F.coalesce(F.octet_length(c) > most, F.lit(False)))
+            return True
         else:
             raise TypeError(f"no order code for {kind.simpleString()}")
-        out.append(F.coalesce(number, F.lit(_LOWEST).cast("double" if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)) else "bigint")))
+        put(number, real)
         return exact
 
     for name in order:
@@ -72,9 +103,9 @@ def _codes(df: DataFrame, order: Sequence[str]) -> list[Column]:
     return out
 
 
-def find_bounds(df: DataFrame, order: Sequence[str], blocks: int) -> list[tuple]:
+def find_bounds(df: DataFrame, order: Sequence[str], blocks: int, chunks: Sequence[int]) -> list[tuple]:
     """Sorted bounds that cut df into about `blocks` equal runs of the order; each a tuple of leading codes."""
-    codes = _codes(df, order)
+    codes = _codes(df, order, chunks)
     coded = df.select(*[c.alias(f"__c{i}") for i, c in enumerate(codes)])
     bounds: set[tuple] = set()
     open_runs: dict[tuple, int] = {(): blocks}
@@ -113,23 +144,29 @@ def find_bounds(df: DataFrame, order: Sequence[str], blocks: int) -> list[tuple]
     return sorted(bounds, key=lambda b: [*b])
 
 
-def _bound_block(bounds: list[tuple]) -> Column:
-    """Number of bounds at or below the row's codes: a binary decision over the sorted bounds."""
+def _bound_block(bounds: list[tuple], kinds: list[str]) -> Column:
+    """Number of bounds at or below the row's codes, by halving the sorted bounds.
 
-    def reached(bound: tuple) -> Column:
-        out = None
-        for level in reversed(range(len(bound))):
-            c, value = F.col(f"__c{level}"), F.lit(bound[level])
-            out = c >= value if out is None else (c > value) | ((c == value) & out)
-        return out
+    A bound of fewer codes is filled up with the lowest ones: it begins where its last code begins.
+    """
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    lowest = {"bigint": _LOWEST - 1, "double": float("-inf")}
+
+    def row(values: Sequence) -> Column:
+        return F.struct(*[F.lit(values[i] if i < len(values) else lowest[k]).cast(k).alias(f"c{i}") for i, k in enumerate(kinds)])
+
+    cuts = F.array(*[row(b) for b in bounds])
+    own = F.struct(*[F.col(f"__c{i}").cast(k).alias(f"c{i}") for i, k in enumerate(kinds)])
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(reached(bounds[middle]), tree(middle + 1, high)).otherwise(tree(low, middle))
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        reached = F.get(cuts, middle) <= own
+        halved = F.struct(F.when(reached, middle + 1).otherwise(state["low"]).alias("low"), F.when(reached, state["high"]).otherwise(middle).alias("high"))
+        return F.when(state["low"] >= state["high"], state).otherwise(halved)
 
-    return tree(0, len(bounds)).cast("bigint")
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), start, halve)["low"].cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -138,19 +175,22 @@ class Bounds:
 
     order: tuple[str, ...]
     cuts: tuple[tuple, ...]
+    chunks: tuple[int, ...]
 
     def assign(self, df: DataFrame) -> DataFrame:
         used = max((len(b) for b in self.cuts), default=0)
-        codes = _codes(df, self.order)[:used]
+        codes = _codes(df, self.order, self.chunks)[:used]
         coded = df.select("*", *[c.alias(f"__c{i}") for i, c in enumerate(codes)])
-        return coded.withColumn(BLOCK, _bound_block(list(self.cuts))).drop(*[f"__c{i}" for i in range(used)])
+        kinds = [coded.schema[f"__c{i}"].dataType.simpleString() for i in range(used)]
+        return coded.withColumn(BLOCK, _bound_block(list(self.cuts), kinds)).drop(*[f"__c{i}" for i in range(used)])
 
 
 def quantile_bounds(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> Bounds:
     """Bounds cutting df into about equal runs of the order. Taken from a frame distributed like the one to be
     cut (say, before its joins) they give even blocks; any bounds give right results."""
-    n = blocks or min(max(session.shuffle_width(df.sparkSession), 8), MOST_BLOCKS)
-    return Bounds(tuple(order), tuple(find_bounds(df, order, n)))
+    n = blocks or max(session.shuffle_width(df.sparkSession), 8)
+    chunks = _chunks(df, order)
+    return Bounds(tuple(order), tuple(find_bounds(df, order, n, chunks)), chunks)
 
 
 def quantile_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
@@ -333,3 +373,10 @@ def ordered_text(
     return pieces.groupBy(*keys, "part_no").agg(
         F.array_join(F.array_sort(F.collect_list("__piece")).getField("piece"), separator).alias(out)
     )
+
+
+def whole_text(parts: DataFrame, keys: Sequence[str], text: str, separator: str, *others: Column) -> DataFrame:
+    """One row per key with all its parts (of ordered_text) joined again, null where it has no text."""
+    pieces = F.collect_list(F.when(F.col(text).isNotNull(), F.struct("part_no", F.col(text).alias("piece"))))
+    joined = F.array_join(F.array_sort(pieces).getField("piece"), separator)
+    return parts.groupBy(*keys).agg(F.when(F.count(text) > 0, joined).alias(text), *others)

@@ -255,20 +255,26 @@ def section_header_fill(df: DataFrame, spec: SectionSpec = SectionSpec(), block_
     return filled.select(*df.columns, *values)
 
 
-def note_attach(df: DataFrame, mark: str = NOTE_MARK, out: str = "U", block_size: int = 16 << 20) -> DataFrame:
+def note_attach(
+    df: DataFrame, mark: str = NOTE_MARK, out: str = "U", block_size: int = 16 << 20, part_chars: int = ordered.PART_CHARS
+) -> DataFrame:
     """Move note lines onto the row before the note mark.
 
     A row whose D holds the mark opens a note; the rows below with B and C blank and text in D belong to it.
     All of them go, their D texts become the note of the row before. A mark on the first row opens nothing.
-    (A note above ordered.PART_CHARS keeps its first part here; see note_parts for the others.)
     """
-    numbered, notes = note_parts(df, mark, block_size)
-    first = notes.where("part_no = 0").select(F.col(FILE).alias("__f"), F.col("__target").alias("__row"), "__note")
+    numbered, notes = note_parts(df, mark, block_size, part_chars)
+    whole = ordered.whole_text(notes, [FILE, "__target"], "__note", "\n")
+    # the mark alone still ends with a line feed
+    note = F.when(F.col("__note") == f"{mark}:", F.lit(f"{mark}:\n")).otherwise(F.col("__note")).alias("__note")
+    first = whole.select(F.col(FILE).alias("__f"), F.col("__target").alias("__row"), note)
     joined = numbered.where("NOT __in_note").join(first, (F.col(FILE) == F.col("__f")) & (F.col(LINE) == F.col("__row")), "left")
     return joined.select(*df.columns, F.col("__note").alias(out))
 
 
-def note_parts(df: DataFrame, mark: str = NOTE_MARK, block_size: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
+def note_parts(
+    df: DataFrame, mark: str = NOTE_MARK, block_size: int = 16 << 20, part_chars: int = ordered.PART_CHARS
+) -> tuple[DataFrame, DataFrame]:
     """(rows with their place in a note, note texts with their target line, in parts).
 
     One pass carries down the line that began the current run, the last mark above and the line above. A row is
@@ -303,9 +309,7 @@ def note_parts(df: DataFrame, mark: str = NOTE_MARK, block_size: int = 16 << 20)
     notes = numbered.where("__in_note").withColumn("__run", F.coalesce("__run", F.lit(-1)))
     lines = notes.withColumn("__line", F.when(F.col("__opens"), F.lit(f"{mark}:")).otherwise(text.strip(F.col("D"))))
     targets = notes.where("__opens").select(FILE, "__run", F.col("__above").alias("__target"))
-    texts = ordered.ordered_text(lines, [FILE, "__run"], [LINE], "__line", "\n", "__note")
-    # the mark alone still ends with a line feed
-    texts = texts.withColumn("__note", F.when(F.col("__note") == f"{mark}:", F.lit(f"{mark}:\n")).otherwise(F.col("__note")))
+    texts = ordered.ordered_text(lines, [FILE, "__run"], [LINE], "__line", "\n", "__note", part_chars)
     return numbered, texts.join(targets, [FILE, "__run"])
 
 

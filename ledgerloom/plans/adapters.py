@@ -191,7 +191,7 @@ def details(spark: SparkSession, sf_dir: str, sku_modulus: int | None = None) ->
         F.col("l_linestatus").alias("people"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_quantity").cast(MONEY).alias("trnqty"),
-        (part % 5 + 10).cast(MONEY).alias("unitpr"),
+        F.when(part % 7 == 3, 0).otherwise(part % 5 + 10).cast(MONEY).alias("unitpr"),
         F.col("l_discount").cast(MONEY).cast("string").alias("disc"),
         F.col("l_extendedprice").cast(MONEY).alias("trnval"),
         *LINE_ORDER,

@@ -31,6 +31,7 @@ def _allocated_details(
     products: DataFrame,
     order: Sequence[str],
     match_description: bool = False,
+    price_mode: str = "zero",
 ) -> DataFrame:
     """Invoice lines with cost and what credit notes of the same base number, SKU (and description) and price took off."""
     base = ledger.base_number("docnum")
@@ -40,7 +41,7 @@ def _allocated_details(
         key = F.concat(base, F.lit("|"), F.col("stkcod"))
     keyed = [
         part.withColumn("__key", key)
-        .withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval")))
+        .withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval"), price_mode))
         .withColumn("trnqty", numbers.numeric_or_zero(F.col("trnqty")))
         for part in (invoice_lines, credit_lines)
     ]
@@ -100,17 +101,29 @@ def ol_sl_ledger(
     line_order: Sequence[str],
     invoice_prefix: str = "OL",
     credit_prefixes: Sequence[str] = ("SL",),
+    credit_rule: str = "prefix",
 ) -> dict[str, DataFrame]:
-    """Full refresh of one document pair: credits are matched by number prefix (OL001 -> SL001-A)."""
+    """Full refresh of one document pair.
+
+    credit_rule 'prefix': credits are matched by number (OL001 -> SL001-A); 'order': by the invoice number without its prefix in their
+    order number. A line without a price takes its line value as the price.
+    """
     prefix = F.substring(F.trim("docnum"), 1, 2)
     invoices = docs.where((prefix == invoice_prefix) & F.year("docdat").isin(*years) & F.month("docdat").isin(*months))
     invoices = invoices.withColumn("disc", numbers.document_discount(F.col("amount"), F.col("total")))
-    credits = ledger.credit_prefix_semi_join(docs.where(prefix.isin(*credit_prefixes)), invoices)
+    credits = docs.where(prefix.isin(*credit_prefixes))
+    if credit_rule == "order":
+        bases = invoices.select(ledger.after_prefix("docnum").alias("__base"))
+        credits = credits.join(bases, F.col("sonum") == F.col("__base"), "left_semi")
+    elif credit_rule == "prefix":
+        credits = ledger.credit_prefix_semi_join(credits, invoices)
+    else:
+        raise ValueError(f"unknown credit rule {credit_rule!r}")
     group = ledger.customer_group_rule(F.col("customer_code"), F.col("customer_name"))
     headers = ledger.customer_enrich(invoices, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
     invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
     # this ledger also wants the same description on both lines
-    allocated = _allocated_details(lines, invoice_lines, credit_lines, products, line_order, match_description=True)
+    allocated = _allocated_details(lines, invoice_lines, credit_lines, products, line_order, match_description=True, price_mode="value")
     details = session.materialise(allocated, "details")
     header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)

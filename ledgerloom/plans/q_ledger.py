@@ -302,17 +302,18 @@ def invoice_ledger_detail(spark, sf):
 @query(
     "invoice_cost_status",
     f"""WITH {q.ARTRN}, {q.PRODUCTS}, {q.WHITE_LIST}, {q.details(_FOLD)}, detail AS (SELECT d.docnum AS doc_number, d.stkcod, coalesce(p.unitpr, 0) AS cost,
-      CASE WHEN d.flag = 'R' THEN 0 ELSE d.trnqty END AS qty_balance FROM details d LEFT JOIN products p USING (stkcod)
-      WHERE d.l_linenumber <> 7), {_STATUS}
-    SELECT a.docnum AS doc_number, a.total, CAST(k.cost_total AS {q.T}) AS cost_total, coalesce(k.status, 0) AS status FROM artrn a LEFT JOIN costed k ON a.docnum = k.doc_number""",
+      CASE WHEN d.flag = 'R' THEN 0 ELSE d.trnqty END AS qty_balance FROM details d LEFT JOIN products p USING (stkcod)), {_STATUS}
+    SELECT a.docnum AS doc_number, a.total, CAST(k.cost_total AS {q.T}) AS cost_total, coalesce(k.status, 0) AS status
+    FROM (SELECT docnum, total FROM artrn UNION ALL SELECT 'NL' || docnum, total FROM artrn) a LEFT JOIN costed k ON a.docnum = k.doc_number""",
 )
 def invoice_cost_status(spark, sf):
-    # without their seventh lines some documents have no line at all, which is a case of its own
-    lines = ledger.cost_enrich(ad.details(spark, sf, _FOLD).where("l_linenumber <> 7"), ad.products(spark, sf)).select(
+    lines = ledger.cost_enrich(ad.details(spark, sf, _FOLD), ad.products(spark, sf)).select(
         F.col("docnum").alias("doc_number"), "stkcod", "cost",
         F.when(F.col("flag") == "R", F.lit(0)).otherwise(F.col("trnqty")).cast(MONEY).alias("qty_balance"),
     )
     headers = ad.headers(spark, sf).select("doc_number", "total")
+    # a document without any line is a case of its own
+    headers = headers.unionByName(headers.withColumn("doc_number", F.concat(F.lit("NL"), F.col("doc_number"))))
     return ledger.invoice_cost_status(headers, lines, ad.white_list(spark, sf))
 
 
@@ -321,7 +322,7 @@ def invoice_cost_status(spark, sf):
     f"""WITH {q.ARTRN}, {q.CUSTOMERS}, {q.PRODUCTS}, {q.WHITE_LIST},
     invoices AS (SELECT * FROM artrn WHERE left(docnum, 2) = 'OL' AND year(docdat) IN (1996, 1997, 1998)),
     credit_docs AS (SELECT * FROM artrn WHERE left(docnum, 2) = 'SC' AND substr(docnum, 3, 7) IN (SELECT substr(docnum, 3) FROM invoices)),
-    {_JOB_LINES}, {_STATUS}
+    {_JOB_LINES.replace("SELECT *, substr", "SELECT * REPLACE (CASE WHEN unitpr = 0 THEN trnval ELSE unitpr END AS unitpr), substr")}, {_STATUS}
     SELECT i.docnum AS doc_number, i.total, k.cost_total, coalesce(k.status, 0) AS status,
       CASE WHEN starts_with(i.cuscod, '3') THEN c.cusnam ELSE 'อื่นๆ' END AS customer_group
     FROM invoices i LEFT JOIN customers c USING (cuscod) LEFT JOIN costed k ON k.doc_number = i.docnum""",
@@ -334,6 +335,24 @@ def ol_sl_ledger(spark, sf):
     return out["header"].select("doc_number", "total", "cost_total", "status", "customer_group")
 
 
+@query(
+    "ol_sl_ledger_detail",
+    f"""WITH {q.ARTRN}, {q.CUSTOMERS}, {q.PRODUCTS},
+    invoices AS (SELECT * FROM artrn WHERE left(docnum, 2) = 'OL' AND year(docdat) IN (1996, 1997, 1998)),
+    credit_docs AS (SELECT * FROM artrn WHERE left(docnum, 2) = 'SC' AND sonum IN (SELECT substr(docnum, 3) FROM invoices)),
+    {_JOB_LINES.replace("SELECT *, substr", "SELECT * REPLACE (CASE WHEN unitpr = 0 THEN trnval ELSE unitpr END AS unitpr), substr")}
+    SELECT * FROM detail""",
+)
+def ol_sl_ledger_detail(spark, sf):
+    """Credits by the invoice number without prefix in their order number."""
+    docs = ad.artrn(spark, sf)
+    out = jobs.ol_sl_ledger(
+        docs, ad.details(spark, sf, _FOLD), ad.customers(spark, sf), ad.products(spark, sf), ad.white_list(spark, sf),
+        [1996, 1997, 1998], list(range(1, 13)), ad.LINE_ORDER, credit_prefixes=("SC",), credit_rule="order",
+    )
+    return out["detail"]
+
+
 @query(
     "credit_total_by_base",
     f"""WITH {q.ARTRN}, {_CR} SELECT substr(docnum, 3, 7) AS base_number, CAST(sum(total) AS {q.T}) AS credit_total FROM credits GROUP BY 1""",

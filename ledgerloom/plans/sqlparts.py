@@ -104,7 +104,7 @@ def details(modulus: int | None = None) -> str:
   SELECT {docnum('l_orderkey')} AS docnum, CAST(l_shipdate AS DATE) AS docdat, CAST(l_linenumber AS INTEGER) AS seqnum,
          'SKU-' || CAST({part} AS VARCHAR) AS stkcod, 'item ' || CAST({part} AS VARCHAR) AS stkdes,
          l_linestatus AS people, l_returnflag AS flag, CAST(l_quantity AS {M}) AS trnqty,
-         CAST({part} % 5 + 10 AS {M}) AS unitpr, CAST(CAST(l_discount AS {M}) AS VARCHAR) AS disc,
+         CAST(CASE WHEN {part} % 7 = 3 THEN 0 ELSE {part} % 5 + 10 END AS {M}) AS unitpr, CAST(CAST(l_discount AS {M}) AS VARCHAR) AS disc,
          CAST(l_extendedprice AS {M}) AS trnval, {LINE_ORDER}
   FROM lineitem)"""
 

@@ -28,7 +28,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif df.schema[source].dataType == field.dataType:
             cols.append(F.col(f"`{source}`").alias(field.name))
         else:
-            cols.append(F.col(f"`{source}`").try_cast(field.dataType).alias(field.name))
+            # a number that does not fit is an error; text that is none becomes null
+            both = isinstance(df.schema[source].dataType, T.NumericType) and isinstance(field.dataType, T.NumericType)
+            c = F.col(f"`{source}`")
+            cols.append((c.cast(field.dataType) if both else c.try_cast(field.dataType)).alias(field.name))
     return df.select(*cols)
 
 

@@ -42,15 +42,21 @@ def replace_date_range_write(
 ) -> None:
     """Replace the rows of [start, end] in a table written by write_months.
 
-    Only the months of the range are read and rewritten. They are staged first, as a folder cannot be read
-    while it is overwritten; a month left without rows is removed.
+    Rows of `new` outside the range, or without a date, are added to theirs. Only the months of the range and of these rows
+    are read and rewritten. They are staged first, as a folder cannot be read while it is overwritten; a month left without
+    rows is removed. The months are replaced one after the other: a failure in between leaves the whole staged state in `staging`.
     """
     months = _months(start, end)
     old = spark.read.parquet(path)
-    touched = old.where(F.col(MONTH).isin(*months)).drop(MONTH)
+    month = F.year(date_col) * 100 + F.month(date_col)
+    outside = F.col(date_col).isNull() | ~F.col(date_col).between(F.lit(start), F.lit(end))
+    further = {row[0] for row in new.where(outside).select(month).distinct().collect()}
+    read = F.col(MONTH).isin(*months, *sorted(m for m in further if m is not None))
+    if None in further:
+        read = read | F.col(MONTH).isNull()
+    touched = old.where(read).drop(MONTH)
     refresh.replace_date_range(touched, new, date_col, start, end).write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
-    month = F.year(date_col) * 100 + F.month(date_col)
     filled = {row[0] for row in staged.where(month.isin(*months)).select(month).distinct().collect()}
     write_months(staged, path, date_col)
     for empty in sorted(set(months) - filled):
@@ -70,5 +76,5 @@ def report_export(sheets: dict[str, DataFrame], path: str, fmt: str = "csv") ->
         ]
         writer = df.select(*cleaned).write.mode("overwrite")
         if fmt == "csv":
-            writer = writer.option("header", True).option("quoteAll", True)
+            writer = writer.option("header", True).option("quoteAll", True).option("escape", '"')
         writer.format(fmt).save(f"{path}/{name}")

@@ -89,6 +89,21 @@ class DbfReader(DataSourceReader):
                 yield self._batch(data, count, line, layout, by_name, wanted, partition)
                 line += count
 
+    def _in_range(self, raw: np.ndarray, f: Field | None) -> np.ndarray:
+        """Records whose date lies in the range; a blank date, or a file without the field, is in none."""
+        if not (self.start or self.end):
+            return np.ones(len(raw), bool)
+        if f is None:
+            return np.zeros(len(raw), bool)
+        cells = np.ascontiguousarray(raw[:, f.offset : f.offset + f.width])
+        days = cells.view(f"S{f.width}").ravel()
+        keep = ((cells >= ord("0")) & (cells <= ord("9"))).all(axis=1)
+        if self.start:
+            keep &= days >= self.start
+        if self.end:
+            keep &= days <= self.end
+        return keep
+
     def _texts(self, cells: np.ndarray) -> pa.Array:
         """Cells of one field as text without trailing NUL and blank."""
         width = cells.shape[1]
@@ -101,12 +116,7 @@ class DbfReader(DataSourceReader):
         raw = np.frombuffer(data, dtype=np.uint8, count=count * layout.width).reshape(count, layout.width)
         keep = raw[:, 0] != ord("*")
         if self.date_field:
-            f = by_name[self.date_field]
-            days = np.ascontiguousarray(raw[:, f.offset : f.offset + f.width]).view(f"S{f.width}").ravel()
-            if self.start:
-                keep &= days >= self.start
-            if self.end:
-                keep &= days <= self.end
+            keep &= self._in_range(raw, by_name.get(self.date_field))
         raw = raw[keep]
         numbers = np.flatnonzero(keep) + line
         arrays = [
@@ -148,6 +158,26 @@ def _typed(f: Field) -> Column:
     return F.translate(c, " ", " ")
 
 
+def merged_fields(layouts: Sequence[Layout]) -> dict[str, Field]:
+    """The fields of all files by name, in the order in which they first appear.
+
+    Where files differ, numbers take the most places before and after the point, and a field of two kinds is text.
+    """
+    known: dict[str, Field] = {}
+    for layout in layouts:
+        for f in layout.fields:
+            old = known.get(f.name)
+            if old is None:
+                known[f.name] = Field(f.name, f.kind, f.offset, f.width, f.decimals)
+                continue
+            if old.kind != f.kind and {old.kind, f.kind} != {"N", "F"}:
+                old.kind = "C"
+            whole = max(old.width - old.decimals, f.width - f.decimals)
+            old.decimals = max(old.decimals, f.decimals)
+            old.width = whole + old.decimals
+    return known
+
+
 def dbf_scan(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -163,10 +193,8 @@ def dbf_scan(
     Deleted records are skipped; only `fields` are cut out; the date range is tested on the raw bytes.
     """
     paths = path if isinstance(path, str) else "\n".join(path)
-    found = files.list_files(paths, (".dbf",))
-    layout = read_layout(found[0][0])
-    known = {f.name: f for f in layout.fields}
-    wanted = [f.upper() for f in fields] if fields else [f.name for f in layout.fields]
+    known = merged_fields([read_layout(file) for file, _ in files.list_files(paths, (".dbf",))])
+    wanted = [f.upper() for f in fields] if fields else list(known)
     spark.dataSource.register(DbfDataSource)
     reader = spark.read.format("ledger_dbf").option("path", paths).option("fields", ",".join(wanted)).option("codepage", codepage)
     if split_bytes:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 from pyarrow import fs as pafs
@@ -32,11 +33,24 @@ def byte_ranges(paths: str, suffixes: tuple[str, ...], split_bytes: int) -> list
     return ranges or [FileRange("", 0, 0, 0, 0)]
 
 
+_SCHEME = re.compile(r"([A-Za-z][A-Za-z0-9+.-]+):")
+# Hadoop's names of schemes that PyArrow knows under another one
+_SAME = {"s3a": "s3", "s3n": "s3"}
+_KNOWN = {"file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss"}
+
+
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        uri = path if "://" in path else "file://" + path.removeprefix("file:")
-        return pafs.FileSystem.from_uri(uri)
-    return pafs.LocalFileSystem(), os.path.abspath(path)
+    """The file system of a path; a scheme that PyArrow cannot open is an error, never a local folder."""
+    scheme = _SCHEME.match(path)
+    if scheme is None:
+        return pafs.LocalFileSystem(), os.path.abspath(path)
+    name, rest = scheme[1].lower(), path[scheme.end() :]
+    name = _SAME.get(name, name)
+    if name not in _KNOWN:
+        raise ValueError(f"no reader for {scheme[1]}: paths ({path})")
+    if name == "file":
+        rest = "//" + os.path.abspath("/" + rest.lstrip("/"))
+    return pafs.FileSystem.from_uri(f"{name}:{rest}")
 
 
 def list_files(paths: str, suffixes: tuple[str, ...] = ()) -> list[tuple[str, int]]:

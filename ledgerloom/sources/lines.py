@@ -126,7 +126,16 @@ def line_scan(
     return reader.load()
 
 
-LETTERS = "ABCDEFGHIJKLMNOPQR"
+def cell_names(n: int) -> list[str]:
+    """A to Z, AA, AB, ... as a sheet names its columns."""
+    names = []
+    for i in range(n):
+        name, i = "", i + 1
+        while i:
+            i, letter = divmod(i - 1, 26)
+            name = chr(ord("A") + letter) + name
+        names.append(name)
+    return names
 
 
 def _cells(lines: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -147,7 +156,7 @@ def report_csv_scan(
 ) -> DataFrame:
     """Headerless report dump: cells A, B, C, ... with file and line position."""
     lines = line_scan(spark, path, skiprows, encoding, split_bytes)
-    return _cells(lines, list(LETTERS[:ncols]))
+    return _cells(lines, cell_names(ncols))
 
 
 # fixed values: column titles of the point-of-sale sheet (quantity, unit price)
@@ -157,10 +166,12 @@ SHEET_TITLES = ("SKU", "จำนวน", "ราคาสินค้า/ชิ
 def sheet_lines_scan(spark: SparkSession, sheets: dict[str, str], skiprows: int = 5, encoding: str = "utf-8") -> DataFrame:
     """SKU, quantity and unit price of the CSV exports {store: path}: skiprows lines, a title line, then data."""
     out = None
+    layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for store, path in sheets.items():
-        title = files.list_files(path)[0][0]
-        names = _titles(title, skiprows, encoding)
-        cells = _cells(line_scan(spark, path, skiprows + 1, encoding), [f"c{i}" for i in range(len(names))])
+        for file, _ in files.list_files(path):
+            layouts.setdefault((store, tuple(_titles(file, skiprows, encoding))), []).append(file)
+    for (store, names), paths in layouts.items():
+        cells = _cells(line_scan(spark, paths, skiprows + 1, encoding), [f"c{i}" for i in range(len(names))])
         sku, qty, price = (F.col(f"c{names.index(t)}") for t in SHEET_TITLES)
         rows = cells.select(
             F.lit(store).alias("store"),
@@ -175,8 +186,17 @@ def sheet_lines_scan(spark: SparkSession, sheets: dict[str, str], skiprows: int
 
 
 def _titles(path: str, skiprows: int, encoding: str) -> list[str]:
-    head = files.read_range(path, 0, 1 << 16).decode(encoding, "replace").split("\n")
-    return [t.strip().strip('"') for t in head[skiprows].split(",")]
+    """The title line of a file, however long the lines before it are."""
+    size = 1 << 16
+    while True:
+        data = files.read_range(path, 0, size)
+        lines = data.split(b"\n")
+        if len(lines) > skiprows + 1 or len(data) < size:
+            break
+        size *= 4
+    if len(lines) <= skiprows:
+        raise ValueError(f"{path} has no title line")
+    return [t.strip().strip('"') for t in lines[skiprows].decode(encoding, "replace").split(",")]
 
 
 def link_list_scan(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:

@@ -26,20 +26,21 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return moved.where("v != least").select(F.col("least").alias("a"), F.col("v").alias("b")).distinct()
 
 
-def _summary(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (root, node) are stars: every node has one root, and no root is a node of another."""
+    tops = edges.select(F.col("a").alias("v"), F.lit(1).alias("top"), F.lit(0).alias("under")).distinct()
+    nodes = tops.unionByName(edges.select(F.col("b").alias("v"), F.lit(0).alias("top"), F.lit(1).alias("under")))
+    return nodes.groupBy("v").agg(F.sum("top").alias("top"), F.sum("under").alias("under")).where("under > 1 or (top > 0 and under > 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): for every node of edges (a, b) the least node of its component.
 
-    Alternating large and small stars until the edges stay the same; each step works on a written table, joins only on a node and
+    Alternating large and small stars until the edges are stars; each round works on a written table, joins only on a node and
     never brings a component together. Self loops are ignored.
     """
     now = materialise(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "stars")
-    before = None
-    while (state := _summary(now)) != before:
-        before = state
-        now = materialise(_stars(materialise(_stars(now, small=False), "stars"), small=True), "stars")
+    while not _settled(now):
+        now = materialise(_stars(_stars(now, small=False), small=True), "stars")
     roots = now.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

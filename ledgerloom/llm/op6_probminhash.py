@@ -7,9 +7,9 @@ probability Jaccard similarity of their weights. Registers are joined to BANDS b
 verified by the exact probability Jaccard of their shingles.
 
 Equal texts (same words) are one node, so copies are never paired. In a bucket every node is first compared with the bucket's least
-node only. After the components of these links are known, nodes of one bucket that are still in different classes are compared with each other, all of
-them, so no candidate is left out; classes are the components of all links. With 24 bands of 6 a pair of similarity 0.8 is a candidate with probability 0.999, one of
-0.9 with probability 1 - 1e-8.
+node. Buckets whose nodes are not all linked that way are looked at whole, in chunks: a task holds one or two chunks, finds the exact similarity of their
+nodes by a matrix product over shared shingles and gives only links that join classes. No candidate is left out and no bucket has a cap. Classes
+are the components of all links. With 24 bands of 6 a pair of similarity 0.8 is a candidate with probability 0.999, one of 0.9 with probability 1 - 1e-8.
 
 Defined results: null texts and texts without words have no class but their own; texts of fewer than five words are one
 shingle; repeated rows and equal texts share a class; the class id is the least doc_id of the class (null if none has one); an
@@ -19,13 +19,14 @@ empty table gives no rows; all columns of any names are passed on by `deduplicat
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import body, read, small_batches, travels_by_value, whole_row
+from ledgerloom.llm.common import arrow_batches, body, read, small_batches, travels_by_value, whole_row
 from ledgerloom.llm.components import components
 from ledgerloom.session import materialise
 
@@ -33,6 +34,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
 ROWS = 6
+CHUNK = 512
+_COLUMNS = 8192
 _SLICE_WORDS = 1 << 17  # handled together in a worker
 
 
@@ -150,6 +153,19 @@ def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return float(total)
 
 
+def exact_similarity(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> float:
+    """Probability Jaccard of two sets of shingles (sorted) with their counts."""
+    if not len(a) or not len(b):
+        return 0.0
+    both = np.union1d(a, b)
+    if len(x) == x.sum() and len(y) == y.sum():
+        return (len(a) + len(b) - len(both)) / len(both)
+    xs, ys = np.zeros(len(both), np.int64), np.zeros(len(both), np.int64)
+    xs[np.searchsorted(both, a)] = x
+    ys[np.searchsorted(both, b)] = y
+    return probability_jaccard(xs, ys)
+
+
 def similarity(left: Column, right: Column) -> Column:
     """Exact probability Jaccard of the shingles of two texts given as word hashes."""
 
@@ -163,11 +179,7 @@ def similarity(left: Column, right: Column) -> Column:
                 ends = [np.searchsorted(owner, np.arange(n + 1)) for owner, _, _ in sides]
                 for k in range(n):
                     (a, x), (b, y) = ((s[e[k] : e[k + 1]], c[e[k] : e[k + 1]]) for (_, s, c), e in zip(sides, ends, strict=True))
-                    both = np.union1d(a, b)
-                    xs, ys = np.zeros(len(both), np.int64), np.zeros(len(both), np.int64)
-                    xs[np.searchsorted(both, a)] = x
-                    ys[np.searchsorted(both, b)] = y
-                    out.append(probability_jaccard(xs, ys) if len(both) else 0.0)
+                    out.append(exact_similarity(a, x, b, y))
             yield pa.array(out, pa.float64())
 
     return exact(left, right)
@@ -177,51 +189,142 @@ def verified(pairs: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> D
     """The pairs (a, b) of similarity least or more; nodes: (node, text). Each text is fetched by its node."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = materialise(nodes.join(wanted, "node"), "dup-texts")
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("__left")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("__right")), "b"
-    )
-    return both.withColumn("similarity", similarity(word_hashes(F.col("__left")), word_hashes(F.col("__right")))).where(F.col("similarity") >= least).select("a", "b")
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    return both.withColumn("similarity", similarity(word_hashes(F.col("left")), word_hashes(F.col("right")))).where(F.col("similarity") >= least).select("a", "b")
+
+
+@dataclass
+class _Member:
+    node: int
+    root: int
+    chunk: int
+    keys: list[int]
+    shingles: np.ndarray
+    counts: np.ndarray
+
+
+def bucket_links(members: list[_Member], band: int, least: float) -> list[tuple[int, int]]:
+    """Links that join the classes of a bucket's members as all links of similarity least or more between them would.
+
+    members are one chunk of the bucket, or two that are held against each other. Looked at are pairs of different roots that share no earlier band. The part of
+    each one's weight that lies on the other's shingles (one matrix product) is at least the similarity, and is the Jaccard
+    similarity where all counts are one; only what passes is computed exactly, from the best on, and only while the two are not linked yet.
+    """
+    n = len(members)
+    if n < 2:
+        return []
+    roots = np.array([m.root for m in members])
+    chunks = np.array([m.chunk for m in members])
+    keys = np.array([m.keys for m in members])
+    open_ = np.triu(roots[:, None] != roots[None, :], 1)
+    if len(set(chunks.tolist())) > 1:
+        open_ &= chunks[:, None] != chunks[None, :]
+    for k in range(band):
+        open_ &= keys[:, k, None] != keys[None, :, k]
+    if not open_.any():
+        return []
+    owner = np.repeat(np.arange(n), [len(m.shingles) for m in members])
+    _, place, often = np.unique(np.concatenate([m.shingles for m in members]), return_inverse=True, return_counts=True)
+    shared = often > 1
+    number = np.cumsum(shared) - 1
+    kept = shared[place]
+    owner, column = owner[kept], number[place[kept]]
+    totals = np.array([m.counts.sum() for m in members], np.float64)
+    weight = np.concatenate([m.counts for m in members])[kept] / totals[owner]
+    mass = np.zeros((n, n), np.float32)  # of i on the shingles of j
+    order = np.argsort(column, kind="stable")
+    owner, column, weight = owner[order], column[order], weight[order]
+    for start in range(0, int(shared.sum()), _COLUMNS):
+        lo, hi = np.searchsorted(column, [start, start + _COLUMNS])
+        part, held = np.zeros((n, _COLUMNS), np.float32), np.zeros((n, _COLUMNS), np.float32)
+        part[owner[lo:hi], column[lo:hi] - start] = weight[lo:hi]
+        held[owner[lo:hi], column[lo:hi] - start] = 1
+        mass += part @ held.T
+    bound = np.minimum(mass, mass.T)
+    left, right = np.nonzero(open_ & (bound >= least - 1e-3))
+    best = np.argsort(-bound[left, right], kind="stable")
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    links = []
+    for i, j in zip(left[best].tolist(), right[best].tolist(), strict=True):
+        a, b = find(int(roots[i])), find(int(roots[j]))
+        if a != b and exact_similarity(members[i].shingles, members[i].counts, members[j].shingles, members[j].counts) >= least:
+            parent[max(a, b)] = min(a, b)
+            links.append((min(members[i].node, members[j].node), max(members[i].node, members[j].node)))
+    return links
+
+
+def remaining_links(open_rows: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between members of different roots in the same bucket; open_rows: (band, key, node, root, n), nodes: (node, text, bands).
+
+    A bucket is cut into chunks of about CHUNK members, and every two chunks meet in a group of their own.
+    """
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    rows = open_rows.withColumn("chunk", F.pmod(F.xxhash64("node", "band"), chunks).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), chunks - 1))
+    rows = rows.withColumn("other", other).select("band", "key", "node", "root", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"))
+    rows = rows.join(nodes, "node").repartition(*[F.col(c) for c in ("band", "key", "one", "two")]).sortWithinPartitions("band", "key", "one", "two", "node")
+    rows = rows.select("band", "key", "one", "two", "node", "root", "chunk", "bands", word_hashes(F.col("text")).alias("words"))
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members = None, []
+
+        def done() -> pa.RecordBatch:
+            links = bucket_links(members, group[0], least) if group else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+        for batch in batches:
+            at = [batch.column(c).to_pylist() for c in ("band", "key", "one", "two")]
+            values = [batch.column(c).to_pylist() for c in ("node", "root", "chunk", "bands")]
+            owner, found, counts = shingles(*_lists(batch.column("words")))
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            for k in range(batch.num_rows):
+                mine = tuple(x[k] for x in at)
+                if mine != group:
+                    yield done()
+                    group, members = mine, []
+                members.append(_Member(*(v[k] for v in values), found[ends[k] : ends[k + 1]].copy(), counts[ends[k] : ends[k + 1]].copy()))
+        yield done()
+
+    with arrow_batches(rows.sparkSession, 256):
+        return materialise(rows.mapInArrow(linked, "a long, b long").distinct(), "dup-more")
 
 
 def near_duplicates(rows: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """rows: a written table with row_id, doc_id and text. Gives (row_id, doc_id, node, class) and the links (a, b) between nodes.
+    """rows: a written table with row_id, doc_id and text. Gives (row_id, doc_id, node, class) and the links (a, b) that make the classes.
 
     A node is a distinct text (the least row_id that has it); node and class are null for texts without words.
     """
     small_batches(rows.sparkSession)
-    hashes = word_hashes(body())
-    signed = rows.select("row_id", "doc_id", F.md5(F.array_join(words(body()), " ")).alias("digest"), band_keys(hashes).alias("bands"))
+    signed = rows.select("row_id", "doc_id", F.md5(F.array_join(words(body()), " ")).alias("digest"), band_keys(word_hashes(body())).alias("bands"))
     signed = materialise(signed, "dup-signed")
     nodes = signed.where("bands is not null").groupBy("digest").agg(F.min("row_id").alias("node"))
-    nodes = materialise(nodes, "dup-nodes")
-    firsts = nodes.join(signed.select(F.col("row_id").alias("node"), "bands"), "node")
-    members = materialise(firsts.select("node", F.posexplode("bands").alias("band", "key")).select("node", "band", "key"), "dup-bands")
-    buckets = members.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    buckets = materialise(buckets, "dup-buckets")
+    nodes = materialise(nodes.join(signed.select(F.col("row_id").alias("node"), "bands"), "node"), "dup-nodes")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = members.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    near = materialise(members.join(materialise(buckets, "dup-buckets"), ["band", "key"]), "dup-near")
     texts = rows.select(F.col("row_id").alias("node"), "text")
 
-    near = members.join(buckets, ["band", "key"])
-    near = materialise(near, "dup-near")
-    stars = near.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    stars = materialise(stars, "dup-stars")
+    stars = materialise(near.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "dup-stars")
     links = materialise(verified(stars, texts, least), "dup-links")
-    roots = materialise(components(links), "dup-roots")
 
-    placed = near.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"))
+    roots = materialise(links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root")), "dup-roots")
+    placed = near.join(roots, "node", "left").select("band", "key", "node", F.coalesce("root", "node").alias("root"), "n")
     placed = materialise(placed, "dup-placed")
     open_ = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band", "key")
-    inside = materialise(placed.join(open_, ["band", "key"]), "dup-open")
-    a = inside.select("band", "key", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    b = inside.select("band", "key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    rest = a.join(b, ["band", "key"]).where("a < b and root_a != root_b").select("a", "b").distinct()
-    rest = materialise(rest.join(stars, ["a", "b"], "left_anti"), "dup-rest")
-    more = materialise(verified(rest, texts, least), "dup-links")
-    links = links.unionByName(more)
-    if not more.isEmpty():
-        roots = materialise(components(links), "dup-roots")
+    open_rows = placed.join(open_, ["band", "key"])
+    held = texts.join(nodes.select("node", "bands").join(near.select("node").distinct(), "node", "left_semi"), "node")
+    links = links.unionByName(remaining_links(open_rows, held, least))
+    classes_of = materialise(components(links), "dup-components")
 
     named = signed.select("row_id", "doc_id", F.when(F.col("bands").isNotNull(), F.col("digest")).alias("digest"))
-    named = named.join(nodes, "digest", "left").join(roots, "node", "left")
+    named = named.join(nodes.select("digest", "node"), "digest", "left").join(classes_of, "node", "left")
     return named.select("row_id", "doc_id", "node", F.coalesce("root", "node").alias("class")), links
 
 

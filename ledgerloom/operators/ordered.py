@@ -30,7 +30,7 @@ def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFr
 
 _LOWEST = -(1 << 62)
 _HIGHEST = (1 << 62) + 1
-_CHUNK_BYTES = 7
+_CHUNK_BYTES = 6  # 48 bits: quantiles are computed as doubles
 
 
 def _texts(kind: T.DataType, c: Column) -> list[Column]:
@@ -52,7 +52,7 @@ def _codes(df: DataFrame, order: Sequence[str], chunks: Sequence[int]) -> list[C
     """Numbers that never decrease along the order columns, nulls lowest as in a sort.
 
     Each code is exact for the columns before it, so bounds may go on with the next one; they end behind a
-    column whose code is coarser than its values (wide decimals). A text has a code for every seven bytes and one for
+    column whose code is coarser than its values (wide decimals). A text has a code for every six bytes and one for
     its length; `chunks` is taken from one frame, and texts of another frame that are longer stand behind all others of the same beginning.
     """
     out: list[Column] = []
@@ -139,7 +139,7 @@ def find_bounds(df: DataFrame, order: Sequence[str], blocks: int, chunks: Sequen
             for value in set(picked):
                 times = picked.count(value)
                 if times > 1:
-                    deeper[(*prefix, value)] = times
+                    deeper[(*prefix, value)] = times + 1  # so many runs have `times` bounds between them
         open_runs = deeper
     return sorted(bounds, key=lambda b: [*b])
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,13 +57,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
 
 
+_TRACKS: list[list[str]] = []
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """df as a table in the shared folder: computed once however many branches read it, and kept when executors go."""
     path = scratch_path(df.sparkSession, label)
+    for track in _TRACKS:
+        track.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The paths of all tables that materialise writes inside the block; hand them to drop_tables when nothing reads them any more."""
+    track: list[str] = []
+    _TRACKS.append(track)
+    try:
+        yield track
+    finally:
+        _TRACKS[:] = [t for t in _TRACKS if t is not track]
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that materialise wrote, through Spark's own file systems."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 

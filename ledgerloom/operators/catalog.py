@@ -366,3 +366,9 @@ def fabric_product_load(
         F.when(known, F.col("created_at")).otherwise(stamp).alias("created_at"),
         F.when(is_new, stamp).otherwise(F.col("updated_at")).alias("updated_at"),
     )
+
+
+def swap_names(df: DataFrame, first: str = "firstname", last: str = "lastname") -> DataFrame:
+    """The contents of two columns exchanged, all columns in their places."""
+    other = {first: last, last: first}
+    return df.select(*[F.col(f"`{other.get(c, c)}`").alias(c) for c in df.columns])

@@ -45,8 +45,24 @@ def _chunks(html: Column, open_tag: str) -> Column:
     return F.slice(F.split(marked, _CUT), 2, 1 << 30)
 
 
+def _numeric(c: Column) -> Column:
+    """&#233; and &#xe9; as characters; numbers that are none become the replacement character."""
+
+    def decoded(part: Column) -> Column:
+        digits = F.regexp_extract(part, r"^([0-9]{1,8}|[xX][0-9a-fA-F]{1,7});", 1)
+        code = F.when(digits.rlike("^[xX]"), F.conv(F.substring(digits, 2, 8), 16, 10)).otherwise(digits).cast("bigint")
+        fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(fits, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.concat(char, F.substring(part, F.length(digits) + 2, F.length(part)))
+
+    parts = F.split(c, r"&#(?=(?:[0-9]{1,8}|[xX][0-9a-fA-F]{1,7});)")
+    whole = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+    return F.when(F.contains(c, F.lit("&#")), whole).otherwise(c)
+
+
 def unescape(c: Column) -> Column:
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+    c = _numeric(c)
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
         c = F.replace(c, F.lit(name), F.lit(char))
     return c
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, numbers, text, titles
-from ledgerloom.operators import filters
+from ledgerloom.operators import catalog, filters
 from ledgerloom.plans import adapters as ad
 from ledgerloom.plans import sqlparts as q
 from ledgerloom.plans.registry import query
@@ -238,4 +238,4 @@ def safe_file_name(spark, sf):
 @query("name_swap", "SELECT c_custkey, c_mktsegment AS firstname, c_name AS lastname FROM customer")
 def name_swap(spark, sf):
     people = ad.table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("firstname"), F.col("c_mktsegment").alias("lastname"))
-    return people.select("c_custkey", F.col("lastname").alias("firstname"), F.col("firstname").alias("lastname"))
+    return catalog.swap_names(people)

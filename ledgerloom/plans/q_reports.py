@@ -11,7 +11,7 @@ from ledgerloom.plans.registry import query
 
 # lines per rendered file, and per block while one file is filled
 _FILE_LINES = 50_000
-_BLOCK = 1 << 20
+_BLOCK = 1 << 12
 
 
 def _partner_cell(spec: reports.ReportSpec) -> str:

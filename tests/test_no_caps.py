@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import sinks
 from ledgerloom.functions import numbers, text
-from ledgerloom.operators import ledger, ordered, reports
+from ledgerloom.operators import ledger, ordered, pages, reports
 from ledgerloom.plans import jobs, staging
 from ledgerloom.schemas import conform, struct
 from ledgerloom.sources import dbf, files, lines
@@ -126,6 +126,12 @@ def test_opacity_words_with_a_no_break_space(frame):
     assert frame("c string", [("Black Out X1",)]).select(text.fabric_code(F.col("c"))).first()[0] == "X1"
 
 
+def test_numeric_entities(frame):
+    rows = [("caf&#233; &#xE9;&#X1F600; &amp;#39; &#39; &#0; &#; &#55296; &lt;a&gt;&nbsp;&#",), ("plain",), (None,)]
+    got = [r[0] for r in frame("c string", rows).select(pages.unescape(F.col("c"))).collect()]
+    assert got == ["café é😀 &#39; ' \ufffd &#; \ufffd <a>\u00a0&#", "plain", None]
+
+
 def test_amounts_beyond_the_type_are_errors(frame):
     df = frame("c string", [("99999999999999.50",)])
     with pytest.raises(ArithmeticException):

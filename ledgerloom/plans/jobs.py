@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom import session
 from ledgerloom.functions import numbers, text
-from ledgerloom.operators import ledger, matching
-from ledgerloom.schemas import CREDIT_HEADER, INVOICE_DETAIL, INVOICE_HEADER, conform
+from ledgerloom.operators import ledger, matching, refresh
+from ledgerloom.schemas import CREDIT_DETAIL, CREDIT_HEADER, INVOICE_DETAIL, INVOICE_HEADER, conform
 
 _HEADER_NAMES = {
     "docnum": "doc_number",
@@ -49,6 +49,15 @@ def _allocated_details(
     return ledger.cost_enrich(allocated.drop("__key"), products)
 
 
+def _credit_details(credit_lines: DataFrame, products: DataFrame, order: Sequence[str], price_mode: str = "zero") -> DataFrame:
+    """Lines of the credit notes with price, cost and row order."""
+    priced = credit_lines.withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval"), price_mode)).withColumn(
+        "trnqty", numbers.numeric_or_zero(F.col("trnqty"))
+    )
+    numbered = ledger.line_row_order(ledger.cost_enrich(priced, products), ["docnum", "stkcod"], ["seqnum", *order])
+    return conform(numbered.withColumnsRenamed(_DETAIL_NAMES), CREDIT_DETAIL)
+
+
 def _tables(
     headers: DataFrame, details: DataFrame, lines: DataFrame, white_list: DataFrame, order: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -70,10 +79,10 @@ def invoice_ledger(
     end: dt.date,
     line_order: Sequence[str],
 ) -> dict[str, DataFrame]:
-    """Header, detail and credit tables of the invoices IV/OL/CM in the date range.
+    """Header, detail, credit and credit detail tables of the invoices IV/OL/CM in the date range.
 
     Invoices, credits and allocated lines are read by several branches, so each is written once to the shared
-    folder; refresh.replace_date_range / ledger_upsert merge the tables into the target.
+    folder; merged_headers puts the headers into the target.
     """
     invoices, credits = ledger.ledger_documents(docs, start, end)
     invoices = ledger.customer_enrich(ledger.dedupe_first(invoices, "docnum", ["line_no"]), customers)
@@ -87,7 +96,19 @@ def invoice_ledger(
     details = session.materialise(_allocated_details(lines, invoice_lines, credit_lines, products, line_order), "details")
     header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = conform(ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES), CREDIT_HEADER)
-    return {"header": header_table, "detail": detail_table, "credit": credit_table}
+    return {
+        "header": header_table,
+        "detail": detail_table,
+        "credit": credit_table,
+        "credit_detail": _credit_details(credit_lines, products, line_order),
+    }
+
+
+def merged_headers(target: DataFrame, loaded: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """The target's headers after a load: the range is purged, the loaded headers are inserted or update the ones that stand outside it, and
+    due dates follow from all documents of a bill, loaded now or before."""
+    kept = refresh.replace_date_range(target, loaded.limit(0), "doc_date", start, end)
+    return ledger.bill_due_date(refresh.ledger_upsert(kept, loaded))
 
 
 def ol_sl_ledger(
@@ -127,7 +148,12 @@ def ol_sl_ledger(
     details = session.materialise(allocated, "details")
     header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
     credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
-    return {"header": header_table, "detail": detail_table, "credit": conform(credit_table, CREDIT_HEADER)}
+    return {
+        "header": header_table,
+        "detail": detail_table,
+        "credit": conform(credit_table, CREDIT_HEADER),
+        "credit_detail": _credit_details(credit_lines, products, line_order, "value"),
+    }
 
 
 def dealer_invoices(

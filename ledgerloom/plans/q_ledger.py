@@ -6,13 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.functions import dates, numbers
 from ledgerloom.operators import filters, ledger, matching, ordered, refresh
 from ledgerloom.plans import adapters as ad
 from ledgerloom.plans import jobs
 from ledgerloom.plans import sqlparts as q
 from ledgerloom.plans.registry import query
-from ledgerloom.schemas import MONEY, TOTAL
+from ledgerloom.schemas import INVOICE_HEADER, MONEY, TOTAL
 
 START, END = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
 _RANGE = "docdat BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
@@ -280,16 +281,19 @@ def _job(spark, sf):
 _AREA_ONLY = _AREA_SQL.replace(f"{q.CUSTOMERS}, ", "")
 
 
-@query(
-    "invoice_ledger",
-    f"""{_JOB_SQL}, {_AREA_ONLY}, {_REMARK_SQL}, {_DUE.format(docs="invoices")}
+_HEADER_SQL = f"""{_JOB_SQL}, {_AREA_ONLY}, {_REMARK_SQL}, {_DUE.format(docs="invoices")}
     SELECT i.docnum AS doc_number, i.docdat AS doc_date, r.so_number, i.cuscod AS customer_code, c.cusnam AS customer_name, c.cusnam AS customer_group,
       i.amount, i.remamt AS remamount, i.total, k.cost_total, CAST(i.amount - i.total AS {q.M}) AS discount, i.docstat AS doc_stat,
       coalesce(k.status, 0) AS status, coalesce(c.paytrm, 0) AS paytrm, i.dlvby, r.remark,
       CASE WHEN i.bilnum NOT IN ('', '~') THEN i.bilnum END AS bilnum, codes.sale_area_code, coalesce(due.due, i.duedat) AS duedat
     FROM invoices i LEFT JOIN customers c USING (cuscod) LEFT JOIN codes USING (cuscod) LEFT JOIN consolidated r USING (docnum)
-    LEFT JOIN costed k ON k.doc_number = i.docnum LEFT JOIN due ON due.bilnum = i.bilnum""",
-)
+    LEFT JOIN costed k ON k.doc_number = i.docnum LEFT JOIN due ON due.bilnum = i.bilnum"""
+_CREDIT_LINES_SQL = f"""SELECT c.docnum AS doc_number, c.docdat AS doc_date, c.seqnum, row_number() OVER (PARTITION BY c.docnum, c.stkcod ORDER BY c.seqnum, {q.LINE_ORDER}) AS row_order,
+      c.stkcod, c.stkdes, c.people, c.flag, c.trnqty, c.unitpr AS unit_price, c.disc AS discount, c.trnval, CAST(coalesce(pr.unitpr, 0) AS {q.M}) AS cost
+    FROM cl c LEFT JOIN products pr ON pr.stkcod = c.stkcod"""
+
+
+@query("invoice_ledger", _HEADER_SQL)
 def invoice_ledger(spark, sf):
     return _job(spark, sf)["header"]
 
@@ -299,6 +303,52 @@ def invoice_ledger_detail(spark, sf):
     return _job(spark, sf)["detail"]
 
 
+@query(
+    "invoice_ledger_credit",
+    f"""{_JOB_SQL} SELECT d.docnum AS doc_number, d.docdat AS doc_date, d.sonum AS so_number, d.cuscod AS customer_code, c.cusnam AS customer_name,
+      c.cusnam AS customer_group, d.amount, d.total, d.docstat AS doc_stat FROM credit_docs d LEFT JOIN customers c USING (cuscod)""",
+)
+def invoice_ledger_credit(spark, sf):
+    return _job(spark, sf)["credit"]
+
+
+@query("invoice_ledger_credit_lines", f"{_JOB_SQL} {_CREDIT_LINES_SQL}")
+def invoice_ledger_credit_lines(spark, sf):
+    return _job(spark, sf)["credit_detail"]
+
+
+_UPDATED = ", ".join(f"CASE WHEN n.doc_number IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in refresh.LEDGER_UPDATE_COLUMNS)
+_KEPT = ", ".join(
+    f"CASE WHEN o.doc_number IS NOT NULL THEN o.{f.name} ELSE n.{f.name} END AS {f.name}" for f in INVOICE_HEADER.fields if f.name not in refresh.LEDGER_UPDATE_COLUMNS
+)
+
+
+@query(
+    "invoice_ledger_refresh",
+    f"""WITH header AS ({_HEADER_SQL}),
+    target AS (SELECT * REPLACE (CASE WHEN status = 0 THEN CAST(doc_date - 4000 AS DATE) ELSE doc_date END AS doc_date, CAST(amount + 1 AS {q.M}) AS amount, CAST(NULL AS DATE) AS duedat)
+      FROM header WHERE paytrm > 0 UNION ALL SELECT * REPLACE ('IX' || doc_number AS doc_number, CAST(doc_date - 4000 AS DATE) AS doc_date) FROM header),
+    kept AS (SELECT * FROM target WHERE doc_date IS NULL OR NOT doc_date BETWEEN DATE '{START}' AND DATE '{END}'),
+    merged AS (SELECT {_KEPT}, {_UPDATED} FROM kept o FULL JOIN header n ON o.doc_number = n.doc_number),
+    bills AS (SELECT bilnum, CAST(max(doc_date) + max(paytrm) AS DATE) AS due FROM merged WHERE left(doc_number, 2) IN ('IV','CM','OL') AND bilnum NOT IN ('', '~') GROUP BY bilnum)
+    SELECT m.* REPLACE (CASE WHEN left(doc_number, 2) IN ('IV','CM','OL') THEN coalesce(due, duedat) ELSE duedat END AS duedat)
+    FROM merged m LEFT JOIN bills USING (bilnum)""",
+)
+def invoice_ledger_refresh(spark, sf):
+    """The job's headers into a target that holds some of them with other dates and amounts, and others under the same bills."""
+    header = session.materialise(_job(spark, sf)["header"], "headers")
+    older = F.date_sub("doc_date", 4000)
+    target = header.where("paytrm > 0").withColumns(
+        {
+            "doc_date": F.when(F.col("status") == 0, older).otherwise(F.col("doc_date")),
+            "amount": (F.col("amount") + 1).cast(MONEY),
+            "duedat": F.lit(None).cast("date"),
+        }
+    )
+    target = target.unionByName(header.withColumns({"doc_number": F.concat(F.lit("IX"), F.col("doc_number")), "doc_date": older}))
+    return jobs.merged_headers(target, header, START, END)
+
+
 @query(
     "invoice_cost_status",
     f"""WITH {q.ARTRN}, {q.PRODUCTS}, {q.WHITE_LIST}, {q.details(_FOLD)}, detail AS (SELECT d.docnum AS doc_number, d.stkcod, coalesce(p.unitpr, 0) AS cost,

@@ -51,6 +51,10 @@ INVOICE_DETAIL = struct(
     " trnval money, cost money, qty_sc_sr_deducted money,"
     " qty_balance money, unit_price_from_sc_sr money"
 )
+CREDIT_DETAIL = struct(
+    "doc_number string, doc_date date, seqnum int, row_order bigint, stkcod string, stkdes string,"
+    " people string, flag string, trnqty money, unit_price money, discount string, trnval money, cost money"
+)
 CASH_LEDGER = struct(
     "docnum string, docdat date, type string, cuscod string, supcod string, chqnum string, trndat date,"
     " bnkacc string, payindat date, net_amt money, date date, chqdat date, remark string,"

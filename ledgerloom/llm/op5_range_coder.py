@@ -50,7 +50,9 @@ class Model:
         self.after2 = np.zeros(lanes * _SLOTS2, np.uint16)
         self.sums = np.zeros((lanes, VOCABULARY + 1), np.uint16)
         self.ids = np.zeros((lanes, 1 << _ORDER0), np.uint16)
-        self.weights = np.tile(np.array([2, 2, 8, 8], np.uint64), (lanes, 4, 1))
+        self.weights = np.tile(np.array([2, 2, 8, 8], np.uint64), (lanes * 4, 1))
+        self.flat_sums, self.flat_ids = self.sums.reshape(-1), self.ids.reshape(-1)  # the same memory, found by one index
+        self.row1, self.row2, self.row_sums, self.row_ids = (self.lane * k for k in (_SLOTS1, _SLOTS2, VOCABULARY + 1, 1 << _ORDER0))
         self.before1 = np.zeros(lanes, np.int64)
         self.before2 = np.zeros(lanes, np.int64)
         self.hit = np.zeros(lanes, np.int64)
@@ -80,23 +82,25 @@ class Model:
 
     def predict(self, n: int) -> None:
         """The two context predictions and the borders of the four shares, in units of 1 / 2 ** _TOTAL."""
-        self.at1 = self.lane[:n] * _SLOTS1 + (self.before1[:n] & (_SLOTS1 - 1))
-        self.at2 = self.lane[:n] * _SLOTS2 + ((self.before2[:n] * 40_503 + self.before1[:n]) & (_SLOTS2 - 1))
-        self.id1, self.id2 = self.after1[self.at1], self.after2[self.at2]
-        self.case = 2 * (self.id1 == self.id2) + self.hit[:n]
-        self.weight = self.weights[self.lane[:n], self.case]
+        self.at1 = self.row1[:n] + (self.before1[:n] & (_SLOTS1 - 1))
+        self.at2 = self.row2[:n] + ((self.before2[:n] * 40_503 + self.before1[:n]) & (_SLOTS2 - 1))
+        self.id1, self.id2 = self.after1.take(self.at1), self.after2.take(self.at2)
+        self.case = 4 * self.lane[:n] + 2 * (self.id1 == self.id2) + self.hit[:n]
+        self.weight = self.weights.take(self.case, axis=0)
         # a 256th of the range is never given away, so that the share of the uniform chance is a multiple of the vocabulary
-        unit = np.uint64((1 << _TOTAL) - (1 << 16)) // self.weight.sum(axis=1)
-        self.edge2 = unit * self.weight[:, 0]
-        self.edge1 = self.edge2 + unit * self.weight[:, 1]
-        self.share0 = unit * self.weight[:, 2] if self.known else np.zeros(n, np.uint64)
+        w2, w1, w0, uniform = self.weight.T
+        self.sum = w2 + w1 + w0 + uniform
+        unit = np.uint64((1 << _TOTAL) - (1 << 16)) // self.sum
+        self.edge2 = unit * w2
+        self.edge1 = self.edge2 + unit * w1
+        self.share0 = unit * w0 if self.known else np.zeros(n, np.uint64)
         self.edge0 = self.edge1 + self.share0
         self.each = (np.uint64(1 << _TOTAL) - self.edge0) >> np.uint64(16)
 
     def interval(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, width) of the ids; what_hit tells which share they lie in."""
-        lane = self.lane[:n]
-        low, high = self.sums[lane, ids].astype(np.uint64), self.sums[lane, ids + 1].astype(np.uint64)
+        at = self.row_sums[:n] + ids
+        low, high = self.flat_sums.take(at).astype(np.uint64), self.flat_sums.take(at + 1).astype(np.uint64)
         from0, to0 = (low * self.share0) >> np.uint64(_ORDER0), (high * self.share0) >> np.uint64(_ORDER0)
         is2 = ids == self.id2
         is1 = (ids == self.id1) & ~is2
@@ -114,17 +118,16 @@ class Model:
         """The ids whose intervals hold the values."""
         in0 = np.maximum(value, self.edge1) - self.edge1
         slot = np.minimum((((in0 + np.uint64(1)) << np.uint64(_ORDER0)) - np.uint64(1)) // np.maximum(self.share0, np.uint64(1)), np.uint64((1 << _ORDER0) - 1))
-        ids = np.where(value < self.edge0, self.ids[self.lane[:n], slot.astype(np.int64)], ((np.maximum(value, self.edge0) - self.edge0) // self.each).astype(np.uint16))
+        ids = np.where(value < self.edge0, self.flat_ids.take(self.row_ids[:n] + slot.astype(np.int64)), ((np.maximum(value, self.edge0) - self.edge0) // self.each).astype(np.uint16))
         ids = np.where(value < self.edge1, self.id1, ids)
         return np.where(value < self.edge2, self.id2, ids).astype(np.int64)
 
     def learn(self, n: int, ids: np.ndarray) -> None:
-        lane = self.lane[:n]
-        self.weight[np.arange(n), self.said] += np.uint64(4)
-        full = self.weight.sum(axis=1) > 4000
+        self.weight[self.lane[:n], self.said] += np.uint64(4)
+        full = self.sum > 3996
         if full.any():
             self.weight[full] = (self.weight[full] >> np.uint64(1)) + np.uint64(1)
-        self.weights[lane, self.case] = self.weight
+        self.weights[self.case] = self.weight
         self.hit[:n] = self.said < 2
         self.after1[self.at1] = ids
         self.after2[self.at2] = ids
@@ -276,7 +279,8 @@ def write_ids(docs: DataFrame, file: str, end: int = END) -> DataFrame:
 
     part, _ = ranges(docs, "doc_id")
     rows = docs.select("doc_id", body().alias("text")).withColumn("part", part).withColumn("tie", F.xxhash64("text"))
-    rows = rows.repartition(shuffle_width(docs.sparkSession), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "tie").drop("tie")
+    # by range: parts are numbered, and a hash would put several into one task
+    rows = rows.repartitionByRange(shuffle_width(docs.sparkSession), "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_last(), "tie").drop("tie")
     with arrow_batches(docs.sparkSession, 256):
         return materialise(rows.mapInArrow(write, "part int, place int, n_ids long, data binary"), "id-files")
 
@@ -312,7 +316,7 @@ def read_ids(files: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("file_start", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(parts, "part").select("part", "place", (F.col("part_start") + F.col("file_start")).alias("file_start"))
     with arrow_batches(files.sparkSession, 1):
-        documents = files.repartition(shuffle_width(files.sparkSession), "part", "place").mapInArrow(opened, "part int, place int, doc_id long, inside long, n_tokens long, ids_crc32 long")
+        documents = files.repartitionByRange(shuffle_width(files.sparkSession), "part", "place").mapInArrow(opened, "part int, place int, doc_id long, inside long, n_tokens long, ids_crc32 long")
         documents = materialise(documents, "id-documents")
     return documents.join(materialise(starts, "id-starts"), ["part", "place"]).select("doc_id", (F.col("file_start") + F.col("inside")).cast("long").alias("start"), "n_tokens", "ids_crc32")
 

@@ -87,6 +87,8 @@ def pareto_copies(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> Dat
     rest = F.col("open") - F.col("above")
     limit = steps.where(rest * F.col("size") <= F.col("squares")).groupBy("__source").agg(F.max_by(rest / F.col("squares"), F.col("size")).alias("c"))
     t = t.join(limit.withColumnRenamed("__source", "__s"), F.col("__source").eqNullSafe(F.col("__s")), "left").drop("__s")
+    # tables of one row per source are written: their size is known then, and rows need no shuffle to meet a small one
+    t = materialise(t, "mix-targets")
 
     p = F.least(F.lit(1.0), F.coalesce(F.col("c"), F.lit(0.0)) * F.col("size"))
     u = uniform(F.col("doc_id"), seed)
@@ -104,6 +106,7 @@ def pareto_copies(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> Dat
         .agg(F.min(F.struct("bin", "before")).alias("last"))
         .select(F.col("source").alias("__source"), F.col("last.bin").alias("last_bin"), F.col("last.before").alias("before"))
     )
+    last = materialise(last, "mix-last")
     placed = rows.join(last, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
     inside = placed.where("bin = last_bin")
     order = Window.partitionBy("source").orderBy("value", "doc_id", "size", "row_id").rowsBetween(Window.unboundedPreceding, 0)
@@ -113,13 +116,16 @@ def pareto_copies(sized: DataFrame, targets: DataFrame, seed: str = SEED) -> Dat
     )
     # where no bin ends the sample, it takes all; nothing is open then unless every document is taken
     chosen = outside.unionByName(inside).withColumn("taken_once", F.col("taken_once") & (F.col("open") > 0) & (F.col("size") > 0))
+    chosen = materialise(chosen, "mix-chosen")
     gaps = (
         chosen.groupBy("source")
         .agg(F.first("open").alias("o"), F.sum(F.when(F.col("taken_once"), F.col("size")).otherwise(0)).alias("got"))
         .select(F.col("source").alias("__source"), (F.col("o") - F.col("got")).alias("gap"))
     )
+    gaps = materialise(gaps, "mix-gaps")
     near = chosen.join(gaps, F.col("source").eqNullSafe(F.col("__source"))).where("not taken_once and size > 0 and size < 2 * gap")
     closing = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")), "value", "doc_id", "row_id")).alias("m")).select(F.col("m.row_id").alias("__row"))
+    closing = materialise(closing, "mix-closing")
     return (
         chosen.join(closing, F.col("row_id") == F.col("__row"), "left")
         .withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.when(F.col("taken_once") | F.col("__row").isNotNull(), 1).otherwise(0)).otherwise(0).cast("long"))
@@ -139,7 +145,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST,
     rows = materialise(docs.select(whole_row(docs), F.monotonically_increasing_id().alias("row_id")), "mix-rows")
     copies = mix(rows.select("row_id", "doc.doc_id", "doc.text", "doc.source"), weights, most, seed)
     copies = materialise(copies.where("copies > 0").select("row_id", "copies"), "mix-copies")
-    out = rows.join(copies, "row_id")
+    out = rows.join(copies.hint("merge"), "row_id")  # no broadcast: the table grows with the rows
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 

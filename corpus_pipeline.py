@@ -1,7 +1,13 @@
-"""Training-text pipeline over the documents: each stage's rows are written and read again as the next one's input."""
+"""Training-text pipeline over the documents: each stage's rows are written and read again as the next one's input.
+
+A stage drops the working tables of the stage called before it: that one's rows have been written by then.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,30 +16,51 @@ from ledgerloom.llm import op2_disclosure as op2
 from ledgerloom.llm import op6_probminhash as op6
 from ledgerloom.llm import op9_language_id as op9
 from ledgerloom.llm import op10_pack as op10
-from ledgerloom.session import materialise, tune
+from ledgerloom.session import drop_tables, materialise, tracked, tune
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_WORKING: list[str] = []
+
+
+def stage(fn: Stage) -> Stage:
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _WORKING)
+        _WORKING.clear()
+        with tracked() as paths:
+            out = fn(spark, docs, sf_dir)
+        _WORKING.extend(paths)
+        return out
+
+    return run_stage
 
 
+@stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell."""
     return op9.accepted(docs)
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
     return op6.deduplicated(docs)
 
 
+@stage
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without personal data and the terms that disclose it; n_chars follows the text."""
     clean = op2.sanitised(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     return op1.mixed(docs)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their sequences and places."""
     import public_tokenizers
@@ -54,6 +81,6 @@ ORACLE_SQL = None  # the network, the sketches and the packing plan are no SQL;
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, step in STAGES[:-1]:
+        docs = materialise(step(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -107,4 +107,9 @@ def kept_in_worker(key: Any, make: Callable[[], Any]) -> Any:
     return store[key]
 
 
+def forget_kept() -> None:
+    """Free what earlier work has kept in this worker process."""
+    sys.modules.get("_kept_in_worker", types.ModuleType("_")).__dict__.pop("store", None)
+
+
 travels_by_value(__name__)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_batches, body, read, small_batches, travels_by_value, whole_row
+from ledgerloom.llm.common import arrow_batches, body, forget_kept, read, small_batches, travels_by_value, whole_row
 from ledgerloom.llm.components import components
 from ledgerloom.session import materialise
 
@@ -35,7 +35,7 @@ SIMILARITY = 0.8
 BANDS = 24
 ROWS = 6
 CHUNK = 512
-_COLUMNS = 8192
+_COLUMNS = 4096
 _SLICE_WORDS = 1 << 17  # handled together in a worker
 
 
@@ -121,6 +121,7 @@ def band_keys(hashes: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
 
     @F.arrow_udf("array<bigint>")
     def keys(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget_kept()
         for batch in batches:
             parts = []
             for (part,) in _slices(batch):
@@ -185,10 +186,8 @@ def similarity(left: Column, right: Column) -> Column:
     return exact(left, right)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of similarity least or more; nodes: (node, text). Each text is fetched by its node."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = materialise(nodes.join(wanted, "node"), "dup-texts")
+def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) of similarity least or more; texts: (node, text)."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
     return both.withColumn("similarity", similarity(word_hashes(F.col("left")), word_hashes(F.col("right")))).where(F.col("similarity") >= least).select("a", "b")
 
@@ -309,7 +308,10 @@ def near_duplicates(rows: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
     members = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     near = materialise(members.join(materialise(buckets, "dup-buckets"), ["band", "key"]), "dup-near")
-    texts = rows.select(F.col("row_id").alias("node"), "text")
+    # every node of a bucket leads it or has a link to its leader, so these are all texts that are ever compared. No broadcast of
+    # nodes: their number grows with the rows
+    company = near.select("node").distinct().hint("merge")
+    texts = materialise(rows.select(F.col("row_id").alias("node"), "text").join(company, "node"), "dup-texts")
 
     stars = materialise(near.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "dup-stars")
     links = materialise(verified(stars, texts, least), "dup-links")
@@ -319,7 +321,7 @@ def near_duplicates(rows: DataFrame, least: float = SIMILARITY) -> tuple[DataFra
     placed = materialise(placed, "dup-placed")
     open_ = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("band", "key")
     open_rows = placed.join(open_, ["band", "key"])
-    held = texts.join(nodes.select("node", "bands").join(near.select("node").distinct(), "node", "left_semi"), "node")
+    held = texts.join(nodes.select("node", "bands"), "node")
     links = links.unionByName(remaining_links(open_rows, held, least))
     classes_of = materialise(components(links), "dup-components")
 
@@ -346,7 +348,7 @@ def deduplicated(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     placed = materialise(near_duplicates(rows.select("row_id", "doc.doc_id", "doc.text"), least)[0], "dup-classes")
     kept = placed.groupBy(F.coalesce("class", -1 - F.col("row_id")).alias("c")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("m"))
     kept = materialise(kept.select(F.col("m.row_id").alias("row_id")), "dup-kept")
-    return rows.join(kept, "row_id", "left_semi").select("doc.*")
+    return rows.join(kept.hint("merge"), "row_id", "left_semi").select("doc.*")
 
 
 def op6_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import read, small_batches, travels_by_value, whole_row
+from ledgerloom.llm.common import forget_kept, read, small_batches, travels_by_value, whole_row
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -180,6 +180,7 @@ def predict(text: Column, net: Network) -> Column:
 
     @F.arrow_udf("lang_pred string, score double")
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget_kept()
         for batch in batches:
             means, counts = classify(net, batch)
             best = means.argmax(axis=1)

@@ -3,8 +3,9 @@
 Documents become token ids with an end id; longer ones than a sequence are cut, their first piece being the shorter one.
 Sequences are planned from the number of pieces of each length (at most `capacity` rows whatever the input): the longest
 piece left opens a sequence, the undominated fillings of the room beside it are enumerated and taken as often as the counts allow.
-Best-fit solutions are the incumbents, and branches are cut where their waste exceeds what a better solution could have. Then the
-pieces of each length are numbered in parts, and the number gives the sequence and the place.
+Best-fit solutions are the incumbents. Where they miss the bound, most of their patterns are fixed and the pieces of a few searched anew, then all
+of them; branches are cut where their waste exceeds what a better solution could have. The budget counts branches, not the steps of a descent, and
+grows with the number of lengths; a plan above the bound at its end need not be the shortest. Then the pieces of each length are numbered in parts, and the number gives the sequence and the place.
 
 Defined results: null text is empty and has the end id alone; a null doc_id and repeated rows are packed as rows of
 their own; an empty table gives no rows; columns beside doc_id and text are not read.
@@ -12,8 +13,9 @@ their own; an empty table gives no rows; columns beside doc_id and text are not
 
 from __future__ import annotations
 
+import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +29,8 @@ from ledgerloom.session import materialise
 
 CAPACITY = 1024
 END = 2
-NODES = 300
+NODES = 8  # branches for each length that occurs
+BRANCHES = 30  # of them for one try to save a sequence among a few
 FILLINGS = 24
 STEPS = 1_500
 PIECE_COST = 8  # waste that a filling may have more for each piece it has less: short pieces are kept for later
@@ -41,12 +44,17 @@ def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLING
     Lengths are tried from long to short. A filling with room for another piece, or in which a piece could be exchanged for a longer one that
     is left, is dominated. The search ends with `most` fillings or after `steps` places, the ones with longer pieces come first.
     """
+    return _enumerated(counts, longest, capacity, most, steps, piece_cost)[0]
+
+
+def _enumerated(counts: list[int], longest: int, capacity: int, most: int, steps: int, piece_cost: int) -> tuple[list[tuple[int, Pattern]], bool]:
+    """The fillings, and whether they are all there are."""
     room = capacity - longest
     left = counts[: capacity + 1]
     left[longest] -= 1
     lengths = [n for n in range(min(room, longest), 0, -1) if left[n] > 0]
     if not lengths:
-        return [(room, ((longest, 1),))]
+        return [(room, ((longest, 1),))], True
     found: dict[Pattern, int] = {}
     shortest, tried, perfect = lengths[-1], 0, 0
     stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())]
@@ -81,7 +89,7 @@ def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLING
         for n, take in chosen:
             whole[n] += take
         found[tuple(sorted(whole.items(), reverse=True))] = open_
-    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0] + piece_cost * sum(t for _, t in x[1]), x[1]))
+    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0] + piece_cost * sum(t for _, t in x[1]), x[1])), not stack
 
 
 def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -110,6 +118,32 @@ def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
     return [(tuple(sorted(p.items(), reverse=True)), many) for g in groups.values() for p, many in g]
 
 
+@dataclass(init=False)
+class _Level:
+    """The untried fillings around one longest piece, the best last; enumerated further when all of them have failed."""
+
+    longest: int
+    options: list[tuple[int, Pattern, int]]
+    whole: bool
+    entered: bool = False
+
+    def __init__(self, counts: list[int], longest: int, capacity: int):
+        self.longest, self.options, self.whole, self.entered = longest, [], not longest, False
+        self.seen: set[Pattern] = set()
+        self.most, self.steps = FILLINGS, STEPS
+        if longest:
+            self._enumerate(counts, capacity)
+
+    def _enumerate(self, counts: list[int], capacity: int) -> None:
+        found, self.whole = _enumerated(counts, self.longest, capacity, self.most, self.steps, PIECE_COST)
+        self.options = [(waste, p, 0) for waste, p in reversed(found) if p not in self.seen]
+        self.seen.update(p for _, p in found)
+
+    def widen(self, counts: list[int], capacity: int) -> None:
+        self.most, self.steps = 4 * self.most, 4 * self.steps
+        self._enumerate(counts, capacity)
+
+
 @dataclass
 class _Search:
     capacity: int
@@ -124,13 +158,17 @@ class _Search:
         return sum(n for _, n in self.best)
 
     def run(self, counts: list[int]) -> None:
-        """Depth first without recursion: each level holds the fillings still to be tried around its longest piece."""
-        levels: list[tuple[list[tuple[int, Pattern]], int]] = []
+        """Depth first without recursion: each level holds the fillings still to be tried around its longest piece.
+
+        The first filling of a level is free, whatever the depth; each further one, and each wider enumeration of a level, is a branch of the budget.
+        A filling is taken as often as the counts and the waste allow, then half as often, down to once.
+        """
+        levels: list[_Level] = []
         longest, waste, used = self._longest(counts, self.capacity), 0, 0
-        levels.append((fillings(counts, longest, self.capacity)[::-1], longest) if longest else ([], 0))
+        levels.append(_Level(counts, longest, self.capacity))
         wastes: list[int] = []
         while levels and self.nodes > 0 and self.sequences > self.least:
-            options, longest = levels[-1]
+            level = levels[-1]
             if len(self.path) == len(levels):  # back from below: take the filling out
                 pattern, many = self.path.pop()
                 for n, take in pattern:
@@ -138,28 +176,37 @@ class _Search:
                 used -= many
                 waste -= wastes.pop()
             spare = (self.sequences - 1) * self.capacity - self.total
-            if not options:
-                levels.pop()
+            if not level.options:
+                if level.whole:
+                    levels.pop()
+                else:
+                    self.nodes -= level.steps // STEPS
+                    level.widen(counts, self.capacity)
                 continue
-            lost, pattern = options.pop()
+            lost, pattern, limit = level.options.pop()
             if waste + lost > spare:
                 continue
-            self.nodes -= 1
+            self.nodes -= level.entered
+            level.entered = True
             many = min(counts[n] // take for n, take in pattern)
             if lost:
                 many = max(1, min(many, (spare - waste) // lost))
+            many = min(many, limit or many)
+            if many > 1:
+                level.options.append((lost, pattern, many // 2))
             for n, take in pattern:
                 counts[n] -= take * many
             self.path.append((pattern, many))
             wastes.append(lost * many)
             waste, used = waste + lost * many, used + many
-            longest = self._longest(counts, longest)
-            if not longest:
-                if used < self.sequences:
-                    self.best = list(self.path)
-                levels.append(([], 0))
-            else:
-                levels.append((fillings(counts, longest, self.capacity)[::-1], longest))
+            longest = self._longest(counts, level.longest)
+            if not longest and used < self.sequences:
+                self.best = list(self.path)
+            levels.append(_Level(counts, longest, self.capacity))
+        for pattern, many in self.path:
+            for n, take in pattern:
+                counts[n] += take * many
+        self.path.clear()
 
     @staticmethod
     def _longest(counts: list[int], start: int) -> int:
@@ -193,18 +240,71 @@ def least_sequences(counts: list[int], capacity: int) -> int:
     return best
 
 
-def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Pattern, int]]:
-    """(pattern, how many sequences) that use up all pieces."""
+def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY, nodes: int | None = None) -> list[tuple[Pattern, int]]:
+    """(pattern, how many sequences) that use up all pieces; nodes is the budget of branches, by default NODES for each length there is."""
     counts = [0] * (capacity + 1)
     for n, many in counts_by_length.items():
         counts[n] = many
     total = sum(n * many for n, many in counts_by_length.items())
-    incumbents = sorted((best_fit(counts, capacity), completed(counts, capacity), completed(counts, capacity, 0)), key=lambda s: sum(n for _, n in s))
-    search = _Search(capacity, total, least_sequences(counts, capacity), incumbents[0], nodes)
+    left = NODES * max(1, len(counts_by_length)) if nodes is None else nodes
+    least, best = least_sequences(counts, capacity), best_fit(counts, capacity)
+    for piece_cost in (PIECE_COST, 0):
+        if _sequences(best) > least:
+            best = min(best, completed(counts, capacity, piece_cost), key=_sequences)
+    if _sequences(best) > least:
+        best = repaired(best, least, capacity, left // 2)
+    search = _Search(capacity, total, least, best, left - left // 2)
     search.run(counts)
     return search.best
 
 
+def _sequences(solution: list[tuple[Pattern, int]]) -> int:
+    return sum(many for _, many in solution)
+
+
+def repaired(solution: list[tuple[Pattern, int]], least: int, capacity: int, nodes: int) -> list[tuple[Pattern, int]]:
+    """All but a few patterns of a solution are fixed, and the pieces of those few are searched anew, as often as there are branches.
+
+    One of the few has room. A try is taken over if it needs fewer sequences, or as many and the room is in fewer of them: it gathers until a sequence is saved.
+    """
+    rng, now = random.Random(0), Counter(dict(_summed(solution)))
+    room = {p: capacity - sum(n * take for n, take in p) for p in now}
+    worth = lambda some: sum(many * (capacity - room[p]) ** 2 for p, many in some)
+    while nodes > 0 and now.total() > least:
+        patterns = list(now)
+        loose = [p for p in patterns if room[p]]
+        chosen = {rng.choice(loose or patterns), *rng.sample(patterns, min(len(patterns), rng.randint(1, 8)))}
+        many = min(now[p] for p in chosen) if rng.random() < 0.5 else 1
+        old, counts = [(p, many) for p in sorted(chosen)], [0] * (capacity + 1)
+        for p, _ in old:
+            for n, take in p:
+                counts[n] += take * many
+        total = sum(n * c for n, c in enumerate(counts))
+        new = completed(counts, capacity, rng.choice((0, PIECE_COST)))
+        nodes -= 1
+        fewest = -(-total // capacity)
+        if fewest < len(old) * many <= _sequences(new):
+            search = _Search(capacity, total, max(fewest, least_sequences(counts, capacity)), old, min(nodes, BRANCHES))
+            before = search.nodes
+            search.run(counts)
+            nodes -= before - max(search.nodes, 0)
+            new = search.best if search.sequences < len(old) * many else new
+        for p, _ in new:
+            room[p] = capacity - sum(n * take for n, take in p)
+        if (-_sequences(new), worth(new)) >= (-len(old) * many, worth(old)):
+            now.subtract(dict(old))
+            now.update(dict(_summed(new)))
+            now = +now
+    return list(now.items())
+
+
+def _summed(solution: list[tuple[Pattern, int]]) -> list[tuple[Pattern, int]]:
+    out: Counter[Pattern] = Counter()
+    for p, many in solution:
+        out[p] += many
+    return list(out.items())
+
+
 def plan_rows(solution: list[tuple[Pattern, int]]) -> list[tuple[int, int, int, int, int, int]]:
     """(length, first number, end number, pieces in a sequence, first sequence, first place)."""
     out, taken, sequence = [], defaultdict(int), 0

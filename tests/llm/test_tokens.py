@@ -139,6 +139,31 @@ def test_plans_are_as_short_as_brute_force(seed):
     assert sum(many for _, many in solution) == fewest(items, capacity)
 
 
+def cut_sequences(seed, bins, parts, shortest, capacity=1024):
+    """Pieces that fill so many sequences to the last place."""
+    rng, out = random.Random(seed), Counter()
+    while bins:
+        cuts = sorted(rng.sample(range(1, capacity), rng.choice(parts) - 1))
+        pieces = [b - a for a, b in zip([0, *cuts], [*cuts, capacity], strict=True)]
+        if min(pieces) >= shortest:
+            out.update(pieces)
+            bins -= 1
+    return dict(out)
+
+
+@pytest.mark.parametrize("bins,parts,shortest,lengths", [(500, (2, 3), 60, 658), (3000, (2, 2, 2, 3), 1, 1021)])
+def test_default_budget_backtracks_on_many_lengths(bins, parts, shortest, lengths):
+    pieces, used = cut_sequences(5, bins, parts, shortest), Counter()
+    assert len(pieces) == lengths
+    solution = op10.plan(pieces)
+    for pattern, many in solution:
+        assert many > 0 and sum(n * take for n, take in pattern) <= 1024
+        for n, take in pattern:
+            used[n] += take * many
+    assert used == Counter(pieces)
+    assert sum(many for _, many in solution) == bins
+
+
 def test_columns_stay(frame):
     docs = frame("doc_id long, text string, extra int", [(1, "a", 7)])
     assert op3.token_counts(docs, PIECES).select("extra").first()[0] == 7

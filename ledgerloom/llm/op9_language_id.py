@@ -2,8 +2,8 @@
 
 Bytes are embedded, filters of several widths slide over a window of WINDOW bytes, each filter's highest value in the window
 is kept, and a softmax layer gives the languages' probabilities. The network is trained in numpy on a bounded sample
-of labelled rows (about SAMPLE_PER_LANG documents of each language, WINDOWS_PER_DOC windows of each, at most MOST_LANGS languages,
-the most frequent ones). Every text is read whole: all its windows are classified and their probabilities averaged.
+of labelled rows (about SAMPLE_PER_LANG documents of each language, fewer of each where there are so many languages that this would be
+above SAMPLE documents; WINDOWS_PER_DOC windows of each). All languages are learnt. Every text is read whole: all its windows are classified and their probabilities averaged.
 
 Defined results: null text and text without letters are `und` with score 0; rows without lang or doc_id are predicted but
 not learned from; ties go to the language that sorts first; equal texts get equal predictions; without any labelled row all
@@ -28,10 +28,10 @@ FILTERS = 12
 EMBEDDING = 8
 SAMPLE_PER_LANG = 1000
 WINDOWS_PER_DOC = 3
-MOST_LANGS = 64
+SAMPLE = 64_000
 EPOCHS = 8
 UNKNOWN = "und"
-MIN_SCORE = 0.3
+MARGIN = 1 / 15  # of the way from 1 / n, the score of a network that cannot tell n languages apart, to 1
 _BATCH = 64
 
 
@@ -127,13 +127,12 @@ def held_out(doc_id: Column) -> Column:
 def training_windows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, windows: int = WINDOWS_PER_DOC) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """A bounded sample of labelled windows on the driver: documents by a hash of their doc_id, windows spread over the text."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}"))
-    counts = sorted(((r["n"], r["lang"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()), reverse=True)
+    counts = sorted(((r["n"], r["lang"]) for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)  # one row per language
     langs = sorted(lang for _, lang in counts)
     if not langs:
         return np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), langs
-    share = F.lit(None).cast("double")
-    for n, lang in counts:
-        share = F.when(F.col("lang") == lang, F.lit(per_lang / n)).otherwise(share)
+    per_lang = min(per_lang, max(1, SAMPLE // len(langs)))
+    share = F.element_at(F.create_map(*[F.lit(x) for n, lang in counts for x in (lang, per_lang / n)]), F.col("lang"))
     chance = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     data = F.encode("text", "UTF-8")
     spare = F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
@@ -145,7 +144,8 @@ def training_windows(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, windows:
     matrix = np.zeros((len(sample), WINDOW), np.uint8)
     for i, r in enumerate(sample):
         matrix[i, : len(r["col"])] = np.frombuffer(bytes(r["col"]), np.uint8)
-    return matrix, np.array([langs.index(r["lang"]) for r in sample], np.int64), langs
+    number = {lang: i for i, lang in enumerate(langs)}
+    return matrix, np.array([number[r["lang"]] for r in sample], np.int64), langs
 
 
 def text_windows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,19 +192,30 @@ def predict(text: Column, net: Network) -> Column:
 
 def language(docs: DataFrame) -> Column:
     """struct(lang_pred, score) for docs, learnt from their labelled rows."""
+    return _learnt(docs)[0]
+
+
+def _learnt(docs: DataFrame) -> tuple[Column, int]:
+    """The struct of `language` and the number of languages."""
     small_batches(docs.sparkSession)
     windows, labels, langs = training_windows(docs)
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     unknown = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     if not langs:
-        return unknown
-    return F.when(letters, predict(F.when(letters, F.col("text")), train(windows, labels, langs))).otherwise(unknown)
+        return unknown, 0
+    return F.when(letters, predict(F.when(letters, F.col("text")), train(windows, labels, langs))).otherwise(unknown), len(langs)
+
+
+def least_score(n: int, margin: float = MARGIN) -> float:
+    """What a score has to reach among n languages."""
+    return 1 / n + margin * (1 - 1 / n) if n else 0.0
 
 
-def accepted(docs: DataFrame, least: float = MIN_SCORE) -> DataFrame:
-    """docs without the rows whose language is `und` or scored below least."""
-    said = docs.select(whole_row(docs), "text").withColumn("said", language(docs))
-    return said.where((F.col("said.lang_pred") != UNKNOWN) & (F.col("said.score") >= least)).select("doc.*")
+def accepted(docs: DataFrame, least: float | None = None) -> DataFrame:
+    """docs without the rows whose language is `und` or scored below least, by default least_score of the number of languages."""
+    said, n = _learnt(docs)
+    rows = docs.select(whole_row(docs), "text").withColumn("said", said)
+    return rows.where((F.col("said.lang_pred") != UNKNOWN) & (F.col("said.score") >= (least_score(n) if least is None else least))).select("doc.*")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

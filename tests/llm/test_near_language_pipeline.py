@@ -229,6 +229,24 @@ def test_language_of_odd_texts(spark, frame):
     assert {r.lang_pred for r in blank.withColumn("p", op9.language(blank)).select("p.*").collect()} == {"und"}
 
 
+def test_all_languages_are_learnt(frame, monkeypatch):
+    monkeypatch.setattr(op9, "SAMPLE", 500)
+    docs = frame("doc_id long, text string, lang string", [(i, f"word {i}", f"l{i % 100:02}") for i in range(3000)])
+    windows, labels, langs = op9.training_windows(docs)
+    assert langs == [f"l{i:02}" for i in range(100)]
+    assert len(set(labels.tolist())) > 90  # five documents of each, chosen by their hash
+    assert 300 < len(windows) < 1000
+
+
+def test_rejection_follows_the_number_of_languages(frame, monkeypatch):
+    docs = frame("doc_id long, text string", [(1, "0.51"), (2, "0.08"), (3, "0.9"), (4, "0.02"), (5, "0.3")])
+    kept = {}
+    for n in (2, 4, 100):
+        monkeypatch.setattr(op9, "_learnt", lambda _, n=n: (F.struct(F.lit("a").alias("lang_pred"), F.col("text").cast("double").alias("score")), n))
+        kept[n] = sorted(r.doc_id for r in op9.accepted(docs).collect())
+    assert kept == {2: [3], 4: [1, 3, 5], 100: [1, 2, 3, 5]}
+
+
 def test_windows_cover_whole_texts():
     texts = pa.array(["a" * 600, None, "", "bc"])
     data, spans, owner = op9.text_windows(texts)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom import session
 from ledgerloom.llm import op1_pareto_mix as op1
 from ledgerloom.llm import op10_pack as op10
+from ledgerloom.llm import op11_recompression as op11
 from ledgerloom.llm import op2_disclosure as op2
 from ledgerloom.llm import op3_token_counts as op3
 from ledgerloom.llm import op4_iblt as op4
@@ -30,6 +31,21 @@ def _tuned(fn: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {fn.__name__: _tuned(fn) for fn in (op1.op1_pareto_mix, op2.op2_disclosure, op3.op3_token_counts, op4.op4_iblt, op5.op5_range_coder, op6.op6_probminhash, op7.op7_shards, op8.op8_topk, op9.op9_language_id, op10.op10_pack)}
+QUERIES: dict[str, Query] = {
+    fn.__name__: _tuned(fn)
+    for fn in (
+        op1.op1_pareto_mix,
+        op2.op2_disclosure,
+        op3.op3_token_counts,
+        op4.op4_iblt,
+        op5.op5_range_coder,
+        op6.op6_probminhash,
+        op7.op7_shards,
+        op8.op8_topk,
+        op9.op9_language_id,
+        op10.op10_pack,
+        op11.op11_recompression,
+    )
+}
 
 ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL, "op8_topk": op8.SQL}

@@ -11,6 +11,8 @@ from ledgerloom import session
 from ledgerloom.llm import op1_pareto_mix as op1
 from ledgerloom.llm import op10_pack as op10
 from ledgerloom.llm import op11_recompression as op11
+from ledgerloom.llm import op12_gnat_negatives as op12
+from ledgerloom.llm import op13_popcount_simhash as op13
 from ledgerloom.llm import op2_disclosure as op2
 from ledgerloom.llm import op3_token_counts as op3
 from ledgerloom.llm import op4_iblt as op4
@@ -45,7 +47,9 @@ QUERIES: dict[str, Query] = {
         op9.op9_language_id,
         op10.op10_pack,
         op11.op11_recompression,
+        op12.op12_gnat_negatives,
+        op13.op13_popcount_simhash,
     )
 }
 
-ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL, "op8_topk": op8.SQL}
+ORACLES: dict[str, str] = {"op1_pareto_mix": op1.SQL, "op8_topk": op8.SQL, "op12_gnat_negatives": op12.SQL}

@@ -66,7 +66,7 @@ def line_row_order(
     keys: Sequence[str] = ("docnum", "stkcod"),
     order: Sequence[str] = ("seqnum", "line_no"),
     blocks: int | None = None,
-    bounds_from: DataFrame | None = None,
+    bounds_from: DataFrame | ordered.Bounds | None = None,
 ) -> DataFrame:
     """1-based counter per document and SKU along the sequence number."""
     blocked = ordered.quantile_blocks(lines, order, blocks, bounds_from)
@@ -154,9 +154,10 @@ def remark_consolidate(
 
 
 def remark_enrich(docs: DataFrame, remarks: DataFrame) -> DataFrame:
-    """Remark (all its parts) and order number onto the header."""
-    first = ordered.whole_text(remarks, ["docnum"], "remark", "|", F.max("so_number").alias("so_number")).withColumnRenamed("docnum", "__docnum")
-    return docs.drop("remark", "so_number").join(first, F.col("docnum") == F.col("__docnum"), "left").drop("__docnum")
+    """Remark (its first part), remark_parts (how many it has) and order number onto the header; `remarks` holds all parts."""
+    first = ordered.first_part(remarks, ["docnum"], "remark", "remark_parts", F.max("so_number").alias("so_number")).withColumnRenamed("docnum", "__docnum")
+    joined = docs.drop("remark", "remark_parts", "so_number").join(first, F.col("docnum") == F.col("__docnum"), "left").drop("__docnum")
+    return joined.withColumn("remark_parts", F.coalesce("remark_parts", F.lit(0)))
 
 
 def credit_allocation(
@@ -167,7 +168,7 @@ def credit_allocation(
     order_cols: Sequence[str],
     qty_col: str = "trnqty",
     blocks: int | None = None,
-    bounds_from: DataFrame | None = None,
+    bounds_from: DataFrame | ordered.Bounds | None = None,
 ) -> DataFrame:
     """Deduct credited quantity from the invoice lines of the same key and unit price, in order.
 
@@ -297,18 +298,30 @@ def credit_reference_parts(
 def invoice_credit_netting(
     invoices: DataFrame, credits: DataFrame, position: str = "line_no", blocks: int | None = None, part_chars: int = ordered.PART_CHARS
 ) -> DataFrame:
-    """Invoices with their credit total, net total and credit numbers in file order."""
+    """Invoices with their credit total, net total and credit numbers in file order.
+
+    debit_note_refs is the first part of the numbers, debit_note_parts says how many there are; credit_references gives all.
+    """
     totals = credits.groupBy(credit_base("docnum").alias("__base")).agg(F.sum("total").cast(TOTAL).alias("__credited"))
-    parts = credit_reference_parts(credits, position, blocks, part_chars)
-    refs = ordered.whole_text(parts, ["__base"], "refs", ",").withColumnRenamed("refs", "debit_note_refs")
-    per_base = totals.join(refs, "__base")
+    parts = credit_reference_parts(credits, position, blocks, part_chars).withColumnRenamed("refs", "debit_note_refs")
+    per_base = totals.join(ordered.first_part(parts, ["__base"], "debit_note_refs", "debit_note_parts"), "__base")
     joined = invoices.withColumn("__base", after_prefix("docnum")).join(per_base, "__base", "left")
     return (
         joined.withColumn("credit_total", F.coalesce("__credited", F.lit(0)).cast(TOTAL))
         .withColumn("net_total", (F.col("total") - F.col("credit_total")).cast(TOTAL))
+        .withColumn("debit_note_parts", F.coalesce("debit_note_parts", F.lit(0)))
         .drop("__base", "__credited")
     )
 
 
+def credit_references(
+    invoices: DataFrame, credits: DataFrame, position: str = "line_no", blocks: int | None = None, part_chars: int = ordered.PART_CHARS
+) -> DataFrame:
+    """(docnum, part_no, debit_note_refs): the credit numbers of each invoice in file order, in parts."""
+    parts = credit_reference_parts(credits, position, blocks, part_chars).withColumnRenamed("refs", "debit_note_refs")
+    keyed = invoices.select("docnum", after_prefix("docnum").alias("__base"))
+    return keyed.join(parts, "__base").select("docnum", "part_no", "debit_note_refs")
+
+
 def dedupe_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return ordered.first_per_key(df, [key], order)

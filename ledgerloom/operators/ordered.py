@@ -5,13 +5,14 @@ that never decreases along the order; a window runs per (key, block), and only o
 goes through the window over the key. A group holding a third of all rows is thus spread over its blocks.
 
 Blocks come from a position column (`position_blocks`, for line numbers or byte offsets) or, for any other
-order, from its quantiles (`quantile_blocks`): a pass over the order columns finds one bound for each shuffle
-partition, and the block of a row is an expression over them. Where one value fills whole blocks, a further pass goes on
-with the next order column inside that value. The passes run while the plan is built; nothing is materialised.
+order, from its quantiles (`quantile_blocks`): the rows are counted, a bounded sample of them is sorted, and tuples of the order columns'
+own types cut it into one run for each shuffle partition. A row finds its block by comparing its tuple with them. The count and the sample
+run while the plan is built; nothing is materialised.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ledgerloom import session
 
 BLOCK = "__block"
-PART_CHARS = 1 << 26
+PART_CHARS = 1 << 20
 
 
 def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFrame:
@@ -28,145 +29,125 @@ def position_blocks(df: DataFrame, position: str, size: int = 1 << 20) -> DataFr
     return df.withColumn(BLOCK, F.floor(F.col(position) / F.lit(size)).cast("long"))
 
 
-_LOWEST = -(1 << 62)
-_HIGHEST = (1 << 62) + 1
-_CHUNK_BYTES = 6  # 48 bits: quantiles are computed as doubles
+_DRAWN = 64  # rows in the sample for each block wanted
 
 
-def _texts(kind: T.DataType, c: Column) -> list[Column]:
-    if isinstance(kind, T.StructType):
-        return [t for f in kind.fields for t in _texts(f.dataType, c.getField(f.name))]
-    return [c] if isinstance(kind, T.StringType) else []
+def _leaves(schema: T.StructType, order: Sequence[str]) -> list[tuple[Column, T.DataType]]:
+    """The order columns as simple values: the fields of a structure follow one another, behind a flag that is lower where the structure is null."""
 
+    def parts(c: Column, kind: T.DataType, nullable: bool) -> list[tuple[Column, T.DataType]]:
+        if not isinstance(kind, T.StructType):
+            return [(c, kind)]
+        flag = [(c.isNotNull(), T.BooleanType())] if nullable else []
+        return flag + [p for f in kind.fields for p in parts(c.getField(f.name), f.dataType, f.nullable)]
 
-def _chunks(df: DataFrame, order: Sequence[str]) -> tuple[int, ...]:
-    """For each text among the order columns, the number of codes that its longest value takes."""
-    texts = [t for name in order for t in _texts(df.schema[name].dataType, F.col(name))]
-    if not texts:
-        return ()
-    longest = df.agg(*[F.max(F.octet_length(t)).alias(f"__l{i}") for i, t in enumerate(texts)]).first()
-    return tuple(-(-(n or 1) // _CHUNK_BYTES) for n in longest)
+    return [p for name in order for p in parts(F.col(name), schema[name].dataType, schema[name].nullable)]
 
 
-def _codes(df: DataFrame, order: Sequence[str], chunks: Sequence[int]) -> list[Column]:
-    """Numbers that never decrease along the order columns, nulls lowest as in a sort.
+def _portable(c: Column, kind: T.DataType) -> Column:
+    """c as a value that comes back from the driver as it was, whatever the time zones: times as text or microseconds."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    return c.cast("string") if isinstance(kind, (T.DateType, T.TimestampNTZType)) else c
 
-    Each code is exact for the columns before it, so bounds may go on with the next one; they end behind a
-    column whose code is coarser than its values (wide decimals). A text has a code for every six bytes and one for
-    its length; `chunks` is taken from one frame, and texts of another frame that are longer stand behind all others of the same beginning.
-    """
-    out: list[Column] = []
-    texts = iter(chunks)
-    over: list[Column] = []
-
-    def put(number: Column, real: bool = False) -> None:
-        kind = "double" if real else "bigint"
-        code = F.coalesce(number, F.lit(_LOWEST).cast(kind))
-        for long in over:
-            code = F.when(long, F.lit(_HIGHEST).cast(kind)).otherwise(code)
-        out.append(code)
-
-    def add(c: Column, kind: T.DataType) -> bool:
-        if isinstance(kind, T.StructType):
-            return all(add(c.getField(f.name), f.dataType) for f in kind.fields)
-        exact, real = True, False
-        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
-            number = c.cast("bigint")
-        elif isinstance(kind, T.DateType):
-            number = F.unix_date(c).cast("bigint")
-        elif isinstance(kind, T.TimestampType):
-            number = F.unix_micros(c)
-        elif isinstance(kind, T.TimestampNTZType):
-            # wall-clock parts: no zone, so no hour comes twice
-            seconds = F.unix_date(c.cast("date")).cast("bigint") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
-            number = seconds * 1000000 + (F.date_part(F.lit("SECOND"), c) * 1000000).cast("bigint")
-        elif isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-            number, real = c.cast("double"), True
-            exact = not isinstance(kind, T.DecimalType) or kind.precision <= 15
-        elif isinstance(kind, T.StringType):
-            many = next(texts)
-            data = F.hex(F.encode(c, "utf-8"))
-            for i in range(many):
-                put(F.conv(F.rpad(F.substring(data, 2 * _CHUNK_BYTES * i + 1, 2 * _CHUNK_BYTES), 2 * _CHUNK_BYTES, "0"), 16, 10).cast("bigint"))
-            most = many * _CHUNK_BYTES
-            put(F.least(F.octet_length(c), F.lit(most + 1)).cast("bigint"))
-            over.append(F.coalesce(F.octet_length(c) > most, F.lit(False)))
-            return True
-        else:
-            raise TypeError(f"no order code for {kind.simpleString()}")
-        put(number, real)
-        return exact
 
-    for name in order:
-        if not add(F.col(name), df.schema[name].dataType):
-            break
-    return out
+def _literal(value, kind: T.DataType) -> Column:
+    """The column for a value that _portable has brought here."""
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(value).cast("bigint"))
+    return F.lit(value).cast(kind)
+
+
+def _same(a, b) -> bool:
+    """Equal in Spark's order, where NaN equals itself."""
+    return a == b or (a != a and b != b)
 
 
-def find_bounds(df: DataFrame, order: Sequence[str], blocks: int, chunks: Sequence[int]) -> list[tuple]:
-    """Sorted bounds that cut df into about `blocks` equal runs of the order; each a tuple of leading codes."""
-    codes = _codes(df, order, chunks)
-    coded = df.select(*[c.alias(f"__c{i}") for i, c in enumerate(codes)])
-    bounds: set[tuple] = set()
-    open_runs: dict[tuple, int] = {(): blocks}
-    for level in range(len(codes)):
-        if not open_runs:
+def _shortest(below: tuple, cut: tuple) -> tuple:
+    """The shortest tuple above `below` and not above `cut`: nulls (the lowest values) follow the first difference, and a text ends there."""
+    out = []
+    for low, value in zip(below, cut, strict=True):
+        differs = not _same(low, value)
+        if differs and isinstance(low, str) and isinstance(value, str):
+            value = value[: len(os.path.commonprefix([low, value])) + 1]
+        out.append(value)
+        if differs:
             break
-        most = max(open_runs.values())
-        quantiles = F.percentile_approx(f"__c{level}", [i / most for i in range(1, most)], 20 * most).alias("q")
-        if level == 0:
-            found = {(): coded.agg(quantiles).first()["q"]}
+    return (*out, *[None] * (len(cut) - len(out)))
+
+
+def find_cuts(df: DataFrame, order: Sequence[str], blocks: int) -> list[tuple]:
+    """Tuples of the order columns (structures by their fields) that cut df into about `blocks` equal runs, in order.
+
+    Rows are counted, and a sample of about _DRAWN rows for each block is sorted by Spark's own order of the columns. Between the last
+    tuple of one run and the first of the next stands the shortest that parts them, so a cut is no longer than it has to be.
+    """
+    leaves = _leaves(df.schema, order)
+    names = [f"o{i}" for i in range(len(leaves))]
+    tuples = df.select(*[c.alias(n) for n, (c, _) in zip(names, leaves, strict=True)])
+    rows = tuples.count()
+    drawn = tuples if rows <= _DRAWN * blocks else tuples.sample(_DRAWN * blocks / rows, 0)
+    whole = F.struct(*names).alias("t")
+    runs = drawn.withColumn("__run", F.ntile(blocks).over(Window.partitionBy(F.lit(0)).orderBy(*names))).groupBy("__run").agg(F.min(whole).alias("first"), F.max(whole).alias("last"))
+    ends = runs.orderBy("__run").select(*[F.struct(*[_portable(F.col(end).getField(n), k).alias(n) for n, (_, k) in zip(names, leaves, strict=True)]).alias(end) for end in ("first", "last")])
+    found = [(tuple(r["first"]), tuple(r["last"])) for r in ends.collect()]
+    cuts: list[tuple] = []
+    for (_, below), (cut, _) in zip(found, found[1:], strict=False):
+        cut = _shortest(below, cut)
+        if not cuts or not all(map(_same, cuts[-1], cut)):
+            cuts.append(cut)
+    return cuts
+
+
+_PIVOTS = 31  # cuts that a row is compared with in generated code
+
+
+def _reached(cut: Sequence, own: Sequence[Column], kinds: Sequence[T.DataType]) -> Column:
+    """Whether the row's tuple is at or above the cut, whose nulls are the lowest values."""
+    out = F.lit(True)
+    for value, c, kind in reversed(list(zip(cut, own, kinds, strict=True))):
+        if value is None:
+            out = c.isNotNull() | out
         else:
-            # at most `blocks` prefixes are open, so this brings back a few short arrays
-            keys = [f"__c{i}" for i in range(level)]
-            wanted = None
-            for prefix in open_runs:
-                same = None
-                for name, value in zip(keys, prefix, strict=True):
-                    part = F.col(name) == F.lit(value)
-                    same = part if same is None else same & part
-                wanted = same if wanted is None else wanted | same
-            rows = coded.where(wanted).groupBy(*keys).agg(quantiles).collect()
-            found = {tuple(row[k] for k in keys): row["q"] for row in rows}
-        deeper: dict[tuple, int] = {}
-        for prefix, values in found.items():
-            share = open_runs.get(prefix)
-            if not values or not share:
-                continue
-            picked = [values[(i * most) // share - 1] for i in range(1, share)]
-            for value in picked:
-                bounds.add((*prefix, value))
-            for value in set(picked):
-                times = picked.count(value)
-                if times > 1:
-                    deeper[(*prefix, value)] = times + 1  # so many runs have `times` bounds between them
-        open_runs = deeper
-    return sorted(bounds, key=lambda b: [*b])
-
-
-def _bound_block(bounds: list[tuple], kinds: list[str]) -> Column:
-    """Number of bounds at or below the row's codes, by halving the sorted bounds.
-
-    A bound of fewer codes is filled up with the lowest ones: it begins where its last code begins.
+            v = _literal(value, kind)
+            out = F.coalesce((c > v) | ((c == v) & out), F.lit(False))
+    return out
+
+
+def _block(cuts: Sequence[tuple], own: Sequence[Column], kinds: Sequence[T.DataType]) -> Column:
+    """Number of cuts at or below the row's tuple: a tree of comparisons with some cuts, then halving of those between two of them.
+
+    Behind the last column in which any cut has a value, cuts hold the lowest ones only: the columns before it decide.
     """
-    if not bounds:
+    if not cuts:
         return F.lit(0).cast("bigint")
-    lowest = {"bigint": _LOWEST - 1, "double": float("-inf")}
+    used = max([i + 1 for cut in cuts for i, v in enumerate(cut) if v is not None], default=1)
+    own, kinds, cuts = own[:used], kinds[:used], [cut[:used] for cut in cuts]
+    apart = -(-len(cuts) // _PIVOTS)
+    pivots = range(apart - 1, len(cuts), apart)
+
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low * apart)
+        middle = (low + high) // 2
+        return F.when(_reached(cuts[pivots[middle]], own, kinds), tree(middle + 1, high)).otherwise(tree(low, middle))
 
-    def row(values: Sequence) -> Column:
-        return F.struct(*[F.lit(values[i] if i < len(values) else lowest[k]).cast(k).alias(f"c{i}") for i, k in enumerate(kinds)])
+    passed = tree(0, len(pivots))
+    if apart == 1:
+        return passed.cast("bigint")
 
-    cuts = F.array(*[row(b) for b in bounds])
-    own = F.struct(*[F.col(f"__c{i}").cast(k).alias(f"c{i}") for i, k in enumerate(kinds)])
+    def row(columns: Sequence[Column]) -> Column:
+        return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)])
 
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
-        reached = F.get(cuts, middle) <= own
-        halved = F.struct(F.when(reached, middle + 1).otherwise(state["low"]).alias("low"), F.when(reached, state["high"]).otherwise(middle).alias("high"))
-        return F.when(state["low"] >= state["high"], state).otherwise(halved)
+    table = F.array(*[row([_literal(v, k) for v, k in zip(cut, kinds, strict=True)]) for cut in cuts])
+    steps = [1 << i for i in reversed(range((apart - 1).bit_length()))]
 
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(bounds).bit_length())), start, halve)["low"].cast("bigint")
+    def halve(now: Column, step: Column) -> Column:
+        return now + F.when(F.get(table, now + step - 1) <= row(own), step).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), passed, halve).cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -175,26 +156,28 @@ class Bounds:
 
     order: tuple[str, ...]
     cuts: tuple[tuple, ...]
-    chunks: tuple[int, ...]
+    schema: T.StructType
 
     def assign(self, df: DataFrame) -> DataFrame:
-        used = max((len(b) for b in self.cuts), default=0)
-        codes = _codes(df, self.order, self.chunks)[:used]
-        coded = df.select("*", *[c.alias(f"__c{i}") for i, c in enumerate(codes)])
-        kinds = [coded.schema[f"__c{i}"].dataType.simpleString() for i in range(used)]
-        return coded.withColumn(BLOCK, _bound_block(list(self.cuts), kinds)).drop(*[f"__c{i}" for i in range(used)])
+        leaves = _leaves(self.schema, self.order)
+        return df.withColumn(BLOCK, _block(self.cuts, [c.cast(k) for c, k in leaves], [k for _, k in leaves]))
 
 
 def quantile_bounds(df: DataFrame, order: Sequence[str], blocks: int | None = None) -> Bounds:
     """Bounds cutting df into about equal runs of the order. Taken from a frame distributed like the one to be
     cut (say, before its joins) they give even blocks; any bounds give right results."""
     n = blocks or max(session.shuffle_width(df.sparkSession), 8)
-    chunks = _chunks(df, order)
-    return Bounds(tuple(order), tuple(find_bounds(df, order, n, chunks)), chunks)
+    return Bounds(tuple(order), tuple(find_cuts(df, order, n)), T.StructType([df.schema[name] for name in order]))
 
 
-def quantile_blocks(df: DataFrame, order: Sequence[str], blocks: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
-    """Blocks of about equal row count along the order; bounds_from: a cheaper frame to take the bounds from."""
+def quantile_blocks(
+    df: DataFrame, order: Sequence[str], blocks: int | None = None, bounds_from: DataFrame | Bounds | None = None
+) -> DataFrame:
+    """Blocks of about equal row count along the order; bounds_from: a cheaper frame to take the bounds from, or bounds of the same order."""
+    if isinstance(bounds_from, Bounds):
+        if bounds_from.order != tuple(order):
+            raise ValueError(f"bounds along {bounds_from.order}, not {tuple(order)}")
+        return bounds_from.assign(df)
     return quantile_bounds(df if bounds_from is None else bounds_from, order, blocks).assign(df)
 
 
@@ -243,6 +226,9 @@ def running_total(
 
     per_key: one row per key with further columns. They ride along with the block summaries, so attaching
     them does not send a whole key through one join task.
+
+    Only summaries that have something to say (sums of earlier blocks, totals, columns of per_key) meet the rows: where most keys
+    lie in one block they are few, and Spark broadcasts them when they measure small.
     """
     zero = F.lit(0).cast(dtype)
     added = [F.coalesce(v.cast(dtype), zero).alias(f"__v_{n}") for n, v in values.items()]
@@ -254,16 +240,20 @@ def running_total(
         *[F.coalesce(F.sum(f"__t_{n}").over(_earlier_blocks(group)).cast(dtype), zero).alias(f"__b_{n}") for n in values],
         *[F.sum(f"__t_{n}").over(Window.partitionBy(*group)).cast(dtype).alias(out) for n, out in (totals or {}).items()],
     )
+    extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
+    telling = F.lit(bool(totals))
+    for n in values:
+        telling = telling | (F.col(f"__b_{n}") != zero)
     if per_key is not None:
         known, _ = _keyed(per_key.dropna(subset=list(keys)), keys, like=blocked)
-        extra = [c for c in per_key.columns if c not in keys]
         before = before.join(known.select(*group, *extra), group, "left")
-    joined = with_values.join(before, [*group, BLOCK])
+        for c in extra:
+            telling = telling | F.col(c).isNotNull()
+    joined = with_values.join(before.where(telling), [*group, BLOCK], "left")
     window = _inside_block(group, order)
     out = joined
     for n in values:
-        out = out.withColumn(n, (F.col(f"__b_{n}") + F.sum(f"__v_{n}").over(window)).cast(dtype))
-    extra = [c for c in (per_key.columns if per_key is not None else []) if c not in keys]
+        out = out.withColumn(n, (F.coalesce(f"__b_{n}", zero) + F.sum(f"__v_{n}").over(window)).cast(dtype))
     kept = [c for c in blocked.columns if c not in values]
     return out.select(*kept, *values, *(totals or {}).values(), *extra)
 
@@ -375,8 +365,10 @@ def ordered_text(
     )
 
 
-def whole_text(parts: DataFrame, keys: Sequence[str], text: str, separator: str, *others: Column) -> DataFrame:
-    """One row per key with all its parts (of ordered_text) joined again, null where it has no text."""
-    pieces = F.collect_list(F.when(F.col(text).isNotNull(), F.struct("part_no", F.col(text).alias("piece"))))
-    joined = F.array_join(F.array_sort(pieces).getField("piece"), separator)
-    return parts.groupBy(*keys).agg(F.when(F.count(text) > 0, joined).alias(text), *others)
+def first_part(parts: DataFrame, keys: Sequence[str], text: str, count: str, *others: Column) -> DataFrame:
+    """One row per key of parts (of ordered_text): the text's first part and the number of its parts.
+
+    Further parts stay where they are, rows of a table beside this one, so no key's whole text meets in a task or a cell.
+    """
+    first = F.max(F.when(F.col("part_no") == 0, F.col(text)))
+    return parts.groupBy(*keys).agg(first.alias(text), F.count(text).cast("int").alias(count), *others)

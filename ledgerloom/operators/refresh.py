@@ -11,7 +11,7 @@ from ledgerloom.operators import ordered
 
 # columns an existing invoice header takes over from the new load
 LEDGER_UPDATE_COLUMNS = (
-    "amount", "total", "discount", "remamount", "paytrm", "dlvby", "remark", "bilnum", "sale_area_code", "duedat", "so_number",
+    "amount", "total", "discount", "remamount", "paytrm", "dlvby", "remark", "remark_parts", "bilnum", "sale_area_code", "duedat", "so_number",
 )
 
 

@@ -219,7 +219,11 @@ def normalize_report(
     out = out.where("__required AND NOT __total")
     for c in spec.fill:
         out = out.where(~_starts(c, "="))
-    out = ordered.skip_leading_rows(out.select(FILE, LINE, *kept), spec.skip, [FILE], [LINE])
+    out = out.select(FILE, LINE, *kept)
+    if spec.fill and spec.skip:
+        # finding the first rows and leaving them out both read the filled rows
+        out = session.materialise(out, "report-rows")
+    out = ordered.skip_leading_rows(out, spec.skip, [FILE], [LINE])
     out = out.select(FILE, LINE, *[F.col(c).alias(t) for c, t in zip(kept, spec.titles, strict=True)])
     for title, value in spec.late_start_drops:
         out = out.where(~_starts(title, value))
@@ -262,16 +266,23 @@ def note_attach(
 
     A row whose D holds the mark opens a note; the rows below with B and C blank and text in D belong to it.
     All of them go, their D texts become the note of the row before. A mark on the first row opens nothing.
+    A row takes its note's first part, `note_texts` gives all.
     """
     numbered, notes = note_parts(df, mark, block_size, part_chars)
-    whole = ordered.whole_text(notes, [FILE, "__target"], "__note", "\n")
-    # the mark alone still ends with a line feed
-    note = F.when(F.col("__note") == f"{mark}:", F.lit(f"{mark}:\n")).otherwise(F.col("__note")).alias("__note")
-    first = whole.select(F.col(FILE).alias("__f"), F.col("__target").alias("__row"), note)
+    return _with_notes(df, numbered, notes, out)
+
+
+def _with_notes(df: DataFrame, numbered: DataFrame, notes: DataFrame, out: str) -> DataFrame:
+    first = notes.where("part_no = 0").select(F.col(FILE).alias("__f"), F.col("__target").alias("__row"), "__note")
     joined = numbered.where("NOT __in_note").join(first, (F.col(FILE) == F.col("__f")) & (F.col(LINE) == F.col("__row")), "left")
     return joined.select(*df.columns, F.col("__note").alias(out))
 
 
+def note_texts(notes: DataFrame) -> DataFrame:
+    """(file, line of the row it belongs to, part_no, note) of note_parts."""
+    return notes.select(FILE, F.col("__target").alias(LINE), "part_no", F.col("__note").alias("note"))
+
+
 def note_parts(
     df: DataFrame, mark: str = NOTE_MARK, block_size: int = 16 << 20, part_chars: int = ordered.PART_CHARS
 ) -> tuple[DataFrame, DataFrame]:
@@ -308,9 +319,13 @@ def note_parts(
     numbered = session.materialise(numbered.drop("__mark_above", "__first"), "notes")
     notes = numbered.where("__in_note").withColumn("__run", F.coalesce("__run", F.lit(-1)))
     lines = notes.withColumn("__line", F.when(F.col("__opens"), F.lit(f"{mark}:")).otherwise(text.strip(F.col("D"))))
-    targets = notes.where("__opens").select(FILE, "__run", F.col("__above").alias("__target"))
-    texts = ordered.ordered_text(lines, [FILE, "__run"], [LINE], "__line", "\n", "__note", part_chars)
-    return numbered, texts.join(targets, [FILE, "__run"])
+    targets = notes.groupBy(FILE, "__run").agg(
+        F.max(F.when(F.col("__opens"), F.col("__above"))).alias("__target"), F.count(F.lit(1)).alias("__lines")
+    )
+    texts = ordered.ordered_text(lines, [FILE, "__run"], [LINE], "__line", "\n", "__note", part_chars).join(targets, [FILE, "__run"])
+    # the mark alone still ends with a line feed
+    ended = F.when(F.col("__lines") == 1, F.concat("__note", F.lit("\n"))).otherwise(F.col("__note"))
+    return numbered, texts.withColumn("__note", ended).drop("__lines")
 
 
 # fixed values: rows of the asset report that are no assets
@@ -340,6 +355,11 @@ ASSET_TITLES = {
 
 def asset_report(df: DataFrame, block_size: int = 16 << 20) -> DataFrame:
     """Fixed assets (5B9): section accounts filled down, notes attached, template columns."""
+    return asset_tables(df, block_size)["assets"]
+
+
+def asset_tables(df: DataFrame, block_size: int = 16 << 20, part_chars: int = ordered.PART_CHARS) -> dict[str, DataFrame]:
+    """The report's rows (assets), each with its note's first part, and all parts of their notes (notes: file, line, part_no, note)."""
     flags = {"__asset": _any_present(list("BCDEFGHIJ")), "__figures": _any_present(list("FGHIJ"))}
     out = section_header_fill(_with_flags(df, df.columns, flags), block_size=block_size)
     for col, value in _ASSET_EQUAL_DROPS:
@@ -347,5 +367,7 @@ def asset_report(df: DataFrame, block_size: int = 16 << 20) -> DataFrame:
     for col, value in _ASSET_START_DROPS:
         out = out.where(~_starts(col, value))
     out = out.where("__asset AND Account1 IS NOT NULL")
-    out = note_attach(out, block_size=block_size).where("__figures")
-    return out.select(FILE, LINE, *[F.col(c).alias(t) for c, t in ASSET_TITLES.items()])
+    numbered, notes = note_parts(out, NOTE_MARK, block_size, part_chars)
+    kept = _with_notes(out, numbered, notes, "U").where("__figures")
+    assets = kept.select(FILE, LINE, *[F.col(c).alias(t) for c, t in ASSET_TITLES.items()])
+    return {"assets": assets, "notes": note_texts(notes).join(kept.select(FILE, LINE), [FILE, LINE], "left_semi")}

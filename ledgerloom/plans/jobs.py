@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import cache, cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom import session
 from ledgerloom.functions import numbers, text
-from ledgerloom.operators import ledger, matching, refresh
+from ledgerloom.operators import ledger, matching, ordered, refresh
 from ledgerloom.schemas import CREDIT_DETAIL, CREDIT_HEADER, INVOICE_DETAIL, INVOICE_HEADER, conform
 
 _HEADER_NAMES = {
@@ -24,6 +25,25 @@ _HEADER_NAMES = {
 _DETAIL_NAMES = {"docnum": "doc_number", "docdat": "doc_date", "unitpr": "unit_price", "disc": "discount"}
 
 
+class Tables(Mapping[str, DataFrame]):
+    """A job's tables by name. Each is built when it is asked for, once."""
+
+    def __init__(self, **makers: Callable[[], DataFrame]):
+        self._makers = makers
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def _allocated_details(
     lines: DataFrame,
     invoice_lines: DataFrame,
@@ -49,22 +69,38 @@ def _allocated_details(
     return ledger.cost_enrich(allocated.drop("__key"), products)
 
 
-def _credit_details(credit_lines: DataFrame, products: DataFrame, order: Sequence[str], price_mode: str = "zero") -> DataFrame:
-    """Lines of the credit notes with price, cost and row order."""
-    priced = credit_lines.withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval"), price_mode)).withColumn(
-        "trnqty", numbers.numeric_or_zero(F.col("trnqty"))
-    )
-    numbered = ledger.line_row_order(ledger.cost_enrich(priced, products), ["docnum", "stkcod"], ["seqnum", *order])
-    return conform(numbered.withColumnsRenamed(_DETAIL_NAMES), CREDIT_DETAIL)
+class _Details:
+    """Lines of a job's invoices and credit notes. What several of its tables read is made once, and only if one of them is asked for."""
+
+    def __init__(self, lines: DataFrame, invoices: DataFrame, credits: DataFrame, products: DataFrame, order: Sequence[str], price_mode: str, match_description: bool):
+        self.lines, self.products, self.order = lines, products, order
+        self.price_mode, self.match_description = price_mode, match_description
+        self.invoice_lines, self.credit_lines = ledger.detail_split(lines, invoices, credits)
+
+    @cached_property
+    def allocated(self) -> DataFrame:
+        out = _allocated_details(self.lines, self.invoice_lines, self.credit_lines, self.products, self.order, self.match_description, self.price_mode)
+        return session.materialise(out, "details")
+
+    @cached_property
+    def bounds(self) -> ordered.Bounds:
+        return ordered.quantile_bounds(self.lines, ["seqnum", *self.order])
 
+    def _numbered(self, lines: DataFrame, schema: T.StructType) -> DataFrame:
+        numbered = ledger.line_row_order(lines, ["docnum", "stkcod"], self.bounds.order, bounds_from=self.bounds)
+        return conform(numbered.withColumnsRenamed(_DETAIL_NAMES), schema)
 
-def _tables(
-    headers: DataFrame, details: DataFrame, lines: DataFrame, white_list: DataFrame, order: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """(header table, detail table). Only the detail table pays for the row numbers."""
-    status = ledger.invoice_cost_status(headers, details.withColumnsRenamed(_DETAIL_NAMES), white_list)
-    numbered = ledger.line_row_order(details, ["docnum", "stkcod"], ["seqnum", *order], bounds_from=lines)
-    return conform(status, INVOICE_HEADER), conform(numbered.withColumnsRenamed(_DETAIL_NAMES), INVOICE_DETAIL)
+    def status(self, headers: DataFrame, white_list: DataFrame) -> DataFrame:
+        return conform(ledger.invoice_cost_status(headers, self.allocated.withColumnsRenamed(_DETAIL_NAMES), white_list), INVOICE_HEADER)
+
+    def of_invoices(self) -> DataFrame:
+        return self._numbered(self.allocated, INVOICE_DETAIL)
+
+    def of_credits(self) -> DataFrame:
+        """Lines of the credit notes with price, cost and row order."""
+        priced = self.credit_lines.withColumn("unitpr", numbers.unit_price_fallback(F.col("unitpr"), F.col("trnval"), self.price_mode))
+        priced = priced.withColumn("trnqty", numbers.numeric_or_zero(F.col("trnqty")))
+        return self._numbered(ledger.cost_enrich(priced, self.products), CREDIT_DETAIL)
 
 
 def invoice_ledger(
@@ -78,30 +114,37 @@ def invoice_ledger(
     start: dt.date,
     end: dt.date,
     line_order: Sequence[str],
-) -> dict[str, DataFrame]:
-    """Header, detail, credit and credit detail tables of the invoices IV/OL/CM in the date range.
+) -> Tables:
+    """Header, remark, detail, credit and credit_detail tables of the invoices IV/OL/CM in the date range.
 
-    Invoices, credits and allocated lines are read by several branches, so each is written once to the shared
-    folder; merged_headers puts the headers into the target.
+    Invoices and credits are read by several tables, so each is written once to the shared folder, allocated lines too
+    when a table needs them. A header has its remark's first part and the number of parts, `remark` has all of them; merged_headers puts
+    the headers into the target.
     """
     invoices, credits = ledger.ledger_documents(docs, start, end)
     invoices = ledger.customer_enrich(ledger.dedupe_first(invoices, "docnum", ["line_no"]), customers)
     invoices = session.materialise(invoices, "invoices")
     credits = session.materialise(ledger.credit_semi_join(credits, invoices), "credits")
-    headers = ledger.remark_enrich(invoices.drop("sonum"), ledger.remark_consolidate(remarks)).withColumnsRenamed(_HEADER_NAMES)
-    keyed = invoices.drop("sonum").withColumnsRenamed(_HEADER_NAMES)
-    dated = ledger.bill_due_date(matching.sale_area_longest_prefix(keyed, areas), bills_from=keyed)
-    headers = headers.drop("duedat").join(dated.select("doc_number", "duedat", "sale_area_code"), "doc_number")
-    invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
-    details = session.materialise(_allocated_details(lines, invoice_lines, credit_lines, products, line_order), "details")
-    header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
-    credit_table = conform(ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES), CREDIT_HEADER)
-    return {
-        "header": header_table,
-        "detail": detail_table,
-        "credit": credit_table,
-        "credit_detail": _credit_details(credit_lines, products, line_order),
-    }
+    details = _Details(lines, invoices, credits, products, line_order, "zero", False)
+
+    @cache
+    def texts() -> DataFrame:
+        return session.materialise(ledger.remark_consolidate(remarks.join(invoices.select("docnum"), "docnum", "left_semi")), "remarks")
+
+    def header() -> DataFrame:
+        headers = ledger.remark_enrich(invoices.drop("sonum"), texts()).withColumnsRenamed(_HEADER_NAMES)
+        keyed = invoices.drop("sonum").withColumnsRenamed(_HEADER_NAMES)
+        dated = ledger.bill_due_date(matching.sale_area_longest_prefix(keyed, areas), bills_from=keyed)
+        headers = headers.drop("duedat").join(dated.select("doc_number", "duedat", "sale_area_code"), "doc_number")
+        return details.status(headers, white_list)
+
+    return Tables(
+        header=header,
+        remark=lambda: texts().where("remark IS NOT NULL").select(F.col("docnum").alias("doc_number"), "part_no", "remark"),
+        detail=details.of_invoices,
+        credit=lambda: conform(ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES), CREDIT_HEADER),
+        credit_detail=details.of_credits,
+    )
 
 
 def merged_headers(target: DataFrame, loaded: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
@@ -123,7 +166,7 @@ def ol_sl_ledger(
     invoice_prefix: str = "OL",
     credit_prefixes: Sequence[str] = ("SL",),
     credit_rule: str = "prefix",
-) -> dict[str, DataFrame]:
+) -> Tables:
     """Full refresh of one document pair.
 
     credit_rule 'prefix': credits are matched by number (OL001 -> SL001-A); 'order': by the invoice number without its prefix in their
@@ -141,41 +184,50 @@ def ol_sl_ledger(
     else:
         raise ValueError(f"unknown credit rule {credit_rule!r}")
     group = ledger.customer_group_rule(F.col("customer_code"), F.col("customer_name"))
-    headers = ledger.customer_enrich(invoices, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
-    invoice_lines, credit_lines = ledger.detail_split(lines, invoices, credits)
     # this ledger also wants the same description on both lines
-    allocated = _allocated_details(lines, invoice_lines, credit_lines, products, line_order, match_description=True, price_mode="value")
-    details = session.materialise(allocated, "details")
-    header_table, detail_table = _tables(headers, details, lines, white_list, line_order)
-    credit_table = ledger.customer_enrich(credits, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
-    return {
-        "header": header_table,
-        "detail": detail_table,
-        "credit": conform(credit_table, CREDIT_HEADER),
-        "credit_detail": _credit_details(credit_lines, products, line_order, "value"),
-    }
-
-
-def dealer_invoices(
-    docs: DataFrame, customers: DataFrame, target: DataFrame, start: dt.date, end: dt.date
-) -> dict[str, DataFrame]:
-    """Netted invoices not yet in the target, and their credit entries."""
+    details = _Details(lines, invoices, credits, products, line_order, "value", True)
+
+    def named(documents: DataFrame) -> DataFrame:
+        return ledger.customer_enrich(documents, customers).withColumnsRenamed(_HEADER_NAMES).withColumn("customer_group", group)
+
+    return Tables(
+        header=lambda: details.status(named(invoices), white_list),
+        detail=details.of_invoices,
+        credit=lambda: conform(named(credits), CREDIT_HEADER),
+        credit_detail=details.of_credits,
+    )
+
+
+def dealer_invoices(docs: DataFrame, customers: DataFrame, target: DataFrame, start: dt.date, end: dt.date) -> Tables:
+    """Netted invoices not yet in the target, all parts of their credit numbers (references), and their credit entries."""
     invoices, credits = ledger.dealer_documents(docs, start, end)
-    names = customers.select("cuscod", F.col("cusnam").alias("customer_name"))
-    netted = ledger.invoice_credit_netting(invoices, credits).join(names, "cuscod", "left")
-    rows = netted.select(
-        F.col("docnum").alias("doc_number"),
-        F.col("docdat").alias("doc_date"),
-        F.col("cuscod").alias("customer_code"),
-        "customer_name",
-        "amount",
-        F.col("disc").alias("discount"),
-        "total",
-        "net_total",
-        "debit_note_refs",
+
+    def unknown(rows: DataFrame) -> DataFrame:
+        return rows.join(target.select("doc_number").distinct(), "doc_number", "left_anti").select(*rows.columns)
+
+    def invoice() -> DataFrame:
+        names = customers.select("cuscod", F.col("cusnam").alias("customer_name"))
+        netted = ledger.invoice_credit_netting(invoices, credits).join(names, "cuscod", "left")
+        return unknown(
+            netted.select(
+                F.col("docnum").alias("doc_number"),
+                F.col("docdat").alias("doc_date"),
+                F.col("cuscod").alias("customer_code"),
+                "customer_name",
+                "amount",
+                F.col("disc").alias("discount"),
+                "total",
+                "net_total",
+                "debit_note_refs",
+                "debit_note_parts",
+            )
+        )
+
+    return Tables(
+        invoice=invoice,
+        references=lambda: unknown(ledger.credit_references(invoices, credits).withColumnRenamed("docnum", "doc_number")),
+        credit=lambda: ledger.credit_suffix_match(invoices, credits),
     )
-    fresh = rows.join(target.select("doc_number").distinct(), "doc_number", "left_anti").select(*rows.columns)
-    return {"invoice": fresh, "credit": ledger.credit_suffix_match(invoices, credits)}
 
 
 def exchange_rate_load(rates: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ledgerloom import session
+from ledgerloom import session, sinks
 from ledgerloom.functions import dates, numbers
 from ledgerloom.operators import filters, ledger, matching, ordered, refresh
 from ledgerloom.plans import adapters as ad
@@ -220,7 +220,7 @@ def invoice_credit_netting(spark, sf):
 @query(
     "dealer_invoices",
     f"""WITH {q.ARTRN}, {_NETTED}, {q.CUSTOMERS} SELECT n.docnum AS doc_number, n.docdat AS doc_date, n.cuscod AS customer_code, c.cusnam AS customer_name,
-    n.amount, n.disc AS discount, n.total, n.net_total, n.debit_note_refs
+    n.amount, n.disc AS discount, n.total, n.net_total, n.debit_note_refs, CAST(n.debit_note_refs IS NOT NULL AS INTEGER) AS debit_note_parts
     FROM netted n LEFT JOIN customers c USING (cuscod) WHERE n.docnum NOT IN (SELECT docnum FROM artrn WHERE line_no % 3 = 0)""",
 )
 def dealer_invoices(spark, sf):
@@ -229,6 +229,17 @@ def dealer_invoices(spark, sf):
     return jobs.dealer_invoices(docs, ad.customers(spark, sf), target, START, END)["invoice"]
 
 
+@query(
+    "dealer_invoices_references",
+    f"""WITH {q.ARTRN}, {_NETTED} SELECT docnum AS doc_number, CAST(0 AS INTEGER) AS part_no, debit_note_refs FROM netted
+    WHERE debit_note_refs IS NOT NULL AND docnum NOT IN (SELECT docnum FROM artrn WHERE line_no % 3 = 0)""",
+)
+def dealer_invoices_references(spark, sf):
+    docs = ad.artrn(spark, sf)
+    target = docs.where("line_no % 3 = 0").select(F.col("docnum").alias("doc_number"))
+    return jobs.dealer_invoices(docs, ad.customers(spark, sf), target, START, END)["references"]
+
+
 _ALLOC = """SELECT {keep}, CAST(greatest(0, least(hi, coalesce(t, 0)) - (hi - p)) AS DECIMAL(15,2)) AS qty_sc_sr_deducted,
     CAST(trnqty - greatest(0, least(hi, coalesce(t, 0)) - (hi - p)) AS DECIMAL(15,2)) AS qty_balance,
     CASE WHEN greatest(0, least(hi, coalesce(t, 0)) - (hi - p)) > 0 THEN unitpr END AS unit_price_from_sc_sr
@@ -284,7 +295,7 @@ _AREA_ONLY = _AREA_SQL.replace(f"{q.CUSTOMERS}, ", "")
 _HEADER_SQL = f"""{_JOB_SQL}, {_AREA_ONLY}, {_REMARK_SQL}, {_DUE.format(docs="invoices")}
     SELECT i.docnum AS doc_number, i.docdat AS doc_date, r.so_number, i.cuscod AS customer_code, c.cusnam AS customer_name, c.cusnam AS customer_group,
       i.amount, i.remamt AS remamount, i.total, k.cost_total, CAST(i.amount - i.total AS {q.M}) AS discount, i.docstat AS doc_stat,
-      coalesce(k.status, 0) AS status, coalesce(c.paytrm, 0) AS paytrm, i.dlvby, r.remark,
+      coalesce(k.status, 0) AS status, coalesce(c.paytrm, 0) AS paytrm, i.dlvby, r.remark, CAST(r.remark IS NOT NULL AS INTEGER) AS remark_parts,
       CASE WHEN i.bilnum NOT IN ('', '~') THEN i.bilnum END AS bilnum, codes.sale_area_code, coalesce(due.due, i.duedat) AS duedat
     FROM invoices i LEFT JOIN customers c USING (cuscod) LEFT JOIN codes USING (cuscod) LEFT JOIN consolidated r USING (docnum)
     LEFT JOIN costed k ON k.doc_number = i.docnum LEFT JOIN due ON due.bilnum = i.bilnum"""
@@ -298,6 +309,14 @@ def invoice_ledger(spark, sf):
     return _job(spark, sf)["header"]
 
 
+@query(
+    "invoice_ledger_remarks",
+    f"WITH {q.ARTRN}, {_IV}, {_REMARK_SQL} SELECT docnum AS doc_number, part_no, remark FROM consolidated WHERE remark IS NOT NULL AND docnum IN (SELECT docnum FROM invoices)",
+)
+def invoice_ledger_remarks(spark, sf):
+    return _job(spark, sf)["remark"]
+
+
 @query("invoice_ledger_detail", f"{_JOB_SQL} SELECT * FROM detail")
 def invoice_ledger_detail(spark, sf):
     return _job(spark, sf)["detail"]
@@ -504,6 +523,26 @@ def ledger_upsert(spark, sf):
     return refresh.ledger_upsert(*_old_new(spark, sf))
 
 
+@query(
+    "ledger_upsert_write",
+    f"""WITH {_OLD}, late AS (SELECT * FROM new WHERE doc_date >= DATE '1998-07-15'), months AS (SELECT doc_number, CASE WHEN doc_number LIKE '%7' THEN NULL ELSE doc_date END AS doc_date,
+      amount, total, remark FROM old)
+    SELECT coalesce(o.doc_number, n.doc_number) AS doc_number, CASE WHEN o.doc_number IS NOT NULL THEN o.doc_date ELSE n.doc_date END AS doc_date,
+    CASE WHEN n.doc_number IS NOT NULL THEN n.amount ELSE o.amount END AS amount, CASE WHEN n.doc_number IS NOT NULL THEN n.total ELSE o.total END AS total,
+    CASE WHEN n.doc_number IS NOT NULL THEN n.remark ELSE o.remark END AS remark FROM months o FULL JOIN late n ON o.doc_number = n.doc_number""",
+)
+def ledger_upsert_write(spark, sf):
+    """A load of late documents into a table by month; some known ones have no date there."""
+    old, new = _old_new(spark, sf)
+    cols = ["doc_number", "doc_date", "amount", "total", "remark"]
+    path = session.scratch_path(spark, "upsert")
+    undated = old.withColumn("doc_date", F.when(~F.col("doc_number").endswith("7"), F.col("doc_date")))
+    sinks.write_months(undated.select(*cols), path, "doc_date")
+    late = new.where(F.col("doc_date") >= F.lit(dt.date(1998, 7, 15))).select(*cols)
+    sinks.ledger_upsert_write(spark, path, late, "doc_date", session.scratch_path(spark, "upsert-staged"))
+    return spark.read.parquet(path).drop(sinks.MONTH)
+
+
 @query("insert_new_only", f"WITH {_OLD} SELECT * FROM new WHERE doc_number NOT IN (SELECT doc_number FROM old)")
 def insert_new_only(spark, sf):
     old, new = _old_new(spark, sf)

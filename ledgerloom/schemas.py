@@ -39,7 +39,7 @@ INVOICE_HEADER = struct(
     "doc_number string, doc_date date, so_number string, customer_code string, customer_name string,"
     " customer_group string, amount money, remamount money, total money,"
     " cost_total money, discount money, doc_stat string, status int, paytrm int,"
-    " dlvby string, remark string, bilnum string, sale_area_code string, duedat date"
+    " dlvby string, remark string, remark_parts int, bilnum string, sale_area_code string, duedat date"
 )
 CREDIT_HEADER = struct(
     "doc_number string, doc_date date, so_number string, customer_code string, customer_name string,"

@@ -22,17 +22,21 @@ def test_all_parts_of_a_remark_reach_the_header(frame):
     parts = ledger.remark_consolidate(remarks, part_chars=20)
     assert parts.where("docnum = 'IV1'").count() > 5
     docs = frame("docnum string, remark string, so_number string", [("IV1", None, None), ("IV2", None, None), ("IV3", None, None)])
-    got = {r.docnum: (r.remark, r.so_number) for r in ledger.remark_enrich(docs, parts).collect()}
-    whole = {r.docnum: (r.remark, r.so_number) for r in ledger.remark_enrich(docs, ledger.remark_consolidate(remarks)).collect()}
-    assert got == whole and got["IV1"][0].count("note") == 30 and got["IV2"] == (None, "SO123456") and got["IV3"] == (None, None)
+    got = {r.docnum: (r.remark, r.remark_parts, r.so_number) for r in ledger.remark_enrich(docs, parts).collect()}
+    whole = {r.docnum: r.remark for r in ledger.remark_enrich(docs, ledger.remark_consolidate(remarks)).collect()}
+    texts = [r.remark for r in parts.where("docnum = 'IV1'").orderBy("part_no").collect()]
+    assert "|".join(texts) == whole["IV1"] and whole["IV1"].count("note") == 30
+    assert got == {"IV1": (texts[0], len(texts), None), "IV2": (None, 0, "SO123456"), "IV3": (None, 0, None)}
 
 
 def test_all_credit_numbers_reach_the_invoice(frame):
     invoices = frame("docnum string, total decimal(18,2)", [("IV001", D(100)), ("IV002", D(5))])
     credits = frame("docnum string, total decimal(18,2), line_no long", [(f"SC001-{i}", D(1), i) for i in range(20)])
     rows = ledger.invoice_credit_netting(invoices, credits, part_chars=10).collect()
-    got = {r.docnum: (r.debit_note_refs, r.credit_total) for r in rows}
-    assert got == {"IV001": (",".join(f"SC001-{i}" for i in range(20)), D(20)), "IV002": (None, D(0))}
+    parts = ledger.credit_references(invoices, credits, part_chars=10).orderBy("part_no").collect()
+    assert ",".join(r.debit_note_refs for r in parts) == ",".join(f"SC001-{i}" for i in range(20)) and {r.docnum for r in parts} == {"IV001"}
+    got = {r.docnum: (r.debit_note_refs, r.debit_note_parts, r.credit_total) for r in rows}
+    assert got == {"IV001": (parts[0].debit_note_refs, len(parts), D(20)), "IV002": (None, 0, D(0))} and len(parts) > 5
 
 
 def test_all_parts_of_a_note_reach_its_row(frame):
@@ -42,7 +46,8 @@ def test_all_parts_of_a_note_reach_its_row(frame):
     assert set(names) <= set(df.columns)
     got = [r.U for r in reports.note_attach(df, part_chars=12).orderBy("line_no").collect()]
     want = [r.U for r in reports.note_attach(df).orderBy("line_no").collect()]
-    assert got == want and got[0].count("line") == 38 and got[1] is None
+    parts = [r.note for r in reports.note_texts(reports.note_parts(df, part_chars=12)[1]).where("line_no = 0").orderBy("part_no").collect()]
+    assert "\n".join(parts) == want[0] and want[0].count("line") == 38 and got == [parts[0], None] == [parts[0], want[1]]
 
 
 def test_more_than_256_blocks(frame):
@@ -72,6 +77,33 @@ def test_blocks_of_a_frame_with_longer_texts_than_the_bounds(frame):
     assert got == list(range(1, 33))
 
 
+def test_cuts_are_values_of_any_type_and_length(frame, spark):
+    long = "x" * 100_000
+    rows = [(long if i == 3 else f"n{i % 50:02d}", None if i % 9 == 0 else float("nan") if i % 9 == 1 else i / 7, dt.datetime(2024, 1, 1, i % 24, i % 60), i % 5 == 0, D(i * 10**20), i) for i in range(400)]
+    df = frame("name string, x double, ts timestamp, b boolean, d decimal(30,2), pos int", rows).withColumn("both", F.struct("b", F.col("ts").cast("timestamp_ntz").alias("at")))
+    df = df.withColumn("day", F.to_date("ts")).withColumn("raw", F.encode("name", "utf-8"))
+    for order in (["name", "pos"], ["x", "pos"], ["ts", "d"], ["both", "pos"], ["b", "x", "d"], ["day", "raw", "pos"], ["d"]):
+        blocked = ordered.quantile_blocks(df, order, 12)
+        got = [r[0] for r in blocked.orderBy(*order).select(ordered.BLOCK).collect()]
+        assert got == sorted(got) and len(set(got)) > 8, order
+    cuts = ordered.find_cuts(df, ["name", "pos"], 400)
+    assert max(len(c[0] or "") for c in cuts) < 10
+
+
+def test_a_long_order_value_does_not_slow_the_others(frame):
+    df = frame("k string, name string, pos int", [("hot", "y" * 100_000 if i == 7 else f"n{i:04d}", i) for i in range(1000)])
+    got = ordered.row_numbers(ordered.quantile_blocks(df, ["name"], 8), ["k"], ["name"], "n")
+    assert [r.n for r in got.orderBy("name").collect()] == list(range(1, 1001))
+
+
+def test_cuts_stop_at_the_first_difference():
+    assert ordered._shortest(("abc", 5), ("abdef", 7)) == ("abd", None)
+    assert ordered._shortest(("ab", 5), ("abdef", 7)) == ("abd", None)
+    assert ordered._shortest((None, 5), ("abdef", 7)) == ("abdef", None)
+    assert ordered._shortest(("a", 5), ("a", 7)) == ("a", 7)
+    assert ordered._shortest((float("nan"), 1), (float("nan"), 2))[1] == 2
+
+
 def test_reports_of_any_width(spark, tmp_path):
     assert lines.cell_names(28)[-3:] == ["Z", "AA", "AB"]
     (tmp_path / "w.csv").write_text(",".join(map(str, range(30))) + "\n")

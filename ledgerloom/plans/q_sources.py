@@ -72,6 +72,33 @@ def report_csv_scan(spark, sf):
     return lines.report_csv_scan(spark, folder, 3, 4, split_bytes=1 << 16).select("A", "B", "C", "D")
 
 
+_ODD_CELL = """CASE event_id % 6 WHEN 0 THEN event_type || chr(10) || 'ไทย, ' || chr(10) || user_id WHEN 1 THEN 'a "quoted" word' WHEN 2 THEN NULL WHEN 3 THEN event_type
+    WHEN 4 THEN chr(13) || chr(10) || ',,' ELSE '5" pipe' END"""
+
+
+@query(
+    "report_csv_scan_quoted",
+    f"""SELECT CAST(event_id AS VARCHAR) AS "A", {_ODD_CELL} AS "B", CAST(user_id AS VARCHAR) AS "C",
+    CASE WHEN event_id % 5 <> 0 THEN CAST(user_id * 2 AS VARCHAR) END AS "D" FROM events WHERE event_id % 7 <> 0""",
+)
+def report_csv_scan_quoted(spark, sf):
+    """Cells with line feeds, commas and quotes, words for absent values, and records that cross the borders of small ranges."""
+    k, kind = F.col("event_id"), F.col("event_type")
+    second = (
+        F.when(k % 6 == 0, F.concat(F.lit('"'), kind, F.lit('\nไทย, \n'), F.col("user_id").cast("string"), F.lit('"')))
+        .when(k % 6 == 1, F.lit('"a ""quoted"" word"'))
+        .when(k % 6 == 2, ad.pick(["NA", "NULL", '"nan"', ""], F.floor(k / 6) % 4))
+        .when(k % 6 == 3, kind)
+        .when(k % 6 == 4, F.lit('"\r\n,,"'))
+        .otherwise(F.lit('5" pipe'))
+    )
+    last = F.when(k % 5 != 0, F.concat(F.lit(',"'), (F.col("user_id") * 2).cast("string"), F.lit('"'))).otherwise(F.lit(""))
+    bad = F.when(k % 7 == 0, F.lit(',x,"\n",z')).otherwise(F.lit(""))
+    line = F.concat(k.cast("string"), F.lit(","), second, F.lit(","), F.col("user_id").cast("string"), last, bad)
+    folder = staging.write_dump(ad.table(spark, sf, "events"), line, "quoted-dump", 'รายงาน\r\n"a title\nof two lines",,\r\nhead,head\r\n')
+    return lines.report_csv_scan(spark, folder, 3, 4, split_bytes=1 << 14).select("A", "B", "C", "D")
+
+
 @query(
     "jdbc_scan",
     f"SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 1000",
@@ -133,6 +160,45 @@ def paged_snapshot_scan(spark, sf):
     return catalog.config_snapshot(raw, "products").select("product_id", "name", "product_cate_id", "uom", "formula_id", "width_min")
 
 
+_PAGE = 20
+
+
+def _pages(spark, sf):
+    """Part records in pages of 20: each fifth page is lost, each seventh comes a second time, read later and with other names, one record short."""
+    p = ad.table(spark, sf, "part").select(F.col("p_partkey").alias("k"), "p_partkey", "p_name")
+    rows = p.withColumn("page", F.floor(F.col("k") / _PAGE)).where("page % 5 <> 4")
+    again = rows.where(f"page % 7 = 3 AND k % {_PAGE} > 0").withColumn("p_name", F.concat(F.lit("new "), "p_name"))
+    both = rows.withColumn("read_no", F.col("page")).unionByName(again.withColumn("read_no", F.col("page") + 1_000_000))
+    listed = F.array_sort(F.collect_list(F.struct("k", F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")).alias("record"))))
+    total = ad.table(spark, sf, "part").count()
+    pages = both.groupBy("page", "read_no").agg(F.min("k").alias("offset"), listed.getField("record").alias("records"))
+    document = F.to_json(F.struct(F.lit("product").alias("model"), F.lit(total).alias("count"), "offset", "read_no", "records"))
+    folder = staging.write_lines(pages, document, "pages")
+    return tables.snapshot_pages(spark, folder, "struct<id: long, name: string>")
+
+
+_PAGE_ROWS = f"page_rows AS (SELECT *, p_partkey AS k, CAST(floor(p_partkey / {_PAGE}) AS BIGINT) AS page FROM part)"
+
+
+@query(
+    "paged_snapshot_records",
+    f"""WITH {_PAGE_ROWS} SELECT 'product' AS model, p_partkey AS id, CASE WHEN page % 7 = 3 AND k % {_PAGE} > 0 THEN 'new ' || p_name ELSE p_name END AS name
+    FROM page_rows WHERE page % 5 <> 4""",
+)
+def paged_snapshot_records(spark, sf):
+    return tables.snapshot_records(_pages(spark, sf))
+
+
+@query(
+    "paged_snapshot_findings",
+    f"""WITH {_PAGE_ROWS}, pages AS (SELECT page, min(k) AS first, max(k) + 1 AS behind FROM page_rows GROUP BY page)
+    SELECT 'product' AS model, 'repeated' AS finding, first + 1 AS first, behind FROM pages WHERE page % 7 = 3 AND page % 5 <> 4 AND behind - first > 1
+    UNION ALL SELECT 'product', 'missing', first, behind FROM pages WHERE page % 5 = 4""",
+)
+def paged_snapshot_findings(spark, sf):
+    return tables.snapshot_findings(_pages(spark, sf))
+
+
 def _feed(spark, sf):
     """One feed document per event with two rates."""
     k = F.col("event_id")

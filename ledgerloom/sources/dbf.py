@@ -7,7 +7,7 @@ The Python side only cuts fields out of the byte range; numbers and dates are pa
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +17,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from ledgerloom.sources import files
+from ledgerloom import session
+from ledgerloom.sources import decode, files
 
 CHUNK_BYTES = 8 << 20
 
@@ -106,11 +107,9 @@ class DbfReader(DataSourceReader):
 
     def _texts(self, cells: np.ndarray) -> pa.Array:
         """Cells of one field as text without trailing NUL and blank."""
-        width = cells.shape[1]
-        raw = np.ascontiguousarray(cells).view(f"S{width}").ravel()
-        if (cells < 128).all():
-            return pc.utf8_rtrim(pa.array(raw, pa.binary()).cast(pa.string()), characters="\0 ")
-        return pa.array([c.rstrip(b"\0 ").decode(self.codepage, "replace") for c in raw.tolist()], pa.string())
+        many, width = cells.shape
+        whole = decode.texts(np.ascontiguousarray(cells).tobytes(), np.arange(many + 1, dtype=np.int64) * width, self.codepage)
+        return pc.utf8_rtrim(whole, characters="\0 ")
 
     def _batch(self, data, count, line, layout, by_name, wanted, partition) -> pa.RecordBatch:
         raw = np.frombuffer(data, dtype=np.uint8, count=count * layout.width).reshape(count, layout.width)
@@ -158,26 +157,47 @@ def _typed(f: Field) -> Column:
     return F.translate(c, " ", " ")
 
 
-def merged_fields(layouts: Sequence[Layout]) -> dict[str, Field]:
+def merged_fields(fields: Iterable[Field]) -> dict[str, Field]:
     """The fields of all files by name, in the order in which they first appear.
 
     Where files differ, numbers take the most places before and after the point, and a field of two kinds is text.
     """
     known: dict[str, Field] = {}
-    for layout in layouts:
-        for f in layout.fields:
-            old = known.get(f.name)
-            if old is None:
-                known[f.name] = Field(f.name, f.kind, f.offset, f.width, f.decimals)
-                continue
-            if old.kind != f.kind and {old.kind, f.kind} != {"N", "F"}:
-                old.kind = "C"
-            whole = max(old.width - old.decimals, f.width - f.decimals)
-            old.decimals = max(old.decimals, f.decimals)
-            old.width = whole + old.decimals
+    for f in fields:
+        old = known.get(f.name)
+        if old is None:
+            known[f.name] = Field(f.name, f.kind, f.offset, f.width, f.decimals)
+            continue
+        if old.kind != f.kind and {old.kind, f.kind} != {"N", "F"}:
+            old.kind = "C"
+        whole = max(old.width - old.decimals, f.width - f.decimals)
+        old.decimals = max(old.decimals, f.decimals)
+        old.width = whole + old.decimals
     return known
 
 
+def _layouts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = read_layout(row["path"]).fields
+            columns = [[row["number"]] * len(found), list(range(len(found)))] + [[getattr(f, n) for f in found] for n in ("name", "kind", "width", "decimals")]
+            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["number", "place", "name", "kind", "width", "decimals"])
+
+
+def all_fields(spark: SparkSession, paths: str) -> list[Field]:
+    """The different fields of all files, in the order in which they first appear. The headers are read by tasks; what comes back are the layouts, not the files' lists."""
+    found = [(i, path) for i, (path, _) in enumerate(files.list_files(paths, (".dbf",)))]
+    if len(found) == 1:
+        return read_layout(found[0][1]).fields
+    if not found:
+        return []
+    headers = spark.createDataFrame(found, "number long, path string").repartition(min(len(found), 10 * session.shuffle_width(spark)))
+    rows = headers.mapInArrow(_layouts, "number long, place long, name string, kind string, width long, decimals long")
+    first = rows.groupBy("name", "kind", "width", "decimals").agg(F.min(F.struct("number", "place")).alias("at")).collect()
+    return [Field(r["name"], r["kind"], 0, r["width"], r["decimals"]) for r in sorted(first, key=lambda r: tuple(r["at"]))]
+
+
 def dbf_scan(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -193,7 +213,7 @@ def dbf_scan(
     Deleted records are skipped; only `fields` are cut out; the date range is tested on the raw bytes.
     """
     paths = path if isinstance(path, str) else "\n".join(path)
-    known = merged_fields([read_layout(file) for file, _ in files.list_files(paths, (".dbf",))])
+    known = merged_fields(all_fields(spark, paths))
     wanted = [f.upper() for f in fields] if fields else list(known)
     spark.dataSource.register(DbfDataSource)
     reader = spark.read.format("ledger_dbf").option("path", paths).option("fields", ",".join(wanted)).option("codepage", codepage)
@@ -217,5 +237,5 @@ def dbf_multi_file_union(spark: SparkSession, paths: Sequence[str], fields: Sequ
 
 
 # the reader classes travel to the workers by value: no installation of this package is needed there
-for _module in (files, __import__(__name__, fromlist=["_"])):
+for _module in (files, decode, __import__(__name__, fromlist=["_"])):
     cloudpickle.register_pickle_by_value(_module)

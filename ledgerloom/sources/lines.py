@@ -1,6 +1,7 @@
-"""Line-oriented files with a stable position per line: report dumps, sheets, link lists.
+"""Line-oriented files with a stable position per line or record: report dumps, sheets, link lists.
 
-Positions are byte offsets, so a big file splits into ranges and its lines still have a total order.
+Positions are byte offsets, so a big file splits into ranges and its lines still have a total order. Dumps and sheets are read as CSV records (see
+`records`), plain lines as lines.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
-from ledgerloom.sources import files
+from ledgerloom.sources import files, records
 
 CHUNK_BYTES = 8 << 20
 
@@ -138,40 +139,44 @@ def cell_names(n: int) -> list[str]:
     return names
 
 
-def _cells(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """CSV cells by position; short lines are filled with nulls, lines with too many cells are dropped."""
-    unquoted = F.regexp_replace("value", '"[^"]*"', "")
-    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    schema = ", ".join(f"`{n}` string" for n in names)
-    parsed = F.from_csv("value", schema, {"mode": "PERMISSIVE"})
-    return (
-        lines.where((commas < len(names)) & (F.length(F.trim("value")) > 0))
-        # a generator, so that a filter on a cell does not parse the line a second time
-        .select("source_file", "file_no", "line_no", F.inline(F.array(parsed)))
-    )
+# fixed values: words that dumps write for an absent value
+ABSENT = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
+
+
+def _cells(found: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Cells by position; short records are filled with nulls, records with too many cells are dropped, words for absent values are nulls."""
+    cells = [F.get("cells", F.lit(i)) for i in range(len(names))]
+    known = [F.when(~c.isin(*ABSENT), c).alias(n) for c, n in zip(cells, names, strict=True)]
+    return found.where(F.size("cells") <= len(names)).select("source_file", "file_no", "line_no", *known)
 
 
 def report_csv_scan(
     spark: SparkSession, path: str | Sequence[str], skiprows: int, ncols: int, encoding: str = "cp874", split_bytes: int | None = None
 ) -> DataFrame:
-    """Headerless report dump: cells A, B, C, ... with file and line position."""
-    lines = line_scan(spark, path, skiprows, encoding, split_bytes)
-    return _cells(lines, cell_names(ncols))
+    """Headerless report dump: cells A, B, C, ... with file and position of their record. A quoted cell may hold commas, quotes and line feeds."""
+    paths = path if isinstance(path, str) else "\n".join(path)
+    return _cells(records.record_scan(spark, paths, skiprows, encoding, split_bytes), cell_names(ncols))
 
 
 # fixed values: column titles of the point-of-sale sheet (quantity, unit price)
 SHEET_TITLES = ("SKU", "จำนวน", "ราคาสินค้า/ชิ้น")
 
 
-def sheet_lines_scan(spark: SparkSession, sheets: dict[str, str], skiprows: int = 5, encoding: str = "utf-8") -> DataFrame:
-    """SKU, quantity and unit price of the CSV exports {store: path}: skiprows lines, a title line, then data."""
+def sheet_lines_scan(
+    spark: SparkSession, sheets: dict[str, str], skiprows: int = 5, encoding: str = "utf-8", split_bytes: int | None = None
+) -> DataFrame:
+    """SKU, quantity and unit price of the CSV exports {store: path}: skiprows records, the titles, then data."""
     out = None
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for store, path in sheets.items():
         for file, _ in files.list_files(path):
             layouts.setdefault((store, tuple(_titles(file, skiprows, encoding))), []).append(file)
     for (store, names), paths in layouts.items():
-        cells = _cells(line_scan(spark, paths, skiprows + 1, encoding), [f"c{i}" for i in range(len(names))])
+        found = records.record_scan(spark, "\n".join(paths), skiprows + 1, encoding, split_bytes)
+        cells = _cells(found, [f"c{i}" for i in range(len(names))])
         sku, qty, price = (F.col(f"c{names.index(t)}") for t in SHEET_TITLES)
         rows = cells.select(
             F.lit(store).alias("store"),
@@ -186,17 +191,20 @@ def sheet_lines_scan(spark: SparkSession, sheets: dict[str, str], skiprows: int
 
 
 def _titles(path: str, skiprows: int, encoding: str) -> list[str]:
-    """The title line of a file, however long the lines before it are."""
+    """The title record of a file, however long the records before it are."""
     size = 1 << 16
     while True:
         data = files.read_range(path, 0, size)
-        lines = data.split(b"\n")
-        if len(lines) > skiprows + 1 or len(data) < size:
+        ends = records.Quotes(data).record_ends(records.RECORD)
+        if len(ends) > skiprows or len(data) < size:
             break
         size *= 4
-    if len(lines) <= skiprows:
+    ends = [-1, *ends.tolist(), *([] if data.endswith(b"\n") else [len(data)])]
+    title = data[ends[skiprows] + 1 : ends[skiprows + 1]] + b"\n" if len(ends) > skiprows + 1 else b""
+    _, cells = records.records(title, encoding)
+    if not len(cells):
         raise ValueError(f"{path} has no title line")
-    return [t.strip().strip('"') for t in lines[skiprows].decode(encoding, "replace").split(",")]
+    return [t.strip() for t in cells[0].as_py()]
 
 
 def link_list_scan(spark: SparkSession, path: str, distinct: bool = True) -> DataFrame:

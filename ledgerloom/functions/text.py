@@ -1,12 +1,8 @@
-"""Text clean-up, codes and match keys. All JVM-side but for the Unicode compatibility form."""
+"""Text clean-up, codes and match keys, all JVM-side."""
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import Column, functions as F
 
 from ledgerloom.functions import titles
 
@@ -112,15 +108,11 @@ def url_product_id(c: Column, prefix: str) -> Column:
     return F.replace(F.replace(c, F.lit(prefix), F.lit("")), F.lit("/"), F.lit(""))
 
 
-@pandas_udf(T.StringType())
-def _nfkc(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: unicodedata.normalize("NFKC", v), na_action="ignore")
-
-
 def nfkc(c: Column) -> Column:
-    """Compatibility form. ASCII text is its own form, so only other text is sent to the Python worker."""
+    """Compatibility form, by the Unicode library that comes with Spark. ASCII text is its own form."""
     ascii_only = c.rlike(r"^\p{ASCII}*$")
-    return F.when(ascii_only, c).otherwise(_nfkc(F.when(~ascii_only, c)))
+    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(c, F.lit("")), F.lit(True))
+    return F.when(c.isNull() | ascii_only, c).otherwise(composed)
 
 
 def text_match_key(base: Column, sku: Column, description: Column) -> Column:

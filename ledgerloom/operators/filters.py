@@ -50,18 +50,22 @@ def operation_filter(df: DataFrame, prefix: str, start: dt.date, end: dt.date) -
     return date_range_filter(kept, "docdat", start, end)
 
 
-# Record predicates as (field, operator, value); combine them with all_of / any_of.
+# Record predicates as (field, operator, value); combine them with all_of / any_of, or write them in prefix form.
 Term = tuple[str, str, object]
 
 
 def term(t: Term) -> Column:
-    """'=', '!=', 'in', 'ilike' (contains, any case), 'like' (contains), 'set' (id present or absent)."""
+    """'=', '!=', '<', '<=', '>', '>=', 'in', 'ilike' (contains, any case), 'like' (contains), the last three also with 'not', 'set' (id present or absent)."""
     field, op, value = t
     c = F.col(field)
+    if op.startswith("not "):
+        return ~F.coalesce(term((field, op[4:], value)), F.lit(False))
     if op == "=":
         return c.isNull() if value is None else c == F.lit(value)
     if op == "!=":
         return c.isNotNull() if value is None else (c.isNull() | (c != F.lit(value)))
+    if op in ("<", "<=", ">", ">="):
+        return {"<": c < F.lit(value), "<=": c <= F.lit(value), ">": c > F.lit(value), ">=": c >= F.lit(value)}[op]
     if op == "in":
         return c.isin(*value)
     if op == "ilike":
@@ -73,6 +77,29 @@ def term(t: Term) -> Column:
     raise ValueError(f"unknown operator {op!r}")
 
 
+def domain(form: Sequence[str | Term | Sequence]) -> Column:
+    """Prefix form of record predicates: '|' and '&' before two conditions, '!' before one, and whatever stands side by side holds together.
+
+    Read from the end with a stack of conditions; the empty form keeps every row.
+    """
+    stack: list[Column] = []
+    for part in reversed(form):
+        if not isinstance(part, str):
+            stack.append(term(tuple(part)))
+            continue
+        needed = {"|": 2, "&": 2, "!": 1}.get(part)
+        if needed is None:
+            raise ValueError(f"unknown connective {part!r}")
+        if len(stack) < needed:
+            raise ValueError(f"{part!r} needs {needed} conditions behind it")
+        first = stack.pop()
+        if part == "!":
+            stack.append(~F.coalesce(first, F.lit(False)))
+        else:
+            stack.append(any_of(first, stack.pop()) if part == "|" else all_of(first, stack.pop()))
+    return all_of(*reversed(stack)) if stack else F.lit(True)
+
+
 def all_of(*parts: Term | Column) -> Column:
     out = None
     for p in parts:
@@ -89,5 +116,8 @@ def any_of(*parts: Term | Column) -> Column:
     return out
 
 
-def domain_filter(df: DataFrame, condition: Term | Column) -> DataFrame:
+def domain_filter(df: DataFrame, condition: Term | Column | list) -> DataFrame:
+    """condition: a column, one term, or a list in prefix form."""
+    if isinstance(condition, list):
+        return df.where(domain(condition))
     return df.where(condition if isinstance(condition, Column) else term(condition))

@@ -57,23 +57,45 @@ def sale_area_longest_prefix(
     return longest_prefix(docs, code, areas, prefix, area, "sale_area_code")
 
 
-def contains_lookup(needles: DataFrame, needle: str, products: DataFrame, code: str) -> DataFrame:
-    """Case-insensitive `code contains needle`, as an equi join on the substrings of the needle lengths."""
+GRAM = 3
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """The different substrings of a text with that length."""
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    return F.array_distinct(F.transform(places, lambda at: F.substring(text, at, size)))
+
+
+def contains_lookup(needles: DataFrame, needle: str, products: DataFrame, code: str, gram: int = GRAM) -> DataFrame:
+    """Case-insensitive `code contains needle`, through an index of grams.
+
+    A needle is looked up by the one of its grams that the fewest codes have, and what is found is tested once. Codes give a row for each place
+    (a needle shorter than a gram is a gram itself, so for at most `gram` lengths), whatever the needles' lengths.
+    """
     wanted = (
         needles.select(F.trim(F.col(needle)).alias(needle))
         .where(F.length(needle) > 0)
         .distinct()
         .withColumn("__low", F.lower(needle))
+        .withColumn("__size", F.least(F.length("__low"), F.lit(gram)))
     )
-    codes = products.select(F.col(code).alias("__code")).where(F.length("__code") > 0).distinct()
-    lengths = F.array_intersect(F.sequence(F.lit(1), F.length("__code")), _known_lengths(wanted, "__low"))
-    pieces = (
-        codes.select("__code", F.explode(lengths).alias("__n"))
-        .select("__code", "__n", F.explode(F.sequence(F.lit(1), F.length("__code") - F.col("__n") + 1)).alias("__at"))
-        .select("__code", F.substring(F.lower("__code"), F.col("__at"), F.col("__n")).alias("__low"))
-        .distinct()
+    sizes = wanted.agg(F.coalesce(F.collect_set("__size"), F.array().cast("array<int>"))).scalar()
+    codes = products.select(F.col(code).alias("__code")).where(F.length("__code") > 0).distinct().withColumn("__text", F.lower("__code"))
+    index = (
+        codes.select("__code", "__text", F.explode(F.array_intersect(F.sequence(F.lit(1), F.least(F.length("__text"), F.lit(gram))), sizes)).alias("__size"))
+        .select("__code", "__text", F.explode(_grams(F.col("__text"), F.col("__size"))).alias("__gram"))
+    )
+    held = index.groupBy("__gram").agg(F.count(F.lit(1)).alias("__codes"))
+    asked = wanted.select(needle, "__low", F.explode(_grams(F.col("__low"), F.col("__size"))).alias("__gram"))
+    # a gram that no code has rules its needle out
+    rarest = (
+        asked.join(held, "__gram", "left")
+        .groupBy(needle, "__low")
+        .agg(F.min(F.struct(F.coalesce("__codes", F.lit(0)).alias("codes"), F.col("__gram").alias("gram"))).alias("__least"))
+        .where("__least.codes > 0")
+        .select(needle, "__low", F.col("__least.gram").alias("__gram"))
     )
-    pairs = pieces.join(wanted, "__low").select(needle, "__code")
+    pairs = rarest.join(index, "__gram").where(F.contains("__text", "__low")).select(needle, "__code")
     return pairs.join(products, F.col("__code") == F.col(code)).drop("__code")
 
 
@@ -90,6 +112,15 @@ def code_map_with_missing(df: DataFrame, col: str, mapping: DataFrame, old: str,
     return flagged.withColumn(col, mapped).drop("__old", "__new")
 
 
+def _ceiling(wanted: Column, points: Sequence[float], low: int = 0) -> Column:
+    """Place of the first of the sorted points at or above the value, by halving; the last one beyond them and for null."""
+    if len(points) == 1:
+        return F.lit(low)
+    half = (len(points) - 1) // 2
+    below = _ceiling(wanted, points[: half + 1], low)
+    return F.when(wanted <= F.lit(f"{points[half]:.2f}").cast("decimal(5,2)"), below).otherwise(_ceiling(wanted, points[half + 1 :], low + half + 1))
+
+
 def price_surface_lookup(
     requests: DataFrame,
     surface: DataFrame,
@@ -100,21 +131,28 @@ def price_surface_lookup(
 ) -> DataFrame:
     """Price at the next grid point at or above (height, width), clamped to the last one.
 
-    The grid axes are declared breakpoints of the price list, the surface is (height, width, price).
+    The grid axes are declared breakpoints of the price list, the surface is (height, width, price). It becomes one array of
+    len(heights) * len(widths) prices (of several at a point, the highest; null where there is none), so requests are never shuffled.
     """
-
-    def ceiling(c: str, points: Sequence[float]) -> Column:
-        axis = F.array(*[F.lit(f"{p:.2f}").cast("decimal(5,2)") for p in sorted(points)])
-        wanted = F.col(c).cast("decimal(15,4)")
-        return F.coalesce(F.get(F.filter(axis, lambda x: x >= wanted), F.lit(0)), F.element_at(axis, -1))
-
-    grid = surface.select(
-        F.col("height").cast("decimal(5,2)").alias("grid_height"),
-        F.col("width").cast("decimal(5,2)").alias("grid_width"),
-        F.col("price").cast(MONEY).alias("price"),
+    rows, columns = sorted(heights), sorted(widths)
+
+    def axis(points: Sequence[float]) -> Column:
+        return F.array(*[F.lit(f"{p:.2f}").cast("decimal(5,2)") for p in points])
+
+    def place(c: str, points: Sequence[float]) -> Column:
+        return F.array_position(axis(points), F.col(c).cast("decimal(5,2)")) - 1
+
+    grid = surface.select(place("height", rows).alias("__h"), place("width", columns).alias("__w"), F.col("price").cast(MONEY).alias("__price"))
+    known = grid.where("__h >= 0 AND __w >= 0").groupBy((F.col("__h") * len(columns) + F.col("__w")).alias("__at")).agg(F.max("__price").alias("__price"))
+    by_place = known.agg(F.map_from_entries(F.collect_list(F.struct(F.col("__at").cast("int"), "__price"))).alias("p"))
+    prices = by_place.select(F.transform(F.sequence(F.lit(0), F.lit(len(rows) * len(columns) - 1)), lambda i: F.try_element_at("p", i))).scalar()
+    found = requests.withColumn("__h", _ceiling(F.col(height).cast("decimal(15,4)"), rows)).withColumn("__w", _ceiling(F.col(width).cast("decimal(15,4)"), columns))
+    return found.select(
+        F.get(axis(rows), F.col("__h")).alias("grid_height"),
+        F.get(axis(columns), F.col("__w")).alias("grid_width"),
+        *requests.columns,
+        F.get(prices, F.col("__h") * len(columns) + F.col("__w")).alias("price"),
     )
-    probes = requests.withColumn("grid_height", ceiling(height, heights)).withColumn("grid_width", ceiling(width, widths))
-    return probes.join(grid, ["grid_height", "grid_width"], "left")
 
 
 def priority_map_update(products: DataFrame, updates: DataFrame, key: str, name: str, priority: str, position: str) -> DataFrame:

@@ -1,17 +1,24 @@
-"""Product cards in stored HTML pages, taken out with JVM regular expressions.
+"""Product cards in stored HTML pages.
 
-A page is cut at the opening tags of its cards; what is looked for is the first matching tag behind each of
-them. Comments, scripts and styles are blanked first. Attributes may come in any order and either quote.
+The borders of elements follow from the stack of open tags, which no built-in expression keeps: a small function walks the tag stream of a page and
+gives the elements of the names asked for with their borders. What lies in which card is then decided by these borders in Spark expressions, so a search
+stays inside its card, whatever is nested, void or never closed. Attributes may come in any order and either quote.
 """
 
 from __future__ import annotations
 
+import html as html_text
+import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions import text
 
 _INERT = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_CUT = "\u0001"
 
 # fixed values: marks of the pages read
 CARD_MARK = ("x-data", "ProductCard")
@@ -21,28 +28,107 @@ IMAGE_CLASS = "card-img-top"
 TITLE_CLASSES = "card-title fw-bold"
 
 
-def _value(name: str, value: str) -> str:
-    """Attribute with exactly this value."""
-    return rf"\s{name}\s*=\s*[\"']{value}[\"']"
+# fixed values: elements that never hold others
+VOID = frozenset(
+    "area base basefont bgsound br col command embed frame hr image img input isindex keygen link menuitem meta nextid param source spacer track wbr".split()
+)
+
+_TOKEN = re.compile(
+    r"""(?s)<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:\s*=\s*"[^"]*"|\s*=\s*'[^']*'|[^>])*+)>"""
+)
+_PAIR = re.compile(r"""(?s)([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_ELEMENT = "struct<name: string, attributes: map<string, string>, at: int, begin: int, stop: int>"
+
+
+def _attributes(rest: str) -> list[tuple[str, str]]:
+    found = {name.lower(): html_text.unescape(value[1:-1] if value[:1] in ("'", '"') else value) for name, value in _PAIR.findall(rest)}
+    return list(found.items())
+
+
+def tag_stream(page: str) -> Iterator[tuple[str, bool, str, int, int]]:
+    """(name, closes, attribute text, place, place behind it) of every tag; comments, declarations and what scripts and styles hold are passed over."""
+    at = 0
+    while True:
+        token = _TOKEN.search(page, at)
+        if token is None:
+            return
+        at = token.end()
+        if token["name"] is None:
+            continue
+        name = token["name"].lower()
+        yield name, bool(token["end"]), token["rest"], token.start(), at
+        if name in ("script", "style") and not token["end"]:
+            closing = re.compile(rf"(?i)</{name}\s*>").search(page, at)
+            at = closing.start() if closing else len(page)
+
+
+def page_elements(page: str, names: frozenset[str]) -> list[tuple]:
+    """(name, attributes, place, where its content begins and stops) of the elements with one of the names, in document order.
+
+    The open elements are a stack. An end tag closes the innermost open element of its name and all inside it; one that
+    matches none is passed over; void and self-closing elements hold nothing; what is still open ends with the page.
+    """
+    found: list[list] = []
+    stack: list[tuple[str, list | None]] = []
+    open_: Counter[str] = Counter()
+
+    def close(place: int) -> str:
+        name, element = stack.pop()
+        open_[name] -= 1
+        if element is not None:
+            element[4] = place
+        return name
+
+    for name, closes, rest, place, behind in tag_stream(page):
+        if closes:
+            while open_[name] and close(place) != name:
+                pass
+            continue
+        element = None
+        if name in names:
+            element = [name, _attributes(rest), place, behind, behind]
+            found.append(element)
+        if name not in VOID and not rest.rstrip().endswith("/"):
+            stack.append((name, element))
+            open_[name] += 1
+    while stack:
+        close(len(page))
+    return [tuple(e) for e in found]
+
+
+def elements(html: Column, names: Iterable[str]) -> Column:
+    """array of (name, attributes, at, begin, stop) of the elements with one of the names; places are characters from 0."""
+    wanted = frozenset(names)
 
+    @F.arrow_udf(f"array<{_ELEMENT}>")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fields = [("name", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("at", pa.int32()), ("begin", pa.int32()), ("stop", pa.int32())]
+        kind = pa.list_(pa.struct(fields))
+        names = [n for n, _ in fields]
+        for batch in batches:
+            rows = [None if page is None else [dict(zip(names, e, strict=True)) for e in page_elements(page, wanted)] for page in batch.to_pylist()]
+            yield pa.array(rows, kind)
 
-def _word(name: str, value: str) -> str:
-    """Attribute holding this word among others."""
-    return rf"\s{name}\s*=\s*[\"'](?:[^\"']*\s)?{value}(?:\s[^\"']*)?[\"']"
+    return found(html)
 
 
-def _open_tag(tag: str, attribute: str) -> str:
-    return rf"(?i)<{tag}\b(?=[^>]*{attribute})[^>]*>"
+def _attribute(element: Column, name: str) -> Column:
+    return F.try_element_at(element["attributes"], F.lit(name))
 
 
-def _live(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, _INERT, " "), _CUT, " ")
+def _named(found: Column, name: str, attribute: str, value: str, word: bool = False) -> Column:
+    """The elements of a name whose attribute is the value (of a class: the same words), or holds it as a word."""
 
+    def fits(e: Column) -> Column:
+        words = F.filter(F.split(_attribute(e, attribute), r"\s+"), lambda w: w != "")
+        held = F.array_contains(words, value) if word else F.array_join(words, " ") == value if attribute == "class" else _attribute(e, attribute) == value
+        return (e["name"] == name) & F.coalesce(held, F.lit(False))
 
-def _chunks(html: Column, open_tag: str) -> Column:
-    """What follows each opening tag, up to the next one."""
-    marked = F.regexp_replace(html, open_tag, _CUT)
-    return F.slice(F.split(marked, _CUT), 2, 1 << 30)
+    return F.filter(found, fits)
+
+
+def _first_inside(outer: Column, found: Column) -> Column:
+    return F.get(F.filter(found, lambda e: (e["at"] >= outer["begin"]) & (e["at"] < outer["stop"])), F.lit(0))
 
 
 def _numeric(c: Column) -> Column:
@@ -67,38 +153,35 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    value = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(\"([^\"]*)\"|'([^']*)')", 1)
-    return F.when(value != "", unescape(F.regexp_replace(value, "^[\"']|[\"']$", "")))
-
-
-def _first_tag(chunk: Column, tag: str, attribute: str) -> Column:
-    return F.regexp_extract(chunk, f"({_open_tag(tag, attribute)})".replace("((?i)", "(?i)("), 1)
-
-
 def page_product_links(pages: DataFrame, host: str, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(page, position, link) of the product cards; the link is the host followed by the card's href."""
-    cards = pages.select(key, F.posexplode(_chunks(_live(F.col(html)), _open_tag("div", _value(*CARD_MARK)))).alias("position", "card"))
-    href = _attribute(_first_tag(F.col("card"), "a", _word("class", LINK_CLASS)), "href")
-    return cards.select(key, "position", F.concat(F.lit(host), href).alias("link")).where("link IS NOT NULL")
+    """(page, position, link) of the product cards: the host followed by the href of the first product anchor inside the card, if it has one."""
+    found = pages.select(key, elements(F.col(html), ("div", "a")).alias("__e"))
+    both = found.select(key, _named(F.col("__e"), "div", *CARD_MARK).alias("__cards"), _named(F.col("__e"), "a", "class", LINK_CLASS, word=True).alias("__anchors"))
+    hrefs = F.transform("__cards", lambda card: _attribute(_first_inside(card, F.col("__anchors")), "href"))
+    return both.select(key, F.posexplode(hrefs).alias("position", "href")).select(key, "position", F.concat(F.lit(host), "href").alias("link")).where("link IS NOT NULL")
 
 
 def page_image_cards(pages: DataFrame, host: str, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(page, position, image link, description): nth card image beside nth card title text."""
-    live = _live(F.col(html))
-    images = F.transform(
-        _chunks(live, _open_tag("div", _value("class", IMAGE_CARD_CLASSES))),
-        lambda card: text.absolute_url(_attribute(_first_tag(card, "img", _word("class", IMAGE_CLASS)), "src"), host),
+    """(page, position, image link, description): nth card's first image beside the text of the first paragraph in the nth card title that has one."""
+    found = pages.select(key, F.col(html).alias("__html"), elements(F.col(html), ("div", "img", "a", "p")).alias("__e"))
+    parts = found.select(
+        key,
+        "__html",
+        _named(F.col("__e"), "div", "class", IMAGE_CARD_CLASSES).alias("__cards"),
+        _named(F.col("__e"), "img", "class", IMAGE_CLASS, word=True).alias("__images"),
+        _named(F.col("__e"), "a", "class", TITLE_CLASSES).alias("__titles"),
+        F.filter("__e", lambda e: e["name"] == "p").alias("__paragraphs"),
     )
-    titles = F.transform(
-        _chunks(live, _open_tag("a", _value("class", TITLE_CLASSES))),
-        lambda rest: F.split(rest, r"(?i)</a\s*>").getItem(0),
-    )
-    paragraphs = F.transform(
-        F.filter(titles, lambda title: title.rlike(r"(?i)<p\b")),
-        lambda title: F.regexp_extract(title, r"(?is)<p\b[^>]*>(.*?)(?:</p\s*>|$)", 1),
-    )
-    described = F.transform(paragraphs, lambda p: text.strip(unescape(F.regexp_replace(p, "<[^>]*>", ""))))
-    both = pages.select(key, images.alias("image_link"), described.alias("description"))
+    images = F.transform("__cards", lambda card: text.absolute_url(_attribute(_first_inside(card, F.col("__images")), "src"), host))
+    paragraphs = F.filter(F.transform("__titles", lambda title: _first_inside(title, F.col("__paragraphs"))), lambda p: p.isNotNull())
+
+    def content(p: Column) -> Column:
+        held = F.substring("__html", p["begin"] + 1, p["stop"] - p["begin"])
+        return text.strip(unescape(F.regexp_replace(F.regexp_replace(held, _INERT, ""), "<[^>]*>", "")))
+
+    both = parts.select(key, images.alias("image_link"), F.transform(paragraphs, content).alias("description"))
     zipped = both.select(key, F.posexplode(F.arrays_zip("image_link", "description")).alias("position", "card"))
     return zipped.select(key, "position", "card.image_link", "card.description")
+
+
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))

@@ -597,6 +597,29 @@ def page_product_links(spark, sf):
     return pages.page_product_links(ad.table(spark, sf, "pages").select("page_id", F.concat(decoy, html).alias("html")), _SHOP)
 
 
+# every entry of a page's navigation becomes a card around its neighbour's: with a link, without one, or with a link in a card of its own inside
+_NESTED = """li AS (SELECT page_id, i, hrefs[i] AS href FROM (SELECT page_id, hrefs, unnest(range(1, len(hrefs) + 1)) AS i
+    FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS hrefs FROM pages))),
+  kinds AS (SELECT *, CASE WHEN starts_with(href, '/a') THEN 0 WHEN contains(href, 'e') THEN 2 ELSE 1 END AS kind FROM li),
+  placed AS (SELECT *, i - 1 + coalesce(sum(CASE WHEN kind = 2 THEN 1 ELSE 0 END) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM kinds)"""
+
+
+@query(
+    "page_product_links_nested",
+    f"""WITH {_NESTED} SELECT page_id, CAST(place + inner_card AS INTEGER) AS position, '{_SHOP}' || href AS link
+    FROM placed, (SELECT unnest([0, 1]) AS inner_card) WHERE kind > 0 AND inner_card < kind""",
+)
+def page_product_links_nested(spark, sf):
+    """Cards without a link before an anchor outside of any card, cards inside cards, void, self-closing and unclosed tags, end tags of nothing."""
+    bare = '<div x-data="ProductCard"><br><img src="/x.png"><hr/><p>no link<span></div></b><a class="product-name" href="/outside">'
+    plain = '<div x-data="ProductCard"><p>unclosed<p title="a > b">more<a class="c product-name" href="$1"></a></section></div><a class="product-name" href="/outside">'
+    nested = "<DIV x-data='ProductCard'><ul><li><div x-data='ProductCard'><i><a href='$1' class='product-name'>in</a></div><li></DIV><a class='product-name' href='/outside'>"
+    html = F.regexp_replace("html", '<li><a href="(/a[^"]*)">', bare)
+    html = F.regexp_replace(html, '<li><a href="([^"]*e[^"]*)">', nested)
+    html = F.regexp_replace(html, '<li><a href="([^"]*)">', plain)
+    return pages.page_product_links(ad.table(spark, sf, "pages").select("page_id", html.alias("html")), _SHOP)
+
+
 @query(
     "page_image_cards",
     f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS position, CASE WHEN contains(hrefs[i], 'https') THEN hrefs[i] ELSE '{_SHOP}' || hrefs[i] END AS image_link, trim(names[i]) AS description

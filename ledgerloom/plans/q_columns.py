@@ -38,6 +38,17 @@ def domain_filter(spark, sf):
     return filters.domain_filter(p, filters.all_of(wanted, ("p_size", "!=", 5), ("p_partkey", "set", True)))
 
 
+@query(
+    "domain_filter_prefix",
+    """SELECT p_partkey, p_name, p_type, p_size FROM part WHERE (contains(lower(p_name), 'red') OR (p_type IN ('PROMO', 'SMALL') AND NOT p_size > 20)) AND p_size <> 5
+    AND p_brand NOT IN ('Brand#11', 'Brand#12')""",
+)
+def domain_filter_prefix(spark, sf):
+    p = ad.table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_brand")
+    form = ["|", ["p_name", "ilike", "RED"], "&", ["p_type", "in", ["PROMO", "SMALL"]], "!", ["p_size", ">", 20], ["p_size", "!=", 5], ("p_brand", "not in", ["Brand#11", "Brand#12"])]
+    return filters.domain_filter(p, form).drop("p_brand")
+
+
 @query(
     "blank_to_null",
     "SELECT event_id, CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN event_type ELSE event_type END AS cleaned FROM events",

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import unicodedata
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import dates, numbers, text
@@ -162,3 +165,90 @@ def test_page_cards(frame):
     )
     got = pages.page_image_cards(frame("page_id int, html string", [(1, cards)]), "https://h").orderBy("position").collect()
     assert [(r.image_link, r.description) for r in got] == [("https://h/a.png", "A 1"), ("https://x/b.png", None)]
+
+
+def _product_links(frame, html):
+    rows = pages.page_product_links(frame("page_id int, html string", [(1, html)]), "h").collect()
+    return sorted((r.position, r.link) for r in rows)
+
+
+def test_a_search_stays_inside_its_card(frame):
+    card, anchor = "<div x-data='ProductCard'>", "<a class='product-name' href='/{}'></a>"
+    outside = anchor.format("outside")
+    # no link, then an anchor outside of any card
+    assert _product_links(frame, f"{card}<p>none</p></div>{outside}{card}{anchor.format(2)}</div>") == [(1, "h/2")]
+    # nested cards: the outer card's first anchor may be the inner one's
+    assert _product_links(frame, f"{card}{card}{anchor.format('in')}</div>{anchor.format('out')}</div>{outside}") == [(0, "h/in"), (1, "h/in")]
+    assert _product_links(frame, f"{card}<div>{card}</div></div>{anchor.format('out')}</div>") == [(0, "h/out")]
+    # void, self-closing and unclosed tags, end tags of nothing; the section's end closes the card inside it
+    assert _product_links(frame, f"<section>{card}<br><img><p><i></section>{outside}</div>") == []
+    assert _product_links(frame, f"{card}<hr><b/></span></p>{anchor.format(1)}") == [(0, "h/1")]
+    assert _product_links(frame, f"{card[:-1]}/>{outside}") == []
+    # comments, scripts, quoted signs and upper case
+    assert _product_links(frame, f"<DIV X-DATA=\"ProductCard\" title='</div>'><!-- </div> --><script>'</div>'</script>{anchor.format(1)}</Div>{outside}") == [(0, "h/1")]
+    assert _product_links(frame, "<div x-data=ProductCard><a href=/1?a=1&amp;b=2 class='big product-name'></div>") == [(0, "h/1?a=1&b=2")]
+    assert _product_links(frame, "<div x-data='ProductCards'><a class='product-names' href='/1'>") == []
+    assert _product_links(frame, None) == _product_links(frame, "") == _product_links(frame, "<div <<>a</") == []
+
+
+def test_cards_without_image_or_text(frame):
+    html = (
+        "<div class='card  col-md-3 border-0'><p>no image</p></div><img class='card-img-top' src='/outside'>"
+        "<div class='card col-md-3 border-0'><div><img class='x card-img-top' src='/in.png'></div></div><a class='card-title fw-bold'></a><p>outside</p>"
+        "<a class='card-title fw-bold'><p> caf&eacute;&#33; <!-- no --><b>bold</b></a>"
+    )
+    got = pages.page_image_cards(frame("page_id int, html string", [(1, html)]), "h").orderBy("position").collect()
+    assert [(r.image_link, r.description) for r in got] == [(None, "caf&eacute;! bold"), ("h/in.png", None)]
+
+
+def test_long_unclosed_attributes_take_no_time(frame):
+    assert _product_links(frame, "<div " + 'a="b" ' * 20_000) == [] == _product_links(frame, "<div x='" + "=\"'" * 20_000)
+
+
+def test_contained_text_is_that_of_all_pairs(frame):
+    rng = random.Random(4)
+    codes = ["".join(rng.choice("abAB1-ก") for _ in range(rng.randint(0, 12))) for _ in range(150)] + ["x" * 3000 + "needle", None]
+    needles = ["".join(rng.choice("abAB1-ก") for _ in range(rng.randint(1, 5))) for _ in range(60)] + ["needle", "xx", " ", "zzz", "x" * 2000, None]
+    left = frame("needle string", [(n,) for n in needles])
+    right = frame("id int, code string", list(enumerate(codes)))
+    got = {(r.needle, r.id) for r in matching.contains_lookup(left, "needle", right, "code").collect()}
+    assert got == {(n.strip(), i) for n in needles if n and n.strip() for i, c in enumerate(codes) if c and n.strip().lower() in c.lower()}
+
+
+def test_price_requests_are_not_shuffled(frame):
+    surface = frame("height string, width string, price int", [("1.00", "1.00", 5), ("1.00", "2.00", 7), ("2.00", "2.00", None), ("9.00", "1.00", 4)])
+    probes = frame("id int, width double, height double", [(1, 0.5, 0.5), (2, 1.5, None), (3, None, 1.0), (4, 2.0, 1.5)])
+    out = matching.price_surface_lookup(probes, surface, [2.0, 1.0], [1.0, 2.0])
+    rows = sorted((r.id, float(r.grid_height), float(r.grid_width), r.price and int(r.price)) for r in out.collect())
+    assert rows == [(1, 1.0, 1.0, 5), (2, 2.0, 2.0, None), (3, 1.0, 2.0, 7), (4, 2.0, 2.0, None)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_compatibility_form_of_all_characters(spark):
+    codes = spark.range(32, 0x11000).where("id NOT BETWEEN 55296 AND 57343")
+    char = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    both = codes.select(char.alias("c")).select("c", text.nfkc(F.col("c")).alias("one"), text.nfkc(F.concat(F.lit("aก"), "c", F.lit("́า"))).alias("two"))
+    assert "Python" not in both._jdf.queryExecution().executedPlan().toString()
+    known = [r for r in both.collect() if len(r.c) == 1 and unicodedata.category(r.c) != "Cn"]
+    assert len(known) > 50_000 and all(unicodedata.normalize("NFKC", r.c) == r.one for r in known)
+    assert all(unicodedata.normalize("NFKC", f"aก{r.c}́า") == r.two for r in known)
+    assert text.nfkc(F.lit("นำ")) is not None
+    odd = spark.createDataFrame([("น้ำ ำ ﬁ Å ２", 1), (None, 2), ("", 3)], "c string, i int").select("i", text.nfkc(F.col("c")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in odd] == [unicodedata.normalize("NFKC", "น้ำ ำ ﬁ Å ２"), None, ""]
+
+
+def test_prefix_forms_are_those_built_by_hand(frame):
+    df = frame("id int, name string, size int", [(i, None if i % 7 == 0 else f"{'Goods' if i % 2 else 'Raw'} / {i}", i % 5) for i in range(60)])
+    ids = lambda c: sorted(r.id for r in filters.domain_filter(df, c).collect())
+    goods, raw, small, late = ["name", "ilike", "goods /"], ["name", "ilike", "raw /"], ["size", "<", 2], ["id", ">=", 30]
+    t = lambda x: filters.term(tuple(x))
+    assert ids(["|", goods, raw]) == ids(t(goods) | t(raw))
+    assert ids([goods, small]) == ids(["&", goods, small]) == ids(t(goods) & t(small))
+    assert ids(["|", goods, "&", raw, small, late]) == ids((t(goods) | (t(raw) & t(small))) & t(late))
+    assert ids(["|", "|", goods, small, late]) == ids(t(goods) | t(small) | t(late))
+    assert ids(["!", "|", goods, raw]) == [i for i in range(60) if i % 7 == 0]
+    assert ids([]) == list(range(60)) and ids([["name", "not in", ["Raw / 2"]]]) == [i for i in range(60) if i != 2]
+    for broken in (["|", goods], ["&"], ["?", goods, raw]):
+        with pytest.raises(ValueError):
+            filters.domain(broken)

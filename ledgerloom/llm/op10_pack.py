@@ -3,9 +3,10 @@
 Documents become token ids with an end id; longer ones than a sequence are cut, their first piece being the shorter one.
 Sequences are planned from the number of pieces of each length (at most `capacity` rows whatever the input): the longest
 piece left opens a sequence, the undominated fillings of the room beside it are enumerated and taken as often as the counts allow.
-Best-fit solutions are the incumbents. Where they miss the bound, most of their patterns are fixed and the pieces of a few searched anew, then all
-of them; branches are cut where their waste exceeds what a better solution could have. The budget counts branches, not the steps of a descent, and
-grows with the number of lengths; a plan above the bound at its end need not be the shortest. Then the pieces of each length are numbered in parts, and the number gives the sequence and the place.
+Best-fit solutions are the incumbents. Where they miss the bound, branches over the fillings are searched and cut where their waste exceeds what a better solution
+could have; then the room of the best one is gathered in few sequences by exchanges, and most patterns are fixed while the pieces of a few are searched anew. The budgets
+count branches and steps of the enumerations, so the search ends whatever the counts are; a plan above the bound need not be the shortest. Then the pieces of
+each length are numbered in parts, and the number gives the sequence and the place.
 
 Defined results: null text is empty and has the end id alone; a null doc_id and repeated rows are packed as rows of
 their own; an empty table gives no rows; columns beside doc_id and text are not read.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,6 +35,8 @@ NODES = 8  # branches for each length that occurs
 BRANCHES = 30  # of them for one try to save a sequence among a few
 FILLINGS = 24
 STEPS = 1_500
+PLAN_STEPS = 1_000_000  # for what follows the first incumbents
+TRIES = ((3, FILLINGS, STEPS), (2, 8, 600))  # piece cost, fillings and steps of the incumbents made of first fillings
 PIECE_COST = 8  # waste that a filling may have more for each piece it has less: short pieces are kept for later
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -47,14 +51,14 @@ def fillings(counts: list[int], longest: int, capacity: int, most: int = FILLING
     return _enumerated(counts, longest, capacity, most, steps, piece_cost)[0]
 
 
-def _enumerated(counts: list[int], longest: int, capacity: int, most: int, steps: int, piece_cost: int) -> tuple[list[tuple[int, Pattern]], bool]:
-    """The fillings, and whether they are all there are."""
+def _enumerated(counts: list[int], longest: int, capacity: int, most: int, steps: int, piece_cost: int) -> tuple[list[tuple[int, Pattern]], bool, int]:
+    """The fillings, whether they are all there are, and the steps taken."""
     room = capacity - longest
     left = counts[: capacity + 1]
     left[longest] -= 1
     lengths = [n for n in range(min(room, longest), 0, -1) if left[n] > 0]
     if not lengths:
-        return [(room, ((longest, 1),))], True
+        return [(room, ((longest, 1),))], True, 1
     found: dict[Pattern, int] = {}
     shortest, tried, perfect = lengths[-1], 0, 0
     stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(0, room, ())]
@@ -89,7 +93,7 @@ def _enumerated(counts: list[int], longest: int, capacity: int, most: int, steps
         for n, take in chosen:
             whole[n] += take
         found[tuple(sorted(whole.items(), reverse=True))] = open_
-    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0] + piece_cost * sum(t for _, t in x[1]), x[1])), not stack
+    return sorted(((waste, p) for p, waste in found.items()), key=lambda x: (x[0] + piece_cost * sum(t for _, t in x[1]), x[1])), not stack, tried
 
 
 def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
@@ -118,30 +122,22 @@ def best_fit(counts: list[int], capacity: int) -> list[tuple[Pattern, int]]:
     return [(tuple(sorted(p.items(), reverse=True)), many) for g in groups.values() for p, many in g]
 
 
-@dataclass(init=False)
 class _Level:
     """The untried fillings around one longest piece, the best last; enumerated further when all of them have failed."""
 
-    longest: int
-    options: list[tuple[int, Pattern, int]]
-    whole: bool
-    entered: bool = False
-
-    def __init__(self, counts: list[int], longest: int, capacity: int):
-        self.longest, self.options, self.whole, self.entered = longest, [], not longest, False
+    def __init__(self, longest: int):
+        self.longest, self.whole, self.entered = longest, not longest, False
+        self.options: list[tuple[int, Pattern, int]] = []
         self.seen: set[Pattern] = set()
         self.most, self.steps = FILLINGS, STEPS
-        if longest:
-            self._enumerate(counts, capacity)
 
-    def _enumerate(self, counts: list[int], capacity: int) -> None:
-        found, self.whole = _enumerated(counts, self.longest, capacity, self.most, self.steps, PIECE_COST)
+    def enumerate(self, counts: list[int], capacity: int) -> int:
+        """Steps taken; each further call looks at four times as many."""
+        found, self.whole, taken = _enumerated(counts, self.longest, capacity, self.most, self.steps, PIECE_COST)
         self.options = [(waste, p, 0) for waste, p in reversed(found) if p not in self.seen]
         self.seen.update(p for _, p in found)
-
-    def widen(self, counts: list[int], capacity: int) -> None:
         self.most, self.steps = 4 * self.most, 4 * self.steps
-        self._enumerate(counts, capacity)
+        return taken
 
 
 @dataclass
@@ -151,6 +147,7 @@ class _Search:
     least: int
     best: list[tuple[Pattern, int]]
     nodes: int = NODES
+    steps: int = PLAN_STEPS
     path: list[tuple[Pattern, int]] = field(default_factory=list)
 
     @property
@@ -160,14 +157,12 @@ class _Search:
     def run(self, counts: list[int]) -> None:
         """Depth first without recursion: each level holds the fillings still to be tried around its longest piece.
 
-        The first filling of a level is free, whatever the depth; each further one, and each wider enumeration of a level, is a branch of the budget.
+        Steps of the enumerations are paid for, and so are branches: every filling of a level but its first, and every wider enumeration.
         A filling is taken as often as the counts and the waste allow, then half as often, down to once.
         """
-        levels: list[_Level] = []
         longest, waste, used = self._longest(counts, self.capacity), 0, 0
-        levels.append(_Level(counts, longest, self.capacity))
-        wastes: list[int] = []
-        while levels and self.nodes > 0 and self.sequences > self.least:
+        levels, wastes = [_Level(longest)], []
+        while levels and self.nodes > 0 and self.steps > 0 and self.sequences > self.least:
             level = levels[-1]
             if len(self.path) == len(levels):  # back from below: take the filling out
                 pattern, many = self.path.pop()
@@ -179,9 +174,10 @@ class _Search:
             if not level.options:
                 if level.whole:
                     levels.pop()
-                else:
-                    self.nodes -= level.steps // STEPS
-                    level.widen(counts, self.capacity)
+                    continue
+                if level.seen:
+                    self.nodes -= level.steps // STEPS // 4
+                self.steps -= level.enumerate(counts, self.capacity)
                 continue
             lost, pattern, limit = level.options.pop()
             if waste + lost > spare:
@@ -202,7 +198,7 @@ class _Search:
             longest = self._longest(counts, level.longest)
             if not longest and used < self.sequences:
                 self.best = list(self.path)
-            levels.append(_Level(counts, longest, self.capacity))
+            levels.append(_Level(longest))
         for pattern, many in self.path:
             for n, take in pattern:
                 counts[n] += take * many
@@ -213,14 +209,14 @@ class _Search:
         return next((n for n in range(start, 0, -1) if counts[n]), 0)
 
 
-def completed(counts: list[int], capacity: int, piece_cost: int = PIECE_COST) -> list[tuple[Pattern, int]]:
+def completed(counts: list[int], capacity: int, piece_cost: int = PIECE_COST, most: int = FILLINGS, steps: int = STEPS) -> list[tuple[Pattern, int]]:
     """Always the first filling around the longest piece, taken as often as the counts allow."""
     counts, out, longest = counts[:], [], capacity
     while longest:
         if not counts[longest]:
             longest -= 1
             continue
-        _, pattern = fillings(counts, longest, capacity, piece_cost=piece_cost)[0]
+        _, pattern = fillings(counts, longest, capacity, most, steps, piece_cost)[0]
         many = min(counts[n] // take for n, take in pattern)
         for n, take in pattern:
             counts[n] -= take * many
@@ -240,37 +236,137 @@ def least_sequences(counts: list[int], capacity: int) -> int:
     return best
 
 
-def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY, nodes: int | None = None) -> list[tuple[Pattern, int]]:
-    """(pattern, how many sequences) that use up all pieces; nodes is the budget of branches, by default NODES for each length there is."""
+def plan(counts_by_length: dict[int, int], capacity: int = CAPACITY, nodes: int | None = None, steps: int = PLAN_STEPS) -> list[tuple[Pattern, int]]:
+    """(pattern, how many sequences) that use up all pieces.
+
+    Incumbents come from best fit and from first fillings. Where they miss the bound, the fillings are searched; then the room is gathered in few
+    sequences, and the pieces of a few sequences are searched anew. nodes is the budget of branches, by default NODES for each length there is; steps
+    bounds the work, whatever the number of pieces.
+    """
     counts = [0] * (capacity + 1)
     for n, many in counts_by_length.items():
         counts[n] = many
     total = sum(n * many for n, many in counts_by_length.items())
     left = NODES * max(1, len(counts_by_length)) if nodes is None else nodes
     least, best = least_sequences(counts, capacity), best_fit(counts, capacity)
-    for piece_cost in (PIECE_COST, 0):
+    for tried in TRIES:
         if _sequences(best) > least:
-            best = min(best, completed(counts, capacity, piece_cost), key=_sequences)
-    if _sequences(best) > least:
-        best = repaired(best, least, capacity, left // 2)
-    search = _Search(capacity, total, least, best, left - left // 2)
+            best = min(best, completed(counts, capacity, *tried), key=_sequences)
+    search = _Search(capacity, total, least, best, left, steps // 2)
     search.run(counts)
-    return search.best
+    best = search.best
+    if _sequences(best) > least:
+        best = gathered(best, least, capacity, steps // 4)
+    if _sequences(best) > least:
+        best = repaired(best, least, capacity, left, steps // 4)
+    return best
 
 
 def _sequences(solution: list[tuple[Pattern, int]]) -> int:
     return sum(many for _, many in solution)
 
 
-def repaired(solution: list[tuple[Pattern, int]], least: int, capacity: int, nodes: int) -> list[tuple[Pattern, int]]:
-    """All but a few patterns of a solution are fixed, and the pieces of those few are searched anew, as often as there are branches.
+def _room(pattern: Pattern, capacity: int) -> int:
+    return capacity - sum(n * take for n, take in pattern)
+
+
+def _sums(pattern: Pattern) -> dict[int, tuple[int, ...]]:
+    """Up to two pieces of a sequence by their length together; none is 0."""
+    singles = [n for n, take in pattern for _ in range(min(take, 2))]
+    out: dict[int, tuple[int, ...]] = {}
+    for i, n in enumerate(singles):
+        for m in singles[i + 1 :]:
+            out[n + m] = (n, m)
+    return out | {n: (n,) for n in singles} | {0: ()}
+
+
+def _exchanged(pattern: Pattern, out: tuple[int, ...], in_: tuple[int, ...]) -> Pattern:
+    now = Counter(dict(pattern))
+    now.subtract(out)
+    now.update(in_)
+    return tuple(sorted((+now).items(), reverse=True))
+
+
+def _most_moved(giver: Pattern, taker: Pattern, room: int) -> tuple[int, tuple[int, ...], tuple[int, ...]] | None:
+    """The exchange of up to two pieces each that takes the most length, at most the taker's room, from giver to taker: (length, giver's, taker's pieces)."""
+    gives, takes = _sums(giver), _sums(taker)
+    ordered = sorted(takes)
+    best = None
+    for y, pieces in gives.items():
+        at = bisect_left(ordered, y - room)
+        if at < len(ordered) and (moved := y - ordered[at]) > (best[0] if best else 0):
+            best = (moved, pieces, takes[ordered[at]])
+            if moved == room:
+                break
+    return best
+
+
+def gathered(solution: list[tuple[Pattern, int]], least: int, capacity: int, steps: int) -> list[tuple[Pattern, int]]:
+    """Moves the room of a solution together until sequences are empty.
+
+    The sequence with the most room gives: longer pieces against shorter ones of other sequences with room, which become fuller. When none of them can
+    take, a sequence with room takes from a full one, so that the room stands beside other pieces, and it goes on. A step is a pair of sequences looked at.
+    """
+    rng, full, loose = random.Random(1), Counter[Pattern](), []
+    for p, many in _summed(solution):
+        if _room(p, capacity):
+            loose += [p] * many
+        else:
+            full[p] += many
+    whole = list(full)
+    best, fewest = solution, _sequences(solution)
+    while steps > 0 and len(loose) + full.total() > least and loose:
+        loose.sort(key=lambda p: _room(p, capacity))
+        giver, others, moved = loose.pop(), [], False
+        for i, taker in enumerate(loose):
+            steps -= len(giver) + len(taker)
+            found = _most_moved(giver, taker, _room(taker, capacity)) if giver else None
+            if found is None:
+                others.append(taker)
+                continue
+            moved = True
+            giver, taker = _exchanged(giver, found[1], found[2]), _exchanged(taker, found[2], found[1])
+            if _room(taker, capacity):
+                others.append(taker)
+            else:
+                full[taker] += 1
+                whole.append(taker)
+        loose = others + ([giver] if giver else [])
+        if len(loose) + full.total() < fewest:
+            best, fewest = [*full.items(), *_summed([(p, 1) for p in loose])], len(loose) + full.total()
+            best = [(p, many) for p, many in best if many]
+        if moved or not whole:
+            if not moved:
+                break
+            continue
+        # the room of the others goes beside other pieces
+        for i in range(len(loose) - 1):
+            for _ in range(20):
+                giver = rng.choice(whole)
+                steps -= len(giver) + len(loose[i])
+                if full[giver] <= 0:
+                    continue
+                room = _room(loose[i], capacity)
+                found = _most_moved(giver, loose[i], room)
+                if found is not None and found[0] == room:
+                    taker = _exchanged(loose[i], found[2], found[1])
+                    full[giver] -= 1
+                    full[taker] += 1
+                    whole.append(taker)
+                    loose[i] = _exchanged(giver, found[1], found[2])
+                    break
+    return best
+
+
+def repaired(solution: list[tuple[Pattern, int]], least: int, capacity: int, nodes: int, steps: int) -> list[tuple[Pattern, int]]:
+    """All but a few patterns of a solution are fixed, and the pieces of those few are searched anew, as long as there are branches and steps.
 
     One of the few has room. A try is taken over if it needs fewer sequences, or as many and the room is in fewer of them: it gathers until a sequence is saved.
     """
     rng, now = random.Random(0), Counter(dict(_summed(solution)))
-    room = {p: capacity - sum(n * take for n, take in p) for p in now}
+    room = {p: _room(p, capacity) for p in now}
     worth = lambda some: sum(many * (capacity - room[p]) ** 2 for p, many in some)
-    while nodes > 0 and now.total() > least:
+    while nodes > 0 and steps > 0 and now.total() > least:
         patterns = list(now)
         loose = [p for p in patterns if room[p]]
         chosen = {rng.choice(loose or patterns), *rng.sample(patterns, min(len(patterns), rng.randint(1, 8)))}
@@ -282,15 +378,16 @@ def repaired(solution: list[tuple[Pattern, int]], least: int, capacity: int, nod
         total = sum(n * c for n, c in enumerate(counts))
         new = completed(counts, capacity, rng.choice((0, PIECE_COST)))
         nodes -= 1
+        steps -= STEPS
         fewest = -(-total // capacity)
         if fewest < len(old) * many <= _sequences(new):
-            search = _Search(capacity, total, max(fewest, least_sequences(counts, capacity)), old, min(nodes, BRANCHES))
+            search = _Search(capacity, total, max(fewest, least_sequences(counts, capacity)), old, min(nodes, BRANCHES), steps)
             before = search.nodes
             search.run(counts)
-            nodes -= before - max(search.nodes, 0)
+            nodes, steps = nodes - (before - max(search.nodes, 0)), search.steps
             new = search.best if search.sequences < len(old) * many else new
         for p, _ in new:
-            room[p] = capacity - sum(n * take for n, take in p)
+            room[p] = _room(p, capacity)
         if (-_sequences(new), worth(new)) >= (-len(old) * many, worth(old)):
             now.subtract(dict(old))
             now.update(dict(_summed(new)))

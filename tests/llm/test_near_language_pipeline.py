@@ -289,3 +289,49 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
             assert docs.select("doc_id").distinct().exceptAll(before.select("doc_id").distinct()).count() == 0
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(map(str, whole.drop("sequence_id", "offset").collect())) == sorted(map(str, docs.drop("sequence_id", "offset").collect()))
+
+
+def _small_documents(spark, path, rows, extra=()):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    for name in extra:
+        docs = docs.withColumn(name, F.lit("own"))
+    docs.write.parquet(f"{path}/documents.parquet")
+    return docs
+
+
+def test_a_second_run_leaves_the_first_alone(spark):
+    import corpus_pipeline
+
+    first = corpus_pipeline.run(spark, SF)
+    second = corpus_pipeline.run(spark, SF)
+    rows = [sorted(map(str, df.drop("sequence_id", "offset").collect())) for df in (first, second)]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
+
+
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    _small_documents(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_of_odd_rows_and_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    speech = {"en": "the quick brown fox jumps over lazy dogs and then some more of them".split(), "de": "über den schnellen fuchs läuft der große faule hund und noch mehr davon".split()}
+    rows = [(i, " ".join(rng.choice(speech[lang]) for _ in range(60)), lang, "web" if i % 3 else None, 1) for i, lang in enumerate(["en", "de"] * 20)]
+    rows += [(100, None, "en", "web", None), (None, rows[0][1], "en", "web", 1), (101, "", None, None, 0), (102, "12 34 !!", "de", "web", 8), (103, rows[1][1], "de", "web", 1)]
+    rows += [(104, "mail anna.bell@mail.example now " + rows[2][1] + " word" * 3000, None, "books", 1)]
+    extra = ["row_id", "number", "taken", "size", "print", "class", "class_id", "length", "piece", "start", "doc", "root", "node"]
+    docs = _small_documents(spark, tmp_path, rows, extra)
+    now = docs
+    for name, step in corpus_pipeline.STAGES:
+        step(spark, now, str(tmp_path)).write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        if name != "pack":
+            assert now.columns == docs.columns and now.where("row_id <> 'own' OR taken <> 'own'").count() == 0
+    kept = {r.doc_id for r in spark.read.parquet(str(tmp_path / "near_duplicates")).collect()}
+    assert kept >= {0, 1, 2, 104} - {0} and not kept & {100, 101, 102} and 103 not in kept
+    assert {r.doc_id for r in now.select("doc_id").distinct().collect()} <= kept | {None}

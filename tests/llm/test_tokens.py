@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -168,3 +169,48 @@ def test_columns_stay(frame):
     docs = frame("doc_id long, text string, extra int", [(1, "a", 7)])
     assert op3.token_counts(docs, PIECES).select("extra").first()[0] == 7
     assert docs.select(F.size(op10.pieces_of(F.col("text"), BYTES))).first()[0] == 1
+
+
+def test_token_counts_of_the_table(spark):
+    import sentencepiece
+
+    import __spark_entry__ as entry
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    sizes = {d.doc_id: len(library.encode(d.text or "")) for d in docs}
+    want = sorted((d.doc_id, len((d.text or "").encode()), sizes[d.doc_id], sizes[d.doc_id] > 4096) for d in docs)
+    got = entry.queries()["op3_token_counts"](spark, SF).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    assert sorted(map(tuple, got)) == want and any(w[3] for w in want)
+
+
+def test_very_long_texts_through_spark(frame):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    text = " ".join(f"word{i % 313}, Über" for i in range(60_000))
+    docs = frame("doc_id long, text string", [(1, text), (2, "a")])
+    counted = {r.doc_id: r.n_tokens for r in op3.token_counts(docs, PIECES).collect()}
+    assert counted[1] == len(sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text))
+    ids = [*Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids, op10.END]
+    rows = [r.asDict() for r in op10.pack(docs, BYTES).collect()]
+    check_sequences(rows, 1024)
+    pieces = sorted((r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == 1)
+    assert [p[2] for p in pieces] == [zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) for s, n, _ in pieces] and sum(p[1] for p in pieces) == len(ids)
+
+
+@pytest.mark.parametrize("times", [3, 20, 300])
+def test_a_plan_ends_whatever_the_counts(times):
+    """Counts of all lengths whose greedy plans miss the bound; the work is bounded, not the rows."""
+    rng, used = random.Random(times), Counter()
+    pieces = {n: 1 + int(times * rng.uniform(0.5, 1.5) * (40 if n == 1024 else 1 + 30 / n**0.5)) for n in range(1, 1025)}
+    began = time.process_time()
+    solution = op10.plan(pieces)
+    assert time.process_time() - began < 30
+    for pattern, many in solution:
+        assert many > 0 and sum(n * take for n, take in pattern) <= 1024
+        for n, take in pattern:
+            used[n] += take * many
+    assert used == Counter(pieces)
+    counts = [0, *(pieces[n] for n in range(1, 1025))]
+    assert sum(many for _, many in solution) <= 1.002 * op10.least_sequences(counts, 1024)

@@ -1,6 +1,8 @@
 """Training-text pipeline over the documents: each stage's rows are written and read again as the next one's input.
 
-A stage drops the working tables of the stage called before it: that one's rows have been written by then.
+`run` keeps count of the tables of its own run: those of a stage, and the stage's input, are dropped when its rows have been written. What the last
+stage's rows are read from stays, so results of several runs can be read side by side. Stages that are called one by one drop
+the working tables of the stage before them, whose rows have been written by then.
 """
 
 from __future__ import annotations
@@ -19,48 +21,52 @@ from ledgerloom.llm import op10_pack as op10
 from ledgerloom.session import drop_tables, materialise, tracked, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_WORKING: list[str] = []
+_LEFT: dict[str, list[str]] = {}  # working tables by stage, until the one behind it is called
 
 
-def stage(fn: Stage) -> Stage:
-    @wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_tables(spark, _WORKING)
-        _WORKING.clear()
-        with tracked() as paths:
-            out = fn(spark, docs, sf_dir)
-        _WORKING.extend(paths)
-        return out
+def stage(before: str | None) -> Callable[[Stage], Stage]:
+    """A stage that drops what the stage `before` it has left."""
 
-    return run_stage
+    def wrap(fn: Stage) -> Stage:
+        @wraps(fn)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            drop_tables(spark, _LEFT.pop(before or "", []))
+            with tracked() as paths:
+                out = fn(spark, docs, sf_dir)
+            _LEFT.setdefault(fn.__name__, []).extend(paths)
+            return out
 
+        return run_stage
 
-@stage
+    return wrap
+
+
+@stage(None)
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the network can tell."""
     return op9.accepted(docs)
 
 
-@stage
+@stage("identify_language")
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
     return op6.deduplicated(docs)
 
 
-@stage
+@stage("drop_near_duplicates")
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without personal data and the terms that disclose it; n_chars follows the text."""
     clean = op2.sanitised(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
 
-@stage
+@stage("sanitise")
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     return op1.mixed(docs)
 
 
-@stage
+@stage("mix_sources")
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their sequences and places."""
     import public_tokenizers
@@ -80,7 +86,14 @@ ORACLE_SQL = None  # the network, the sketches and the packing plan are no SQL;
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = tune(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs, input_tables = tune(spark).read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, step in STAGES[:-1]:
-        docs = materialise(step(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with tracked() as working:
+            rows = step.__wrapped__(spark, docs, sf_dir)
+        with tracked() as written:
+            docs = materialise(rows, f"pipeline-{name}")
+        drop_tables(spark, working + input_tables)
+        input_tables = written
+    packed = STAGES[-1][1].__wrapped__(spark, docs, sf_dir)  # its pieces are a table by now
+    drop_tables(spark, input_tables)
+    return packed

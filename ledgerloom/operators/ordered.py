@@ -88,16 +88,17 @@ def find_cuts(df: DataFrame, order: Sequence[str], blocks: int) -> list[tuple]:
     names = [f"o{i}" for i in range(len(leaves))]
     tuples = df.select(*[c.alias(n) for n, (c, _) in zip(names, leaves, strict=True)])
     rows = tuples.count()
-    drawn = tuples if rows <= _DRAWN * blocks else tuples.sample(_DRAWN * blocks / rows, 0)
-    whole = F.struct(*names).alias("t")
-    runs = drawn.withColumn("__run", F.ntile(blocks).over(Window.partitionBy(F.lit(0)).orderBy(*names))).groupBy("__run").agg(F.min(whole).alias("first"), F.max(whole).alias("last"))
-    ends = runs.orderBy("__run").select(*[F.struct(*[_portable(F.col(end).getField(n), k).alias(n) for n, (_, k) in zip(names, leaves, strict=True)]).alias(end) for end in ("first", "last")])
-    found = [(tuple(r["first"]), tuple(r["last"])) for r in ends.collect()]
+    drawn, run = (tuples, -(-rows // blocks) or 1) if rows <= _DRAWN * blocks else (tuples.sample(_DRAWN * blocks / rows, 0), _DRAWN)
+    # sorted in one task, so the ids are places; the first and the last tuple of each run come back
+    placed = drawn.repartition(1).sortWithinPartitions(*names).withColumn("at", F.monotonically_increasing_id())
+    ends = placed.where((F.col("at") % run == 0) | (F.col("at") % run == run - 1))
+    found = {r["at"]: tuple(r)[1:] for r in ends.select("at", *[_portable(F.col(n), k) for n, (_, k) in zip(names, leaves, strict=True)]).collect()}
     cuts: list[tuple] = []
-    for (_, below), (cut, _) in zip(found, found[1:], strict=False):
-        cut = _shortest(below, cut)
-        if not cuts or not all(map(_same, cuts[-1], cut)):
-            cuts.append(cut)
+    for at in sorted(found):
+        if at and at % run == 0:
+            cut = _shortest(found[at - 1], found[at])
+            if not cuts or not all(map(_same, cuts[-1], cut)):
+                cuts.append(cut)
     return cuts
 
 

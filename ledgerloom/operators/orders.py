@@ -17,8 +17,18 @@ def order_reference_resolve(orders: DataFrame, partners: DataFrame, types: DataF
     )
 
 
-def _reject(df: DataFrame, reason: str, value: Column, line: Column) -> DataFrame:
-    return df.select("order_no", line.cast("int").alias("line_no"), F.lit(reason).alias("reason"), value.cast("string").alias("value"))
+def _order_rejects(resolved: DataFrame) -> DataFrame:
+    """One row per reason, all of an order's reasons in one pass."""
+
+    def reason(failed: Column, name: str, value: str) -> Column:
+        return F.when(failed, F.struct(F.lit(name).alias("reason"), F.col(value).cast("string").alias("value")))
+
+    reasons = F.array(
+        reason(F.col("partner_id").isNull(), "unknown customer", "customer_code"),
+        reason(F.col("order_type_id").isNull(), "unknown order type", "type_id"),
+        reason(F.col("order_type_id").isNotNull() & F.col("warehouse_id").isNull(), "unknown warehouse", "type_id"),
+    )
+    return resolved.select("order_no", F.lit(None).cast("int").alias("line_no"), F.explode(F.array_compact(reasons)).alias("r")).select("order_no", "line_no", "r.*")
 
 
 def order_staging(
@@ -46,15 +56,10 @@ def order_staging(
     known = products.select(F.col("id").cast("string").alias("product_code"), F.col("id").alias("product_id"))
     matched = items.join(known, "product_code", "left")
     lines = matched.where("product_id IS NOT NULL").select("order_no", "line_no", "product_id", "width", "height", F.col("qty").alias("product_uom_qty"))
-    no_line = F.lit(None)
-    rejects = (
-        _reject(resolved.where("partner_id IS NULL"), "unknown customer", F.col("customer_code"), no_line)
-        .unionByName(_reject(resolved.where("order_type_id IS NULL"), "unknown order type", F.col("type_id"), no_line))
-        .unionByName(
-            _reject(resolved.where("order_type_id IS NOT NULL AND warehouse_id IS NULL"), "unknown warehouse", F.col("type_id"), no_line)
-        )
-        .unionByName(_reject(matched.where("product_id IS NULL"), "unknown product", F.col("product_code"), F.col("line_no")))
+    unknown = matched.where("product_id IS NULL").select(
+        "order_no", "line_no", F.lit("unknown product").alias("reason"), F.col("product_code").cast("string").alias("value")
     )
+    rejects = _order_rejects(resolved).unionByName(unknown)
     return headers, lines, rejects
 
 

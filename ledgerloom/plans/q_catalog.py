@@ -158,6 +158,23 @@ def product_config_snapshot(spark, sf):
     return out
 
 
+def _cells_sql(table: str) -> str:
+    texts = " || ',' || ".join(f"""coalesce(CAST("{c}" AS VARCHAR), '-')""" for c in catalog.SNAPSHOTS[table])
+    return f"""SELECT '{table}' AS table_name, '{",".join(catalog.SNAPSHOTS[table])}' AS column_names, {texts} AS cells FROM ({_snapshot_sql(table)})"""
+
+
+@query("product_config_snapshot_values", " UNION ALL ".join(_cells_sql(t) for t in catalog.CONFIG_TABLES))
+def product_config_snapshot_values(spark, sf):
+    """Every record of the 15 mirror tables with the values of all its cells."""
+    out = None
+    for name, df in catalog.product_config_snapshot({t: _snapshot(spark, sf, t) for t in catalog.CONFIG_TABLES}).items():
+        texts = [F.to_json(c) if df.schema[c].dataType.simpleString().startswith("array") else F.col(f"`{c}`").cast("string") for c in df.columns]
+        cells = F.concat_ws(",", *[F.coalesce(t, F.lit("-")) for t in texts])
+        rows = df.select(F.lit(name).alias("table_name"), F.lit(",".join(df.columns)).alias("column_names"), cells.alias("cells"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("variant_price_table", _snapshot_sql("variant_values"))
 def variant_price_table(spark, sf):
     return catalog.variant_price_table(_snapshot(spark, sf, "variant_values"))
@@ -211,7 +228,7 @@ def related_product_chain(spark, sf):
     values = catalog.config_snapshot(_snapshot(spark, sf, "attribute_values"), "attribute_values")
     p = ad.table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
     combos = p.select(F.col("k").alias("id"), (F.col("k") + 1000).alias("product_id"))
-    variants = p.where("k % 2 = 0").select((F.col("k") + 1000).alias("id"), (F.col("k") * 10 + 7).alias("product_tmpl_id"))
+    variants = p.select(F.when(F.col("k") % 2 == 0, F.col("k") + 1000).otherwise(-1 - F.col("k")).alias("id"), (F.col("k") * 10 + 7).alias("product_tmpl_id"))
     return catalog.related_product_chain(values, combos, variants)
 
 
@@ -325,12 +342,13 @@ def _references(spark, sf):
     c = ad.table(spark, sf, "customer")
     partners = c.select(ad.customer_code(F.col("c_custkey")).alias("ref"), (F.col("c_custkey") + 50000).alias("id"))
     r = ad.table(spark, sf, "region")
-    types = r.where("r_regionkey < 3").select(
-        ad.pick(["Normal Order", "Urgent Order", "No Warehouse"], F.col("r_regionkey")).alias("name"),
+    types = r.select(
+        ad.pick(["Normal Order", "Urgent Order", "No Warehouse", "Spare 3", "Spare 4"], F.col("r_regionkey")).alias("name"),
         (F.col("r_regionkey") + 1).cast("bigint").alias("id"),
         (F.col("r_regionkey") + 10).cast("bigint").alias("warehouse_id"),
     )
-    warehouses = r.where("r_regionkey < 2").select((F.col("r_regionkey") + 10).cast("bigint").alias("id"))
+    key = F.col("r_regionkey")
+    warehouses = r.select(F.when(key < 2, key + 10).otherwise(key + 100).cast("bigint").alias("id"))
     products = ad.table(spark, sf, "part").select(F.col("p_partkey").alias("id"))
     return partners, types, warehouses, products
 
@@ -395,8 +413,11 @@ def _sale_orders(spark, sf):
     name = F.concat(F.lit("SO"), k.cast("string"))
     sale = o.select(k.alias("id"), name.alias("name"), F.array(k * 2, k * 2 + 1).alias("order_line"), F.when(k % 2 == 0, F.array(k)).otherwise(F.array(k, k + 500000)).alias("picking_ids"))
     lines = o.select(F.explode(F.array(k * 2, k * 2 + 1)).alias("line_id"), (F.col("o_custkey") % 100).alias("product_id"), F.concat(F.lit("line "), F.col("o_orderstatus")).alias("name"))
-    made = o.where(k % 3 == 0).select(
-        k.alias("id"), F.concat(F.lit("MO"), k.cast("string")).alias("name"), k.alias("incoming_picking"), F.concat(F.lit("SO"), (k + 1).cast("string")).alias("origin"),
+    # two thirds of the manufacturing orders come from elsewhere
+    linked = k % 3 == 0
+    made = o.select(
+        k.alias("id"), F.concat(F.lit("MO"), k.cast("string")).alias("name"), F.when(linked, k).otherwise(-1 - k).alias("incoming_picking"),
+        F.concat(F.when(linked, F.lit("SO")).otherwise(F.lit("other ")), (k + 1).cast("string")).alias("origin"),
         (F.col("o_custkey") % 100).alias("product_id"), F.lit(1).alias("product_qty"), F.lower("o_orderstatus").alias("state"),
     )
     return sale, lines, made
@@ -466,7 +487,8 @@ def order_product_trace(spark, sf):
 )
 def first_line_variant(spark, sf):
     sale, lines, _ = _sale_orders(spark, sf)
-    variants = ad.table(spark, sf, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("id"))
+    key = F.col("s_suppkey")
+    variants = ad.table(spark, sf, "supplier").select(F.when(key % 2 == 0, key).otherwise(-1 - key).alias("id"))
     return orders.first_line_variant(sale, lines, variants)
 
 
@@ -504,7 +526,9 @@ def sheet_orders(spark, sf):
     sheet = li.select(
         ad.pick(["no1", "no2", "no3", "self_checkout"], F.col("l_suppkey") % 4).alias("store"), F.concat(F.lit("C"), F.col("l_partkey").cast("string")).alias("sku"), F.col("l_quantity").cast("int").alias("quantity")
     )
-    products = ad.table(spark, sf, "part").where("p_partkey % 6 <> 0").select(F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("default_code"), F.col("p_partkey").alias("id"))
+    key = F.col("p_partkey")
+    code = F.concat(F.when(key % 6 != 0, F.lit("C")).otherwise(F.lit("?")), key.cast("string"))
+    products = ad.table(spark, sf, "part").select(code.alias("default_code"), key.alias("id"))
     found, rejected = orders.sheet_orders(sheet, products)
     return found.select("store", "sku", "quantity", "product_id").unionByName(rejected.withColumn("product_id", F.lit(None).cast("bigint")))
 
@@ -525,8 +549,9 @@ def _fabric(spark, sf, first_load: bool) -> DataFrame:
         (k % 4 != 1).cast("int").alias("FlagDelete"),
     )
     raw_cols = list(catalog.FABRIC_COLUMNS)
-    target = p.where("p_partkey % 2 = 0").select(
-        F.concat(F.col("p_brand"), F.lit("-"), k.cast("string")).alias("ref_code"),
+    code = F.concat(F.col("p_brand"), F.lit("-"), k.cast("string"))
+    target = p.select(
+        F.when(k % 2 == 0, code).otherwise(F.concat(F.lit("?"), code)).alias("ref_code"),
         *[F.lit("old").alias(catalog.FABRIC_COLUMNS[c]) for c in raw_cols if c in ("RefValue", "RefDescription", "UnitUOM", "WidthTxt", "WidthUOM", "composition", "Owner")],
         *[F.lit(0).cast(MONEY).alias(catalog.FABRIC_COLUMNS[c]) for c in numbers_],
         F.lit(1).alias("flag_delete"),
@@ -535,7 +560,7 @@ def _fabric(spark, sf, first_load: bool) -> DataFrame:
         F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
         F.lit("2020-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"),
     )
-    match = p.where("p_partkey % 3 = 0").select(F.concat(F.col("p_brand"), F.lit("-"), k.cast("string")).alias("ref_code"), F.col("p_type").alias("category_name"))
+    match = p.select(F.when(k % 3 == 0, code).otherwise(F.concat(F.lit("?"), code)).alias("ref_code"), F.col("p_type").alias("category_name"))
     categories = ad.table(spark, sf, "region").select(
         F.col("r_regionkey").alias("id"), ad.pick(["ECONOMY", "PROMO", "SMALL", "STANDARD", "LARGE"], F.col("r_regionkey")).alias("name")
     )
@@ -554,7 +579,9 @@ def _fabric_sql(first_load: bool) -> str:
       CAST(CASE WHEN listed THEN {category} ELSE p_partkey % 9 + 1 END AS INTEGER) AS product_category_id,
       CAST(CASE WHEN listed THEN CASE WHEN known AND p_partkey % 4 = 1 THEN 0 ELSE {active} END WHEN p_partkey % 6 = 0 THEN 0 ELSE 1 END AS INTEGER) AS active,
       CASE WHEN known THEN TIMESTAMP '2020-01-01 00:00:00' ELSE {q.RUN_TS} END AS created_at, CASE WHEN listed THEN {q.RUN_TS} ELSE TIMESTAMP '2020-01-01 00:00:00' END AS updated_at
-    FROM (SELECT *, p_partkey % 25 <> 0 AS listed, p_partkey % 2 = 0 AS known FROM part) WHERE listed OR known"""
+    FROM (SELECT *, p_partkey % 25 <> 0 AS listed, p_partkey % 2 = 0 AS known FROM part) WHERE listed OR known
+    UNION ALL SELECT '?' || p_brand || '-' || CAST(p_partkey AS VARCHAR), 'old', 'old', 0, 1, CAST(p_partkey % 9 + 1 AS INTEGER), 1, TIMESTAMP '2020-01-01 00:00:00', TIMESTAMP '2020-01-01 00:00:00'
+    FROM part WHERE p_partkey % 2 = 1"""
 
 
 @query("fabric_product_load", _fabric_sql(False))

@@ -217,6 +217,12 @@ def invoice_credit_netting(spark, sf):
     return out.select("docnum", "total", "credit_total", "net_total", "debit_note_refs")
 
 
+def _known_invoices(docs):
+    """Invoices of the target: every third is one of the documents."""
+    number = F.when(F.col("line_no") % 3 == 0, F.col("docnum")).otherwise(F.concat(F.lit("?"), F.col("docnum")))
+    return docs.select(number.alias("doc_number"))
+
+
 @query(
     "dealer_invoices",
     f"""WITH {q.ARTRN}, {_NETTED}, {q.CUSTOMERS} SELECT n.docnum AS doc_number, n.docdat AS doc_date, n.cuscod AS customer_code, c.cusnam AS customer_name,
@@ -225,7 +231,7 @@ def invoice_credit_netting(spark, sf):
 )
 def dealer_invoices(spark, sf):
     docs = ad.artrn(spark, sf)
-    target = docs.where("line_no % 3 = 0").select(F.col("docnum").alias("doc_number"))
+    target = _known_invoices(docs)
     return jobs.dealer_invoices(docs, ad.customers(spark, sf), target, START, END)["invoice"]
 
 
@@ -236,7 +242,7 @@ def dealer_invoices(spark, sf):
 )
 def dealer_invoices_references(spark, sf):
     docs = ad.artrn(spark, sf)
-    target = docs.where("line_no % 3 = 0").select(F.col("docnum").alias("doc_number"))
+    target = _known_invoices(docs)
     return jobs.dealer_invoices(docs, ad.customers(spark, sf), target, START, END)["references"]
 
 
@@ -484,19 +490,23 @@ def dedupe_first(spark, sf):
     return ledger.dedupe_first(lines, "docnum", ad.LINE_ORDER).select("docnum", "stkcod", "seqnum", "trnqty")
 
 
-# target tables of the refresh queries: the old state holds two thirds of the documents, with older amounts
-_OLD = f"""{q.HEADERS}, old AS (SELECT doc_number, doc_date, customer_code, doc_stat, CAST(amount - 1 AS {q.M}) AS amount, CAST(total - 1 AS {q.M}) AS total, 'old' AS remark FROM headers WHERE line_no % 3 <> 0),
-  new AS (SELECT doc_number, doc_date, customer_code, 'N' AS doc_stat, amount, total, CASE WHEN line_no % 5 <> 0 THEN 'new' END AS remark FROM headers WHERE line_no % 2 = 0)"""
+# target tables of the refresh queries: the old state knows two thirds of the documents, with older amounts, and others beside them
+_OLD = f"""{q.HEADERS}, old AS (SELECT CASE WHEN line_no % 3 <> 0 THEN '' ELSE 'X' END || doc_number AS doc_number, doc_date, customer_code, doc_stat, CAST(amount - 1 AS {q.M}) AS amount, CAST(total - 1 AS {q.M}) AS total, 'old' AS remark FROM headers),
+  new AS (SELECT CASE WHEN line_no % 2 = 0 THEN '' ELSE 'Y' END || doc_number AS doc_number, doc_date, customer_code, 'N' AS doc_stat, amount, total, CASE WHEN line_no % 5 <> 0 THEN 'new' END AS remark FROM headers)"""
 
 
 def _old_new(spark, sf):
-    h = ad.headers(spark, sf)
-    cols = ["doc_number", "doc_date", "customer_code"]
-    old = h.where("line_no % 3 <> 0").select(
-        *cols, "doc_stat", (F.col("amount") - 1).cast(MONEY).alias("amount"), (F.col("total") - 1).cast(MONEY).alias("total"), F.lit("old").alias("remark")
+    h, line = ad.headers(spark, sf), F.col("line_no")
+
+    def number(shared, mark):
+        return F.concat(F.when(shared, F.lit("")).otherwise(F.lit(mark)), F.col("doc_number")).alias("doc_number")
+
+    old = h.select(
+        number(line % 3 != 0, "X"), "doc_date", "customer_code", "doc_stat", (F.col("amount") - 1).cast(MONEY).alias("amount"), (F.col("total") - 1).cast(MONEY).alias("total"),
+        F.lit("old").alias("remark"),
     )
-    new = h.where("line_no % 2 = 0").select(
-        *cols, F.lit("N").alias("doc_stat"), "amount", "total", F.when(F.col("line_no") % 5 != 0, F.lit("new")).alias("remark")
+    new = h.select(
+        number(line % 2 == 0, "Y"), "doc_date", "customer_code", F.lit("N").alias("doc_stat"), "amount", "total", F.when(line % 5 != 0, F.lit("new")).alias("remark")
     )
     return old, new
 

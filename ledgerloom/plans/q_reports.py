@@ -54,14 +54,16 @@ def dump(spark, sf, spec: reports.ReportSpec) -> DataFrame:
 
 def code_map(spark, sf) -> DataFrame:
     """New codes for every other customer; every seventh maps to itself."""
-    c = ad.table(spark, sf, "customer").where("c_custkey % 2 = 0 OR c_custkey % 7 = 0")
-    old = ad.customer_code(F.col("c_custkey"))
-    new = F.when(F.col("c_custkey") % 7 == 0, old).otherwise(F.concat(F.lit("N"), old))
-    return c.select(old.alias("old_code"), new.alias("new_code"))
+    k = F.col("c_custkey")
+    code = ad.customer_code(k)
+    # the codes of the others are of no partner
+    old = F.when((k % 2 == 0) | (k % 7 == 0), code).otherwise(F.concat(F.lit("?"), code))
+    new = F.when(k % 7 == 0, code).otherwise(F.concat(F.lit("N"), code))
+    return ad.table(spark, sf, "customer").select(old.alias("old_code"), new.alias("new_code"))
 
 
-_MAP = f"""code_map AS (SELECT {q.code('c_custkey')} AS old_code, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'N' END || {q.code('c_custkey')} AS new_code
-  FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 7 = 0)"""
+_MAP = f"""code_map AS (SELECT CASE WHEN c_custkey % 2 = 0 OR c_custkey % 7 = 0 THEN '' ELSE '?' END || {q.code('c_custkey')} AS old_code, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'N' END || {q.code('c_custkey')} AS new_code
+  FROM customer)"""
 _FILE_SQL = f"'F' || CAST(o_orderkey // {_FILE_LINES} AS VARCHAR) AS source_file, o_orderkey AS line_no"
 
 

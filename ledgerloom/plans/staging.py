@@ -33,20 +33,36 @@ def dbf_record(row, fields: Sequence[DbfField], deleted: bool, codepage: str = "
     return out
 
 
+FILE_BYTES = 32 << 20
+
+
 def _write_partition(batches: Iterator[pd.DataFrame], folder: str, fields: Sequence[DbfField]) -> Iterator[pd.DataFrame]:
-    """One file per file name and task; a task tried again writes the same files again."""
+    """Files of at most about FILE_BYTES for each file name and task, as a header has to know the records; a task tried again writes the same files again."""
     task = TaskContext.get().partitionId()
     bodies: dict[str, list[bytes]] = {}
+    written: dict[str, int] = {}
+    rows = 0
+    width = len(dbf_record([None] * len(fields), fields, False))
+
+    def write(name: str) -> None:
+        records = bodies.pop(name)
+        part = written[name] = written.get(name, -1) + 1
+        system, inner = files.file_system(f"{folder}/{name}-{task:05d}-{part:04d}.dbf")
+        with system.open_output_stream(inner) as out:
+            out.write(dbf_header(fields, len(records)) + b"".join(records) + b"\x1a")
+
     for batch in batches:
         names = [f[0].lower() for f in fields]
         values = batch[names].itertuples(index=False, name=None)
         for row, name, deleted in zip(values, batch["__file"], batch["__deleted"], strict=True):
-            bodies.setdefault(name, []).append(dbf_record(row, fields, bool(deleted)))
-    for name, records in bodies.items():
-        system, inner = files.file_system(f"{folder}/{name}-{task:05d}.dbf")
-        with system.open_output_stream(inner) as out:
-            out.write(dbf_header(fields, len(records)) + b"".join(records) + b"\x1a")
-    yield pd.DataFrame({"rows": [sum(len(b) for b in bodies.values())]})
+            held = bodies.setdefault(name, [])
+            held.append(dbf_record(row, fields, bool(deleted)))
+            rows += 1
+            if len(held) * width >= FILE_BYTES:
+                write(name)
+    for name in list(bodies):
+        write(name)
+    yield pd.DataFrame({"rows": [rows]})
 
 
 def _text(df: DataFrame, field: DbfField) -> Column:

@@ -22,6 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
+from ledgerloom import session
 from ledgerloom.sources import decode, files
 
 CHUNK_BYTES = 8 << 20
@@ -278,12 +279,14 @@ def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def range_states(spark: SparkSession, paths: str, split_bytes: int) -> str:
-    """The state before each byte range, a digit each; the transitions are read in one task a range, five digits of each come back."""
+    """The state before each byte range, a digit each; tasks read the transitions, five digits of each range come back."""
     ranges = files.byte_ranges(paths, (), split_bytes)
     later = [(i, r.path, r.start, r.end) for i, r in enumerate(ranges) if r.end < r.size or r.start]
     if not later:
         return str(RECORD) * len(ranges)
-    todo = spark.createDataFrame(later, "number long, path string, start long, end long").repartition(len(later))
+    # a task reads 16 ranges at most
+    tasks = min(len(later), max(2 * session.shuffle_width(spark), -(-len(later) // 16)))
+    todo = spark.createDataFrame(later, "number long, path string, start long, end long").repartition(tasks)
     found = {r["number"]: r["states"] for r in todo.mapInArrow(_transitions, "number long, states string").collect()}
     out, state = [], RECORD
     for i, r in enumerate(ranges):

@@ -291,3 +291,27 @@ def test_text_of_any_encoding():
         cuts = np.cumsum([0, *map(len, data)])
         assert decode.texts(b"".join(data), cuts, encoding).to_pylist() == words
     assert decode.texts(b"a\xffb", np.array([0, 1, 3]), "utf-8").to_pylist() == ["a", "\ufffdb"]
+
+
+def test_written_ledger_files_are_bounded(spark, frame, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_BYTES", 40)
+    df = frame("docnum string, year string", [(f"A{i}", f"T{i % 2}") for i in range(30)]).coalesce(1)
+    folder = staging.write_dbf(df.withColumn("gone", F.lit(False)), [("DOCNUM", "C", 6, 0)], F.col("year"), F.col("gone"))
+    rows = dbf.dbf_scan(spark, folder).collect()
+    assert sorted(r.docnum for r in rows) == sorted(f"A{i}" for i in range(30))
+    files_ = {r.source_file for r in rows}
+    assert len(files_) >= 4 and all(int(r.docnum[1:]) % 2 == int(r.source_file[1]) for r in rows)
+
+
+def test_order_rejects_give_every_reason(frame):
+    from ledgerloom.operators import orders
+
+    asked = frame(
+        "order_no long, customer_code string, type_id string, order_date string, delivery_date string, note string, product array<struct<product_id: string, width: double, height: double, qty: int>>",
+        [(1, "c", "t", "01/01/2024 05:00:00", "01/01/2024", "", [("p", 1.0, 1.0, 2), ("q", 1.0, 1.0, 1)]), (2, "x", "y", None, None, "", []), (3, "x", "no house", None, None, "", []), (4, None, "t", None, None, "", None)],
+    )
+    partners, types = frame("ref string, id long", [("c", 1)]), frame("name string, id long, warehouse_id long", [("t", 1, 5), ("no house", 2, 6)])
+    headers, lines_, rejects = orders.order_staging(asked, partners, types, frame("id long", [(5,)]), frame("id string", [("p",)]))
+    assert [r.order_no for r in headers.collect()] == [1] and [(r.line_no, r.product_id) for r in lines_.collect()] == [(1, "p")]
+    want = [(1, 2, "unknown product", "q"), (2, None, "unknown customer", "x"), (2, None, "unknown order type", "y"), (3, None, "unknown customer", "x"), (3, None, "unknown warehouse", "no house"), (4, None, "unknown customer", None)]
+    assert sorted(map(tuple, rejects.collect()), key=str) == sorted(want, key=str)

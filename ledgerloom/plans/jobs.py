@@ -129,7 +129,9 @@ def invoice_ledger(
 
     @cache
     def texts() -> DataFrame:
-        return session.materialise(ledger.remark_consolidate(remarks.join(invoices.select("docnum"), "docnum", "left_semi")), "remarks")
+        # consolidating reads its input several times
+        kept = session.materialise(remarks.join(invoices.select("docnum"), "docnum", "left_semi"), "remarks")
+        return ledger.remark_consolidate(kept)
 
     def header() -> DataFrame:
         headers = ledger.remark_enrich(invoices.drop("sonum"), texts()).withColumnsRenamed(_HEADER_NAMES)

@@ -11,7 +11,6 @@ from ledgerloom.operators import cash, receivables
 from ledgerloom.plans import adapters as ad
 from ledgerloom.plans import sqlparts as q
 from ledgerloom.plans.registry import query
-from ledgerloom.schemas import MONEY
 
 _SALE = "left(docnum, 2) IN ('IV','CM','OL')"
 # exact: cents / 6, rounded half up, in whole numbers (sums are not negative)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from ledgerloom import session, sinks
 from ledgerloom.functions import dates, numbers
-from ledgerloom.operators import filters, ledger, matching, ordered, refresh
+from ledgerloom.operators import filters, ledger, matching, refresh
 from ledgerloom.plans import adapters as ad
 from ledgerloom.plans import jobs
 from ledgerloom.plans import sqlparts as q
 from ledgerloom.plans.registry import query
-from ledgerloom.schemas import INVOICE_HEADER, MONEY, TOTAL
+from ledgerloom.schemas import INVOICE_HEADER, MONEY
 
 START, END = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
 _RANGE = "docdat BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"

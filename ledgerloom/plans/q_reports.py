@@ -209,16 +209,28 @@ def note_attach(spark, sf):
     return reports.note_attach(cells, block_size=_BLOCK)
 
 
+_KEPT_ASSETS = f"""{_ASSETS}, {_SECTIONS}, kept AS (SELECT * FROM sections WHERE coalesce(trim(B), 'x') <> 'รวม' AND coalesce(B, C, D, E, F, G, H, I, J) IS NOT NULL
+      AND Account1 IS NOT NULL), {_notes('kept')}"""
+
+
 @query(
     "report_5b9",
-    f"""WITH {_ASSETS}, {_SECTIONS}, kept AS (SELECT * FROM sections WHERE coalesce(trim(B), 'x') <> 'รวม' AND coalesce(B, C, D, E, F, G, H, I, J) IS NOT NULL
-      AND Account1 IS NOT NULL), {_notes('kept')}
+    f"""WITH {_KEPT_ASSETS}
     SELECT source_file, line_no, {", ".join(f'{c} AS "{t}"' for c, t in reports.ASSET_TITLES.items())} FROM noted WHERE coalesce(F, G, H, I, J) IS NOT NULL""",
 )
 def report_5b9(spark, sf):
     return reports.asset_report(asset_dump(spark, sf), _BLOCK)
 
 
+@query(
+    "report_5b9_notes",
+    f"""WITH {_KEPT_ASSETS}
+    SELECT source_file, line_no, CAST(0 AS INTEGER) AS part_no, U AS note FROM noted WHERE coalesce(F, G, H, I, J) IS NOT NULL AND U IS NOT NULL""",
+)
+def report_5b9_notes(spark, sf):
+    return reports.asset_tables(asset_dump(spark, sf), _BLOCK)["notes"]
+
+
 _PLAIN = reports.REPORTS["1a2"]
 
 

@@ -39,6 +39,19 @@ def test_all_credit_numbers_reach_the_invoice(frame):
     assert got == {"IV001": (parts[0].debit_note_refs, len(parts), D(20)), "IV002": (None, 0, D(0))} and len(parts) > 5
 
 
+def test_dealer_invoices_hold_all_their_credit_numbers(frame):
+    day = dt.date(1998, 5, 1)
+    docs = [("IV001", day, "1-01", 0), ("IV002", day, "1-02", 1), *[(f"SC001-{c * 600_000}", day, "1-01", 2 + i) for i, c in enumerate("CAB")]]
+    docs = frame("docnum string, docdat date, cuscod string, line_no long", docs).withColumns({"amount": F.lit(9).cast("decimal(15,2)"), "disc": F.lit(0), "total": F.lit(7).cast("decimal(15,2)")})
+    customers, target = frame("cuscod string, cusnam string", [("1-01", "A")]), frame("doc_number string", [("IV009",)])
+    made = jobs.dealer_invoices(docs, customers, target, dt.date(1998, 1, 1), dt.date(1998, 12, 31))
+    assert made["references"].count() == 2
+    whole = ",".join(f"SC001-{c * 600_000}" for c in "CAB")
+    got = {r.doc_number: (r.net_total, r.debit_note_refs == whole, r.debit_note_refs is None) for r in made["invoice"].collect()}
+    assert got == {"IV001": (D(-14), True, False), "IV002": (D(7), False, True)}
+    assert "debit_note_parts" not in made["invoice"].columns
+
+
 def test_all_parts_of_a_note_reach_its_row(frame):
     rows = [("a", "b", "c", "d", 0), ("a", "", "", f"x {reports.NOTE_MARK}", 1)] + [("a", "", "", f"line {i}", i) for i in range(2, 40)] + [("a", "b", "c", "e", 40)]
     df = frame("source_file string, B string, C string, D string, line_no long", rows).withColumn("file_no", F.lit(0))

@@ -63,6 +63,42 @@ def test_all_parts_of_a_note_reach_its_row(frame):
     assert "\n".join(parts) == want[0] and want[0].count("line") == 38 and got == [parts[0], None] == [parts[0], want[1]]
 
 
+NOTES = [c * 600_000 for c in "CAB"]
+
+
+def _ledger_job(frame):
+    """Tables of a job with one invoice whose remark takes two parts, and one without a remark."""
+    money, day = "decimal(15,2)", dt.date(1998, 5, 1)
+    docs = frame(
+        f"docnum string, docdat date, sonum string, cuscod string, bilnum string, amount {money}, total {money}, remamt {money}, docstat string, dlvby string, duedat date, line_no long",
+        [(n, day, None, "1-01", "B1", D(9), D(7), D(0), "N", "x", day, i) for i, n in enumerate(["IV1", "IV2"])],
+    )
+    remarks = frame("docnum string, seqnum string, line_no long, remark string", [*[("IV1", str(i), i, n) for i, n in enumerate(NOTES)], ("IV2", "1", 9, "//123456")])
+    lines = frame(
+        f"docnum string, docdat date, seqnum int, stkcod string, stkdes string, people string, flag string, trnqty {money}, unitpr {money}, disc string, trnval {money}, pos long",
+        [("IV1", day, 1, "s1", "d", "p", "N", D(2), D(3), "", D(6), 1)],
+    )
+    customers, areas = frame("cuscod string, cusnam string, paytrm int", [("1-01", "A", 30)]), frame("sale_area string, cuscod_startwith string", [("Z", "1")])
+    products, listed = frame(f"stkcod string, unitpr {money}", [("s1", D(2))]), frame("stkcod string", [("s9",)])
+    return jobs.invoice_ledger(docs, remarks, lines, customers, areas, products, listed, dt.date(1998, 1, 1), dt.date(1998, 12, 31), ["pos"])
+
+
+def test_headers_of_the_invoice_ledger_hold_whole_remarks(frame):
+    made = _ledger_job(frame)
+    assert made["remark"].count() == 2
+    got = {r.doc_number: (r.remark, r.so_number, r.cost_total) for r in made["header"].collect()}
+    assert got == {"IV1": (" | ".join(NOTES), None, D(4)), "IV2": (None, "SO123456", None)}
+    assert "remark_parts" not in made["header"].columns
+
+
+def test_whole_text_keeps_empty_parts_between_separators(frame):
+    remarks = frame("docnum string, seqnum string, remark string, line_no long", [("A", "1", "send", 1), ("A", "2", "//123456", 2), ("B", "1", "//123456", 1)])
+    docs = frame("docnum string", [("A",), ("B",), ("C",)])
+    for chars in (1, 3, 100):
+        texts = ledger.remark_consolidate(remarks, part_chars=chars)
+        assert {r.docnum: r.remark for r in ledger.remark_enrich(docs, texts, whole=True).collect()} == {"A": "send |", "B": None, "C": None}
+
+
 def test_more_than_256_blocks(frame):
     df = frame("k string, pos int", [("hot", i) for i in range(3000)])
     blocked = ordered.quantile_blocks(df, ["pos"], 600)

@@ -91,6 +91,15 @@ def test_headers_of_the_invoice_ledger_hold_whole_remarks(frame):
     assert "remark_parts" not in made["header"].columns
 
 
+def test_refreshed_headers_hold_whole_remarks(frame):
+    header = _ledger_job(frame)["header"]
+    known = header.where("doc_number = 'IV1'").withColumns({"doc_date": F.date_sub("doc_date", 4000), "remark": F.lit("old")})
+    merged = jobs.merged_headers(known, header, dt.date(1998, 1, 1), dt.date(1998, 12, 31))
+    got = {r.doc_number: (r.doc_date.year, r.remark) for r in merged.collect()}
+    assert got == {"IV1": (1987, " | ".join(NOTES)), "IV2": (1998, None)}
+    assert "remark_parts" not in merged.columns
+
+
 def test_whole_text_keeps_empty_parts_between_separators(frame):
     remarks = frame("docnum string, seqnum string, remark string, line_no long", [("A", "1", "send", 1), ("A", "2", "//123456", 2), ("B", "1", "//123456", 1)])
     docs = frame("docnum string", [("A",), ("B",), ("C",)])

@@ -59,11 +59,13 @@ class Model:
         self.known = False
 
     def refresh(self, n: int, stream: np.ndarray) -> None:
-        """Order-0 counts of the ids so far (n, ids)."""
+        """Order-0 counts of the ids so far (ids, n)."""
+        so_far = np.ascontiguousarray(stream.T.astype(np.uint16))
         for lane in range(n):
-            counts = np.bincount(stream[lane])
-            seen = np.flatnonzero(counts)
-            share = counts[seen].astype(np.uint64)
+            # sorted, equal ids are runs: much less to do than over a count for each id of the vocabulary
+            ids = np.sort(so_far[lane])
+            begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            seen, share = ids[begins], np.diff(begins, append=len(ids)).astype(np.uint64)
             whole = np.maximum((share << np.uint64(_ORDER0)) // share.sum(), 1)
             # what rounding leaves goes to the most frequent id
             top = int(share.argmax())
@@ -74,10 +76,10 @@ class Model:
                 rest += int(whole[big]) // 2
                 whole[big] -= whole[big] // 2
             whole[top] = rest
-            freq = np.zeros(VOCABULARY, np.uint16)
-            freq[seen] = whole
-            np.cumsum(freq, out=self.sums[lane, 1:])
-            self.ids[lane] = np.repeat(seen, whole.astype(np.int64)).astype(np.uint16)
+            above = seen.astype(np.int64) + 1  # the sums rise behind each id that was seen
+            self.sums[lane, : above[0]] = 0
+            self.sums[lane, above[0] :] = np.repeat(np.cumsum(whole).astype(np.uint16), np.diff(above, append=VOCABULARY + 1))
+            self.ids[lane] = np.repeat(seen, whole.astype(np.int64))
         self.known = True
 
     def predict(self, n: int) -> None:
@@ -111,7 +113,7 @@ class Model:
         width = np.where(is1, self.edge1 - self.edge2, width)
         start[is2] = 0
         width = np.where(is2, self.edge2, width)
-        self.said = np.where(is2, 0, np.where(is1, 1, np.where(is0, 2, 3)))
+        self.said = 3 - is0 - 2 * is1 - 3 * is2
         return start, width
 
     def meant(self, n: int, value: np.ndarray) -> np.ndarray:
@@ -123,7 +125,7 @@ class Model:
         return np.where(value < self.edge2, self.id2, ids).astype(np.int64)
 
     def learn(self, n: int, ids: np.ndarray) -> None:
-        self.weight[self.lane[:n], self.said] += np.uint64(4)
+        self.weight.reshape(-1)[4 * self.lane[:n] + self.said] += np.uint64(4)
         full = self.sum > 3996
         if full.any():
             self.weight[full] = (self.weight[full] >> np.uint64(1)) + np.uint64(1)
@@ -139,17 +141,18 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     """The words of each block; blocks of ids below VOCABULARY, longest first."""
     lanes = len(blocks)
     sizes = np.array([len(b) for b in blocks])
-    stream = np.zeros((lanes, int(sizes.max(initial=0))), np.int64)
+    stream = np.zeros((lanes, int(sizes.max(initial=0))), np.uint16)
     for i, b in enumerate(blocks):
         stream[i, : len(b)] = b
+    stream = np.ascontiguousarray(stream.T)  # the ids of one step lie side by side
     model = Model(lanes)
     low, reach = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, used = np.zeros((lanes, stream.shape[1] + 8), np.uint64), np.ones(lanes, np.int64)  # word 0 takes no carry
-    for t in range(stream.shape[1]):
+    out, used = np.zeros((lanes, len(stream) + 8), np.uint64), np.ones(lanes, np.int64)  # word 0 takes no carry
+    for t in range(len(stream)):
         n = int(np.searchsorted(-sizes, -t, "left"))  # lanes with more than t ids
         if t in REFRESH:
-            model.refresh(n, stream[:n, :t])
-        ids = stream[:n, t]
+            model.refresh(n, stream[:t, :n])
+        ids = stream[t, :n].astype(np.int64)
         model.predict(n)
         start, width = model.interval(n, ids)
         step = reach[:n] >> np.uint64(_TOTAL)
@@ -183,14 +186,14 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     fed = np.zeros((lanes, max((len(w) for w in words), default=0) + 2), np.uint64)
     for i, w in enumerate(words):
         fed[i, : len(w)] = w
-    stream = np.zeros((lanes, int(sizes.max(initial=0))), np.int64)
+    stream = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
     model = Model(lanes)
     code = (fed[:, 0] << _U32) | fed[:, 1]
     used, reach = np.full(lanes, 2, np.int64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for t in range(stream.shape[1]):
+    for t in range(len(stream)):
         n = int(np.searchsorted(-sizes, -t, "left"))
         if t in REFRESH:
-            model.refresh(n, stream[:n, :t])
+            model.refresh(n, stream[:t, :n])
         model.predict(n)
         step = reach[:n] >> np.uint64(_TOTAL)
         ids = model.meant(n, np.minimum(code[:n] // step, np.uint64((1 << _TOTAL) - 1)))
@@ -203,8 +206,8 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
             used[full] += 1
             reach[full] <<= _U32
         model.learn(n, ids)
-        stream[:n, t] = ids
-    return stream
+        stream[t, :n] = ids
+    return np.ascontiguousarray(stream.T)
 
 
 def write_file(doc_ids: list[int | None], documents: list[bytes]) -> bytes:

@@ -27,152 +27,154 @@ from ledgerloom.llm.common import arrow_batches, body, ranges, read, travels_by_
 from ledgerloom.llm.token_ids import token_ids
 from ledgerloom.session import materialise, shuffle_width
 
-MAGIC = b"idrange1"
+MAGIC = b"idrange2"
 END = 2
 BLOCK = 16_384
-LANES = 384
+LANES = 512
+MOST = 4 * BLOCK * LANES  # bytes of the ids of a file, a longer document aside
+CHARS = 8_000_000  # texts that get their ids at once
 REFRESH = (64, 256, 1024, 4096, 8192, 12_288)
+LEARN = 64  # ids between two changes of the weights
 VOCABULARY = 1 << 16
 _SLOTS1, _SLOTS2 = 1 << 12, 1 << 14
+_MIX = 40_503
 _TOTAL = 24  # bits of the mixture's resolution
 _ORDER0 = 15  # bits of the order-0 counts' resolution
 _U32 = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
 _SMALL = np.uint64(1 << 32)
+_SHIFT = np.uint64(_TOTAL)
 
 
-class Model:
-    """The predictors of all lanes; lanes that have ended are the last ones, so all state is cut to the first `n`."""
+class Weights:
+    """The weights of order 2, order 1, order 0 and the uniform chance for each lane and case, and the borders of their shares."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.after1 = np.zeros(lanes * _SLOTS1, np.uint16)
-        self.after2 = np.zeros(lanes * _SLOTS2, np.uint16)
-        self.sums = np.zeros((lanes, VOCABULARY + 1), np.uint16)
-        self.ids = np.zeros((lanes, 1 << _ORDER0), np.uint16)
-        self.weights = np.tile(np.array([2, 2, 8, 8], np.uint64), (lanes * 4, 1))
-        self.flat_sums, self.flat_ids = self.sums.reshape(-1), self.ids.reshape(-1)  # the same memory, found by one index
-        self.row1, self.row2, self.row_sums, self.row_ids = (self.lane * k for k in (_SLOTS1, _SLOTS2, VOCABULARY + 1, 1 << _ORDER0))
-        self.before1 = np.zeros(lanes, np.int64)
-        self.before2 = np.zeros(lanes, np.int64)
-        self.hit = np.zeros(lanes, np.int64)
-        self.known = False
-
-    def refresh(self, n: int, stream: np.ndarray) -> None:
-        """Order-0 counts of the ids so far (ids, n)."""
-        so_far = np.ascontiguousarray(stream.T.astype(np.uint16))
-        for lane in range(n):
-            # sorted, equal ids are runs: much less to do than over a count for each id of the vocabulary
-            ids = np.sort(so_far[lane])
-            begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-            seen, share = ids[begins], np.diff(begins, append=len(ids)).astype(np.uint64)
-            whole = np.maximum((share << np.uint64(_ORDER0)) // share.sum(), 1)
-            # what rounding leaves goes to the most frequent id
-            top = int(share.argmax())
-            whole[top] = 0
-            rest = (1 << _ORDER0) - int(whole.sum())
-            while rest < 1:  # many rare ids were rounded up
-                big = int(whole.argmax())
-                rest += int(whole[big]) // 2
-                whole[big] -= whole[big] // 2
-            whole[top] = rest
-            above = seen.astype(np.int64) + 1  # the sums rise behind each id that was seen
-            self.sums[lane, : above[0]] = 0
-            self.sums[lane, above[0] :] = np.repeat(np.cumsum(whole).astype(np.uint16), np.diff(above, append=VOCABULARY + 1))
-            self.ids[lane] = np.repeat(seen, whole.astype(np.int64))
-        self.known = True
-
-    def predict(self, n: int) -> None:
-        """The two context predictions and the borders of the four shares, in units of 1 / 2 ** _TOTAL."""
-        self.at1 = self.row1[:n] + (self.before1[:n] & (_SLOTS1 - 1))
-        self.at2 = self.row2[:n] + ((self.before2[:n] * 40_503 + self.before1[:n]) & (_SLOTS2 - 1))
-        self.id1, self.id2 = self.after1.take(self.at1), self.after2.take(self.at2)
-        self.case = 4 * self.lane[:n] + 2 * (self.id1 == self.id2) + self.hit[:n]
-        self.weight = self.weights.take(self.case, axis=0)
-        # a 256th of the range is never given away, so that the share of the uniform chance is a multiple of the vocabulary
-        w2, w1, w0, uniform = self.weight.T
-        self.sum = w2 + w1 + w0 + uniform
-        unit = np.uint64((1 << _TOTAL) - (1 << 16)) // self.sum
-        self.edge2 = unit * w2
-        self.edge1 = self.edge2 + unit * w1
-        self.share0 = unit * w0 if self.known else np.zeros(n, np.uint64)
-        self.edge0 = self.edge1 + self.share0
-        self.each = (np.uint64(1 << _TOTAL) - self.edge0) >> np.uint64(16)
-
-    def interval(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of the ids; what_hit tells which share they lie in."""
-        at = self.row_sums[:n] + ids
-        low, high = self.flat_sums.take(at).astype(np.uint64), self.flat_sums.take(at + 1).astype(np.uint64)
-        from0, to0 = (low * self.share0) >> np.uint64(_ORDER0), (high * self.share0) >> np.uint64(_ORDER0)
-        is2 = ids == self.id2
-        is1 = (ids == self.id1) & ~is2
-        is0 = (to0 > from0) & ~is2 & ~is1
-        start = np.where(is0, self.edge1 + from0, self.edge0 + ids.astype(np.uint64) * self.each)
-        width = np.where(is0, to0 - from0, self.each)
-        start = np.where(is1, self.edge2, start)
-        width = np.where(is1, self.edge1 - self.edge2, width)
-        start[is2] = 0
-        width = np.where(is2, self.edge2, width)
-        self.said = 3 - is0 - 2 * is1 - 3 * is2
-        return start, width
-
-    def meant(self, n: int, value: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold the values."""
-        in0 = np.maximum(value, self.edge1) - self.edge1
-        slot = np.minimum((((in0 + np.uint64(1)) << np.uint64(_ORDER0)) - np.uint64(1)) // np.maximum(self.share0, np.uint64(1)), np.uint64((1 << _ORDER0) - 1))
-        ids = np.where(value < self.edge0, self.flat_ids.take(self.row_ids[:n] + slot.astype(np.int64)), ((np.maximum(value, self.edge0) - self.edge0) // self.each).astype(np.uint16))
-        ids = np.where(value < self.edge1, self.id1, ids)
-        return np.where(value < self.edge2, self.id2, ids).astype(np.int64)
-
-    def learn(self, n: int, ids: np.ndarray) -> None:
-        self.weight.reshape(-1)[4 * self.lane[:n] + self.said] += np.uint64(4)
-        full = self.sum > 3996
-        if full.any():
-            self.weight[full] = (self.weight[full] >> np.uint64(1)) + np.uint64(1)
-        self.weights[self.case] = self.weight
-        self.hit[:n] = self.said < 2
-        self.after1[self.at1] = ids
-        self.after2[self.at2] = ids
-        self.before2[:n] = self.before1[:n]
-        self.before1[:n] = ids
+        self.weights = np.tile(np.array([2, 2, 8, 8], np.int64), (lanes * 4, 1))
+        self.right = np.zeros(lanes * 16, np.int64)
+
+    def shares(self, known: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(end of order 2, end of order 1, end of order 0, order 0 for one count, uniform chance for one id), in units of 1 / 2 ** _TOTAL."""
+        w2, w1, w0, uniform = self.weights.T
+        total = self.weights.sum(axis=1)
+        # whole units for each count and each id, one at least, and a rest for the contexts
+        each = 1 + (uniform if known else uniform + w0) * 254 // total
+        count = 1 + w0 * 508 // total
+        edge0 = (1 << _TOTAL) - (each << 16)
+        edge1 = edge0 - (count << _ORDER0) if known else edge0
+        edge2 = 1 + (edge1 - 2) * w2 // (w2 + w1)
+        return edge2, edge1, edge0, count, each
+
+    def count(self, case: np.ndarray, said: np.ndarray) -> None:
+        """said: 0 to 3, the predictor that was the first to be right."""
+        seen = np.bincount((4 * case + said).reshape(-1))
+        self.right[: len(seen)] += seen
+
+    def learn(self) -> None:
+        self.weights += 4 * self.right.reshape(-1, 4)
+        self.right[:] = 0
+        full = self.weights.sum(axis=1) > 3996
+        self.weights[full] = (self.weights[full] >> 1) + 1
+
+
+def _spans(sizes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(from, to, lanes) of runs of steps in which neither the lanes, longest first, nor the model's tables change."""
+    longest = int(sizes.max(initial=0))
+    ends = sorted({0, 8, 16, 32, *range(0, longest, LEARN), *REFRESH, *sizes.tolist()})
+    ends = [t for t in ends if t <= longest]
+    return [(t, end, int(np.searchsorted(-sizes, -t, "left"))) for t, end in zip(ends, ends[1:], strict=False)]
+
+
+def _learns(t: int) -> bool:
+    return t % LEARN == 0 or t in (8, 16, 32)
+
+
+def _counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order-0 counts of ids: (distinct ids, their counts scaled to a sum of 2 ** _ORDER0, the counts before them)."""
+    ids = np.sort(ids)
+    begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    seen, share = ids[begins], np.diff(begins, append=len(ids))
+    whole = np.maximum((share << _ORDER0) // len(ids), 1)
+    # what rounding leaves goes to the most frequent id
+    top = int(share.argmax())
+    whole[top] = 0
+    rest = (1 << _ORDER0) - int(whole.sum())
+    while rest < 1:  # many rare ids were rounded up
+        big = int(whole.argmax())
+        rest += int(whole[big]) // 2
+        whole[big] -= whole[big] // 2
+    whole[top] = rest
+    return seen, whole, np.cumsum(whole) - whole
+
+
+def _known(rows: np.ndarray, t: int, end: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(counts before, counts) of the ids t to end by the order-0 counts of the ids before t, (ids, n); an id not seen counts 0."""
+    before, counts = np.empty((n, end - t), np.uint16), np.empty((n, end - t), np.uint16)
+    place = np.zeros(VOCABULARY, np.int64)
+    for lane in range(n):
+        seen, whole, ahead = _counts(rows[lane, :t])
+        place[seen] = np.arange(len(seen))
+        ids = rows[lane, t:end]
+        at = np.minimum(place.take(ids), len(seen) - 1)  # places of ids not seen are left from other lanes
+        before[lane] = ahead.take(at)
+        counts[lane] = np.where(seen.take(at) == ids, whole.take(at), 0)
+    return np.ascontiguousarray(before.T), np.ascontiguousarray(counts.T)
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
-    """The words of each block; blocks of ids below VOCABULARY, longest first."""
+    """The words of each block; blocks of ids below VOCABULARY, longest first.
+
+    The ids are known, so all but the two context tables and the coder's state is computed for many steps at once.
+    """
     lanes = len(blocks)
-    sizes = np.array([len(b) for b in blocks])
-    stream = np.zeros((lanes, int(sizes.max(initial=0))), np.uint16)
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    rows = np.zeros((lanes, int(sizes.max(initial=0))), np.uint16)
     for i, b in enumerate(blocks):
-        stream[i, : len(b)] = b
-    stream = np.ascontiguousarray(stream.T)  # the ids of one step lie side by side
-    model = Model(lanes)
+        rows[i, : len(b)] = b
+    stream = np.zeros((rows.shape[1] + 2, lanes), np.uint16)  # the ids of one step lie side by side, behind two steps of zeros
+    stream[2:] = rows.T
+    lane = np.arange(lanes)
+    after1, after2, weights = np.zeros(lanes * _SLOTS1, np.uint16), np.zeros(lanes * _SLOTS2, np.uint16), Weights(lanes)
+    hit = np.zeros(lanes, bool)
     low, reach = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, used = np.zeros((lanes, len(stream) + 8), np.uint64), np.ones(lanes, np.int64)  # word 0 takes no carry
-    for t in range(len(stream)):
-        n = int(np.searchsorted(-sizes, -t, "left"))  # lanes with more than t ids
+    out, used = np.zeros((lanes, rows.shape[1] + 8), np.uint64), np.ones(lanes, np.int64)  # word 0 takes no carry
+    begun, known, shares = 0, None, ()
+    for t, end, n in _spans(sizes):
         if t in REFRESH:
-            model.refresh(n, stream[:t, :n])
-        ids = stream[t, :n].astype(np.int64)
-        model.predict(n)
-        start, width = model.interval(n, ids)
-        step = reach[:n] >> np.uint64(_TOTAL)
-        moved = low[:n] + step * start
-        over = np.flatnonzero(moved < low[:n])
-        if len(over):
-            out[over, used[over] - 1] += np.uint64(1)
-        low[:n] = moved
-        reach[:n] = step * width
-        full = np.flatnonzero(reach[:n] < _SMALL)
-        if len(full):
-            out[full, used[full]] = low[full] >> _U32
-            used[full] += 1
-            low[full] = (low[full] & _LOW) << _U32
-            reach[full] <<= _U32
-        model.learn(n, ids)
-    lane = np.arange(lanes)
+            begun, known = t, _known(rows, t, min([r for r in REFRESH if r > t] + [rows.shape[1]]), n)
+        if _learns(t):
+            weights.learn()
+            shares = [x.astype(np.int32) for x in weights.shares(known is not None)]
+        ids = stream[t + 2 : end + 2, :n]
+        last = stream[t + 1 : end + 1, :n].astype(np.int64)
+        at1 = (last & (_SLOTS1 - 1)) + lane[:n] * _SLOTS1
+        at2 = ((stream[t:end, :n].astype(np.int64) * _MIX + last) & (_SLOTS2 - 1)) + lane[:n] * _SLOTS2
+        id1, id2 = np.empty((end - t, n), np.uint16), np.empty((end - t, n), np.uint16)
+        for i in range(end - t):
+            after1.take(at1[i], out=id1[i], mode="clip")
+            after2.take(at2[i], out=id2[i], mode="clip")
+            after1[at1[i]] = ids[i]
+            after2[at2[i]] = ids[i]
+        is2, right = ids == id2, ids == id1
+        right |= is2
+        hits = np.concatenate((hit[None, :n], right))
+        hit[:n] = hits[-1]
+        case = lane[:n] * 4 + 2 * (id1 == id2) + hits[:-1]
+        edge2, edge1, edge0, count, each = (x.take(case) for x in shares)
+        start, width = edge0 + ids * each, each
+        is0 = False
+        if known is not None:
+            before, counts = (x[t - begun : end - begun, :n] for x in known)
+            is0 = counts > 0
+            start, width = np.where(is0, edge1 + before * count, start), np.where(is0, counts * count, width)
+        start = np.where(right, np.where(is2, 0, edge2), start).astype(np.uint64)
+        width = np.where(right, np.where(is2, edge2, edge1 - edge2), width).astype(np.uint64)
+        weights.count(case, np.where(right, 1 - is2.view(np.int8), 3 - np.asarray(is0).view(np.int8)))
+        _narrow(n, low, reach, start, width, out, used)
     for word in (low >> _U32, low & _LOW):
         out[lane, used] = word
         used += 1
+    out = out[:, : int(used.max(initial=1))]
     while (out > _LOW).any():  # carries
         carry = out >> _U32
         out &= _LOW
@@ -180,43 +182,159 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[np.ndarray]:
     return [out[i, 1 : used[i]].astype("<u4") for i in range(lanes)]
 
 
+def _narrow(n: int, low: np.ndarray, reach: np.ndarray, start: np.ndarray, width: np.ndarray, out: np.ndarray, used: np.ndarray) -> None:
+    """The range coder over the intervals (steps, n) of the first n lanes; words go to out, where a word above 32 bits has a carry."""
+    lows, over, full = np.empty(start.shape, np.uint64), np.empty(start.shape, bool), np.empty(start.shape, bool)
+    at, span = low[:n].copy(), reach[:n].copy()
+    step, shift = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    for i in range(len(start)):
+        np.right_shift(span, _SHIFT, out=step)
+        np.multiply(step, start[i], out=shift)
+        moved = lows[i]
+        np.add(at, shift, out=moved)
+        np.less(moved, at, out=over[i])
+        np.multiply(step, width[i], out=span)
+        np.less(span, _SMALL, out=full[i])
+        np.multiply(full[i], _U32, out=shift)
+        np.left_shift(moved, shift, out=at)
+        np.left_shift(span, shift, out=span)
+    low[:n], reach[:n] = at, span
+    before = np.cumsum(full, axis=0) - full + used[:n]
+    steps, lane = np.nonzero(full)
+    out[lane, before[steps, lane]] = lows[steps, lane] >> _U32
+    steps, lane = np.nonzero(over)
+    out[lane, before[steps, lane] - 1] += np.uint64(1)
+    used[:n] = before[-1] + full[-1]
+
+
+def _slots(rows: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Order-0 counts of the ids (n, ids) to look up: place is filled with the index of the id for each count, the result has (counts, counts before, id) packed by index."""
+    packed = []
+    for lane, ids in enumerate(rows):
+        seen, whole, ahead = _counts(ids)
+        place[lane] = np.repeat(np.arange(len(seen), dtype=np.uint16), whole)
+        packed.append((whole << 32) | (ahead << 16) | seen)
+    table = np.zeros((len(rows), max(map(len, packed))), np.uint64)
+    for lane, p in enumerate(packed):
+        table[lane, : len(p)] = p
+    return table
+
+
 def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     """(lanes, ids) of the blocks, longest first; row i is filled up to sizes[i]."""
     lanes = len(words)
-    fed = np.zeros((lanes, max((len(w) for w in words), default=0) + 2), np.uint64)
+    fed = np.zeros((lanes, max((len(w) for w in words), default=0) + 2), np.uint32)
     for i, w in enumerate(words):
         fed[i, : len(w)] = w
     stream = np.zeros((int(sizes.max(initial=0)), lanes), np.uint16)
-    model = Model(lanes)
-    code = (fed[:, 0] << _U32) | fed[:, 1]
-    used, reach = np.full(lanes, 2, np.int64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for t in range(len(stream)):
-        n = int(np.searchsorted(-sizes, -t, "left"))
+    lane = np.arange(lanes)
+    after1, after2, weights = np.zeros(lanes * _SLOTS1, np.uint16), np.zeros(lanes * _SLOTS2, np.uint16), Weights(lanes)
+    place, packed, known = np.zeros((lanes, 1 << _ORDER0), np.uint16), np.zeros((lanes, 1), np.uint64), False
+    flat, flat_fed = place.reshape(-1), fed.reshape(-1)
+    all_code = (fed[:, 0].astype(np.uint64) << _U32) | fed[:, 1]
+    all_reach = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    all_at, all_base = lane * fed.shape[1] + 2, 4 * lane
+    last, all_mixed = np.zeros(lanes, np.uint16), np.zeros(lanes, np.uint16)
+    slots1, slots2, mix = np.uint16(_SLOTS1 - 1), np.uint16(_SLOTS2 - 1), np.uint16(_MIX)
+    width_now = -1
+    for t, end, n in _spans(sizes):
         if t in REFRESH:
-            model.refresh(n, stream[:t, :n])
-        model.predict(n)
-        step = reach[:n] >> np.uint64(_TOTAL)
-        ids = model.meant(n, np.minimum(code[:n] // step, np.uint64((1 << _TOTAL) - 1)))
-        start, width = model.interval(n, ids)
-        code[:n] -= step * start
-        reach[:n] = step * width
-        full = np.flatnonzero(reach[:n] < _SMALL)
-        if len(full):
-            code[full] = (code[full] << _U32) | fed[full, np.minimum(used[full], fed.shape[1] - 1)]
-            used[full] += 1
-            reach[full] <<= _U32
-        model.learn(n, ids)
-        stream[t, :n] = ids
+            packed, known = _slots(np.ascontiguousarray(stream[:t, :n].T), place), True
+        if _learns(t):
+            weights.learn()
+            of2, of1, of0, of_count, of_each = (x.astype(np.uint64) for x in weights.shares(known))
+        if n != width_now:
+            width_now = n
+            code, reach, at, base, mixed = (x[:n] for x in (all_code, all_reach, all_at, all_base, all_mixed))
+            last = last[:n]
+            slot, id1, id2, k = (np.empty(n, np.uint16) for _ in range(4))
+            at1, at2, pick = (np.empty(n, np.int64) for _ in range(3))
+            edge2, edge1, edge0, count, step, value, start, width, word = (np.empty(n, np.uint64) for _ in range(9))
+            before, counts = word.view("<u2")[1::4], word.view("<u2")[2::4]
+            eq, other, full = (np.empty(n, bool) for _ in range(3))
+            row1, row2, row_place, four = lane[:n] * _SLOTS1, lane[:n] * _SLOTS2, lane[:n] << _ORDER0, 4 * lane[:n]
+        row_packed, flat_packed = lane[:n] * packed.shape[1], packed.reshape(-1)
+        cases, by1, by2, by_rest = np.empty((end - t, n), np.int64), *(np.empty((end - t, n), bool) for _ in range(3))
+        for found, case, in1, in2, rare in zip(stream[t:end, :n], cases, by1, by2, by_rest, strict=True):
+            # what the contexts say
+            np.bitwise_and(last, slots1, out=slot)
+            np.add(row1, slot, out=at1)
+            after1.take(at1, out=id1, mode="clip")
+            np.add(mixed, last, out=slot)
+            np.bitwise_and(slot, slots2, out=slot)
+            np.add(row2, slot, out=at2)
+            after2.take(at2, out=id2, mode="clip")
+            np.equal(id1, id2, out=eq)
+            np.multiply(eq, 2, out=case)
+            np.add(case, base, out=case)
+            of2.take(case, out=edge2, mode="clip")
+            of1.take(case, out=edge1, mode="clip")
+            of0.take(case, out=edge0, mode="clip")
+            # the share that holds the value
+            np.right_shift(reach, _SHIFT, out=step)
+            np.floor_divide(code, step, out=value)
+            np.less(value, edge1, out=in1)
+            np.less(value, edge2, out=in2)
+            np.greater_equal(value, edge0, out=rare)
+            # order 0; lanes that lie elsewhere look up anything and are put right below
+            if known:
+                of_count.take(case, out=count, mode="clip")
+                np.subtract(value, edge1, out=start)
+                np.floor_divide(start, count, out=start)
+                np.add(start.view(np.int64), row_place, out=pick)
+                flat.take(pick, out=k, mode="clip")
+                np.add(row_packed, k, out=pick)
+                flat_packed.take(pick, out=word, mode="clip")
+                np.copyto(found, word, casting="unsafe")
+                np.copyto(start, before)
+                np.multiply(start, count, out=start)
+                np.add(start, edge1, out=start)
+                np.copyto(width, counts)
+                np.multiply(width, count, out=width)
+            # the contexts and the uniform chance
+            np.logical_or(in1, rare, out=other)
+            some = other.nonzero()[0]
+            if len(some):
+                low2, low1, low0, each, of = edge2.take(some), edge1.take(some), edge0.take(some), of_each.take(case.take(some)), value.take(some)
+                is1, is2 = in1.take(some), in2.take(some)
+                one = (of - low0) // each
+                found[some] = np.where(is2, id2.take(some), np.where(is1, id1.take(some), one.astype(np.uint16)))
+                start[some] = np.where(is1, np.where(is2, 0, low2), low0 + one * each)
+                width[some] = np.where(is1, np.where(is2, low2, low1 - low2), each)
+            # the coder
+            np.multiply(start, step, out=start)
+            np.subtract(code, start, out=code)
+            np.multiply(width, step, out=reach)
+            np.less(reach, _SMALL, out=full)
+            some = full.nonzero()[0]
+            if len(some):
+                next_word = at.take(some)
+                code[some] = (code.take(some) << _U32) | flat_fed.take(next_word, mode="clip")
+                reach[some] = reach.take(some) << _U32
+                at[some] = next_word + 1
+            # the tables
+            after1[at1] = found
+            after2[at2] = found
+            np.multiply(last, mix, out=mixed)
+            last = found
+            np.add(four, in1, out=base)
+        weights.count(cases, np.where(by1, 1 - by2.view(np.int8), 2 + by_rest.view(np.int8)))
     return np.ascontiguousarray(stream.T)
 
 
+def _groups(blocks: int) -> list[slice]:
+    """Blocks that are coded side by side: up to LANES, about as many in each group."""
+    groups = -(-blocks // LANES)
+    return [slice(blocks * i // groups, blocks * (i + 1) // groups) for i in range(groups)]
+
+
 def write_file(doc_ids: list[int | None], documents: list[bytes]) -> bytes:
     """A file of documents given by their ids as little-endian 32-bit bytes."""
     stream = np.frombuffer(b"".join(documents), "<u4")
     if len(stream) and int(stream.max()) >= VOCABULARY:
         raise ValueError("ids have to be below 65,536")
     blocks = [stream[i : i + BLOCK] for i in range(0, len(stream), BLOCK)]
-    coded = [w for i in range(0, len(blocks), LANES) for w in encode_blocks(blocks[i : i + LANES])]
+    coded = [w for some in _groups(len(blocks)) for w in encode_blocks(blocks[some])]
     head = np.array([len(doc_ids), len(blocks)], "<u4").tobytes()
     index = b"".join(
         (np.array([d is not None for d in doc_ids], "u1").tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array([len(x) // 4 for x in documents], "<u4").tobytes())
@@ -242,12 +360,12 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     table = take("<u4", 3 * many).reshape(many, 3)
     words = [take("<u4", int(n)) for n in table[:, 1]]
     parts = []
-    for i in range(0, many, LANES):
-        rows = decode_blocks(words[i : i + LANES], table[i : i + LANES, 0].astype(np.int64))
-        for k, (size, _, crc) in enumerate(table[i : i + LANES]):
+    for some in _groups(many):
+        rows = decode_blocks(words[some], table[some, 0].astype(np.int64))
+        for k, (size, _, crc) in enumerate(table[some]):
             block = rows[k, :size].astype("<u4")
             if zlib.crc32(block.tobytes()) != crc:
-                raise ValueError(f"block {i + k} is damaged")
+                raise ValueError(f"block {some.start + k} is damaged")
             parts.append(block)
     ids = np.concatenate(parts) if parts else np.zeros(0, "<u4")
     return [int(d) if n else None for d, n in zip(doc_ids, named, strict=True)], lengths.astype(np.int64), ids
@@ -258,27 +376,36 @@ def write_ids(docs: DataFrame, file: str, end: int = END) -> DataFrame:
     tail = end.to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held = token_ids(file, False), {}
-
-        def filed(part: int) -> pa.RecordBatch:
-            place, names, documents = held[part]
-            held[part] = (place + 1, [], [])
-            ids = sum(len(x) for x in documents) // 4
-            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "place": pa.array([place], pa.int32()), "n_ids": [ids], "data": [write_file(names, documents)]})
+        encoder = token_ids(file, False)
+        part, place, chars = None, 0, 0
+        names, texts, documents = [], [], []  # names of the documents that have ids, then of the texts that have none yet
+
+        def filed(all_of_them: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal place
+            documents.extend(ids + tail for ids in encoder.encode(texts))
+            texts.clear()
+            while documents:
+                ends = np.cumsum([len(x) for x in documents])
+                if ends[-1] < MOST and not all_of_them:
+                    return
+                many = max(int(np.searchsorted(ends, MOST, "right")), 1)
+                data = write_file(names[:many], documents[:many])
+                yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "place": pa.array([place], pa.int32()), "n_ids": [int(ends[many - 1]) // 4], "data": [data]})
+                del names[:many], documents[:many]
+                place += 1
 
         for batch in batches:
-            parts, names, texts = (batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))
-            for part, name, ids in zip(parts, names, encoder.encode(texts), strict=True):
-                for other in [p for p in held if p != part]:
-                    yield filed(other)
-                    del held[other]
-                held.setdefault(part, (0, [], []))[1].append(name)
-                held[part][2].append(ids + tail)
-                if _full(held[part][2]):
-                    yield filed(part)
-        for part in list(held):
-            if held[part][1]:
-                yield filed(part)
+            for own, name, text in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text")), strict=True):
+                if own != part:
+                    yield from filed(True)
+                    part, place, chars = own, 0, 0
+                names.append(name)
+                texts.append(text)
+                chars += len(text)
+                if chars >= CHARS:
+                    yield from filed(False)
+                    chars = 0
+        yield from filed(True)
 
     part, _ = ranges(docs, "doc_id")
     rows = docs.select("doc_id", body().alias("text")).withColumn("part", part).withColumn("tie", F.xxhash64("text"))
@@ -288,10 +415,6 @@ def write_ids(docs: DataFrame, file: str, end: int = END) -> DataFrame:
         return materialise(rows.mapInArrow(write, "part int, place int, n_ids long, data binary"), "id-files")
 
 
-def _full(documents: list[bytes]) -> bool:
-    return len(documents) % 64 == 0 and sum(map(len, documents)) >= 4 * BLOCK * LANES
-
-
 def read_ids(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files."""
 

@@ -3,22 +3,34 @@
 A single space or line feed between two other characters is a place where both vocabularies start anew, so a text
 is the row of its words (with the space or line feed before them), and a word's ids are asked of the library once
 per worker process. Texts with any other white space are handed to the library as a whole.
+
+Where the space before a word does not count, many texts are split by Arrow and their words looked up in one column of
+known words; a new word is put together from its runs of letters and of other signs, which the library's pre-tokenizer parts as well.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerloom.llm.common import kept_in_worker, travels_by_value
 
 MOST_WORDS = 800_000
 _TOGETHER = 4_000
+_CHARS = 8_000_000  # texts that are split at once
+_WORDS = 1 << 18  # words whose ids are put in place at once
 _MARK = "\x01"
+_LETTERS = "a-zªµºÀ-ÖØ-öø-ÿ"  # of Latin-1, all letters to the library too; its texts need no composing
+_LETTERED = re.compile(f"[{_LETTERS}]+")
+_RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
+_PARTED = re.compile(r"[^\u0100-\U0010ffff']+")  # an apostrophe takes letters with it
 
 
 class TokenIds:
@@ -42,6 +54,16 @@ class TokenIds:
         if spaces_count:
             space = self.library.id_to_token(int.from_bytes(self.ask([" "])[0], "little"))
             self.begins[[i for token, i in self.library.get_vocab().items() if token.startswith(space)]] = True
+        else:
+            self.forget(0)
+            # what the model sees of a letter; None if letters are not kept together
+            letters = [chr(i) for i in range(256) if re.fullmatch(f"[{_LETTERS}]", chr(i))]
+            seen = [self._seen(c) for c in letters]
+            self.letters = dict(zip(map(ord, letters), seen, strict=True)) if self._seen("".join(letters)) == "".join(seen) else None
+
+    def _seen(self, text: str) -> str:
+        """What the model is given for a text; a line feed between its units."""
+        return "\n".join(unit for unit, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text)))
 
     def ask(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -73,13 +95,8 @@ class TokenIds:
         return [raw[a:b] for a, b in zip(begins.tolist(), ends[1:].tolist(), strict=False)]
 
     def learn(self, new: Iterable[str]) -> None:
-        """Keep the ids of words; what is not a plain word (other white space, a special token's sign, the mark) is left out."""
-        plain = [w for w in new if len(p := w.split()) == 1 and w in (p[0], "\n" + p[0]) and "<|" not in w and _MARK not in w]
-        if not self.spaces_count:
-            bare = sorted({w.lstrip("\n") for w in plain})
-            known = {w: ids for i in range(0, len(bare), _TOGETHER) for part in (bare[i : i + _TOGETHER],) for w, ids in zip(part, self._spaced(part), strict=True)}
-            self.words.update((w, known[w.lstrip("\n")]) for w in plain)
-            return
+        """Keep the ids of words; what is not a plain word is left out."""
+        plain = [w for w in new if _plain(w)]
         # a comma or full stop behind an ASCII letter is a unit of its own
         ended = {w: (w[:-1], self.marks[w[-1]]) for w in plain if w[-1] in self.marks and len(w) > 1 and w[-2].isascii() and w[-2].isalpha()}
         rest = {w for w in plain if w not in ended} | {w for w, _ in ended.values() if w not in self.words}
@@ -91,8 +108,92 @@ class TokenIds:
         for w, (front, mark) in ended.items():
             self.words[w] = self.words[front] + mark
 
+    def forget(self, most: int) -> None:
+        """Keep the first words only, at least the empty one, that stands between two spaces and has no ids."""
+        if most < 1:
+            self.known, self.ids, self.ends = pa.array([""], pa.large_string()), np.zeros(0, "<u4"), np.zeros(2, np.int64)
+        else:
+            self.known, self.ends = pa.concat_arrays([self.known[:most]]), self.ends[: most + 1].copy()
+            self.ids = self.ids[: self.ends[-1]].copy()
+
+    def look_up(self, words: pa.Array) -> np.ndarray:
+        """The places of words among the known ones, -1 for others."""
+        return pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def learn_parts(self, new: list[str]) -> None:
+        """Keep the ids of new words without upper-case ASCII letters; what is not a plain word is left out."""
+        units, joined, parts, many = [], [], [], []
+        for w in new:
+            if w.isascii() and w.isalpha():
+                units.append(w)
+            elif _plain(w):
+                runs = _RUNS.findall(w) if _PARTED.fullmatch(w) else [w]
+                if len(runs) == 1:
+                    units.append(w)
+                else:
+                    joined.append(w)
+                    parts += runs
+                    many.append(len(runs))
+        column = pa.array(units + parts, pa.large_string()).unique()
+        asked = column.filter(pa.array(self.look_up(column) < 0)).to_pylist()
+        # a run of letters is one unit of the pre-tokenizer and goes to the model at once
+        alone = [p for p in asked if self.letters and (p.isascii() and p.isalpha() or _LETTERED.fullmatch(p))]
+        model, flat, ends = self.library.model, [], []
+        for p in alone:
+            flat += [t.id for t in model.tokenize(p if p.isascii() else p.translate(self.letters))]
+            ends.append(len(flat))
+        self._keep(alone, np.array(flat, "<u4"), np.array(ends, np.int64))
+        if len(alone) < len(asked):
+            direct = set(alone)
+            rest = [p for p in asked if p not in direct]
+            found = [ids for i in range(0, len(rest), _TOGETHER) for ids in self._spaced(rest[i : i + _TOGETHER])]
+            self._keep(rest, np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found], dtype=np.int64))
+        ids, ends = self._put(self.look_up(pa.array(parts, pa.large_string())))
+        self._keep(joined, ids, ends[np.cumsum(many, dtype=np.int64)])
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, pa.array(words, pa.large_string())])
+        self.ids = np.concatenate((self.ids, ids))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + ends))
+
+    def _put(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one behind the other and, from 0, where each ends; none for place -1."""
+        many = np.where(at < 0, 0, np.diff(self.ends).take(at, mode="clip"))
+        to = np.append(0, np.cumsum(many))
+        ids = np.empty(to[-1], "<u4")
+        for i in range(0, len(at), _WORDS):
+            some = slice(i, min(i + _WORDS, len(at)))
+            first, last = to[some.start], to[some.stop]
+            place = np.repeat(self.ends.take(at[some], mode="clip") - to[some], many[some])
+            place += np.arange(first, last)
+            self.ids.take(place, out=ids[first:last], mode="clip")
+        return ids, to
+
+    def _split(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > self.most_words:
+            # the words met first are the frequent ones
+            self.forget(self.most_words * 3 // 4)
+        rows = pc.split_pattern(pc.replace_substring(pc.ascii_lower(pa.array(texts, pa.large_string())), "\n", " "), " ")
+        words, borders = rows.flatten(), np.append(0, np.cumsum(pc.list_value_length(rows).to_numpy()))
+        at = self.look_up(words)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            missing = words.take(pa.array(new))
+            self.learn_parts(missing.unique().to_pylist())
+            at = at.copy()
+            at[new] = self.look_up(missing)
+        ids, to = self._put(at)
+        raw, cuts = ids.tobytes(), (4 * to[borders]).tolist()
+        found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        whole = np.unique(np.searchsorted(borders, np.flatnonzero(at < 0), "right") - 1).tolist()
+        for k, own in zip(whole, self.ask([texts[k] for k in whole]), strict=True):
+            found[k] = own
+        return found
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         texts = list(texts)
+        if not self.spaces_count:
+            return [ids for some in _portions(texts) for ids in self._split(some)]
         if len(self.words) > self.most_words:
             # the words met first are the frequent ones
             self.words = dict(islice(self.words.items(), self.most_words * 3 // 4))
@@ -115,6 +216,23 @@ class TokenIds:
         return found
 
 
+def _plain(word: str) -> bool:
+    """No other white space than a line feed before it, no sign of a special token and not the mark."""
+    return len(p := word.split()) == 1 and word in (p[0], "\n" + p[0]) and "<|" not in word and _MARK not in word
+
+
+def _portions(texts: list[str]) -> Iterator[list[str]]:
+    some, chars = [], 0
+    for text in texts:
+        some.append(text)
+        chars += len(text)
+        if chars >= _CHARS:
+            yield some
+            some, chars = [], 0
+    if some:
+        yield some
+
+
 def token_ids(file: str, spaces_count: bool) -> TokenIds:
     """One per worker process and vocabulary."""
     return kept_in_worker(("token ids", file, spaces_count), lambda: TokenIds(file, spaces_count))

@@ -86,15 +86,21 @@ def _spans(sizes: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def _learns(t: int) -> bool:
-    return t % LEARN == 0 or t in (8, 16, 32)
+    return t % LEARN == 0 or t in (8, 16, 32) or t in REFRESH
 
 
 def _counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order-0 counts of ids: (distinct ids, their counts scaled to a sum of 2 ** _ORDER0, the counts before them)."""
     ids = np.sort(ids)
-    begins = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-    seen, share = ids[begins], np.diff(begins, append=len(ids))
-    whole = np.maximum((share << _ORDER0) // len(ids), 1)
+    fresh = np.empty(len(ids), bool)
+    fresh[0] = True
+    np.not_equal(ids[1:], ids[:-1], out=fresh[1:])
+    begins = fresh.nonzero()[0]
+    share = np.empty(len(begins), np.int64)
+    np.subtract(begins[1:], begins[:-1], out=share[:-1])
+    share[-1] = len(ids) - begins[-1]
+    seen = ids.take(begins)
+    whole = np.maximum(share * ((1 << (_ORDER0 + 16)) // len(ids)) >> 16, 1)
     # what rounding leaves goes to the most frequent id
     top = int(share.argmax())
     whole[top] = 0
@@ -186,16 +192,16 @@ def _narrow(n: int, low: np.ndarray, reach: np.ndarray, start: np.ndarray, width
     """The range coder over the intervals (steps, n) of the first n lanes; words go to out, where a word above 32 bits has a carry."""
     lows, over, full = np.empty(start.shape, np.uint64), np.empty(start.shape, bool), np.empty(start.shape, bool)
     at, span = low[:n].copy(), reach[:n].copy()
-    step, shift = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    step, shift, total, small, half = np.empty(n, np.uint64), np.empty(n, np.uint64), np.full(n, _SHIFT), np.full(n, _SMALL), np.full(n, _U32)
     for i in range(len(start)):
-        np.right_shift(span, _SHIFT, out=step)
+        np.right_shift(span, total, out=step)
         np.multiply(step, start[i], out=shift)
         moved = lows[i]
         np.add(at, shift, out=moved)
         np.less(moved, at, out=over[i])
         np.multiply(step, width[i], out=span)
-        np.less(span, _SMALL, out=full[i])
-        np.multiply(full[i], _U32, out=shift)
+        np.less(span, small, out=full[i])
+        np.multiply(full[i], half, out=shift)
         np.left_shift(moved, shift, out=at)
         np.left_shift(span, shift, out=span)
     low[:n], reach[:n] = at, span
@@ -233,9 +239,8 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
     flat, flat_fed = place.reshape(-1), fed.reshape(-1)
     all_code = (fed[:, 0].astype(np.uint64) << _U32) | fed[:, 1]
     all_reach = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    all_at, all_base = lane * fed.shape[1] + 2, 4 * lane
+    all_at, all_hit = lane * fed.shape[1] + 2, np.zeros(lanes, np.uint8)
     last, all_mixed = np.zeros(lanes, np.uint16), np.zeros(lanes, np.uint16)
-    slots1, slots2, mix = np.uint16(_SLOTS1 - 1), np.uint16(_SLOTS2 - 1), np.uint16(_MIX)
     width_now = -1
     for t, end, n in _spans(sizes):
         if t in REFRESH:
@@ -245,14 +250,23 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
             of2, of1, of0, of_count, of_each = (x.astype(np.uint64) for x in weights.shares(known))
         if n != width_now:
             width_now = n
-            code, reach, at, base, mixed = (x[:n] for x in (all_code, all_reach, all_at, all_base, all_mixed))
+            code, reach, at, hit, mixed = (x[:n] for x in (all_code, all_reach, all_at, all_hit, all_mixed))
             last = last[:n]
-            slot, id1, id2, k = (np.empty(n, np.uint16) for _ in range(4))
+            # of order 2, order 1, order 0 and the uniform chance, one behind the other
+            ids, starts, widths = np.zeros(4 * n, np.uint16), np.zeros(4 * n, np.uint64), np.zeros(4 * n, np.uint64)
+            id2, id1, id0, id_rest = ids.reshape(4, n)
+            _, edge2, start, start_rest = starts.reshape(4, n)
+            width2, width1, width, each = widths.reshape(4, n)
+            slot, k, share, which = np.empty(n, np.uint16), np.empty(n, np.uint16), np.empty(n, np.uint8), np.empty(n, np.int8)
+            # columns of constants: numpy takes longer over single numbers
+            slots1, slots2, mix = (np.full(n, x, np.uint16) for x in (_SLOTS1 - 1, _SLOTS2 - 1, _MIX))
+            shift, small, half, stride = np.full(n, _SHIFT), np.full(n, _SMALL), np.full(n, _U32), np.full(n, n)
             at1, at2, pick = (np.empty(n, np.int64) for _ in range(3))
-            edge2, edge1, edge0, count, step, value, start, width, word = (np.empty(n, np.uint64) for _ in range(9))
+            edge1, edge0, count, step, value, one, word = (np.empty(n, np.uint64) for _ in range(7))
             before, counts = word.view("<u2")[1::4], word.view("<u2")[2::4]
-            eq, other, full = (np.empty(n, bool) for _ in range(3))
-            row1, row2, row_place, four = lane[:n] * _SLOTS1, lane[:n] * _SLOTS2, lane[:n] << _ORDER0, 4 * lane[:n]
+            eq, full = np.empty(n, bool), np.empty(n, bool)
+            eq8 = eq.view(np.uint8)
+            row1, row2, row_place, row_order0, four = lane[:n] * _SLOTS1, lane[:n] * _SLOTS2, lane[:n] << _ORDER0, lane[:n] + 2 * n, 4 * lane[:n]
         row_packed, flat_packed = lane[:n] * packed.shape[1], packed.reshape(-1)
         cases, by1, by2, by_rest = np.empty((end - t, n), np.int64), *(np.empty((end - t, n), bool) for _ in range(3))
         for found, case, in1, in2, rare in zip(stream[t:end, :n], cases, by1, by2, by_rest, strict=True):
@@ -265,13 +279,15 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
             np.add(row2, slot, out=at2)
             after2.take(at2, out=id2, mode="clip")
             np.equal(id1, id2, out=eq)
-            np.multiply(eq, 2, out=case)
-            np.add(case, base, out=case)
+            np.left_shift(eq8, 1, out=share)
+            np.add(share, hit, out=share)
+            np.add(four, share, out=case)
             of2.take(case, out=edge2, mode="clip")
+            np.copyto(width2, edge2)
             of1.take(case, out=edge1, mode="clip")
             of0.take(case, out=edge0, mode="clip")
             # the share that holds the value
-            np.right_shift(reach, _SHIFT, out=step)
+            np.right_shift(reach, shift, out=step)
             np.floor_divide(code, step, out=value)
             np.less(value, edge1, out=in1)
             np.less(value, edge2, out=in2)
@@ -285,27 +301,35 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
                 flat.take(pick, out=k, mode="clip")
                 np.add(row_packed, k, out=pick)
                 flat_packed.take(pick, out=word, mode="clip")
-                np.copyto(found, word, casting="unsafe")
+                np.copyto(id0, word, casting="unsafe")
                 np.copyto(start, before)
                 np.multiply(start, count, out=start)
                 np.add(start, edge1, out=start)
                 np.copyto(width, counts)
                 np.multiply(width, count, out=width)
-            # the contexts and the uniform chance
-            np.logical_or(in1, rare, out=other)
-            some = other.nonzero()[0]
-            if len(some):
-                low2, low1, low0, each, of = edge2.take(some), edge1.take(some), edge0.take(some), of_each.take(case.take(some)), value.take(some)
-                is1, is2 = in1.take(some), in2.take(some)
-                one = (of - low0) // each
-                found[some] = np.where(is2, id2.take(some), np.where(is1, id1.take(some), one.astype(np.uint16)))
-                start[some] = np.where(is1, np.where(is2, 0, low2), low0 + one * each)
-                width[some] = np.where(is1, np.where(is2, low2, low1 - low2), each)
+            # the uniform chance
+            of_each.take(case, out=each, mode="clip")
+            np.subtract(value, edge0, out=one)
+            np.floor_divide(one, each, out=one)
+            np.copyto(id_rest, one, casting="unsafe")
+            np.multiply(one, each, out=one)
+            np.add(one, edge0, out=start_rest)
+            # the contexts
+            np.subtract(edge1, edge2, out=width1)
+            # the one that is meant
+            np.subtract(rare.view(np.int8), in1.view(np.int8), out=which)
+            np.subtract(which, in2.view(np.int8), out=which)
+            np.copyto(pick, which)
+            np.multiply(pick, stride, out=pick)
+            np.add(pick, row_order0, out=pick)
+            ids.take(pick, out=found, mode="clip")
+            starts.take(pick, out=word, mode="clip")
+            widths.take(pick, out=value, mode="clip")
             # the coder
-            np.multiply(start, step, out=start)
-            np.subtract(code, start, out=code)
-            np.multiply(width, step, out=reach)
-            np.less(reach, _SMALL, out=full)
+            np.multiply(word, step, out=word)
+            np.subtract(code, word, out=code)
+            np.multiply(value, step, out=reach)
+            np.less(reach, small, out=full)
             some = full.nonzero()[0]
             if len(some):
                 next_word = at.take(some)
@@ -317,7 +341,7 @@ def decode_blocks(words: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
             after2[at2] = found
             np.multiply(last, mix, out=mixed)
             last = found
-            np.add(four, in1, out=base)
+            np.copyto(hit, in1.view(np.uint8))
         weights.count(cases, np.where(by1, 1 - by2.view(np.int8), 2 + by_rest.view(np.int8)))
     return np.ascontiguousarray(stream.T)
 

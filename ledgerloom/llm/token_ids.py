@@ -4,8 +4,7 @@ A single space or line feed between two other characters is a place where both v
 is the row of its words (with the space or line feed before them), and a word's ids are asked of the library once
 per worker process. Texts with any other white space are handed to the library as a whole.
 
-Where the space before a word does not count, many texts are split by Arrow and their words looked up in one column of
-known words; a new word is put together from its runs of letters and of other signs, which the library's pre-tokenizer parts as well.
+Where the space before a word does not count, many texts are split by Arrow and each different word is looked up once; a new word is put together from its runs of letters and of other signs, which the library's pre-tokenizer parts as well.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, repeat
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,10 @@ _CHARS = 8_000_000  # texts that are split at once
 _WORDS = 1 << 18  # words whose ids are put in place at once
 _MARK = "\x01"
 _LETTERS = "a-zªµºÀ-ÖØ-öø-ÿ"  # of Latin-1, all letters to the library too; its texts need no composing
+_CUT = "\x02"
+_SIGNS = [f"{_CUT},", f"{_CUT}."]
+# ends no run of signs: empty, or a letter or digit at the end, that is one to every version of Unicode
+_CLOSED = "^$|[0-9a-zªµºÀ-ÖØ-öø-\u012f\u0131-\u024f\u03b1-\u03c9\u0410-\u044f\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]$"
 _LETTERED = re.compile(f"[{_LETTERS}]+")
 _RUNS = re.compile(f"[{_LETTERS}]+|[^{_LETTERS}]+")
 _PARTED = re.compile(r"[^\u0100-\U0010ffff']+")  # an apostrophe takes letters with it
@@ -109,50 +113,55 @@ class TokenIds:
             self.words[w] = self.words[front] + mark
 
     def forget(self, most: int) -> None:
-        """Keep the first words only, at least the empty one, that stands between two spaces and has no ids."""
-        if most < 1:
-            self.known, self.ids, self.ends = pa.array([""], pa.large_string()), np.zeros(0, "<u4"), np.zeros(2, np.int64)
+        """Keep the first words only, at least the empty one, that stands between two spaces and has no ids, and the signs."""
+        first = [b"", *(self.marks[sign[1:]] for sign in _SIGNS)]
+        if most <= len(first):
+            self.known = {w: i for i, w in enumerate(["", *_SIGNS])}
+            self.ids, self.ends = np.frombuffer(b"".join(first), "<u4"), np.cumsum([0, *(len(x) // 4 for x in first)])
         else:
-            self.known, self.ends = pa.concat_arrays([self.known[:most]]), self.ends[: most + 1].copy()
+            self.known, self.ends = dict(islice(self.known.items(), most)), self.ends[: most + 1].copy()
             self.ids = self.ids[: self.ends[-1]].copy()
 
-    def look_up(self, words: pa.Array) -> np.ndarray:
+    def look_up(self, words: list[str]) -> np.ndarray:
         """The places of words among the known ones, -1 for others."""
-        return pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy(zero_copy_only=False)
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
 
     def learn_parts(self, new: list[str]) -> None:
         """Keep the ids of new words without upper-case ASCII letters; what is not a plain word is left out."""
-        units, joined, parts, many = [], [], [], []
-        for w in new:
+        alone, rest, joined, parts, many = [], [], [], [], []
+        for w in dict.fromkeys(new):
             if w.isascii() and w.isalpha():
-                units.append(w)
+                alone.append(w)
             elif _plain(w):
                 runs = _RUNS.findall(w) if _PARTED.fullmatch(w) else [w]
-                if len(runs) == 1:
-                    units.append(w)
-                else:
+                if len(runs) > 1:
                     joined.append(w)
                     parts += runs
                     many.append(len(runs))
-        column = pa.array(units + parts, pa.large_string()).unique()
-        asked = column.filter(pa.array(self.look_up(column) < 0)).to_pylist()
-        # a run of letters is one unit of the pre-tokenizer and goes to the model at once
-        alone = [p for p in asked if self.letters and (p.isascii() and p.isalpha() or _LETTERED.fullmatch(p))]
-        model, flat, ends = self.library.model, [], []
-        for p in alone:
-            flat += [t.id for t in model.tokenize(p if p.isascii() else p.translate(self.letters))]
-            ends.append(len(flat))
-        self._keep(alone, np.array(flat, "<u4"), np.array(ends, np.int64))
-        if len(alone) < len(asked):
-            direct = set(alone)
-            rest = [p for p in asked if p not in direct]
-            found = [ids for i in range(0, len(rest), _TOGETHER) for ids in self._spaced(rest[i : i + _TOGETHER])]
-            self._keep(rest, np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found], dtype=np.int64))
-        ids, ends = self._put(self.look_up(pa.array(parts, pa.large_string())))
+                else:
+                    (alone if _LETTERED.fullmatch(w) else rest).append(w)
+        own = {*alone, *rest}
+        for p in dict.fromkeys(parts):
+            if p not in self.known and p not in own:
+                (alone if _LETTERED.fullmatch(p) else rest).append(p)
+        if self.letters:
+            # a run of letters is one unit of the pre-tokenizer and goes to the model at once
+            model, number, flat, ends = self.library.model, attrgetter("id"), array("I"), []
+            for p in alone:
+                flat.extend(map(number, model.tokenize(p if p.isascii() else p.translate(self.letters))))
+                ends.append(len(flat))
+            self._keep(alone, np.frombuffer(flat.tobytes(), "<u4"), np.array(ends, np.int64))
+        else:
+            rest = alone + rest
+        found = [ids for i in range(0, len(rest), _TOGETHER) for ids in self._spaced(rest[i : i + _TOGETHER])]
+        self._keep(rest, np.frombuffer(b"".join(found), "<u4"), np.cumsum([len(x) // 4 for x in found], dtype=np.int64))
+        ids, ends = self._put(self.look_up(parts))
         self._keep(joined, ids, ends[np.cumsum(many, dtype=np.int64)])
 
     def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        self.known = pa.concat_arrays([self.known, pa.array(words, pa.large_string())])
+        if not words:
+            return
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.ids = np.concatenate((self.ids, ids))
         self.ends = np.concatenate((self.ends, self.ends[-1] + ends))
 
@@ -173,19 +182,36 @@ class TokenIds:
         if len(self.known) > self.most_words:
             # the words met first are the frequent ones
             self.forget(self.most_words * 3 // 4)
-        rows = pc.split_pattern(pc.replace_substring(pc.ascii_lower(pa.array(texts, pa.large_string())), "\n", " "), " ")
-        words, borders = rows.flatten(), np.append(0, np.cumsum(pc.list_value_length(rows).to_numpy()))
-        at = self.look_up(words)
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            missing = words.take(pa.array(new))
-            self.learn_parts(missing.unique().to_pylist())
-            at = at.copy()
-            at[new] = self.look_up(missing)
+        column = pc.replace_substring(pc.ascii_lower(pa.array(texts, pa.large_string())), "\n", " ")
+        marked = pc.match_substring(column, _CUT).to_numpy(zero_copy_only=False)
+        for sign in _SIGNS:  # a comma or full stop at the end of a word is a word for itself
+            column = pc.replace_substring(column, sign[1:] + " ", sign + " ")
+        rows = pc.split_pattern(pc.replace_substring(column, _CUT, f" {_CUT}"), " ")
+        borders = np.append(0, np.cumsum(pc.list_value_length(rows).to_numpy()))
+        words = rows.flatten().dictionary_encode()
+        kinds, different = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # but not behind another sign, with which it is one unit
+        sign = pc.is_in(words.dictionary, value_set=pa.array(_SIGNS, words.dictionary.type)).to_numpy(zero_copy_only=False)
+        loose = pc.invert(pc.match_substring_regex(words.dictionary, _CLOSED)).to_numpy(zero_copy_only=False)
+        behind = np.flatnonzero(sign.take(kinds[1:]) & loose.take(kinds[:-1])) + 1
+        behind = behind[~np.isin(behind, borders)]
+        pairs, pair = np.unique(kinds[behind - 1].astype(np.int64) * len(different) + kinds[behind], return_inverse=True)
+        first, second = np.divmod(pairs, max(len(different), 1))
+        different += [different[a] + different[b][1:] for a, b in zip(first.tolist(), second.tolist(), strict=True)]
+        kinds = kinds.astype(np.int64)
+        kinds[behind - 1] = len(words.dictionary) + pair
+        places = self.look_up(different)
+        new = np.flatnonzero(places < 0).tolist()
+        if new:
+            new_words = [different[k] for k in new]
+            self.learn_parts(new_words)
+            places[new] = self.look_up(new_words)
+        at = places.take(kinds)
+        at[behind] = 0
         ids, to = self._put(at)
         raw, cuts = ids.tobytes(), (4 * to[borders]).tolist()
         found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        whole = np.unique(np.searchsorted(borders, np.flatnonzero(at < 0), "right") - 1).tolist()
+        whole = np.unique(np.append(np.searchsorted(borders, np.flatnonzero(at < 0), "right") - 1, np.flatnonzero(marked))).tolist()
         for k, own in zip(whole, self.ask([texts[k] for k in whole]), strict=True):
             found[k] = own
         return found

@@ -183,7 +183,7 @@ class TokenIds:
             # the words met first are the frequent ones
             self.forget(self.most_words * 3 // 4)
         column = pc.replace_substring(pc.ascii_lower(pa.array(texts, pa.large_string())), "\n", " ")
-        marked = pc.match_substring(column, _CUT).to_numpy(zero_copy_only=False)
+        marked = [k for k, text in enumerate(texts) if _CUT in text]
         for sign in _SIGNS:  # a comma or full stop at the end of a word is a word for itself
             column = pc.replace_substring(column, sign[1:] + " ", sign + " ")
         rows = pc.split_pattern(pc.replace_substring(column, _CUT, f" {_CUT}"), " ")
@@ -211,7 +211,7 @@ class TokenIds:
         ids, to = self._put(at)
         raw, cuts = ids.tobytes(), (4 * to[borders]).tolist()
         found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        whole = np.unique(np.append(np.searchsorted(borders, np.flatnonzero(at < 0), "right") - 1, np.flatnonzero(marked))).tolist()
+        whole = np.unique(np.append(np.searchsorted(borders, np.flatnonzero(at < 0), "right") - 1, marked)).astype(int).tolist()
         for k, own in zip(whole, self.ask([texts[k] for k in whole]), strict=True):
             found[k] = own
         return found

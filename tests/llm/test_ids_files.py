@@ -41,6 +41,16 @@ def test_blocks_do_not_depend_on_each_other():
     assert (op5.decode_blocks(alone, np.array([400]))[0] == b).all()
 
 
+def test_lanes_of_many_lengths_and_even_groups():
+    rng = np.random.default_rng(1)
+    blocks = [np.minimum(rng.zipf(1.3, n), 65_535) for n in (9000, 8193, 4097, 4096, 257, 64, 63, 9, 8, 1)]
+    words = op5.encode_blocks(blocks)
+    rows = op5.decode_blocks(words, np.array([len(b) for b in blocks]))
+    assert all((row[: len(b)] == b).all() for row, b in zip(rows, blocks, strict=True))
+    assert [len(range(*some.indices(10**6))) for some in op5._groups(op5.LANES + 1)] == [op5.LANES // 2, op5.LANES // 2 + 1]
+    assert op5._groups(0) == []
+
+
 def test_damage_is_found():
     data = bytearray(op5.write_file([1], [np.arange(500, dtype="<u4").tobytes()]))
     data[-20] ^= 1

@@ -214,3 +214,35 @@ def test_a_plan_ends_whatever_the_counts(times):
     assert used == Counter(pieces)
     counts = [0, *(pieces[n] for n in range(1, 1025))]
     assert sum(many for _, many in solution) <= 1.002 * op10.least_sequences(counts, 1024)
+
+
+def test_signs_behind_words_equal_the_library():
+    from tokenizers import Tokenizer
+
+    library, rng = Tokenizer.from_file(WORDS), random.Random(5)
+    parts = [" ", " ", "\n", ", ", ". ", ",", ".", "...", "\x02", "'", "'s", "é", "É", "foo", "Word", "7", "½", "²", ")", "<|", "日", "ж", "İ", "\u0301", "\xad", "\x85", "が"]
+    for most in (3, 50, 10**6):
+        ids = TokenIds(WORDS, False, most_words=most)
+        for _ in range(4):
+            texts = ["a ,, b., c,. d", "x., . y", "", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(500))]
+            assert ids.encode(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_a_run_of_letters_is_asked_once_whatever_sign_follows_it():
+    ids, asked = TokenIds(WORDS, False), []
+
+    class Model:
+        def tokenize(self, word, model=ids.library.model):
+            asked.append(word)
+            return model.tokenize(word)
+
+    class Library:
+        model = Model()
+
+        def __getattr__(self, name, library=ids.library):
+            return getattr(library, name)
+
+    ids.library = Library()
+    ids.encode(["Foo, foo. foo### (foo)\nFOO bar's"])
+    ids.encode(["foo!! foo, -foo-"])
+    assert asked == ["foo"]

@@ -3,7 +3,8 @@
 A file holds a run of documents: their ids in one stream, cut into blocks of BLOCK ids. Every block starts with an empty model
 and has a checksum of its own. At each id four predictors share the probability: the id that last followed the two ids before (order 2), the id that last
 followed the id before (order 1), the counts of the block's ids so far (order 0, brought up to date at the places REFRESH), and the same chance for every id. Their
-weights follow from how often each was the first to be right, kept apart for the cases that the two contexts agree or not and that the last id was predicted or not.
+weights follow from how often each was the first to be right, kept apart for the cases that the two contexts agree or not and that the last id was predicted or not;
+they change every LEARN ids, so the coder, which knows the ids, works on as many steps at once.
 The mixture is one interval, by which a range coder with 64-bit state narrows its range. The blocks of a file are coded side by side, one numpy lane for each.
 
 File: magic, then as little-endian integers: documents, blocks (32 bits); for each document: whether it has an id (8), id (64), number of ids (32); for each

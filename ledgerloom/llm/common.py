@@ -82,6 +82,18 @@ def ranges(df: DataFrame, column: str) -> tuple[Column, int]:
     return F.when(F.col(column).isNull(), F.lit(len(bounds) + 1)).otherwise(found).cast("int"), len(bounds) + 2
 
 
+@contextmanager
+def few_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Written tables are read at most so many rows at once while a table is written from them: Spark reads 4,096 else, whatever their length."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
     """Arrow batches of at most so many rows while a table is written."""

@@ -12,8 +12,10 @@ are scanned exactly. Split points are chosen far from each other in a sample of
 A search asks the anchor's own leaf first. What it finds there bounds the window from below (the score of the last result wanted), and the
 second search visits all leaves that the narrowed window leaves alive. So positives and negatives are exact whatever the tree looks like.
 
-In Spark, a leaf is a few blocks of at most about ROWS rows, packed as matrices; anchors go in batches to the blocks of the leaves they
-visit, and every meeting is one row of a join. The driver holds the tree alone: at most FANOUT ** DEPTH leaves.
+In Spark, a leaf is a few blocks of at most about ROWS rows, packed as matrices, and neighbouring blocks form crews of a few; a batch of anchors goes once to
+each crew with leaves it visits, and every meeting of a batch with a block is one row of a join. The driver holds the tree and the number of each leaf's blocks
+alone: at most FANOUT ** DEPTH leaves. Rows of a leaf come to their block sorted, one block at a time. A packed block or batch is a row of up to a megabyte and
+more, so their tables are written and read a few rows at a time.
 
 Defined results: rows with a null vec_id, label or vector, or null or non-finite components take no part; shorter vectors count as filled up with zeros; rows
 with the anchor's vec_id are never its positives or negatives; a repeated row is an anchor, a positive and a negative of its own; an anchor without
@@ -30,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import arrow_batches, read, travels_by_value
-from ledgerloom.session import materialise
+from ledgerloom.llm.common import arrow_batches, few_at_once, read, travels_by_value
+from ledgerloom.session import drop_tables, materialise, tracked
 
 EVERY = 50
 SCALE = 256
@@ -44,6 +46,10 @@ LEAF = 1_024  # rows wanted in a leaf
 SAMPLE = 16 * FANOUT**DEPTH
 ROWS = 8_192
 ANCHORS = 512
+CREW = 8  # blocks of a crew at most, where there are many
+CREWS = 32  # crews at least, where there are as many blocks
+MET = 4  # packed rows that a task holds at once
+SHORT_PAGES = {"parquet.page.size.row.check.min": "1"}  # a page ends behind any row that fills it, not behind a hundred
 _TILE = 256
 _LEAST, _MOST = -(1 << 62), 1 << 62
 
@@ -176,25 +182,32 @@ def best(collected: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) ->
     return a[kept], r[kept]
 
 
+def _narrow(matrix: np.ndarray) -> np.ndarray:
+    """The matrix in the smallest type of two bytes or more that holds it."""
+    least, most = int(matrix.min(initial=0)), int(matrix.max(initial=0))
+    return matrix.astype(next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max))
+
+
 def _lists(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), width)
 
 
 @dataclass
 class Index:
-    """The tree, and its leaves as packed blocks: leaf, part, ids, labels, kind and data; `parts` counts them."""
+    """The tree, and its leaves as packed blocks: crew, leaf, part, ids, labels, kind and data."""
 
     tree: Tree
     width: int
     rows: DataFrame  # vec_id, label, ints, leaf
     blocks: DataFrame
-    parts: DataFrame  # leaf, parts
+    crews: dict[int, list[int]]  # the crews with blocks of each leaf
 
     @staticmethod
     def built(rows: DataFrame, fanout: int = FANOUT, depth: int = DEPTH, per_leaf: int = LEAF, per_block: int = ROWS) -> Index:
         """rows: (vec_id, label, ints)."""
         spark = rows.sparkSession
-        rows = materialise(rows, "gnat-rows")
+        with tracked() as whole:
+            rows = materialise(rows, "gnat-rows")
         many, width = rows.agg(F.count(F.lit(1)), F.max(F.size("ints"))).first()
         width = max(width or 0, 1)
         short = F.size("ints") < width
@@ -237,32 +250,52 @@ class Index:
                 partial = rows.select("ints").mapInArrow(ranged, "node long, point long, child long, low long, high long")
                 found = partial.groupBy("node", "point", "child").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
                 tree = _with_ranges(tree, found)
+        drop_tables(spark, whole)
         sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
-        parts = materialise(sizes.select("leaf", F.ceil(F.col("n") / per_block).cast("int").alias("parts")), "gnat-parts")
+        counted = sizes.select("leaf", F.ceil(F.col("n") / per_block).cast("int").alias("parts")).orderBy("leaf").collect()
+        many = sum(r["parts"] for r in counted)
+        of = max(-(-many // CREW), min(many, CREWS))
+        firsts = np.cumsum([0, *(r["parts"] for r in counted)]).tolist()
+        crews = {r["leaf"]: sorted({n * of // many for n in range(first, first + r["parts"])}) for r, first in zip(counted, firsts, strict=False)}
+        parts = spark.createDataFrame([(r["leaf"], r["parts"], n) for r, n in zip(counted, firsts, strict=False)], "leaf int, parts int, ahead long")
 
         def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, held = None, []
+
+            def block() -> pa.RecordBatch:
+                ids, labels = (np.concatenate([h[i] for h in held]).tobytes() for i in (0, 1))
+                matrix = _narrow(np.concatenate([h[2] for h in held]))
+                return pa.RecordBatch.from_pydict({n: pa.array([x], pa.int32()) for n, x in zip(("crew", "leaf", "part"), key, strict=True)} | {"ids": [ids], "labels": [labels], "kind": [matrix.dtype.str], "data": [matrix.tobytes()]})
+
             for batch in batches:
-                for row in batch.to_pylist():
-                    matrix = np.array(row["ints"], np.int64).reshape(-1, width)
-                    most = np.abs(matrix).max(initial=0)
-                    matrix = matrix.astype(np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64)
-                    ids, labels = (np.array(row[c], np.int64).tobytes() for c in ("ids", "labels"))
-                    yield pa.RecordBatch.from_pydict({"leaf": pa.array([row["leaf"]], pa.int32()), "part": pa.array([row["part"]], pa.int32()), "ids": [ids], "labels": [labels], "kind": [matrix.dtype.str], "data": [matrix.tobytes()]})
+                crew, leaf, part, ids, labels = (batch.column(c).to_numpy() for c in ("crew", "leaf", "part", "vec_id", "label"))
+                matrix = _lists(batch.column("ints"), width)
+                starts = [0, *(np.flatnonzero((np.diff(leaf) != 0) | (np.diff(part) != 0)) + 1).tolist(), batch.num_rows]
+                for at, end in zip(starts, starts[1:], strict=False):
+                    if at < end:
+                        if held and key != (crew[at], leaf[at], part[at]):
+                            yield block()
+                            held = []
+                        key = crew[at], leaf[at], part[at]
+                        held.append((ids[at:end].copy(), labels[at:end].copy(), _narrow(matrix[at:end])))
+            if held:
+                yield block()
 
         part = F.pmod(F.xxhash64("vec_id", "ints"), F.col("parts")).cast("int").alias("part")
-        listed = F.collect_list(F.struct("vec_id", "label", "ints")).alias("held")  # a block: about per_block rows; equal rows share one
-        grouped = rows.join(parts, "leaf").groupBy("leaf", part).agg(listed)
-        grouped = grouped.select("leaf", "part", F.col("held.vec_id").alias("ids"), F.col("held.label").alias("labels"), F.flatten("held.ints").alias("ints"))
-        with arrow_batches(spark, 1):
-            blocks = materialise(grouped.mapInArrow(packed, "leaf int, part int, ids binary, labels binary, kind string, data binary"), "gnat-blocks")
-        return Index(tree, width, rows, blocks, parts)
+        # a block: about per_block rows; equal rows share one
+        numbered = rows.join(parts, "leaf").select("leaf", part, "ahead", "vec_id", "label", "ints")
+        crew = F.call_function("div", (F.col("ahead") + F.col("part")) * of, F.lit(many)).cast("int").alias("crew")
+        sorted_rows = numbered.select(crew, "leaf", "part", "vec_id", "label", "ints").repartition("leaf", "part").sortWithinPartitions("leaf", "part")
+        with arrow_batches(spark, 4_096):
+            blocks = materialise(sorted_rows.mapInArrow(packed, "crew int, leaf int, part int, ids binary, labels binary, kind string, data binary"), "gnat-blocks", **SHORT_PAGES)
+        return Index(tree, width, rows, blocks, crews)
 
     def search(self, anchors: DataFrame, k: int, same_label: bool, own_leaf: bool) -> DataFrame:
         """(aid, window, vec_id, score): the k best rows in each of an anchor's windows, of its label or of the others.
 
         anchors: aid, vec_id, label, ints, leaf, and lows and highs, arrays of equal length for all anchors.
         """
-        tree, width, spark = self.tree, self.width, anchors.sparkSession
+        tree, width, crews, spark = self.tree, self.width, self.crews, anchors.sparkSession
 
         def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -272,36 +305,50 @@ class Index:
                 vectors = _lists(batch.column("ints"), width)
                 lows, highs = (_lists(batch.column(c), len(batch.column(c).flatten()) // batch.num_rows) for c in ("lows", "highs"))
                 asked = [(x, np.flatnonzero(leaf == x)) for x in np.unique(leaf).tolist()] if own_leaf else tree.alive(vectors, lows, highs)
+                visited: dict[int, list[tuple[int, np.ndarray]]] = {}
                 for x, at in asked:
-                    if len(at):
-                        parts = {"aids": aids, "ids": ids, "labels": labels, "vectors": vectors, "lows": lows, "highs": highs}
-                        yield pa.RecordBatch.from_pydict({"leaf": pa.array([x], pa.int32())} | {f"a_{n}": [np.ascontiguousarray(v[at]).tobytes()] for n, v in parts.items()})
+                    for crew in crews.get(x, ()) if len(at) else ():
+                        visited.setdefault(crew, []).append((x, at))
+                for crew, pairs in visited.items():
+                    some = np.unique(np.concatenate([at for _, at in pairs]))
+                    mine, there = _narrow(vectors[some]), np.zeros((len(pairs), len(some)), bool)
+                    for i, (_, at) in enumerate(pairs):
+                        there[i, np.searchsorted(some, at)] = True
+                    parts = {"leaves": np.array([x for x, _ in pairs], np.int64), "there": there, "aids": aids[some], "ids": ids[some], "labels": labels[some], "vectors": mine, "lows": lows[some], "highs": highs[some]}
+                    yield pa.RecordBatch.from_pydict({"crew": pa.array([crew], pa.int32()), "a_kind": [mine.dtype.str]} | {f"a_{n}": [np.ascontiguousarray(v).tobytes()] for n, v in parts.items()})
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
-                    data = {n: np.frombuffer(row[f"a_{n}"], np.int64) for n in ("aids", "ids", "labels", "vectors", "lows", "highs")}
+                    at = np.flatnonzero(np.frombuffer(row["a_leaves"], np.int64) == row["leaf"])
+                    if not len(at):
+                        continue
+                    data = {n: np.frombuffer(row[f"a_{n}"], np.int64) for n in ("aids", "ids", "labels", "lows", "highs")}
+                    data["vectors"] = np.frombuffer(row["a_vectors"], row["a_kind"])
+                    many = len(data["aids"])
+                    here = np.frombuffer(row["a_there"], bool).reshape(-1, many)[at[0]]
+                    data = {n: v.reshape(many, -1)[here].astype(np.int64) for n, v in data.items()}
+                    aids, own, asked_for, vectors, lows, highs = (data[n] for n in ("aids", "ids", "labels", "vectors", "lows", "highs"))
                     rows = np.frombuffer(row["data"], row["kind"]).reshape(-1, width).astype(np.int64)
                     ids, labels = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["labels"], np.int64)
-                    many = len(data["aids"])
-                    vectors, lows, highs = (data[n].reshape(many, -1) for n in ("vectors", "lows", "highs"))
-                    for i in range(0, many, _TILE):
+                    for i in range(0, len(aids), _TILE):
                         tile = slice(i, i + _TILE)
                         scores = _products(vectors[tile], rows)
-                        fit = (data["labels"][tile, None] == labels[None, :]) == same_label
-                        fit &= data["ids"][tile, None] != ids[None, :]
+                        fit = (asked_for[tile] == labels[None, :]) == same_label
+                        fit &= own[tile] != ids[None, :]
                         for w in range(lows.shape[1]):
                             a, r = best(fit & (scores >= lows[tile, w, None]) & (scores <= highs[tile, w, None]), ids, scores, k)
                             if len(a):
-                                yield pa.RecordBatch.from_pydict({"aid": data["aids"][tile][a], "window": pa.array(np.full(len(a), w, np.int32)), "vec_id": ids[r], "score": scores[a, r]})
-
-        visits = "leaf int, a_aids binary, a_ids binary, a_labels binary, a_vectors binary, a_lows binary, a_highs binary"
-        with arrow_batches(spark, ANCHORS):
-            asked = materialise(anchors.select("aid", "vec_id", "label", "ints", "leaf", "lows", "highs").mapInArrow(visit, visits), "gnat-visits")
-        asked = asked.join(self.parts, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        met = asked.join(self.blocks, ["leaf", "part"])
-        with arrow_batches(spark, 4):
-            return materialise(met.mapInArrow(scan, "aid long, window int, vec_id long, score long"), "gnat-found")
+                                yield pa.RecordBatch.from_pydict({"aid": aids[tile, 0][a], "window": pa.array(np.full(len(a), w, np.int32)), "vec_id": ids[r], "score": scores[a, r]})
+
+        visits = "crew int, a_kind string, a_leaves binary, a_there binary, a_aids binary, a_ids binary, a_labels binary, a_vectors binary, a_lows binary, a_highs binary"
+        with tracked() as passing:
+            with arrow_batches(spark, ANCHORS):
+                asked = materialise(anchors.select("aid", "vec_id", "label", "ints", "leaf", "lows", "highs").mapInArrow(visit, visits), "gnat-visits", **SHORT_PAGES)
+        with arrow_batches(spark, MET), few_at_once(spark, MET):
+            found = materialise(asked.join(self.blocks, "crew").mapInArrow(scan, "aid long, window int, vec_id long, score long"), "gnat-found")
+        drop_tables(spark, passing)
+        return found
 
 
 def _with_ranges(tree: Tree, found: list) -> Tree:

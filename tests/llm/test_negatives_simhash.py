@@ -55,6 +55,29 @@ def test_negatives_are_those_of_brute_force(spark, frame, seed, many, width, spr
     assert sorted(tuple(r) for r in got) == brute_negatives(rows)
 
 
+def test_packed_rows_are_read_a_few_at_once(spark, frame, monkeypatch):
+    # a packed block or batch of anchors is a row of up to a megabyte: thousands at once do not fit
+    name, held, write = "spark.sql.parquet.columnarReaderBatchSize", [], op12.materialise
+
+    def seen(df, label, **options):
+        if label == "gnat-found":
+            held.append(int(spark.conf.get(name)))
+        return write(df, label, **options)
+
+    monkeypatch.setattr(op12, "materialise", seen)
+    before = spark.conf.get(name)
+    rows = clustered(7, 500, 6, spread=40)
+    index = op12.Index.built(frame("vec_id long, label long, ints array<long>", rows), fanout=4, depth=2, per_leaf=16, per_block=4)
+    # leaves of several blocks, crews of several blocks, and a leaf's blocks in more than one crew
+    crews = {(r["leaf"], r["part"]): r["crew"] for r in index.blocks.select("crew", "leaf", "part").collect()}
+    assert max(part for _, part in crews) > 2 and len(set(crews.values())) < len(crews) and max(map(len, index.crews.values())) > 1
+    assert all(crew in index.crews[leaf] for (leaf, _), crew in crews.items())
+    got = op12.hard_negatives(index.rows.where(F.col("vec_id") % 50 == 0), index).collect()
+    assert sorted(tuple(r) for r in got) == brute_negatives(rows)
+    assert held and max(held) * op12.ANCHORS * 64 * 8 < 1 << 26
+    assert spark.conf.get(name) == before
+
+
 def test_leaves_are_eliminated(frame):
     rows = clustered(5, 800, 6, centres=12, spread=4)
     index = op12.Index.built(frame("vec_id long, label long, ints array<long>", rows), fanout=4, depth=3, per_leaf=16, per_block=64)

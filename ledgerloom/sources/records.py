@@ -3,7 +3,8 @@
 A quote opens a cell only where a cell begins, a doubled quote inside is one quote, and commas and line feeds inside belong to the cell. Whether a
 line feed ends a record thus depends on all bytes before it. Every range first gives its transition: the state behind it for every state
 before it. The transitions of a file, composed in order, say in what state each range begins; then the ranges are read independently. A
-file of one range needs no first pass. The position of a record is its byte offset.
+file of one range needs no first pass. The position of a record is its byte offset. Neighbouring small ranges share a task, and a range is read to
+the end of its last record, so the work follows the bytes, not the number of ranges.
 
 Inside a range the state matters only at quotes. Between two quotes a map of three states says what happens, depending on whether something stands between
 them and whether a separator ends it; the maps are composed with a table, in numpy.
@@ -14,18 +15,20 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ledgerloom import session
 from ledgerloom.sources import decode, files
 
 CHUNK_BYTES = 8 << 20
+AHEAD_BYTES = 4 << 10  # read behind a range for the end of its last record
 _FEED, _QUOTE, _COMMA, _RETURN = 10, 34, 44, 13
 
 # state before a byte: where a cell begins, inside a plain cell, inside quotes, behind a quote that may close, where a record begins
@@ -179,56 +182,76 @@ class RecordReader(DataSourceReader):
         self.encoding = options.get("encoding", "utf-8")
         self.split_bytes = int(options.get("split_bytes", files.SPLIT_BYTES))
         self.states = options.get("states", "")
+        self.tasks = int(options.get("tasks", 0))
 
     def partitions(self):
         ranges = files.byte_ranges(self.paths, (), self.split_bytes)
         if self.states and len(self.states) != len(ranges):
             raise ValueError("files have changed since their quotes were read")
-        return [_StatedRange(**vars(r), state=int(s)) for r, s in zip(ranges, self.states or str(RECORD) * len(ranges), strict=True)]
+        stated = [_StatedRange(**vars(r), state=int(s)) for r, s in zip(ranges, self.states or str(RECORD) * len(ranges), strict=True)]
+        self.states = ""  # the workers need it no more
+        some = -(-len(stated) // (self.tasks or len(stated)))
+        return [_Ranges(stated[i : i + some]) for i in range(0, len(stated), some)]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
-        """Records that begin in [start, end), behind the head; the last one is read past the end of the range."""
-        if partition.start >= partition.end:
-            return
-        system, inner = files.file_system(partition.path)
+        for path, ranges in groupby(partition.ranges, lambda r: r.path):
+            if path:
+                yield from self._of_file(path, list(ranges))
+
+    def _of_file(self, path: str, ranges: list) -> Iterator[pa.RecordBatch]:
+        """Records of some ranges of a file, in order."""
+        system, inner = files.file_system(path)
+        held, held_at = b"", 0
         with system.open_input_file(inner) as handle:
 
-            def piece(start: int, length: int) -> bytes:
+            def read(start: int, length: int) -> bytes:
                 handle.seek(start)
                 return handle.read(length)
 
-            at, state = partition.start, partition.state
-            body = head_end(piece, self.skip) if self.skip else 0
-            if at < body:
-                at, state = body, RECORD
-            while state != RECORD and at < partition.end:
-                quotes = Quotes(piece(at, CHUNK_BYTES))
-                ends = quotes.record_ends(state)
-                if len(ends):
-                    at, state = at + int(ends[0]) + 1, RECORD
-                else:
-                    at, state = at + len(quotes.bytes), quotes.after(state)
-                    if not len(quotes.bytes):
-                        return
-            size = CHUNK_BYTES
-            while at < partition.end:
-                block = piece(at, size)
-                if not block:
-                    return
-                quotes = Quotes(block)
-                ends = quotes.record_ends(RECORD)
-                if at + len(block) >= partition.size:
-                    if quotes.after(RECORD) == QUOTED:
-                        raise ValueError(f"{partition.path}: a quote is never closed")
-                    whole = block if len(ends) and ends[-1] == len(block) - 1 else block + b"\n"
-                    yield from self._rows(whole, at, partition)
+            def piece(start: int, length: int) -> bytes:
+                nonlocal held, held_at
+                if not held_at <= start <= start + length <= held_at + len(held):
+                    wanted = min(ranges[-1].end + AHEAD_BYTES, start + CHUNK_BYTES) - start
+                    held, held_at = read(start, max(length, wanted)), start
+                return held[start - held_at : start - held_at + length]
+
+            body = head_end(read, self.skip) if self.skip else 0
+            for r in ranges:
+                yield from self._of_range(piece, body, r)
+
+    def _of_range(self, piece, body: int, partition) -> Iterator[pa.RecordBatch]:
+        """Records that begin in [start, end), behind the head; the last one is read past the end of the range."""
+        at, state = partition.start, partition.state
+        if at < body:
+            at, state = body, RECORD
+        while state != RECORD and at < partition.end:
+            quotes = Quotes(piece(at, min(CHUNK_BYTES, partition.end - at)))
+            ends = quotes.record_ends(state)
+            if len(ends):
+                at, state = at + int(ends[0]) + 1, RECORD
+            else:
+                at, state = at + len(quotes.bytes), quotes.after(state)
+                if not len(quotes.bytes):
                     return
-                if not len(ends):
-                    size *= 2  # a record longer than the piece
-                    continue
-                cut = int(ends[-1]) + 1
-                yield from self._rows(block[:cut], at, partition)
-                at += cut
+        longer = 0
+        while at < partition.end:
+            block = piece(at, max(min(CHUNK_BYTES, partition.end - at + AHEAD_BYTES), longer))
+            if not block:
+                return
+            quotes = Quotes(block)
+            ends = quotes.record_ends(RECORD)
+            if at + len(block) >= partition.size:
+                if quotes.after(RECORD) == QUOTED:
+                    raise ValueError(f"{partition.path}: a quote is never closed")
+                if not len(ends) or ends[-1] != len(block) - 1:
+                    block, ends = block + b"\n", np.append(ends, len(block))
+            if not len(ends):
+                longer = 2 * len(block)  # a record longer than the piece
+                continue
+            # to the end of the record that holds the last byte of the range, if it is there
+            cut = int(ends[min(np.searchsorted(ends, partition.end - at - 1), len(ends) - 1)]) + 1
+            yield from self._rows(block[:cut], at, partition)
+            at, longer = at + cut, 0
 
     def _rows(self, block: bytes, offset: int, partition) -> Iterator[pa.RecordBatch]:
         at, cells = records(block, self.encoding)
@@ -251,6 +274,13 @@ class _StatedRange(files.FileRange):
     state: int
 
 
+@dataclass
+class _Ranges(InputPartition):
+    """The ranges that a task reads, one after another."""
+
+    ranges: list[_StatedRange]
+
+
 class RecordDataSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -264,30 +294,47 @@ class RecordDataSource(DataSource):
 
 
 def _transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The transitions of neighbouring ranges of a file, five digits each."""
     for batch in batches:
         for row in batch.to_pylist():
             system, inner = files.file_system(row["path"])
-            states = list(range(5))
+            found = []
             with system.open_input_file(inner) as handle:
                 handle.seek(row["start"])
-                left = row["end"] - row["start"]
-                while left > 0 and (data := handle.read(min(left, CHUNK_BYTES))):
-                    step = Quotes(data).transition()
-                    states = [step[s] for s in states]
-                    left -= len(data)
-            yield pa.RecordBatch.from_pydict({"number": pa.array([row["number"]], pa.int64()), "states": ["".join(map(str, states))]})
+                for start in range(row["start"], row["end"], row["split"]):
+                    states = list(range(5))
+                    left = min(row["split"], row["end"] - start)
+                    while left > 0 and (data := handle.read(min(left, CHUNK_BYTES))):
+                        step = Quotes(data).transition()
+                        states = [step[s] for s in states]
+                        left -= len(data)
+                    found.append("".join(map(str, states)))
+            yield pa.RecordBatch.from_pydict({"number": pa.array([row["number"]], pa.int64()), "states": ["".join(found)]})
+
+
+def task_count(spark: SparkSession, ranges: list) -> int:
+    """Tasks that read the ranges: one for each SPLIT_BYTES, two for each shuffle partition at least where there are as many ranges."""
+    return max(1, min(len(ranges), max(2 * session.shuffle_width(spark), -(-sum(r.end - r.start for r in ranges) // files.SPLIT_BYTES))))
 
 
-def range_states(spark: SparkSession, paths: str, split_bytes: int) -> str:
+def range_states(spark: SparkSession, ranges: list, split_bytes: int) -> str:
     """The state before each byte range, a digit each; tasks read the transitions, five digits of each range come back."""
-    ranges = files.byte_ranges(paths, (), split_bytes)
-    later = [(i, r.path, r.start, r.end) for i, r in enumerate(ranges) if r.end < r.size or r.start]
+    later = [(i, r) for i, r in enumerate(ranges) if r.end < r.size or r.start]
     if not later:
         return str(RECORD) * len(ranges)
-    # a task reads 16 ranges at most
-    tasks = min(len(later), max(2 * session.shuffle_width(spark), -(-len(later) // 16)))
-    todo = spark.createDataFrame(later, "number long, path string, start long, end long").repartition(tasks)
-    found = {r["number"]: r["states"] for r in todo.mapInArrow(_transitions, "number long, states string").collect()}
+    tasks = task_count(spark, [r for _, r in later])
+    some = -(-len(later) // tasks)
+    runs = []
+    for at in range(0, len(later), some):
+        for path, run in groupby(later[at : at + some], lambda x: x[1].path):
+            run = list(run)
+            runs.append((run[0][0], path, run[0][1].start, run[-1][1].end, split_bytes))
+    todo = spark.createDataFrame(runs, "number long, path string, start long, end long, split long").repartition(tasks)
+    found = {
+        r["number"] + i: r["states"][5 * i : 5 * i + 5]
+        for r in todo.mapInArrow(_transitions, "number long, states string").collect()
+        for i in range(len(r["states"]) // 5)
+    }
     out, state = [], RECORD
     for i, r in enumerate(ranges):
         state = RECORD if r.start == 0 else state
@@ -305,8 +352,9 @@ def record_scan(spark: SparkSession, path: str, skip: int = 0, encoding: str = "
     Line feeds, returns before them, commas and quotes must be single bytes of their own (cp874 and UTF-8 keep them so). A quote that is never closed is an error.
     """
     spark.dataSource.register(RecordDataSource)
-    states = range_states(spark, path, split_bytes or files.SPLIT_BYTES)
-    reader = spark.read.format("positioned_records").option("path", path).option("skip", skip).option("encoding", encoding).option("states", states)
+    ranges = files.byte_ranges(path, (), split_bytes or files.SPLIT_BYTES)
+    states, tasks = range_states(spark, ranges, split_bytes or files.SPLIT_BYTES), task_count(spark, ranges)
+    reader = spark.read.format("positioned_records").option("path", path).option("skip", skip).option("encoding", encoding).option("states", states).option("tasks", tasks)
     return (reader.option("split_bytes", split_bytes) if split_bytes else reader).load()
 
 

@@ -11,9 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom import sinks
+from ledgerloom import session, sinks
 from ledgerloom.plans import staging
-from ledgerloom.sources import dbf, decode, lines, records, tables
+from ledgerloom.sources import dbf, decode, files, lines, records, tables
 
 FIELDS = [("DOCNUM", "C", 8, 0), ("DOCDAT", "D", 8, 0), ("AMOUNT", "N", 10, 2), ("NAME", "C", 12, 0)]
 
@@ -119,6 +119,24 @@ def test_a_record_longer_than_a_piece(spark, tmp_path, monkeypatch):
     assert [c for b in rows for c in b.column("cells").to_pylist()] == [["1", cell], ["2", "b"]]
 
 
+def test_small_ranges_cost_their_bytes(spark, tmp_path, monkeypatch):
+    """Many small ranges: few tasks, and each range decodes its own records, not all that a piece holds."""
+    want = [[str(i), f'a "quoted"\nword {i}', "x" * (i % 40)] for i in range(6000)]
+    with open(tmp_path / "r.csv", "w", encoding="utf-8", newline="") as out:
+        csv.writer(out, lineterminator="\r\n").writerows([["two\nlines", "of head"], *want])
+    size, decoded, parse = (tmp_path / "r.csv").stat().st_size, [], records.records
+    reader = records.RecordReader({"path": str(tmp_path / "r.csv"), "skip": "1", "split_bytes": "1000", "tasks": "4", "states": records.range_states(spark, files.byte_ranges(str(tmp_path / "r.csv"), (), 1000), 1000)})
+    monkeypatch.setattr(records, "records", lambda data, encoding: (decoded.append(len(data)), parse(data, encoding))[1])
+    parts = reader.partitions()
+    rows = [c for p in parts for b in reader.read(p) for c in b.column("cells").to_pylist()]
+    assert rows == want and len(parts) == 4
+    assert len(decoded) > 200 and sum(decoded) <= 1.1 * size
+    monkeypatch.undo()
+    df = records.record_scan(spark, str(tmp_path), 1, "utf-8", 1000)
+    assert df.rdd.getNumPartitions() <= 2 * session.shuffle_width(spark)
+    assert [r.cells for r in df.orderBy("line_no").collect()] == want
+
+
 def test_quoted_titles(spark, tmp_path):
     head = '"a\nb"\n' + "\n" * 4
     (tmp_path / "s.csv").write_text(head + '"name, long",SKU,"ราคาสินค้า/ชิ้น",จำนวน\n"n,\nm",00123,2.50,4.0\n', encoding="utf-8")

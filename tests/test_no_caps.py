@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import time
 from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from ledgerloom import sinks
+from ledgerloom import session, sinks
 from ledgerloom.functions import numbers, text
 from ledgerloom.operators import ledger, ordered, pages, reports
 from ledgerloom.plans import jobs, staging
@@ -91,6 +93,59 @@ def test_headers_of_the_invoice_ledger_hold_whole_remarks(frame):
     assert "remark_parts" not in made["header"].columns
 
 
+def _many_documents(frame):
+    """Tables of a job with invoices of shared base numbers, credit notes, null numbers, and SKUs that no product has."""
+    money, day = "decimal(15,2)", dt.date(1998, 5, 1)
+    numbers = [f"{kind}{i:07d}{end}" for i in range(12) for kind, end in (("IV", ""), ("OL", "-2"), ("SR", "-1"))] + [None]
+    docs = frame(
+        f"docnum string, docdat date, sonum string, cuscod string, bilnum string, amount {money}, total {money}, remamt {money}, docstat string, dlvby string, duedat date, line_no long",
+        [(n, day, n and f"IV{n[2:9]}" if i % 3 == 2 else None, "1-01", f"B{i % 4}", D(9), D(7), D(0), "N", "x", day, i) for i, n in enumerate(numbers)],
+    )
+    remarks = frame("docnum string, seqnum string, line_no long, remark string", [(n, str(j), i, f"r{j} //{i})") for i, n in enumerate(numbers) for j in range(3)])
+    lines = frame(
+        f"docnum string, docdat date, seqnum int, stkcod string, stkdes string, people string, flag string, trnqty {money}, unitpr {money}, disc string, trnval {money}, pos long",
+        [(n, day, j, f"s{(i + j) % 3}" if j else None, "d", "p", "N", D(2 + j), D(j % 2), "", D(6), 10 * i + j) for i, n in enumerate([*numbers, "IV9"]) for j in range(5)],
+    )
+    customers, areas = frame("cuscod string, cusnam string, paytrm int", [("1-01", "A", 30)]), frame("sale_area string, cuscod_startwith string", [("Z", "1")])
+    products, listed = frame(f"stkcod string, unitpr {money}", [("s1", D(2)), ("s2", None), ("s7", D(1))]), frame("stkcod string", [("s0",)])
+    return jobs.invoice_ledger(docs, remarks, lines, customers, areas, products, listed, dt.date(1998, 1, 1), dt.date(1998, 12, 31), ["pos"])
+
+
+def test_slices_of_a_ledger_make_the_same_tables(frame, monkeypatch):
+    whole = {name: sorted(map(str, rows.collect())) for name, rows in _many_documents(frame).items()}
+    assert len(whole["header"]) == 24 and len(whole["detail"]) == 120 and len(whole["credit_detail"]) == 60
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 20)
+    made = _many_documents(frame)
+    assert {name: sorted(map(str, rows.collect())) for name, rows in made.items()} == whole
+    # headers with lines that another table has made already
+    made = _many_documents(frame)
+    assert sorted(map(str, made["detail"].collect())) == whole["detail"] and sorted(map(str, made["header"].collect())) == whole["header"]
+
+
+def test_a_ledger_keeps_no_shuffles_and_no_lines_of_a_slice(spark, frame, monkeypatch):
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    docs = frame("k int, v string", [(i % 7, f"v{i}") for i in range(2000)])
+    before = shuffled()
+    with session.tracked() as kept:
+        session.materialise(docs.repartition(8, "k").groupBy("v").count(), "counted")
+    until = time.time() + 20
+    while shuffled() > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled() <= before
+    session.drop_tables(spark, kept)
+
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 20)
+    with session.tracked() as kept:
+        made = _many_documents(frame)
+        assert made["detail"].count() == 120 and made["header"].count() == 24
+    left = sorted(os.path.basename(p).rsplit("-", 1)[0] for p in kept if os.path.isdir(p.removeprefix("file:")))
+    assert left == ["costs", "credits", "detail", "invoices", "numbers", "numbers", "texts"]
+    session.drop_tables(spark, kept)
+
+
 def test_refreshed_headers_hold_whole_remarks(frame):
     header = _ledger_job(frame)["header"]
     known = header.where("doc_number = 'IV1'").withColumns({"doc_date": F.date_sub("doc_date", 4000), "remark": F.lit("old")})

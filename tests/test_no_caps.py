@@ -146,6 +146,38 @@ def test_a_ledger_keeps_no_shuffles_and_no_lines_of_a_slice(spark, frame, monkey
     session.drop_tables(spark, kept)
 
 
+def test_lines_of_a_base_number_stay_together_in_slices(spark, frame, monkeypatch):
+    """Numbers of eight digits share a base number of seven: credits go to the lines in order, whichever of its documents they stand in."""
+    monkeypatch.setattr(jobs, "SLICE_ROWS", 5)
+    money, day = "decimal(15,2)", dt.date(1998, 5, 1)
+    numbers = [f"{kind}{i}" for i in range(10_000_000, 10_000_040) for kind in ("IV", "SR")]
+    docs = frame(
+        f"docnum string, docdat date, sonum string, cuscod string, bilnum string, amount {money}, total {money}, remamt {money}, docstat string, dlvby string, duedat date, line_no long",
+        [(n, day, f"IV{n[2:]}", "1-01", "B", D(9), D(7), D(0), "N", "x", day, i) for i, n in enumerate(numbers)],
+    )
+    lines = frame(
+        f"docnum string, docdat date, seqnum int, stkcod string, stkdes string, people string, flag string, trnqty {money}, unitpr {money}, disc string, trnval {money}, pos long",
+        [(n, day, 1, "s1", "d", "p", "N", D(3) if n < "SR" else D(1), D(5), "", D(6), i) for i, n in enumerate(numbers)],
+    )
+    none = frame("docnum string, seqnum string, line_no long, remark string", [])
+    customers, areas = frame("cuscod string, cusnam string, paytrm int", [("1-01", "A", 30)]), frame("sale_area string, cuscod_startwith string", [("Z", "1")])
+    products, listed = frame(f"stkcod string, unitpr {money}", [("s1", D(2)), ("s1", D(2)), ("s2", D(1))]), frame("stkcod string", [("s9",)])
+    with session.tracked() as kept:
+        made = jobs.invoice_ledger(docs, none, lines, customers, areas, products, listed, dt.date(1998, 1, 1), dt.date(1998, 12, 31), ["pos"])
+        got = [(r.doc_number, r.qty_sc_sr_deducted, r.qty_balance, r.cost) for r in made["detail"].orderBy("doc_number").collect()]
+    want = []
+    for group in range(4):  # ten invoices of three each, credited ten times one
+        left = 10
+        for i in range(10):
+            took = min(3, left)
+            left -= took
+            want += 2 * [(f"IV{10_000_000 + 10 * group + i}", D(took), D(3 - took), D(2))]  # a product that stands twice gives two rows, as ever
+    assert got == want
+    left = sorted(os.path.basename(p).rsplit("-", 1)[0] for p in kept if os.path.isdir(p.removeprefix("file:")))
+    assert left == ["costs", "credits", "detail", "invoices", "numbers", "numbers"]
+    session.drop_tables(spark, kept)
+
+
 def test_refreshed_headers_hold_whole_remarks(frame):
     header = _ledger_job(frame)["header"]
     known = header.where("doc_number = 'IV1'").withColumns({"doc_date": F.date_sub("doc_date", 4000), "remark": F.lit("old")})
